@@ -1 +1,234 @@
-"""Checked queries."""
+"""Checked queries for scans, stacking and sinks.
+
+The store of ``suite.store`` is written from ``orders``/``customer``; the
+oracle of a stacked table is the plain table it was written from.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import manifest as M
+from ..operators import schema as S
+from ..operators import stack as ST
+from ..plans import query as Q
+from ..plans.stack import load_table, read_variables, stack_product, stack_store
+from ..session import scratch_path
+from ..sources import csv as C
+from ..sources.listing import list_data_files, scan_manifest
+from .flagship import FLAGSHIP_ORACLE, flagship, stacked_orders
+from .registry import register
+from .shapes import VERSIONS_SQL, shape
+from .store import SITE_EXPR, STACKED_ORDERS_ORACLE, store_for
+
+_YM = "cast(year(o_orderdate) + 25 AS string) || lpad(cast(month(o_orderdate) AS string), 2, '0')"
+
+
+def _orders_view(df):
+    return df.select("siteID", "o_orderkey", "o_totalprice", "o_orderstatus",
+                     F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "release")
+
+
+@register("flagship_mean_price", FLAGSHIP_ORACLE)
+def q_flagship(spark, sf_dir):
+    return flagship(spark, sf_dir)
+
+
+@register("stack_table", STACKED_ORDERS_ORACLE)
+def q_stack_table(spark, sf_dir):
+    return _orders_view(stacked_orders(spark, sf_dir))
+
+
+@register("list_data_files", f"""
+SELECT cast(sum(CASE WHEN m % 2 = 0 THEN 4 ELSE 2 END)
+            + (SELECT count(DISTINCT {SITE_EXPR}) * 2 FROM customer) AS bigint) AS n_files
+FROM (SELECT DISTINCT {SITE_EXPR} AS s, year(o_orderdate) AS y, month(o_orderdate) AS m
+      FROM orders JOIN customer ON o_custkey = c_custkey) t
+""")
+def q_list_data_files(spark, sf_dir):
+    # every site-month has a data and a variables file per publication, plus
+    # two customer files per site
+    files = list_data_files(spark, store_for(spark, sf_dir))
+    return files.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+
+
+@register("scan_csv", f"""
+SELECT o_orderkey, 'new' AS version FROM orders
+UNION ALL
+SELECT o_orderkey, 'old' FROM orders WHERE month(o_orderdate) % 2 = 0
+""")
+def q_scan_csv(spark, sf_dir):
+    man = scan_manifest(spark, store_for(spark, sf_dir)).filter(F.col("table") == "ord_orders")
+    raw = C.scan_csv(spark, man)
+    day = F.substring(F.regexp_extract(F.col("file"), r"([0-9]{8})T[0-9]{6}Z\.csv$", 1), 7, 2)
+    return raw.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                      F.when(day == "28", "new").otherwise("old").alias("version"))
+
+
+@register("superset_schema", """
+SELECT * FROM (VALUES (1, 'o_orderkey'), (2, 'o_custkey'), (3, 'o_orderstatus'), (4, 'o_totalprice'),
+  (5, 'o_orderdate'), (6, 'o_orderpriority'), (7, 'remarks')) t(position, field)
+WHERE (SELECT count(*) FROM orders) > 0
+""")
+def q_superset_schema(spark, sf_dir):
+    man = scan_manifest(spark, store_for(spark, sf_dir)).filter(F.col("table") == "ord_orders")
+    names = C.superset_header(spark, man)
+    return spark.createDataFrame(list(enumerate(names, 1)), "position int, field string")
+
+
+@register("with_provenance", f"""
+SELECT o_orderkey, {_YM} || '28T120000Z' AS publicationDate,
+  CASE WHEN year(o_orderdate) >= 2000 THEN 'PROVISIONAL' ELSE 'RELEASE-2024' END AS release
+FROM orders
+""")
+def q_with_provenance(spark, sf_dir):
+    return stacked_orders(spark, sf_dir).select("o_orderkey", "publicationDate", "release")
+
+
+@register("with_position", f"""
+SELECT 'D0' || cast(1 + c_nationkey % 2 AS string) AS domainID, {SITE_EXPR} AS siteID, o_orderkey
+FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def q_with_position(spark, sf_dir):
+    return stacked_orders(spark, sf_dir).select("domainID", "siteID", "o_orderkey")
+
+
+@register("guard_single_release", """
+SELECT cast(1 AS bigint) AS n_releases, 'RELEASE-2024' AS releases,
+       max(CASE WHEN year(o_orderdate) >= 2000 THEN 1 ELSE 0 END) AS has_provisional
+FROM orders
+""")
+def q_guard_single_release(spark, sf_dir):
+    return ST.release_check(ST.guard_single_release(stacked_orders(spark, sf_dir)))
+
+
+@register("stack_product", f"""
+SELECT {SITE_EXPR} AS siteID, c_custkey, c_acctbal, c_mktsegment FROM customer
+""")
+def q_stack_product(spark, sf_dir):
+    tables = stack_product(spark, scan_manifest(spark, store_for(spark, sf_dir)))
+    return tables["ord_customers"].select("siteID", "c_custkey", "c_acctbal", "c_mktsegment")
+
+
+_ASOF = "20230630"
+
+
+@register("stack_store", f"""
+SELECT o_orderkey,
+  CASE WHEN cast({_YM} || '28' AS bigint) <= {_ASOF} THEN o_totalprice ELSE o_totalprice + 1000 END AS o_totalprice
+FROM orders
+WHERE cast({_YM} || '28' AS bigint) <= {_ASOF}
+   OR (month(o_orderdate) % 2 = 0 AND cast({_YM} || '05' AS bigint) <= {_ASOF})
+""")
+def q_stack_store(spark, sf_dir):
+    tables = stack_store(spark, store_for(spark, sf_dir), pubdate="2023-06-30", package="expanded")
+    return tables["ord_orders"].select("o_orderkey", "o_totalprice")
+
+
+@register("load_table", f"""
+SELECT o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE {SITE_EXPR} = 'ST01' AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+""")
+def q_load_table(spark, sf_dir):
+    df = load_table(spark, store_for(spark, sf_dir), "ord_orders", sites=["ST01"], start="1996-01",
+                    end="1997-12", package="expanded")
+    return df.select("o_orderkey", "o_totalprice")
+
+
+@register("write_stacked", STACKED_ORDERS_ORACLE)
+def q_write_stacked(spark, sf_dir):
+    out = scratch_path(spark, "stacked")
+    orders = stacked_orders(spark, sf_dir)
+    paths = ST.write_stacked({"ord_orders": orders}, out, "parquet")
+    return _orders_view(spark.read.parquet(paths["ord_orders"]))
+
+
+@register("write_stacked_csv", """
+SELECT o_orderkey, o_totalprice,
+  CASE WHEN o_orderkey % 97 = 0 AND year(o_orderdate) <> 1997
+       THEN 'first line' || chr(10) || 'said "late", then left' END AS remarks
+FROM orders
+""")
+def q_write_stacked_csv(spark, sf_dir):
+    out = scratch_path(spark, "stacked-csv")
+    orders = stacked_orders(spark, sf_dir)
+    paths = ST.write_stacked({"ord_orders": orders}, out, "csv")
+    back = spark.read.options(**C.CSV_OPTIONS).csv(paths["ord_orders"])
+    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                       F.col("o_totalprice").cast("double").alias("o_totalprice"),
+                       F.nullif(F.col("remarks"), F.lit("")).alias("remarks"))
+
+
+@register("geocsv_header", """
+SELECT * FROM (VALUES
+ (1, '# field_long_name: domainID,siteID,order key,customer key,order status,total price,order date,priority,remarks,publicationDate,release'),
+ (2, '# field_unit: unitless,unitless,number,number,unitless,dollar,unitless,unitless,unitless,unitless,unitless'),
+ (3, '# field_type: string,string,integer,integer,string,float,string,string,string,string,string')) t(line_no, line)
+WHERE (SELECT count(*) FROM orders) > 0
+""")
+def q_geocsv_header(spark, sf_dir):
+    orders = stacked_orders(spark, sf_dir)
+    man = M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None)
+    variables = read_variables(spark, man)
+    return S.geocsv_lines(orders, variables)
+
+
+@register("dedupe_latest_by_id", f"""
+WITH v AS ({VERSIONS_SQL}),
+u AS (SELECT DISTINCT * FROM v)
+SELECT srfID, lastUpdateDateTime, tiebreak FROM u
+QUALIFY row_number() OVER (PARTITION BY srfID ORDER BY lastUpdateDateTime DESC, tiebreak ASC) = 1
+""")
+def q_dedupe_latest_by_id(spark, sf_dir):
+    v = shape(spark, sf_dir, VERSIONS_SQL)
+    out = ST.dedupe_latest_by_id(v, tiebreak=["tiebreak"])
+    return out.select("srfID", "lastUpdateDateTime", "tiebreak")
+
+
+@register("dedupe_latest_keep_ties", f"""
+WITH v AS ({VERSIONS_SQL}),
+u AS (SELECT DISTINCT * FROM v)
+SELECT srfID, lastUpdateDateTime, tiebreak FROM u
+QUALIFY rank() OVER (PARTITION BY srfID ORDER BY lastUpdateDateTime DESC) = 1
+""")
+def q_dedupe_latest_keep_ties(spark, sf_dir):
+    v = shape(spark, sf_dir, VERSIONS_SQL)
+    out = ST.dedupe_latest_by_id(v, keep_ties=True)
+    return out.select("srfID", "lastUpdateDateTime", "tiebreak")
+
+
+@register("union_evolving", """
+SELECT event_id, cast(user_id AS varchar) AS user_key, value, NULL AS props FROM events WHERE event_id % 2 = 0
+UNION ALL
+SELECT event_id, event_type, NULL, props FROM events WHERE event_id % 2 = 1
+""")
+def q_union_evolving(spark, sf_dir):
+    ev = shape(spark, sf_dir, "SELECT * FROM events")
+    a = ev.filter("event_id % 2 = 0").select("event_id", F.col("user_id").alias("user_key"), "value")
+    b = ev.filter("event_id % 2 = 1").select("event_id", F.col("event_type").alias("user_key"), "props")
+    return ST.union_evolving([a, b])
+
+
+@register("query_files", f"""
+SELECT cast(count(*) AS bigint) AS n_files FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE {SITE_EXPR} = 'ST00' AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+""")
+def q_query_files(spark, sf_dir):
+    res = Q.query_files(scan_manifest(spark, store_for(spark, sf_dir)), sites=["ST00"], start="1997-01",
+                        end="1997-12", package="basic", table="ord_orders", metadata=False)
+    files = M.as_of_publication(res["files"], None)
+    # rows of the chosen files: read them to count the orders they hold
+    data = C.scan_csv(spark, files)
+    return data.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+
+
+@register("dataset_query", f"""
+SELECT o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE {SITE_EXPR} = 'ST01' AND o_orderstatus = 'F'
+""")
+def q_dataset_query(spark, sf_dir):
+    df = Q.dataset_query(spark, scan_manifest(spark, store_for(spark, sf_dir)), table="ord_orders",
+                         sites=["ST01"], package="expanded")
+    return Q.events_by_type(df.withColumnRenamed("o_orderstatus", "eventType"), "F") \
+        .select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                F.col("o_totalprice").cast("double").alias("o_totalprice"))
