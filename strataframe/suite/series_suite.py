@@ -1 +1,195 @@
-"""Checked queries."""
+"""Checked queries for the time-series operators (E1-E14) on a long series
+table built from ``events``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import series as E
+from .registry import register
+from .shapes import shape
+
+_HALF = "CASE WHEN minute(ts) < 30 THEN '00' ELSE '30' END"
+_HOUR = "lpad(cast(hour(ts) AS string), 2, '0')"
+_DAY = ("cast(year(ts) AS string) || '-' || lpad(cast(month(ts) AS string), 2, '0') || '-'"
+        " || lpad(cast(day(ts) AS string), 2, '0')")
+
+SERIES_SQL = f"""
+SELECT
+  'file_' || cast(user_id % 6 AS string) || '.h5' AS file,
+  'ST0' || cast(user_id % 6 AS string) AS site,
+  '/ST0' || cast(user_id % 6 AS string) || '/dp01/data/' || event_type || '/'
+    || lpad(cast(user_id % 3 AS string), 3, '0') || '_' || lpad(cast(10 * (1 + user_id % 2) AS string), 3, '0')
+    || '_30m/' || CASE WHEN event_id % 5 = 0 THEN 'qfqm' ELSE 'val' END AS dataset,
+  {_DAY} || 'T' || {_HOUR} || ':' || {_HALF} || ':00.000Z' AS timeBgn,
+  CASE WHEN event_id % 50 = 0 THEN '2024-12-31T23:59:59.000Z'
+       ELSE {_DAY} || 'T' || {_HOUR} || ':' || CASE WHEN minute(ts) < 30 THEN '29' ELSE '59' END || ':59.000Z'
+  END AS timeEnd,
+  CASE WHEN event_id % 2 = 0 THEN 'mean' ELSE 'max' END AS stat,
+  value, event_id,
+  lpad(cast(user_id % 3 AS string), 3, '0') AS hor,
+  lpad(cast(10 * (1 + user_id % 2) AS string), 3, '0') AS ver,
+  event_type,
+  CASE WHEN event_id % 5 = 0 THEN 'qfqm' ELSE 'val' END AS nm
+FROM events
+"""
+S_CTE = f"WITH s AS ({SERIES_SQL}),\n"
+_TS = "CAST(replace(replace({c}, 'T', ' '), 'Z', '') AS TIMESTAMP)"
+CLEAN = ("clean AS (SELECT * FROM s WHERE abs(epoch(" + _TS.format(c="timeEnd") + ") - epoch("
+         + _TS.format(c="timeBgn") + ")) < 86399)\n")
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+WIDE_COLUMNS = [f"data.{e}.{n}.{s}" for e in EVENT_TYPES for n in ("qfqm", "val") for s in ("max", "mean")]
+
+
+def series(spark, sf_dir):
+    raw = shape(spark, sf_dir, SERIES_SQL).select("file", "site", "dataset", "timeBgn", "timeEnd", "stat",
+                                                  "value", "event_id")
+    return E.parse_dataset_path(raw)
+
+
+def prepared(spark, sf_dir):
+    parsed = E.parse_series_time(series(spark, sf_dir))
+    return E.drop_day_fillers(E.filter_series(parsed, "dp01", avg=30))
+
+
+@register("parse_dataset_path", S_CTE.rstrip(",\n") + """
+SELECT event_id, 'dp01' AS level, 'data' AS category, event_type AS system, hor, ver, '30m' AS tmi,
+       nm AS name, NULL AS oth FROM s
+""")
+def q_parse_dataset_path(spark, sf_dir):
+    return series(spark, sf_dir).select("event_id", "level", "category", "system", "hor", "ver", "tmi",
+                                        "name", "oth")
+
+
+@register("filter_series", S_CTE.rstrip(",\n") + """
+SELECT event_id FROM s WHERE event_type IN ('click', 'view')
+""")
+def q_filter_series(spark, sf_dir):
+    return E.filter_series(series(spark, sf_dir), "dp01", var=["click", "view"], avg=30).select("event_id")
+
+
+@register("parse_series_time", S_CTE.rstrip(",\n") + f"""
+SELECT event_id, {_TS.format(c='timeBgn')} AS timeBgn, {_TS.format(c='timeEnd')} AS timeEnd FROM s
+""")
+def q_parse_series_time(spark, sf_dir):
+    out = E.parse_series_time(series(spark, sf_dir))
+    return out.select("event_id", F.col("timeBgn").cast("timestamp_ntz").alias("timeBgn"),
+                      F.col("timeEnd").cast("timestamp_ntz").alias("timeEnd"))
+
+
+@register("drop_day_fillers", S_CTE + CLEAN + "SELECT event_id FROM clean")
+def q_drop_day_fillers(spark, sf_dir):
+    return E.drop_day_fillers(E.parse_series_time(series(spark, sf_dir))).select("event_id")
+
+
+@register("consensus_timestamps", S_CTE + CLEAN + f"""
+SELECT file, hor, ver, {_TS.format(c='timeBgn')} AS timeBgn, {_TS.format(c='min(timeEnd)')} AS timeEnd
+FROM clean WHERE nm NOT IN ('qfqm', 'turb', 'foot') GROUP BY file, hor, ver, timeBgn
+""")
+def q_consensus_timestamps(spark, sf_dir):
+    c = E.consensus_timestamps(prepared(spark, sf_dir))
+    return c.select("file", "hor", "ver", F.col("timeBgn").cast("timestamp_ntz").alias("timeBgn"),
+                    F.col("timeEnd").cast("timestamp_ntz").alias("timeEnd"))
+
+
+def _wide_sql() -> str:
+    cols = ",\n  ".join(
+        f"arg_min(value, event_id) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in WIDE_COLUMNS
+    )
+    return S_CTE + CLEAN + f""",
+cons AS (SELECT file, hor, ver, timeBgn, min(timeEnd) AS timeEnd FROM clean
+         WHERE nm NOT IN ('qfqm', 'turb', 'foot') GROUP BY 1, 2, 3, 4),
+lng AS (SELECT file, hor, ver, timeBgn, 'data.' || event_type || '.' || nm || '.' || stat AS col, value, event_id
+        FROM clean)
+SELECT cons.file, cons.hor, cons.ver, {_TS.format(c='cons.timeBgn')} AS timeBgn,
+  {_TS.format(c='cons.timeEnd')} AS timeEnd,
+  {cols}
+FROM cons LEFT JOIN lng ON cons.file = lng.file AND cons.hor = lng.hor AND cons.ver = lng.ver
+  AND cons.timeBgn = lng.timeBgn
+GROUP BY cons.file, cons.hor, cons.ver, cons.timeBgn, cons.timeEnd
+"""
+
+
+@register("merge_series_wide", _wide_sql())
+def q_merge_series_wide(spark, sf_dir):
+    df = prepared(spark, sf_dir)
+    wide = E.merge_series_wide(df, E.consensus_timestamps(df), columns=WIDE_COLUMNS, order_col="event_id")
+    return wide.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz")) \
+        .withColumn("timeEnd", F.col("timeEnd").cast("timestamp_ntz"))
+
+
+@register("series_variables", S_CTE.rstrip(",\n") + """
+SELECT DISTINCT 'data' AS category, event_type AS system, nm AS variable, stat, NULL AS units
+FROM s WHERE file = (SELECT min(file) FROM s)
+""")
+def q_series_variables(spark, sf_dir):
+    return E.series_variables(series(spark, sf_dir))
+
+
+@register("stack_months", S_CTE + CLEAN + f"""
+SELECT file, hor, ver, {_TS.format(c='timeBgn')} AS timeBgn, value, event_id FROM clean
+""")
+def q_stack_months(spark, sf_dir):
+    df = prepared(spark, sf_dir)
+    a = df.filter(F.col("timeBgn") < F.lit("2024-01-15").cast("timestamp")).select(
+        "file", "hor", "ver", "timeBgn", "value", "event_id")
+    b = df.filter(F.col("timeBgn") >= F.lit("2024-01-15").cast("timestamp")).select(
+        "file", "hor", "ver", "timeBgn", "event_id", "value")
+    out = E.stack_months([a, b])
+    return out.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz"))
+
+
+@register("isotope_cadence_check", S_CTE.rstrip(",\n") + f"""
+, t AS (SELECT DISTINCT file, {_TS.format(c='timeBgn')} AS tb FROM s),
+r AS (SELECT file, tb, row_number() OVER (PARTITION BY file ORDER BY tb) AS rn FROM t),
+g AS (SELECT file, epoch(tb) - lag(epoch(tb)) OVER (PARTITION BY file ORDER BY tb) AS gap FROM r WHERE rn <= 20),
+f AS (SELECT file, avg(gap) AS mg FROM g GROUP BY file)
+SELECT false AS has_carbon, false AS has_water, round(min(mg), 4) AS min_mean_gap, false AS flag FROM f
+""")
+def q_isotope_cadence_check(spark, sf_dir):
+    df = E.parse_series_time(series(spark, sf_dir))
+    return E.isotope_cadence_check(df)
+
+
+@register("releases_in_paths", """
+SELECT DISTINCT CASE WHEN o_orderkey % 10 = 0 THEN 'PROVISIONAL'
+       ELSE 'RELEASE-' || cast(2021 + o_orderkey % 4 AS varchar) END AS release FROM orders
+""")
+def q_releases_in_paths(spark, sf_dir):
+    from .manifest_suite import manifest
+
+    return E.releases_in_paths(manifest(spark, sf_dir).select("path"))
+
+
+@register("guard_single_package", """
+SELECT 'basic,expanded' AS packages WHERE (SELECT count(*) FROM orders) > 0
+""")
+def q_guard_single_package(spark, sf_dir):
+    from .manifest_suite import manifest
+
+    return E.package_check(manifest(spark, sf_dir).select("path"))
+
+
+@register("time_parse_flags", S_CTE.rstrip(",\n") + """
+SELECT dataset, cast(0 AS bigint) AS timeBgn_failed, false AS timeBgn_unparsed,
+       cast(0 AS bigint) AS timeEnd_failed, false AS timeEnd_unparsed
+FROM s GROUP BY dataset
+""")
+def q_time_parse_flags(spark, sf_dir):
+    return E.time_parse_flags(E.parse_series_time(series(spark, sf_dir)))
+
+
+@register("series_review_flags", """
+WITH v AS (SELECT 'R' || cast(l_orderkey AS varchar) AS srfID, cast(l_shipdate AS varchar) AS lastUpdateDateTime,
+                  l_linenumber AS tiebreak FROM lineitem),
+u AS (SELECT DISTINCT * FROM v)
+SELECT srfID, lastUpdateDateTime, tiebreak FROM u
+QUALIFY rank() OVER (PARTITION BY srfID ORDER BY lastUpdateDateTime DESC) = 1
+""")
+def q_series_review_flags(spark, sf_dir):
+    li = shape(spark, sf_dir, "SELECT l_orderkey, l_shipdate, l_linenumber FROM lineitem")
+    v = li.select(F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("srfID"),
+                  F.col("l_shipdate").cast("string").alias("lastUpdateDateTime"),
+                  F.col("l_linenumber").alias("tiebreak"))
+    half = F.col("tiebreak") % 2 == 0
+    return E.series_review_flags([v.filter(half), v.filter(~half)])
