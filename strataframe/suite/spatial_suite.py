@@ -1 +1,170 @@
-"""Checked queries."""
+"""Checked queries for the spatial operators (G1-G9): points from
+``lineitem``, grids from ``embeddings`` (64 floats = an 8 x 8 grid)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import utm
+from ..operators import spatial as G
+from .registry import register
+from .shapes import shape
+
+POINTS_SQL = """
+SELECT cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) AS id,
+       cast(300000 + l_partkey * 37.5 AS double) AS easting,
+       cast(4000000 + l_suppkey * 91.25 AS double) AS northing,
+       17 + l_linenumber % 2 AS zone
+FROM lineitem
+"""
+GRID_SQL_SPARK = """
+SELECT 'S' || cast(vec_id % 3 AS string) AS site, cast(vec_id AS string) AS layer,
+       cast(floor(pos / 8) AS int) AS row, pos % 8 AS col,
+       CASE WHEN vec_id % 7 = 0 AND pos = 0 THEN double('NaN') ELSE cast(v AS double) END AS value
+FROM embeddings LATERAL VIEW posexplode(embedding) e AS pos, v
+"""
+GRID_SQL_DUCK = """
+SELECT 'S' || cast(vec_id % 3 AS varchar) AS site, cast(vec_id AS varchar) AS layer,
+       cast(floor(pos / 8) AS int) AS row, cast(pos % 8 AS int) AS col,
+       CASE WHEN vec_id % 7 = 0 AND pos = 0 THEN 'NaN'::DOUBLE ELSE cast(v AS double) END AS value
+FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings) e
+"""
+TOWERS_SQL = """
+SELECT 'S' || cast(n_nationkey AS string) AS site, 300000 + n_nationkey * 1000.0 AS easting,
+       4000000 + n_regionkey * 1000.0 AS northing, 17 AS zone
+FROM nation WHERE n_nationkey < 3
+"""
+
+
+def points(spark, sf_dir):
+    return shape(spark, sf_dir, POINTS_SQL)
+
+
+@register("assign_tiles", f"""
+SELECT id, cast(floor(easting / 1000) * 1000 AS bigint) AS tile_easting,
+       cast(floor(northing / 1000) * 1000 AS bigint) AS tile_northing FROM ({POINTS_SQL}) p
+""")
+def q_assign_tiles(spark, sf_dir):
+    return G.assign_tiles(points(spark, sf_dir)).select("id", "tile_easting", "tile_northing")
+
+
+@register("assign_tiles_buffer", f"""
+WITH p AS ({POINTS_SQL}),
+x AS (SELECT id, easting, northing, zone, unnest(range(cast(floor((easting - 600) / 1000) AS bigint),
+                                        cast(floor((easting + 600) / 1000) AS bigint) + 1)) AS tx FROM p),
+y AS (SELECT id, easting, northing, zone, tx, unnest(range(cast(floor((northing - 600) / 1000) AS bigint),
+                                  cast(floor((northing + 600) / 1000) AS bigint) + 1)) AS ty FROM x)
+SELECT id, tile_easting, tile_northing FROM (
+  SELECT DISTINCT id, easting, northing, zone, tx * 1000 AS tile_easting, ty * 1000 AS tile_northing FROM y) d
+""")
+def q_assign_tiles_buffer(spark, sf_dir):
+    return G.assign_tiles(points(spark, sf_dir), buffer=600).select("id", "tile_easting", "tile_northing")
+
+
+TILE_FILES_SQL = """
+SELECT DISTINCT 'NEON_D01_ST00_DP3_' || cast(cast(floor((300000 + l_partkey * 37.5) / 1000) * 1000 AS bigint) AS string)
+       || '_' || cast(cast(floor((4000000 + l_suppkey * 91.25) / 1000) * 1000 AS bigint) AS string)
+       || '_image.tif' AS name,
+       CASE WHEN l_partkey % 5 = 0 THEN 'PROVISIONAL' ELSE 'RELEASE-2024' END AS release
+FROM lineitem WHERE l_returnflag = 'R'
+"""
+
+
+@register("match_tile_files", f"""
+WITH t AS (SELECT DISTINCT cast(floor(easting / 1000) * 1000 AS bigint) AS te,
+                  cast(floor(northing / 1000) * 1000 AS bigint) AS tn FROM ({POINTS_SQL}) p),
+f AS (SELECT name, release, cast(regexp_extract(name, '_([0-9]{{6,7}})_([0-9]{{7}})_', 1) AS bigint) AS te,
+             cast(regexp_extract(name, '_([0-9]{{6,7}})_([0-9]{{7}})_', 2) AS bigint) AS tn
+      FROM ({TILE_FILES_SQL}) x)
+SELECT name FROM f WHERE release <> 'PROVISIONAL' AND (te, tn) IN (SELECT (te, tn) FROM t)
+""")
+def q_match_tile_files(spark, sf_dir):
+    tiles = G.assign_tiles(points(spark, sf_dir))
+    matched, _ = G.match_tile_files(tiles, shape(spark, sf_dir, TILE_FILES_SQL))
+    return matched.select("name")
+
+
+@register("unmatched_tiles", f"""
+WITH t AS (SELECT DISTINCT cast(floor(easting / 1000) * 1000 AS bigint) AS tile_easting,
+                  cast(floor(northing / 1000) * 1000 AS bigint) AS tile_northing FROM ({POINTS_SQL}) p),
+f AS (SELECT cast(regexp_extract(name, '_([0-9]{{6,7}})_([0-9]{{7}})_', 1) AS bigint) AS te,
+             cast(regexp_extract(name, '_([0-9]{{6,7}})_([0-9]{{7}})_', 2) AS bigint) AS tn
+      FROM ({TILE_FILES_SQL}) x WHERE release <> 'PROVISIONAL')
+SELECT tile_easting, tile_northing FROM t
+WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.te = t.tile_easting AND f.tn = t.tile_northing)
+""")
+def q_unmatched_tiles(spark, sf_dir):
+    tiles = G.assign_tiles(points(spark, sf_dir))
+    _, unmatched = G.match_tile_files(tiles, shape(spark, sf_dir, TILE_FILES_SQL))
+    return unmatched
+
+
+@register("valid_points", f"""
+SELECT cast(count(*) AS bigint) AS n_points, cast(0 AS bigint) AS n_non_numeric,
+       cast(0 AS bigint) AS n_one_sided FROM ({POINTS_SQL}) p
+""")
+def q_valid_points(spark, sf_dir):
+    return G.point_check(G.valid_points(points(spark, sf_dir)))
+
+
+def _reproject_oracle() -> str:
+    e, n = utm.reproject_sql("easting", "northing", "zone", "18")
+    return f"SELECT id, round({e}, 3) AS easting_out, round({n}, 3) AS northing_out FROM ({POINTS_SQL}) p"
+
+
+@register("reproject_utm", _reproject_oracle())
+def q_reproject_utm(spark, sf_dir):
+    out = G.reproject_utm(points(spark, sf_dir), "zone", 18)
+    return out.select("id", F.round("easting_out", 3).alias("easting_out"), F.round("northing_out", 3).alias("northing_out"))
+
+
+def grid(spark, sf_dir):
+    return shape(spark, sf_dir, GRID_SQL_SPARK)
+
+
+@register("grid_mean", f"""
+WITH g AS ({GRID_SQL_DUCK})
+SELECT site, site || '.summary' AS layer, row, col, round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS value
+FROM g GROUP BY site, row, col
+UNION ALL
+SELECT site, layer, row, col, round(CASE WHEN isnan(value) THEN NULL ELSE value END, 6) FROM g
+""")
+def q_grid_mean(spark, sf_dir):
+    out = G.grid_mean(grid(spark, sf_dir))
+    return out.withColumn("value", F.round(F.nanvl(F.col("value"), F.lit(None)), 6))
+
+
+@register("georeference_grid", f"""
+WITH g AS ({GRID_SQL_DUCK}), t AS ({TOWERS_SQL.replace('AS string', 'AS varchar')})
+SELECT g.site, g.layer, g.row, g.col, round(t.easting - 4 * 10.0 + (g.col + 0.5) * 10.0, 3) AS x,
+       round(t.northing + 4 * 10.0 - (g.row + 0.5) * 10.0, 3) AS y, 32600 + t.zone AS epsg
+FROM g LEFT JOIN t ON g.site = t.site
+""")
+def q_georeference_grid(spark, sf_dir):
+    out = G.georeference_grid(grid(spark, sf_dir), shape(spark, sf_dir, TOWERS_SQL), 10.0, half_cells=4)
+    return out.select("site", "layer", "row", "col", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "epsg")
+
+
+GRID_FILES_SQL = """
+SELECT 'S' || cast(vec_id % 3 AS string) AS site, 10.0 + (vec_id % 2) AS reso,
+       40.0 AS lat, -75.0 AS lon, 18 AS zone FROM embeddings
+"""
+
+
+@register("grid_consistency", f"""
+SELECT cast(count(DISTINCT reso) AS bigint) AS n_reso, cast(count(DISTINCT (lat, lon, zone)) AS bigint) AS n_locations,
+       cast(count(DISTINCT site) AS bigint) AS n_sites,
+       CASE WHEN count(DISTINCT reso) = 1 AND count(DISTINCT (lat, lon, zone)) = 1 THEN max(reso) ELSE 0.0 END AS reso_used
+FROM ({GRID_FILES_SQL.replace('AS string', 'AS varchar')}) f
+""")
+def q_grid_consistency(spark, sf_dir):
+    return G.grid_consistency(shape(spark, sf_dir, GRID_FILES_SQL))
+
+
+@register("transpose_grid", f"""
+WITH g AS ({GRID_SQL_DUCK})
+SELECT site, layer, col AS row, row AS col, round(CASE WHEN isnan(value) THEN NULL ELSE value END, 6) AS value FROM g
+""")
+def q_transpose_grid(spark, sf_dir):
+    out = G.transpose_grid(grid(spark, sf_dir))
+    return out.select("site", "layer", "row", "col", F.round(F.nanvl(F.col("value"), F.lit(None)), 6).alias("value"))
