@@ -35,13 +35,15 @@ def _extract(c, pattern: str, group: int = 0) -> Column:
 
 
 def basename(path) -> Column:
-    """Last path component."""
-    return F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    """Last path component (``substring_index``: linear, no regex)."""
+    return F.substring_index(_col(path), "/", -1)
 
 
 def dirname(path) -> Column:
     """Everything before the last ``/`` (empty when there is none)."""
-    return F.regexp_extract(_col(path), r"^(.*)/[^/]*$", 1)
+    p = _col(path)
+    keep = F.length(p) - F.length(F.substring_index(p, "/", -1)) - 1
+    return F.when(keep > 0, F.substring(p, F.lit(1), keep)).otherwise(F.lit(""))
 
 
 def name_parts(name) -> Column:

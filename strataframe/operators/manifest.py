@@ -425,10 +425,16 @@ def match_variables_by_publication(
     )
     d = data.withColumn("_stamp", stamp).withColumn("_is_data", F.lit(1))
     both = d.unionByName(v, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(F.col("_stamp").asc_nulls_last(), F.col("_is_data").asc())
+    # Both directions use a growing frame (unbounded preceding .. current
+    # row), which Spark evaluates in one pass; a frame running to unbounded
+    # following would be recomputed per row (quadratic).
     var_row = F.when(F.col("_is_data") == 0, F.struct(F.col("_stamp").alias("s"), F.col("_vpath").alias("p")))
-    prev_v = F.last(var_row, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    next_v = F.first(var_row, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    up = Window.partitionBy(*by).orderBy(F.col("_stamp").asc_nulls_last(), F.col("_is_data").asc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*by).orderBy(F.col("_stamp").desc_nulls_first(), F.col("_is_data").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_v = F.last(var_row, ignorenulls=True).over(up)
+    next_v = F.last(var_row, ignorenulls=True).over(down)
     out = both.withColumn("_prev", prev_v).withColumn("_next", next_v).filter("_is_data = 1")
     ts = F.unix_seconds(_stamp_ts(F.col("_stamp")))
     gap_prev = ts - F.unix_seconds(_stamp_ts(F.col("_prev.s")))
