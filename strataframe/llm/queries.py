@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash
+from . import bpe, decontaminate, pii, simhash, toxicity
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,21 @@ def _query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]
     return keep
 
 
+@_query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query("op2_pii_weak_supervision")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read_table(spark, sf_dir, "documents"))
+
+
+@_query("op5_bpe_encode_decode")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(read_table(spark, sf_dir, "documents"))
+
+
 # The hit positions of each document word, window lengths taken from the items.
 _OP7_SQL = r"""
 WITH item_words AS (

@@ -3,38 +3,11 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-import xxhash
 
 from strataframe.llm import simhash
 from strataframe.llm.queries import op8
 
-
-def brute_print(text):
-    words = (text or "").encode().lower().split()
-    grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
-    hashes = [xxhash.xxh64_intdigest(g, seed=42) for g in grams]
-    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
-
-
-def brute_classes(prints, ids):
-    root = {i: i for i in range(len(prints))}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in range(len(prints)):
-        for j in range(i):
-            if bin(prints[i] ^ prints[j]).count("1") <= 2:
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    small = {}
-    for i in range(len(prints)):
-        r = find(i)
-        known = [x for x in (small.get(r), ids[i]) if x is not None]
-        small[r] = min(known) if known else None
-    return [small[find(i)] for i in range(len(prints))]
+from brute import brute_classes, brute_print
 
 
 def test_golay_keys_meet_for_every_error_of_two_bits():
