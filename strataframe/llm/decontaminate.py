@@ -17,13 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, text_or_empty
+from .common import ascii_lower, materialize, small_side, text_or_empty
 
 #: Fixed value: what separates words, every ASCII character but letters and digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
-#: A table is broadcast only if a count of its bytes stays below this.
-BROADCAST_BYTES = 8 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -31,13 +29,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), SEPARATORS), lambda w: w != "")
 
 
-def small_side(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows one, otherwise
-    as it is, for an ordinary shuffled join."""
-    size = df.agg(F.sum(F.length(column) + 32)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 def text_key(column: str = "text") -> Column:
     return F.unhex(F.md5(text_or_empty(column).cast("binary")))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, pii, simhash, toxicity
+from . import bpe, decontaminate, html_extract, langid, pii, quality_rules, simhash, token_counts, toxicity, warc
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +36,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read_table(spark, sf_dir, "documents"))
 
 
+@_query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), limit=4096)
+
+
+@_query("op4_quality_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"))
+
+
 @_query("op5_bpe_encode_decode")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"))
 
 
+@_query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(read_table(spark, sf_dir, "pages"))
+
+
 # The hit positions of each document word, window lengths taken from the items.
 _OP7_SQL = r"""
 WITH item_words AS (
@@ -77,3 +92,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+# Base32 of the SHA-1: each five hexadecimal digits are four letters.
+_OP9_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_page FROM pages),
+letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+  list_reduce([
+    substr(a, 1 + CAST((v >> 15) & 31 AS INT), 1) || substr(a, 1 + CAST((v >> 10) & 31 AS INT), 1) ||
+    substr(a, 1 + CAST((v >> 5) & 31 AS INT), 1) || substr(a, 1 + CAST(v & 31 AS INT), 1)
+    FOR v IN [CAST('0x' || substr(h, 1 + 5 * k, 5) AS BIGINT) FOR k IN range(8)]], lambda x, y : x || y) AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_page THEN NULL ELSE first_page END AS refers_to
+FROM p, letters
+"""
+
+
+@_query("op9_warc_round_trip", _OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+
+
+@_query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from strataframe.llm import common
 from strataframe.llm import decontaminate as D
 from strataframe.llm.queries import op7
 
@@ -64,7 +65,7 @@ def test_edges(spark, rows, size):
 def test_shuffled_sides_give_the_same(spark, rows, monkeypatch):
     docs = [(i, f"a{i} " + LONG if i % 3 else "other words") for i in range(9)]
     items = [(1, LONG), (2, "other words")]
-    monkeypatch.setattr(D, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert result(D.contamination(rows(docs), items_frame(spark, items))) == brute(docs, items)
 
 
