@@ -1,8 +1,7 @@
 """Timestamp parsing expressions.
 
-Every parser works on the text prefix that its format covers, so trailing
-text after the format (a ``Z``, fractional seconds) is ignored, as the
-published files expect.  The session time zone is UTC (see
+Declared formats match the whole cell.  Only the first-fit ladder reads a
+prefix and ignores what follows.  The session time zone is UTC (see
 ``strataframe.session``), so parsed instants are UTC.
 """
 
@@ -19,7 +18,8 @@ FIRST_FIT_FORMATS = (
     ("hour", "yyyy-MM-dd'T'HH", 13),
     ("day", "yyyy-MM-dd", 10),
 )
-SERIES_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# Fractional seconds of one to nine digits and the closing Z may be missing.
+SERIES_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]['Z']"
 
 
 def _col(c) -> Column:
@@ -39,20 +39,19 @@ def parse_first_fit_candidates(c) -> list[tuple[str, Column]]:
     return [(label, parse_prefix(c, fmt, w)) for label, fmt, w in FIRST_FIT_FORMATS]
 
 
+def parse_whole(c, fmt: str) -> Column:
+    """``try_to_timestamp`` of the whole trimmed cell, null on failure."""
+    return F.try_to_timestamp(F.trim(_col(c).cast("string")), F.lit(fmt))
+
+
 def parse_series_time(c) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` with optional fractional seconds and ``Z``."""
-    text = F.trim(_col(c).cast("string"))
-    base = parse_prefix(text, SERIES_FORMAT, 19)
-    frac = F.regexp_extract(text, r"^.{19}(\.[0-9]+)", 1)
-    micros = F.when(frac != "", F.round(frac.cast("double") * 1_000_000).cast("long")).otherwise(F.lit(0))
-    return F.when(
-        base.isNotNull(),
-        F.timestamp_micros(F.unix_micros(base) + micros),
-    )
+    return parse_whole(c, SERIES_FORMAT)
 
 
 def parse_pub_format(c, pub_format: str | None) -> Column:
-    """Parse one column by its declared publication format.
+    """Parse one column by its declared publication format; a cell with more
+    text than the format is a failure.
 
     ``yyyy-MM-dd'T'HH:mm:ss.SSS'Z'`` keeps milliseconds; day formats give a
     date; year formats give a long; anything else stays text."""
@@ -62,11 +61,12 @@ def parse_pub_format(c, pub_format: str | None) -> Column:
     if pub_format in MILLI_FORMATS:
         return parse_series_time(col)
     if pub_format in SECOND_FORMATS:
+        # floored stamps may be published with seconds, and without the Z
         fmt = spark_format(pub_format).replace("'Z'", "")
-        width = len(fmt.replace("'", ""))
-        return parse_prefix(col, fmt, width)
+        fmt += {"yyyy-MM-dd'T'HH:mm": "[:ss]", "yyyy-MM-dd'T'HH": "[:mm][:ss]"}.get(fmt, "")
+        return parse_whole(col, fmt + "['Z']")
     if pub_format in DAY_FORMATS:
-        return parse_prefix(col, "yyyy-MM-dd", 10).cast("date")
+        return parse_whole(col, "yyyy-MM-dd").cast("date")
     if pub_format in YEAR_FORMATS:
         return F.trim(col.cast("string")).try_cast("long")
     return col.cast("string")

@@ -3,9 +3,9 @@
     file, site, dataset, timeBgn, timeEnd, stat, value
 
 where ``dataset`` is the hierarchical path ``/site/level/category/system/
-hor_ver_tmi/name``.  The merge that the reference does as a chain of
-left joins (one per variable) is one shuffle here: long rows are joined to
-the consensus timestamps and pivoted with the known column list.
+[hor_ver_tmi/[subsys/]]name``.  The merge of all variables on the consensus
+timestamps is one aggregate and one shuffle: rows that share keys and
+``timeBgn`` meet once and give both the consensus ``timeEnd`` and every column.
 """
 
 from __future__ import annotations
@@ -22,70 +22,77 @@ from ..functions import times
 NON_CONSENSUS = ("qfqm", "turb", "foot")
 FLUX_LEVELS = ("dp02", "dp03", "dp04")
 FILLER_SECONDS = 86399
-MAX_PIVOT_COLUMNS = 1000
 ISOTOPE_INTERVAL_SECONDS = 537
-ISOTOPE_ROWS = 20
+ISOTOPE_AVERAGING = 9
+CARBON_NAMES = ("dlta13CCo2",)
+WATER_NAMES = ("dlta18OH2o", "dlta2HH2o")
 
 
 def parse_dataset_path(df: DataFrame, col: str = "dataset") -> DataFrame:
-    """Site, level, category, system, hor, ver, tmi, name, oth.
+    """Site, level, category, system, hor, ver, tmi, name, oth, subsys.
 
-    Missing trailing parts are null; the ``hor_ver_tmi`` part is split on
-    ``_`` and filled from the left; a non-numeric ``ver`` moves to ``oth``."""
+    The last component names the dataset; those before it fill site, level,
+    category, system, the position part and subsys from the left, and missing
+    ones are null.  The position part is split on ``_`` and aligned at its end,
+    so ``010_30m`` has a ``ver`` and a ``tmi`` but no ``hor``; a ``ver`` that is
+    no number moves to ``oth``."""
     parts = F.filter(F.split(F.col(col), "/"), lambda p: p != "")
+    group = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
 
     def part(i: int) -> Column:
-        return F.try_element_at(parts, F.lit(i))
+        return F.try_element_at(group, F.lit(i))
 
-    hvt = F.split(part(5), "_")
+    # a lacking hor (and ver) is put in front, so that three parts remain
+    tokens = F.split(part(5), "_")
+    padded = F.concat(F.array_repeat(F.lit(None).cast("string"), F.greatest(3 - F.size(tokens), F.lit(0))), tokens)
 
-    def hv(i: int) -> Column:
-        return F.try_element_at(hvt, F.lit(i))
+    def position(i: int) -> Column:
+        return F.when(part(5).isNotNull(), F.try_element_at(padded, F.lit(i)))
 
-    ver_raw = hv(2)
-    numeric = ver_raw.rlike(r"^[0-9]+$")
+    numeric = position(2).try_cast("double").isNotNull()
     return df.select(
         "*",
         part(1).alias("site_part"),
         part(2).alias("level"),
         part(3).alias("category"),
         part(4).alias("system"),
-        hv(1).alias("hor"),
-        F.when(numeric, ver_raw).alias("ver"),
-        hv(3).alias("tmi"),
-        part(6).alias("name"),
-        F.when(~numeric, ver_raw).alias("oth"),
+        position(1).alias("hor"),
+        F.when(numeric, position(2)).alias("ver"),
+        position(3).alias("tmi"),
+        F.try_element_at(parts, F.lit(-1)).alias("name"),
+        F.when(~numeric, position(2)).alias("oth"),
+        part(6).alias("subsys"),
     )
 
 
 def filter_series(df: DataFrame, level: str, var: Sequence[str] | None = None, avg: int | str | None = None) -> DataFrame:
     """Keep one level; for levels other than dp02-dp04 keep variables
-    matching ``var`` (system and/or name; both given -> both must match) and
-    averaging ``<avg>m``; dp01 needs ``avg``; ``foot`` grids never stay.
-    Expects the columns of :func:`parse_dataset_path`."""
+    matching ``var`` and averaging ``<avg>m``; dp01 needs ``avg``; footprint
+    grids never stay.  Each file decides for itself: if ``var`` names systems
+    and datasets of it, both must match, else the kind that it names; a file
+    that has neither fails the query when it runs.  Expects the columns of
+    :func:`parse_dataset_path`."""
     if level == "dp01" and avg is None:
         raise ValueError("level dp01 needs avg")
     ds = F.col("dataset")
-    cond = ds.contains(level) & ~(ds.contains("foot") & ds.contains("grid"))
+    cond = ds.contains(level) & ~ds.contains("foot/grid")
+    out = df
     if level not in FLUX_LEVELS:
-        if var:
-            var = list(var)
-            in_sys = F.col("system").isin(var)
-            in_name = F.col("name").isin(var)
-            hits = df.select(
-                F.max(in_sys.cast("int")).alias("s"), F.max(in_name.cast("int")).alias("n")
-            ).collect()[0]
-            if hits["s"] and hits["n"]:
-                cond = cond & in_sys & in_name
-            elif hits["s"]:
-                cond = cond & in_sys
-            elif hits["n"]:
-                cond = cond & in_name
-            else:
-                raise ValueError(f"no dataset matches var={var}")
         if avg is not None:
             cond = cond & ds.contains(f"{avg}m")
-    return df.filter(cond)
+        if var:
+            in_sys, in_name = F.col("system").isin(list(var)), F.col("name").isin(list(var))
+            named = (
+                df.groupBy(F.col("file").alias("_file"))
+                .agg(F.coalesce(F.bool_or(in_sys), F.lit(False)).alias("_sys"), F.coalesce(F.bool_or(in_name), F.lit(False)).alias("_name"))
+            )
+            out = df.join(named, F.col("file").eqNullSafe(F.col("_file")))
+            nothing = F.raise_error(F.concat(F.lit(f"no dataset matches {list(var)} in "), F.coalesce("file", F.lit("a file without a name"))))
+            cond = cond & (
+                F.when(F.col("_sys") & F.col("_name"), in_sys & in_name)
+                .when(F.col("_sys"), in_sys).when(F.col("_name"), in_name).otherwise(nothing.cast("boolean"))
+            )
+    return out.filter(cond).select(*df.columns)
 
 
 def parse_series_time(df: DataFrame, cols: Sequence[str] = ("timeBgn", "timeEnd")) -> DataFrame:
@@ -114,20 +121,27 @@ def drop_day_fillers(df: DataFrame) -> DataFrame:
     return df.filter(span.isNull() | (span < FILLER_SECONDS))
 
 
+def _in_consensus() -> Column:
+    return ~F.col("dataset").rlike("|".join(NON_CONSENSUS))
+
+
+def _consensus_end() -> Column:
+    """``timeEnd`` of the first dataset in path order that counts."""
+    return F.expr("min_by(timeEnd, struct(dataset, timeEnd)) FILTER (WHERE _counts)")
+
+
 def consensus_timestamps(df: DataFrame, keys: Sequence[str] = ("file", "hor", "ver")) -> DataFrame:
-    """E5: per key, the distinct ``timeBgn`` of datasets whose name has no
+    """E5: per key, the distinct ``timeBgn`` of datasets whose path has no
     ``qfqm``/``turb``/``foot``; ``timeEnd`` from the first dataset in path
     order.  One partial-aggregated shuffle."""
-    keep = ~F.col("dataset").rlike("|".join(NON_CONSENSUS))
-    return (
-        df.filter(keep & F.col("timeBgn").isNotNull())
-        .groupBy(*keys, "timeBgn")
-        .agg(F.min_by("timeEnd", "dataset").alias("timeEnd"))
-    )
+    rows = df.withColumn("_counts", _in_consensus()).filter(F.col("_counts") & F.col("timeBgn").isNotNull())
+    return rows.groupBy(*keys, "timeBgn").agg(_consensus_end().alias("timeEnd"))
 
 
 def series_column(df: DataFrame) -> Column:
-    return F.concat_ws(".", "category", "system", "name", "stat")
+    """``category.system.name.stat``; a missing part stays an empty one, so that
+    no two variables share a column."""
+    return F.concat_ws(".", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("category", "system", "name", "stat")])
 
 
 def series_columns(df: DataFrame) -> list[str]:
@@ -136,29 +150,33 @@ def series_columns(df: DataFrame) -> list[str]:
     return sorted(r["c"] for r in names)
 
 
-def merge_series_wide(df: DataFrame, consensus: DataFrame, *, keys: Sequence[str] = ("file", "hor", "ver"),
-                      columns: Sequence[str] | None = None, order_col: str | None = None) -> DataFrame:
-    """E6 + E7: every consensus timestamp with one column per
-    ``category.system.name.stat``; values at other times are dropped; a
-    repeated (time, column) keeps the first by ``order_col``.
+def merge_series_wide(df: DataFrame, *, order_col: str, keys: Sequence[str] = ("file", "hor", "ver"),
+                      columns: Sequence[str] | None = None, layout: str = "wide") -> DataFrame:
+    """E5 + E6 + E7: every consensus timestamp with its values; values at other
+    times are dropped; a repeated (time, variable) keeps the first by
+    ``order_col``.  Keys may be null and meet as equals.
 
-    One join of long rows to the consensus and one pivot (with the known
-    column list, so no extra job); beyond ``MAX_PIVOT_COLUMNS`` columns the
-    merged table stays long."""
+    ``layout="wide"``: one column per ``category.system.name.stat`` (those of
+    ``columns``, by default all that occur), from one aggregate over
+    (keys, timeBgn).  ``layout="long"``: the same cells as rows
+    (``variable``, ``value``), for tables of very many variables."""
     keys = list(keys)
-    cols = list(columns) if columns is not None else series_columns(df)
-    long = df.filter(F.col("timeBgn").isNotNull()).select(
-        *keys, "timeBgn", series_column(df).alias("_col"), "value",
-        (F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("_ord"),
-    )
-    joined = consensus.join(long, [*keys, "timeBgn"], "left")
-    if len(cols) > MAX_PIVOT_COLUMNS:
-        return joined.select(*keys, "timeBgn", "timeEnd", "_col", "value")
-    return (
-        joined.groupBy(*keys, "timeBgn", "timeEnd")
-        .pivot("_col", cols)
-        .agg(F.min_by("value", "_ord"))
+    rows = df.filter(F.col("timeBgn").isNotNull()).select(
+        *keys, "timeBgn", "timeEnd", "dataset", series_column(df).alias("_col"), "value",
+        F.col(order_col).alias("_ord"), _in_consensus().alias("_counts"),
     )
+    if layout == "long":
+        cells = rows.groupBy(*keys, "timeBgn", "_col").agg(
+            F.min_by("value", "_ord").alias("value"), F.expr("min(struct(dataset, timeEnd)) FILTER (WHERE _counts)").alias("_end"))
+        whole = Window.partitionBy(*keys, "timeBgn")
+        ended = cells.withColumn("_end", F.min("_end").over(whole)).filter(F.col("_end").isNotNull())
+        return ended.select(*keys, "timeBgn", F.col("_end.timeEnd").alias("timeEnd"), F.col("_col").alias("variable"), "value")
+    if layout != "wide":
+        raise ValueError(f"layout is wide or long, not {layout!r}")
+    cols = list(columns) if columns is not None else series_columns(df)
+    values = [F.min_by(F.when(F.col("_col") == c, F.col("value")), F.when(F.col("_col") == c, F.col("_ord"))).alias(c) for c in cols]
+    merged = rows.groupBy(*keys, "timeBgn").agg(_consensus_end().alias("timeEnd"), F.bool_or("_counts").alias("_counts"), *values)
+    return merged.filter("_counts").drop("_counts")
 
 
 def stack_months(frames: Sequence[DataFrame], *, sort: bool = True) -> DataFrame:
@@ -178,7 +196,7 @@ def series_variables(df: DataFrame) -> DataFrame:
     first = df.agg(F.min("file").alias("_f"))
     units = F.col("units") if "units" in df.columns else F.lit(None).cast("string")
     return (
-        df.join(F.broadcast(first), F.col("file") == F.col("_f"), "left_semi")
+        df.join(first, F.col("file") == F.col("_f"), "left_semi")
         .select("category", "system", F.col("name").alias("variable"), "stat", units.alias("units"))
         .distinct()
     )
@@ -193,27 +211,32 @@ def series_attributes(attrs: DataFrame, names: Sequence[str] | None = None) -> D
     return pv.agg(F.first(text, ignorenulls=True))
 
 
-def isotope_cadence_check(df: DataFrame, *, carbon: str = "isoCo2", water: str = "isoH2o") -> DataFrame:
-    """One row: isotopes of both kinds present, the smallest mean
-    interval (s) over the first 20 rows of each file, and the flag
-    (both present and that interval below 537 s)."""
-    w = Window.partitionBy("file").orderBy("timeBgn")
-    first = (
-        df.select("file", "timeBgn").distinct()
-        .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= ISOTOPE_ROWS)
-        .withColumn("_gap", times.seconds_between(F.lag("timeBgn").over(w), F.col("timeBgn")))
-    )
-    per_file = first.groupBy("file").agg(F.avg("_gap").alias("mean_gap"))
-    cats = df.agg(
-        F.max(F.col("system").contains(carbon).cast("int")).alias("has_c"),
-        F.max(F.col("system").contains(water).cast("int")).alias("has_w"),
-    ).collect()[0]
-    has_c, has_w = bool(cats["has_c"]), bool(cats["has_w"])
-    gap = F.round(F.min("mean_gap"), 4)
-    return per_file.agg(
-        F.lit(has_c).alias("has_carbon"), F.lit(has_w).alias("has_water"),
-        gap.alias("min_mean_gap"),
-        (F.lit(has_c and has_w) & (F.min("mean_gap") < ISOTOPE_INTERVAL_SECONDS)).alias("flag"),
+def isotope_cadence_files(df: DataFrame, keys: Sequence[str] = ("file", "hor", "ver")) -> DataFrame:
+    """E11 by file: whether it holds carbon and water isotopes, and the mean
+    length in seconds of its merged intervals (all of them)."""
+    names = F.concat_ws(".", "system", "name")
+    rows = df.filter(F.col("timeBgn").isNotNull()).withColumns({
+        "_counts": _in_consensus(),
+        "_c": names.rlike("|".join(CARBON_NAMES)),
+        "_w": names.rlike("|".join(WATER_NAMES)),
+    })
+    stamps = rows.groupBy(*keys, "timeBgn").agg(
+        _consensus_end().alias("timeEnd"), F.bool_or("_c").alias("_c"), F.bool_or("_w").alias("_w"))
+    return stamps.groupBy("file").agg(
+        F.bool_or("_c").alias("has_carbon"), F.bool_or("_w").alias("has_water"),
+        F.avg(times.seconds_between("timeBgn", "timeEnd")).alias("mean_interval"))
+
+
+def isotope_cadence_check(df: DataFrame, avg: int | str = ISOTOPE_AVERAGING) -> DataFrame:
+    """One row: isotopes of both kinds present, the shortest mean interval
+    (s) of a file, and the flag: averaging 9, both present, and that interval
+    below 537 s (the two are measured at different cadences)."""
+    both = F.bool_or("has_carbon") & F.bool_or("has_water")
+    gated = F.lit(int(avg) == ISOTOPE_AVERAGING)
+    return isotope_cadence_files(df).agg(
+        F.bool_or("has_carbon").alias("has_carbon"), F.bool_or("has_water").alias("has_water"),
+        F.round(F.min("mean_interval"), 4).alias("min_mean_interval"),
+        (gated & both & (F.min("mean_interval") < ISOTOPE_INTERVAL_SECONDS)).alias("flag"),
     )
 
 

@@ -52,20 +52,49 @@ def prepared(spark, sf_dir):
     return E.drop_day_fillers(E.filter_series(parsed, "dp01", avg=30))
 
 
-@register("parse_dataset_path", S_CTE.rstrip(",\n") + """
-SELECT event_id, 'dp01' AS level, 'data' AS category, event_type AS system, hor, ver, '30m' AS tmi,
-       nm AS name, NULL AS oth FROM s
+# Paths of every kind: three-part and two-part positions, a lettered ver, no
+# position at all, and a part between position and name.
+PATHS_SQL = """
+SELECT event_id, event_type,
+  '/ST0' || cast(user_id % 6 AS string) || CASE event_id % 5
+    WHEN 0 THEN '/dp01/data/' || event_type || '/000_010_30m/val'
+    WHEN 1 THEN '/dp01/data/' || event_type || '/010_30m/val'
+    WHEN 2 THEN '/dp01/data/' || event_type || '/co2Low_30m/val'
+    WHEN 3 THEN '/dp04/data/' || event_type || '/nsae'
+    ELSE '/dp02/data/' || event_type || '/000_020_02m/sub/val' END AS dataset,
+  event_id % 5 AS kind
+FROM events
+"""
+
+
+@register("parse_dataset_path", f"""
+SELECT event_id, CASE kind WHEN 3 THEN 'dp04' WHEN 4 THEN 'dp02' ELSE 'dp01' END AS level, 'data' AS category,
+  event_type AS system, CASE WHEN kind IN (0, 4) THEN '000' END AS hor,
+  CASE kind WHEN 0 THEN '010' WHEN 1 THEN '010' WHEN 4 THEN '020' END AS ver,
+  CASE WHEN kind IN (0, 1, 2) THEN '30m' WHEN kind = 4 THEN '02m' END AS tmi,
+  CASE WHEN kind = 3 THEN 'nsae' ELSE 'val' END AS name, CASE WHEN kind = 2 THEN 'co2Low' END AS oth,
+  CASE WHEN kind = 4 THEN 'sub' END AS subsys
+FROM ({PATHS_SQL}) p
 """)
 def q_parse_dataset_path(spark, sf_dir):
-    return series(spark, sf_dir).select("event_id", "level", "category", "system", "hor", "ver", "tmi",
-                                        "name", "oth")
+    out = E.parse_dataset_path(shape(spark, sf_dir, PATHS_SQL))
+    return out.select("event_id", "level", "category", "system", "hor", "ver", "tmi", "name", "oth", "subsys")
+
+
+# Even files name the wanted variable as a system, odd ones as a dataset.
+BY_FILE_SQL = """
+SELECT event_id, 'f' || cast(user_id % 4 AS string) AS file, event_type,
+  '/ST00/dp01/data/' || CASE WHEN user_id % 2 = 0 THEN event_type || '/000_010_30m/val' ELSE 'sys/000_010_30m/' || event_type END AS dataset
+FROM events
+"""
 
 
-@register("filter_series", S_CTE.rstrip(",\n") + """
-SELECT event_id FROM s WHERE event_type IN ('click', 'view')
+@register("filter_series", f"""
+SELECT event_id FROM ({BY_FILE_SQL}) s WHERE event_type IN ('click', 'view')
 """)
 def q_filter_series(spark, sf_dir):
-    return E.filter_series(series(spark, sf_dir), "dp01", var=["click", "view"], avg=30).select("event_id")
+    rows = E.parse_dataset_path(shape(spark, sf_dir, BY_FILE_SQL))
+    return E.filter_series(rows, "dp01", var=["click", "view"], avg=30).select("event_id")
 
 
 @register("parse_series_time", S_CTE.rstrip(",\n") + f"""
@@ -83,7 +112,7 @@ def q_drop_day_fillers(spark, sf_dir):
 
 
 @register("consensus_timestamps", S_CTE + CLEAN + f"""
-SELECT file, hor, ver, {_TS.format(c='timeBgn')} AS timeBgn, {_TS.format(c='min(timeEnd)')} AS timeEnd
+SELECT file, hor, ver, {_TS.format(c='timeBgn')} AS timeBgn, {_TS.format(c="arg_min(timeEnd, dataset || timeEnd)")} AS timeEnd
 FROM clean WHERE nm NOT IN ('qfqm', 'turb', 'foot') GROUP BY file, hor, ver, timeBgn
 """)
 def q_consensus_timestamps(spark, sf_dir):
@@ -97,7 +126,7 @@ def _wide_sql() -> str:
         f"arg_min(value, event_id) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in WIDE_COLUMNS
     )
     return S_CTE + CLEAN + f""",
-cons AS (SELECT file, hor, ver, timeBgn, min(timeEnd) AS timeEnd FROM clean
+cons AS (SELECT file, hor, ver, timeBgn, arg_min(timeEnd, dataset || timeEnd) AS timeEnd FROM clean
          WHERE nm NOT IN ('qfqm', 'turb', 'foot') GROUP BY 1, 2, 3, 4),
 lng AS (SELECT file, hor, ver, timeBgn, 'data.' || event_type || '.' || nm || '.' || stat AS col, value, event_id
         FROM clean)
@@ -113,7 +142,7 @@ GROUP BY cons.file, cons.hor, cons.ver, cons.timeBgn, cons.timeEnd
 @register("merge_series_wide", _wide_sql())
 def q_merge_series_wide(spark, sf_dir):
     df = prepared(spark, sf_dir)
-    wide = E.merge_series_wide(df, E.consensus_timestamps(df), columns=WIDE_COLUMNS, order_col="event_id")
+    wide = E.merge_series_wide(df, columns=WIDE_COLUMNS, order_col="event_id")
     return wide.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz")) \
         .withColumn("timeEnd", F.col("timeEnd").cast("timestamp_ntz"))
 
@@ -139,16 +168,40 @@ def q_stack_months(spark, sf_dir):
     return out.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz"))
 
 
-@register("isotope_cadence_check", S_CTE.rstrip(",\n") + f"""
-, t AS (SELECT DISTINCT file, {_TS.format(c='timeBgn')} AS tb FROM s),
-r AS (SELECT file, tb, row_number() OVER (PARTITION BY file ORDER BY tb) AS rn FROM t),
-g AS (SELECT file, epoch(tb) - lag(epoch(tb)) OVER (PARTITION BY file ORDER BY tb) AS gap FROM r WHERE rn <= 20),
-f AS (SELECT file, avg(gap) AS mg FROM g GROUP BY file)
-SELECT false AS has_carbon, false AS has_water, round(min(mg), 4) AS min_mean_gap, false AS flag FROM f
+# Carbon and water isotopes in one stack: some files merge to short intervals.
+ISOTOPE_SQL = f"""
+SELECT 'iso_' || cast(user_id % 5 AS string) || '.h5' AS file,
+  '/ST00/dp01/data/' || CASE WHEN event_id % 2 = 0 THEN 'isoCo2/000_010_09m/dlta13CCo2' ELSE 'isoH2o/000_010_09m/dlta18OH2o' END AS dataset,
+  {_DAY} || 'T' || {_HOUR} || ':00:00.000Z' AS timeBgn,
+  {_DAY} || 'T' || {_HOUR} || CASE WHEN user_id % 5 < 2 THEN ':06:00.000Z' ELSE ':09:00.000Z' END AS timeEnd
+FROM events
+"""
+
+
+@register("isotope_cadence_files", f"""
+WITH s AS ({ISOTOPE_SQL})
+SELECT file, bool_or(dataset LIKE '%dlta13CCo2') AS has_carbon, bool_or(dataset LIKE '%dlta18OH2o') AS has_water,
+  avg(i) AS mean_interval
+FROM (SELECT DISTINCT file, dataset, epoch({_TS.format(c='timeEnd')}) - epoch({_TS.format(c='timeBgn')}) AS i FROM s) t
+GROUP BY file
+""")
+def q_isotope_cadence_files(spark, sf_dir):
+    return E.isotope_cadence_files(E.parse_series_time(E.parse_dataset_path(shape(spark, sf_dir, ISOTOPE_SQL))))
+
+
+@register("isotope_cadence_check", f"""
+WITH s AS ({ISOTOPE_SQL}),
+f AS (SELECT file, avg(i) AS m FROM (
+  SELECT DISTINCT file, timeBgn, epoch({_TS.format(c='timeEnd')}) - epoch({_TS.format(c='timeBgn')}) AS i FROM s) t GROUP BY file)
+SELECT n AS averaging, bool_or(dataset LIKE '%dlta13CCo2') AS has_carbon, bool_or(dataset LIKE '%dlta18OH2o') AS has_water,
+  (SELECT round(min(m), 4) FROM f) AS min_mean_interval,
+  n = 9 AND bool_or(dataset LIKE '%dlta13CCo2') AND bool_or(dataset LIKE '%dlta18OH2o') AND (SELECT min(m) < 537 FROM f) AS flag
+FROM s, (VALUES (9), (30)) v(n) GROUP BY n
 """)
 def q_isotope_cadence_check(spark, sf_dir):
-    df = E.parse_series_time(series(spark, sf_dir))
-    return E.isotope_cadence_check(df)
+    rows = E.parse_series_time(E.parse_dataset_path(shape(spark, sf_dir, ISOTOPE_SQL)))
+    each = [E.isotope_cadence_check(rows, avg).withColumn("averaging", F.lit(avg)) for avg in (9, 30)]
+    return each[0].unionByName(each[1])
 
 
 @register("releases_in_paths", """
@@ -170,13 +223,35 @@ def q_guard_single_package(spark, sf_dir):
     return E.package_check(manifest(spark, sf_dir).select("path"))
 
 
-@register("time_parse_flags", S_CTE.rstrip(",\n") + """
-SELECT dataset, cast(0 AS bigint) AS timeBgn_failed, false AS timeBgn_unparsed,
-       cast(0 AS bigint) AS timeEnd_failed, false AS timeEnd_unparsed
-FROM s GROUP BY dataset
+# Some stamps that no format reads, and one system whose ends are all such.
+BAD_SQL = f"""
+SELECT dataset, CASE WHEN event_id % 7 = 0 THEN 'n/a' WHEN event_id % 11 = 0 THEN timeBgn || 'x' ELSE timeBgn END AS timeBgn,
+  CASE WHEN event_type = 'view' THEN 'never' ELSE timeEnd END AS timeEnd, event_id, event_type
+FROM ({SERIES_SQL}) s
+"""
+
+
+@register("time_parse_flags", f"""
+SELECT dataset, cast(count(*) FILTER (WHERE event_id % 7 = 0 OR event_id % 11 = 0) AS bigint) AS timeBgn_failed,
+  count(*) FILTER (WHERE event_id % 7 <> 0 AND event_id % 11 <> 0) = 0 AS timeBgn_unparsed,
+  cast(count(*) FILTER (WHERE event_type = 'view') AS bigint) AS timeEnd_failed,
+  count(*) FILTER (WHERE event_type <> 'view') = 0 AS timeEnd_unparsed
+FROM ({BAD_SQL}) b GROUP BY dataset
 """)
 def q_time_parse_flags(spark, sf_dir):
-    return E.time_parse_flags(E.parse_series_time(series(spark, sf_dir)))
+    return E.time_parse_flags(E.parse_series_time(shape(spark, sf_dir, BAD_SQL)))
+
+
+@register("merge_series_long", S_CTE + CLEAN + f"""
+, cons AS (SELECT file, hor, ver, timeBgn, arg_min(timeEnd, dataset || timeEnd) AS timeEnd FROM clean
+         WHERE nm NOT IN ('qfqm', 'turb', 'foot') GROUP BY 1, 2, 3, 4)
+SELECT cons.file, cons.hor, cons.ver, {_TS.format(c='cons.timeBgn')} AS timeBgn, {_TS.format(c='any_value(cons.timeEnd)')} AS timeEnd,
+  'data.' || event_type || '.' || nm || '.' || stat AS variable, arg_min(value, event_id) AS value
+FROM cons JOIN clean USING (file, hor, ver, timeBgn) GROUP BY ALL
+""")
+def q_merge_series_long(spark, sf_dir):
+    out = E.merge_series_wide(prepared(spark, sf_dir), order_col="event_id", layout="long")
+    return out.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz")).withColumn("timeEnd", F.col("timeEnd").cast("timestamp_ntz"))
 
 
 @register("series_review_flags", """

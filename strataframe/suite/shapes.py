@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import prepare
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -19,6 +21,7 @@ TABLES = (
 
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     """Temp views over the parquet tables (lazy, nothing is read)."""
+    prepare(spark)
     for t in TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
@@ -156,15 +159,3 @@ SELECT
   l_partkey, l_suppkey, l_quantity
 FROM lineitem
 """
-
-# Long time series from events: one dataset per (user group, event type).
-SERIES_SQL = """
-SELECT
-  'file_' || lpad(cast(user_id % 6 AS string), 2, '0') || '.h5' AS file,
-  'ST' || lpad(cast(user_id % 6 AS string), 2, '0') AS site,
-  '/ST' || lpad(cast(user_id % 6 AS string), 2, '0') || '/dp01/data/' || event_type || '/'
-    || lpad(cast(user_id % 3 AS string), 3, '0') || '_' || lpad(cast(10 * (1 + user_id % 2) AS string), 3, '0')
-    || '_30m/' || CASE WHEN event_id % 5 = 0 THEN 'qfqm' ELSE 'val' END AS dataset,
-  event_id, ts, value, user_id, event_type
-FROM events
-"""
