@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 # The naming convention of the published files.
 STAMP_PATTERN = r"[0-9]{8}T[0-9]{6}Z"
-DIR_STAMP_PATTERN = r"20[0-9]{6}T[0-9]{6}Z"
+RELEASE_TAG = r"^(RELEASE-[0-9]{4}|PROVISIONAL|LATEST)$"
 DOMAIN_PATTERN = r"\.(D[0-2][0-9])\."
 SITE_PATTERN = r"\.D[0-9]{2}\.([A-Z]{4}|[A-Z]{2}[0-9]{2})\."
 LOCATION_PATTERN = r"\.[0-9]{3}\.([0-9]{3})\.([0-9]{3})\.([0-9]{3}|[0-9]{2}[A-Z])\."
@@ -23,7 +23,6 @@ PRODUCT_PATTERN = r"DP[1-4]\.[0-9]{5}\.00[1-2]"
 PACKAGE_PATTERN = r"\.(basic|expanded)\."
 DATA_FILE_PATTERN = r"\.[a-z]{3}$"
 METADATA_TABLES = ("sensor_positions", "science_review_flags")
-MAX_TABLE_NAME = 50
 
 
 def _col(c) -> Column:
@@ -88,25 +87,23 @@ def time_index_of(name) -> Column:
 
 
 def release_of(path) -> Column:
-    """Release tag from the directory: the last dot part after the stamp."""
-    d = F.concat(dirname(path), F.lit("/"))
-    seg = F.regexp_extract(d, DIR_STAMP_PATTERN + r"\..*/", 0)
-    return F.nullif(F.regexp_replace(seg, r".*\.|/", ""), F.lit(""))
+    """The last dot part of the parent folder's name, if it is a release tag."""
+    last = F.substring_index(basename(dirname(path)), ".", -1)
+    return F.when(last.rlike(RELEASE_TAG), last)
 
 
-def table_of(name) -> Column:
+def table_of(name, max_length: int | None = None) -> Column:
     """Data-table name: first dot part from the third on that, with ``_pub``
-    removed, contains ``_``, is at most 50 characters and is not one of the
-    metadata tables."""
-    parts = F.slice(name_parts(name), 3, 1 << 20)
-    cleaned = F.transform(parts, lambda p: F.regexp_replace(p, "_pub", ""))
-    keep = F.filter(
-        cleaned,
-        lambda p: p.contains("_")
-        & (F.length(p) <= MAX_TABLE_NAME)
-        & ~p.isin(*METADATA_TABLES),
-    )
-    return F.try_element_at(keep, F.lit(1))
+    removed, contains ``_`` and is not one of the metadata tables; with
+    ``max_length``, longer parts don't count."""
+    parts = name_parts(name)
+    cleaned = F.transform(F.slice(parts, 3, F.greatest(F.size(parts), F.lit(1))), lambda p: F.regexp_replace(p, "_pub", ""))
+
+    def is_table(p):
+        found = p.contains("_") & ~p.isin(*METADATA_TABLES)
+        return found if max_length is None else found & (F.length(p) <= max_length)
+
+    return F.try_element_at(F.filter(cleaned, is_table), F.lit(1))
 
 
 def metadata_table_of(name) -> Column:

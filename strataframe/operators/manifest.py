@@ -1,7 +1,7 @@
 """Manifest operators: choosing which published files count.
 
-A *manifest* is a DataFrame with one row per published file (schema in
-``strataframe.schemas.MANIFEST``).  Scan planning happens here, as data:
+A *manifest* is a DataFrame with one row per published file (columns
+``MANIFEST_COLUMNS``).  Scan planning happens here, as data:
 every filter and every "latest version" choice runs on the manifest before
 any CSV is opened, so superseded files are never read.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import warnings
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +33,7 @@ METADATA_KINDS = (
     "sensor_positions", "science_review_flags",
 )
 UNDETERMINED = "undetermined"
+AVERAGED_PATTERN = r"(?<![0-9]){}_?min(?![A-Za-z])"
 _MONTH_RE = re.compile(r"^[0-9]{4}-[0-9]{2}$")
 _POS_RE = re.compile(r"^[0-9A-Za-z]{3}$")
 
@@ -121,8 +122,8 @@ def table_types(manifest: DataFrame, *, check: bool = True) -> DataFrame:
             raise ValueError("no data tables found, only metadata")
         if row["worst"] > 1:
             raise ValueError(
-                f"table {row['table']} is published under conflicting schedules; "
-                "stack released and provisional files separately"
+                f"files of {row['table']} are of several kinds (by site, by month or by lab); "
+                "choose one release at a time"
             )
     return (
         manifest.filter(F.col("table").isNotNull())
@@ -147,7 +148,7 @@ def table_names_by_position(manifest: DataFrame, known_tables: DataFrame) -> Dat
     )
     by_position = manifest.select(positional.alias("table")).filter(F.col("table").isNotNull())
     exploded = manifest.select(F.explode(parts).alias("table"))
-    known = F.broadcast(known_tables.select(F.col("tableName").alias("table")).distinct())
+    known = known_tables.select(F.col("tableName").alias("table")).distinct()
     by_name = exploded.join(known, "table", "left_semi")
     return by_name.unionByName(by_position).distinct()
 
@@ -227,20 +228,14 @@ def filter_package(manifest: DataFrame, package: str = "basic") -> DataFrame:
     (an expanded package may carry basic-named files) all candidates stay."""
     if package not in ("basic", "expanded"):
         raise ValueError("package must be basic or expanded")
-    w = Window.partitionBy("site", "month")
-    has_expanded = F.max((F.col("package") == "expanded").cast("int")).over(w)
-    chosen = (
-        F.when(F.lit(package) == "expanded", F.when(has_expanded == 1, "expanded").otherwise("basic"))
-        .otherwise(F.lit("basic"))
-    )
-    has_chosen = F.max((F.col("package") == chosen).cast("int")).over(w)
-    cols = manifest.columns
-    return (
-        manifest.withColumn("_chosen", chosen)
-        .withColumn("_has", has_chosen)
-        .filter((F.coalesce(F.col("_has"), F.lit(0)) == 0) | (F.col("package") == F.col("_chosen")))
-        .select(*cols)
+    flags = manifest.groupBy(F.col("site").alias("_site"), F.col("month").alias("_month")).agg(
+        F.coalesce(F.bool_or(F.col("package") == "expanded"), F.lit(False)).alias("_expanded"),
+        F.coalesce(F.bool_or(F.col("package") == "basic"), F.lit(False)).alias("_basic"),
     )
+    wants_expanded = F.lit(package == "expanded") & F.col("_expanded")
+    keep = F.when(wants_expanded, F.col("package") == "expanded").when(F.col("_basic"), F.col("package") == "basic").otherwise(F.lit(True))
+    same = F.col("site").eqNullSafe(F.col("_site")) & F.col("month").eqNullSafe(F.col("_month"))
+    return manifest.join(flags, same).filter(keep).select(*[manifest[c] for c in manifest.columns])
 
 
 def is_metadata(name_col: Column | str = "name") -> Column:
@@ -250,14 +245,14 @@ def is_metadata(name_col: Column | str = "name") -> Column:
 
 
 def filter_time_index(manifest: DataFrame, time_index: str | int | None) -> DataFrame:
-    """Keep names with ``<n>min`` or ``<n>_min`` and every name without
-    ``min`` (metadata and non-averaged tables)."""
+    """Keep names with the averaging ``<n>min`` or ``<n>_min`` and every
+    name without one (metadata and non-averaged tables).  The digits must be
+    the whole number: 5 doesn't keep ``15min``."""
     if time_index in (None, "all"):
         return manifest
-    n = str(time_index)
+    n = int(time_index)
     name = F.col("name")
-    keep = (~name.contains("min")) | name.contains(f"{n}min") | name.contains(f"{n}_min")
-    return manifest.filter(keep)
+    return manifest.filter(~name.rlike(AVERAGED_PATTERN.format("[0-9]+")) | name.rlike(AVERAGED_PATTERN.format(n)))
 
 
 def filter_table(manifest: DataFrame, table: str, metadata: bool = True) -> DataFrame:
@@ -277,14 +272,23 @@ def check_position(value: str | None, what: str) -> None:
 
 def filter_position(manifest: DataFrame, hor: str, ver: str, *, table: str | None = None) -> DataFrame:
     """Exactly one HOR and VER.  Ignored (with a warning) for
-    observational tables and ``ais_`` tables; files without a position
-    (metadata) stay."""
+    observational tables (no file has a position) and ``ais_`` tables; files
+    without a position (metadata) stay.  A position that no file has raises."""
     if table is not None and table.startswith("ais_"):
-        warnings.warn("hor/ver ignored for ais_ tables", stacklevel=2)
+        warnings.warn("ais_ tables have no positions to choose from; hor and ver are ignored", stacklevel=2)
         return manifest
     check_position(hor, "hor")
     check_position(ver, "ver")
     positioned = F.col("hor").isNotNull()
+    seen = manifest.agg(
+        F.coalesce(F.bool_or(positioned), F.lit(False)).alias("any"),
+        F.coalesce(F.bool_or((F.col("hor") == hor) & (F.col("ver") == ver)), F.lit(False)).alias("here"),
+    ).first()
+    if not seen["any"]:
+        warnings.warn("the files have no sensor positions; hor and ver are ignored", stacklevel=2)
+        return manifest
+    if not seen["here"]:
+        raise ValueError(f"no file at position {hor}.{ver}")
     return manifest.filter(~positioned | ((F.col("hor") == hor) & (F.col("ver") == ver)))
 
 
@@ -292,41 +296,39 @@ def filter_position(manifest: DataFrame, hor: str, ver: str, *, table: str | Non
 # Latest publication
 # --------------------------------------------------------------------------
 
-def publication_key(manifest_path: Column | str = "path", name: Column | str = "name") -> Column:
-    """Stamp in the basename, else in the path, else the name itself."""
-    p = F.col(manifest_path) if isinstance(manifest_path, str) else manifest_path
-    n = F.col(name) if isinstance(name, str) else name
-    return F.coalesce(N.publication_stamp(n), N.publication_stamp(p), n)
-
-
-def _stamp_or_undetermined(key: Column) -> Column:
-    return F.when(key.rlike(r"^" + N.STAMP_PATTERN + r"$"), key).otherwise(F.lit(UNDETERMINED))
+def publication_order() -> list[Column]:
+    """Newest first: by the stamp in the basename, then by one in the path,
+    then by name; a file without a stamp never beats one with it."""
+    return [
+        N.publication_stamp(F.col("name")).desc_nulls_last(),
+        N.publication_stamp(F.col("path")).desc_nulls_last(),
+        F.col("name").desc_nulls_last(),
+        F.col("path").asc(),
+    ]
 
 
-def latest_publication(manifest: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def latest_publication(manifest: DataFrame, keys: Sequence[str | Column] = ()) -> DataFrame:
     """Per key, the file with the greatest publication stamp; ties go
-    to the first path in sorted order.  Adds ``latest_stamp`` (the stamp, or
-    ``undetermined`` when the chosen key isn't a stamp)."""
-    pk = publication_key()
-    keyed = manifest.withColumn("_pk", pk)
+    to the greatest name, then the first path.  Adds ``latest_stamp`` (the
+    stamp, or ``undetermined`` when the chosen file has none)."""
     if keys:
-        w = Window.partitionBy(*keys).orderBy(F.col("_pk").desc(), F.col("path").asc())
-        out = keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        w = Window.partitionBy(*keys).orderBy(*publication_order())
+        out = manifest.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     else:
-        out = keyed.orderBy(F.col("_pk").desc(), F.col("path").asc()).limit(1)
-    return out.withColumn("latest_stamp", _stamp_or_undetermined(F.col("_pk"))).drop("_pk")
+        out = manifest.orderBy(*publication_order()).limit(1)
+    stamp = F.coalesce(N.publication_stamp(F.col("name")), N.publication_stamp(F.col("path")), F.lit(UNDETERMINED))
+    return out.withColumn("latest_stamp", stamp)
 
 
 def select_files_by_type(manifest: DataFrame) -> DataFrame:
     """C14: site-date files all count; a site-all table keeps its latest file
-    per site; a lab table its latest per lab."""
+    per site; a lab table its latest per lab.  One window: a site-date file is
+    a group of its own."""
     tt = F.col("table_type")
-    dated = manifest.filter(tt == "site-date")
-    undated = manifest.filter(tt.isin("site-all", "lab")).withColumn(
-        "_owner", F.when(tt == "lab", F.col("lab")).otherwise(F.col("site"))
-    )
-    latest = latest_publication(undated, ["table", "_owner"]).drop("_owner", "latest_stamp")
-    return dated.unionByName(latest)
+    owner = F.when(tt == "lab", F.col("lab")).when(tt == "site-all", F.col("site"))
+    own_path = F.when(tt == "site-date", F.col("path"))
+    typed = manifest.filter(tt.isin("site-date", "site-all", "lab"))
+    return latest_publication(typed, ["table", "table_type", owner, own_path]).drop("latest_stamp")
 
 
 def pubdate_stamp(pubdate: str) -> str:
@@ -352,15 +354,11 @@ def as_of_publication(manifest: DataFrame, pubdate: str | None = None, *, check:
         if check:
             old_enough = df.filter(F.col("name").contains(".variables.") & F.col("_stamp").isNotNull())
             if old_enough.agg(F.count(F.lit(1))).collect()[0][0] == 0:
-                raise ValueError(f"no files published before pubdate {pubdate}")
-    keyed = (
-        F.col("table").isNotNull() & F.col("site").isNotNull() & F.col("month").isNotNull()
-        & F.col("_stamp").isNotNull()
-    )
-    chosen = df.filter(keyed)
-    w = Window.partitionBy("table", "site", "month").orderBy(F.col("_stamp").desc())
-    chosen = chosen.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk")
-    return chosen.unionByName(df.filter(~keyed)).drop("_stamp")
+                raise ValueError(f"the store holds no variables file as old as {pubdate}")
+    # one window: a file that no choice concerns is a group of its own
+    alone = F.col("table").isNull() | F.col("site").isNull() | F.col("month").isNull() | F.col("_stamp").isNull()
+    w = Window.partitionBy("table", "site", "month", F.when(alone, F.col("path"))).orderBy(F.col("_stamp").desc())
+    return df.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk", "_stamp")
 
 
 def dedupe_file_versions(manifest: DataFrame) -> DataFrame:
@@ -396,7 +394,10 @@ def attach_variables_file(manifest: DataFrame) -> DataFrame:
         .drop("_n")
     )
     data = manifest.filter(~is_var)
-    return data.join(var, keys, "left")
+    # null keys match nothing, and would all meet in one task of the join
+    whole = F.col("release").isNotNull() & F.col("site").isNotNull() & F.col("month").isNotNull()
+    matched = data.filter(whole).join(var.dropna(subset=keys), keys, "left")
+    return matched.unionByName(data.filter(~whole), allowMissingColumns=True)
 
 
 def _stamp_ts(c: Column) -> Column:
@@ -410,9 +411,9 @@ def match_variables_by_publication(
     the nearest stamp (by full timestamp); equal gaps go to the earlier one,
     and of several variables files with one stamp the first path counts.
 
-    One sort per ``by`` group: variables rows are interleaved with data rows
-    and carried backwards/forwards with ``last``/``first(ignorenulls)``.
-    No cross join; data columns are kept.
+    Only distinct stamps of a ``by`` group are sorted together, never its
+    files: stamps of both sides are interleaved and the variables file is
+    carried backwards and forwards; the files then join their stamp.
     """
     by = list(by)
     stamp = N.publication_stamp(F.col("name"))
@@ -423,15 +424,15 @@ def match_variables_by_publication(
         .agg(F.min("_vp").alias("_vpath"))
         .withColumn("_is_data", F.lit(0))
     )
-    d = data.withColumn("_stamp", stamp).withColumn("_is_data", F.lit(1))
+    d = data.select(*by, stamp.alias("_stamp")).filter(F.col("_stamp").isNotNull()).distinct().withColumn("_is_data", F.lit(1))
     both = d.unionByName(v, allowMissingColumns=True)
     # Both directions use a growing frame (unbounded preceding .. current
     # row), which Spark evaluates in one pass; a frame running to unbounded
     # following would be recomputed per row (quadratic).
     var_row = F.when(F.col("_is_data") == 0, F.struct(F.col("_stamp").alias("s"), F.col("_vpath").alias("p")))
-    up = Window.partitionBy(*by).orderBy(F.col("_stamp").asc_nulls_last(), F.col("_is_data").asc()) \
+    up = Window.partitionBy(*by).orderBy(F.col("_stamp").asc(), F.col("_is_data").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(*by).orderBy(F.col("_stamp").desc_nulls_first(), F.col("_is_data").desc()) \
+    down = Window.partitionBy(*by).orderBy(F.col("_stamp").desc(), F.col("_is_data").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev_v = F.last(var_row, ignorenulls=True).over(up)
     next_v = F.last(var_row, ignorenulls=True).over(down)
@@ -440,11 +441,15 @@ def match_variables_by_publication(
     gap_prev = ts - F.unix_seconds(_stamp_ts(F.col("_prev.s")))
     gap_next = F.unix_seconds(_stamp_ts(F.col("_next.s"))) - ts
     pick_next = F.col("_prev").isNull() | (F.col("_next").isNotNull() & (gap_next < gap_prev))
-    chosen = F.when(F.col("_stamp").isNotNull(), F.when(pick_next, F.col("_next")).otherwise(F.col("_prev")))
-    return out.select(
-        *data.columns,
-        chosen["p"].alias("variables_path"),
-        chosen["s"].alias("variables_publication"),
+    chosen = F.when(pick_next, F.col("_next")).otherwise(F.col("_prev"))
+    matched = out.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_stamp").alias("_at"), chosen.alias("_chosen"))
+    same = (stamp == F.col("_at"))
+    for c in by:
+        same = same & data[c].eqNullSafe(F.col(f"_{c}"))
+    return data.join(matched, same, "left").select(
+        *[data[c] for c in data.columns],
+        F.col("_chosen.p").alias("variables_path"),
+        F.col("_chosen.s").alias("variables_publication"),
     )
 
 
@@ -514,21 +519,20 @@ def redirect_sites(requests: DataFrame, lookup: DataFrame, product: str, release
     the tower site, anything else maps to itself.  The moved-station rule:
     when the moved site is requested outside the listed releases and its old
     host isn't requested, its mapping is dropped and the old host is added.
-    The lookup is a small fixed table: broadcast.
     """
     req = requests.select(F.col(requests.columns[0]).alias("site")).distinct()
     lk = lookup.filter(F.col("product") == product).select("site", "towerSite")
     if release not in MOVED_SITE_RELEASES:
         # one scalar check row decides whether the moved-station rule applies
-        flags = req.join(F.broadcast(lk.select("site").distinct()), "site", "left_outer").agg(
+        flags = req.join(lk.select("site").distinct(), "site", "left_outer").agg(
             F.max((F.col("site") == MOVED_SITE).cast("int")).alias("has_moved"),
             F.max((F.col("site") == MOVED_FROM).cast("int")).alias("has_from"),
         ).collect()[0]
-        hits = req.join(F.broadcast(lk), "site", "left_semi").agg(F.count(F.lit(1))).collect()[0][0]
+        hits = req.join(lk, "site", "left_semi").agg(F.count(F.lit(1))).collect()[0][0]
         if hits and flags["has_moved"] == 1 and not flags["has_from"]:
             lk = lk.filter(F.col("site") != MOVED_SITE)
             req = req.unionByName(req.sparkSession.range(1).select(F.lit(MOVED_FROM).alias("site")))
-    out = req.join(F.broadcast(lk), "site", "left").select(
+    out = req.join(lk, "site", "left").select(
         F.col("site").alias("requested_site"),
         F.coalesce(F.col("towerSite"), F.col("site")).alias("site"),
     )
@@ -538,7 +542,7 @@ def redirect_sites(requests: DataFrame, lookup: DataFrame, product: str, release
 def redirect_flight_sites(requests: DataFrame, lookup: DataFrame) -> DataFrame:
     """Site -> flight site when listed in the (site, flightSite) lookup."""
     site_col = requests.columns[0]
-    lk = F.broadcast(lookup.select(F.col("site").alias("_s"), "flightSite"))
+    lk = lookup.select(F.col("site").alias("_s"), "flightSite")
     return requests.join(lk, F.col(site_col) == F.col("_s"), "left").select(
         *[F.col(c) for c in requests.columns],
         F.coalesce(F.col("flightSite"), F.col(site_col)).alias("flight_site"),
@@ -557,8 +561,8 @@ def resolve_bundles(products: DataFrame, chem_bundles: DataFrame, other_bundles:
     if release == "RELEASE-2021":
         other = other.limit(0)
     out = (
-        products.join(F.broadcast(chem), F.col(pcol) == F.col("_cp"), "left")
-        .join(F.broadcast(other), F.col(pcol) == F.col("_op"), "left")
+        products.join(chem, F.col(pcol) == F.col("_cp"), "left")
+        .join(other, F.col(pcol) == F.col("_op"), "left")
     )
     home = F.coalesce(F.col("_ch"), F.col("_oh"))
     return out.select(
@@ -623,7 +627,3 @@ def validate_product_id(manifest: DataFrame) -> str:
     if row["n_invalid"]:
         raise ValueError("malformed product id")
     return row["package"]
-
-
-def _as_list(x: str | Iterable[str]) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)

@@ -7,9 +7,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import names as N
 
@@ -40,11 +39,17 @@ def with_provenance(df: DataFrame, manifest: DataFrame | None = None, *, file_co
     out = df.withColumn("publicationDate", N.publication_stamp(N.basename(f)))
     if manifest is None:
         return out.withColumn("release", N.release_of(f))
-    rel = manifest.select(F.col("path").alias("_mpath"), F.col("release").alias("_mrel"))
-    joined = out.join(rel, N.basename(f) == N.basename(F.col("_mpath")), "left")
+    # by the whole path: one name may be published in several releases
+    rel = manifest.groupBy(plain_path(F.col("path")).alias("_mpath")).agg(F.max("release").alias("_mrel"))
+    joined = out.join(rel, plain_path(f) == F.col("_mpath"), "left")
     return joined.withColumn("release", F.col("_mrel")).drop("_mpath", "_mrel")
 
 
+def plain_path(path: Column) -> Column:
+    """A path without the ways to write a local scheme."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def with_position(df: DataFrame, table_type: str, *, has_position: bool, file_col: str = "file") -> DataFrame:
     """For non-lab tables without ``siteID``: ``domainID``, ``siteID``
     (and ``horizontalPosition``, ``verticalPosition`` when the files carry a
@@ -103,26 +108,21 @@ def dedupe_latest_by_id(df: DataFrame, *, id_col: str = "srfID", ts_col: str = "
     * an id whose stamps include a null keeps all its rows;
     * rows with a null id are kept.
 
-    Skew: the per-id choice is ``row_number``/``rank`` ``== 1``, which plans
-    a partial ``WindowGroupLimit`` before the shuffle, so a hot id is cut to
-    one row per map task first.  The null-stamp ids are found by an
-    aggregate (partial, map-side) and split off with semi/anti joins.
+    Skew: the greatest stamp and whether one is missing are a partial
+    aggregate by id; the rows meet it again in an ordinary join, whose hot ids
+    Spark splits, and only rows with the greatest stamp are ranked.  The
+    distinct rows are one exchange that all steps reuse.
     """
     uniq = df.dropDuplicates()
-    idc, ts = F.col(id_col), F.col(ts_col)
-    null_ids = uniq.filter(idc.isNotNull() & ts.isNull()).select(id_col).distinct()
-    no_id = uniq.filter(idc.isNull())
-    with_id = uniq.filter(idc.isNotNull())
-    keep_all = with_id.join(null_ids, id_col, "left_semi")
-    rest = with_id.join(null_ids, id_col, "left_anti")
-    if tiebreak is None:
-        order_tail = [F.xxhash64(*[F.col(c) for c in df.columns]).asc()]
-    else:
-        order_tail = [F.col(c).asc() for c in tiebreak]
-    w = Window.partitionBy(id_col).orderBy(ts.desc(), *([] if keep_ties else order_tail))
-    rank = F.rank() if keep_ties else F.row_number()
-    chosen = rest.withColumn("_rk", rank.over(w)).filter(F.col("_rk") == 1).drop("_rk")
-    return chosen.unionByName(keep_all).unionByName(no_id)
+    ts = F.col(ts_col)
+    known = uniq.filter(F.col(id_col).isNotNull())
+    flags = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(ts).alias("_latest"), F.bool_or(ts.isNull()).alias("_open"))
+    newest = known.join(flags, F.col(id_col) == F.col("_id")).filter(F.col("_open") | (ts == F.col("_latest")))
+    if not keep_ties:
+        tail = [F.xxhash64(*df.columns).asc()] if tiebreak is None else [F.col(c).asc() for c in tiebreak]
+        w = Window.partitionBy(id_col, F.when(F.col("_open"), F.struct(*df.columns))).orderBy(*tail)
+        newest = newest.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1")
+    return newest.select(*df.columns).unionByName(uniq.filter(F.col(id_col).isNull()))
 
 
 def write_stacked(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv", *,
@@ -144,8 +144,3 @@ def write_stacked(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv",
             raise ValueError(f"unknown format {fmt}")
         paths[name] = path
     return paths
-
-
-def text_columns(df: DataFrame) -> DataFrame:
-    """All columns as text (for sinks that need it)."""
-    return df.select(*[F.col(c).cast(T.StringType()).alias(c) for c in df.columns])

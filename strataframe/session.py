@@ -3,14 +3,17 @@ folders.
 
 Operators need the session time zone to be UTC (published stamps are UTC).
 Output and lineage cuts go to the folder the cluster names in
-``spark.checkpoint.dir``; only when it is unset (local tests) is a fresh
-local folder taken.
+``spark.checkpoint.dir``; only when it is unset and the master is local (tests)
+is a fresh local folder taken.  The package is shipped to the executors once, so
+that workers started elsewhere can import it.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,14 +43,36 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the operators rely on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     shared_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package's sources to the executors, once for an application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="strataframe-src-"), "strataframe_src.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for outputs and lineage cuts.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); when
-    neither is set (a local test) takes a fresh temp folder and sets it."""
+    neither is set, takes a fresh temp folder on a local master (a test) and
+    raises on any other."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -55,6 +80,8 @@ def shared_root(spark: SparkSession) -> str:
         if current:
             root = current.rsplit("/", 1)[0]
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="strataframe-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -105,7 +105,7 @@ def sensor_position_indices(positions: DataFrame, *, code: str = "HOR.VER", mont
     of the ``HOR.VER`` text.  The latest month is one aggregate, then a
     semi join (no window over a possibly hot single month)."""
     latest = positions.agg(F.max(month).alias(month))
-    rows = positions.join(F.broadcast(latest), month, "left_semi")
+    rows = positions.join(latest, month, "left_semi")
     text = F.col(f"`{code}`").cast("string")
     return rows.select(F.substring(text, 1, 3).alias("HOR"), F.substring(text, 5, 3).alias("VER")).distinct()
 
