@@ -1,13 +1,16 @@
-"""UTM <-> geographic coordinates as plain SQL expressions (Krüger series
-to third order in n, WGS84), so they run as codegen'd Catalyst
-expressions: ``F.expr(forward_sql(...))``.  The formulas are the published
-transverse-Mercator series; no UDF.
+"""UTM <-> geographic coordinates as column maths (Krüger series to third
+order in n, WGS84).  The formulas are the published transverse-Mercator series;
+no UDF.  Every intermediate value is a column of its own that the next step
+names, so the expressions stay short.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 # WGS84 ellipsoid and UTM constants.
 A_AXIS = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -24,40 +27,53 @@ _C = 2 * math.sqrt(_N) / (1 + _N)
 _KA = K0 * _A
 
 
-def _r(x: float) -> str:
-    return repr(float(x))
+def _staged(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
+    for step in steps:
+        df = df.withColumns(step)
+    return df
+
+
+def _meridian(zone: Column) -> Column:
+    return F.radians(zone * 6.0 - 183.0)
+
 
+def _series(base: Column, factors, first, second, x: Column, y: Column, sign: int) -> Column:
+    out = base
+    for j, f in enumerate(factors, 1):
+        out = out + sign * f * first(2 * j * x) * second(2 * j * y)
+    return out
 
-def central_meridian_sql(zone: str) -> str:
-    return f"radians(({zone}) * 6.0 - 183.0)"
 
+def inverse(df: DataFrame, easting: Column, northing: Column, zone: Column, lat: str, lon: str) -> DataFrame:
+    """``df`` plus latitude and longitude in degrees (northern hemisphere)."""
+    xi, eta, xp, ep, chi = (F.col(c) for c in ("_xi", "_eta", "_xp", "_ep", "_chi"))
+    out = _staged(df, [
+        {"_xi": northing / _KA, "_eta": (easting - FALSE_EASTING) / _KA},
+        {"_xp": _series(xi, _BETA, F.sin, F.cosh, xi, eta, -1), "_ep": _series(eta, _BETA, F.cos, F.sinh, xi, eta, -1)},
+        {"_chi": F.asin(F.sin(xp) / F.cosh(ep))},
+        {lat: F.degrees(chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate(_DELTA, 1)), F.lit(0.0))),
+         lon: F.degrees(_meridian(zone) + F.atan(F.sinh(ep) / F.cos(xp)))},
+    ])
+    return out.drop("_xi", "_eta", "_xp", "_ep", "_chi")
 
-def inverse_sql(easting: str, northing: str, zone: str, south: str = "false") -> tuple[str, str]:
-    """(lat, lon) in degrees from UTM (easting, northing, zone)."""
-    xi = f"((({northing}) - CASE WHEN {south} THEN {_r(FALSE_NORTHING_SOUTH)} ELSE 0.0 END) / {_r(_KA)})"
-    eta = f"((({easting}) - {_r(FALSE_EASTING)}) / {_r(_KA)})"
-    xi_p = xi + "".join(f" - {_r(b)} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, b in enumerate(_BETA, 1))
-    eta_p = eta + "".join(f" - {_r(b)} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, b in enumerate(_BETA, 1))
-    chi = f"asin(sin({xi_p}) / cosh({eta_p}))"
-    lat = f"degrees({chi}" + "".join(f" + {_r(d)} * sin({2 * j} * {chi})" for j, d in enumerate(_DELTA, 1)) + ")"
-    lon = f"degrees({central_meridian_sql(zone)} + atan(sinh({eta_p}) / cos({xi_p})))"
-    return lat, lon
 
+def forward(df: DataFrame, lat: Column, lon: Column, zone: Column, easting: str, northing: str) -> DataFrame:
+    """``df`` plus easting and northing in metres (northern hemisphere)."""
+    s, dl, t, xi, eta = (F.col(c) for c in ("_s", "_dl", "_t", "_xi", "_eta"))
+    out = _staged(df, [
+        {"_s": F.sin(F.radians(lat)), "_dl": F.radians(lon) - _meridian(zone)},
+        {"_t": F.sinh(F.atanh(s) - _C * F.atanh(_C * s))},
+        {"_xi": F.atan(t / F.cos(dl)), "_eta": F.atanh(F.sin(dl) / F.sqrt(1 + t * t))},
+        {easting: FALSE_EASTING + _KA * _series(eta, _ALPHA, F.cos, F.sinh, xi, eta, 1),
+         northing: _KA * _series(xi, _ALPHA, F.sin, F.cosh, xi, eta, 1)},
+    ])
+    return out.drop("_s", "_dl", "_t", "_xi", "_eta")
 
-def forward_sql(lat: str, lon: str, zone: str, south: str = "false") -> tuple[str, str]:
-    """(easting, northing) in metres from (lat, lon) degrees in ``zone``."""
-    phi = f"radians({lat})"
-    dl = f"(radians({lon}) - {central_meridian_sql(zone)})"
-    t = f"sinh(atanh(sin({phi})) - {_r(_C)} * atanh({_r(_C)} * sin({phi})))"
-    xi = f"atan({t} / cos({dl}))"
-    eta = f"atanh(sin({dl}) / sqrt(1 + ({t}) * ({t})))"
-    e = f"{_r(FALSE_EASTING)} + {_r(_KA)} * ({eta}" + "".join(
-        f" + {_r(a)} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, a in enumerate(_ALPHA, 1)) + ")"
-    n = f"CASE WHEN {south} THEN {_r(FALSE_NORTHING_SOUTH)} ELSE 0.0 END + {_r(_KA)} * ({xi}" + "".join(
-        f" + {_r(a)} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, a in enumerate(_ALPHA, 1)) + ")"
-    return e, n
 
+def reproject(df: DataFrame, from_zone, to_zone, x: str, y: str, easting: str, northing: str) -> DataFrame:
+    """UTM of one zone into another; zones are numbers or column names."""
+    def zone(z):
+        return F.col(z) if isinstance(z, str) else F.lit(int(z))
 
-def reproject_sql(easting: str, northing: str, from_zone: str, to_zone: str) -> tuple[str, str]:
-    lat, lon = inverse_sql(easting, northing, from_zone)
-    return forward_sql(f"({lat})", f"({lon})", to_zone)
+    placed = inverse(df, F.col(x), F.col(y), zone(from_zone), "_lat", "_lon")
+    return forward(placed, F.col("_lat"), F.col("_lon"), zone(to_zone), easting, northing).drop("_lat", "_lon")

@@ -11,12 +11,12 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
-from ..functions.types import STRING_TYPES, spark_type, geocsv_type
+from ..functions.types import STRING_TYPES, spark_type
 
 VARIABLE_COLUMNS = ("table", "fieldName", "description", "dataType", "units",
                     "downloadPkg", "pubFormat", "primaryKey", "categoricalCodeName")
@@ -142,18 +142,19 @@ def strict_cast_or_strings(df: DataFrame, schema: T.StructType) -> tuple[DataFra
     return apply_schema(df, schema), True
 
 
-def field_classes(variables: DataFrame) -> DataFrame:
+def field_classes(variables: DataFrame, table: str | None = None) -> DataFrame:
     """(fieldName, class) with ``numeric`` for real/integer types and
-    ``character`` for everything else (dates included)."""
+    ``character`` for everything else (dates included), of one ``table`` or of
+    all; a field that tables type differently is ``character``."""
+    if table is not None:
+        variables = variables.filter(F.col("table") == table)
     numeric = F.col("dataType").isin("real", "integer", "unsigned integer", "signed integer")
-    return variables.select(
-        "fieldName", F.when(numeric, "numeric").otherwise("character").alias("class")
-    ).dropDuplicates(["fieldName"])
+    return variables.groupBy("fieldName").agg(F.when(F.bool_and(F.coalesce(numeric, F.lit(False))), "numeric").otherwise("character").alias("class"))
 
 
-def cast_by_class(df: DataFrame, variables: DataFrame) -> DataFrame:
+def cast_by_class(df: DataFrame, variables: DataFrame, table: str | None = None) -> DataFrame:
     """Cast only the fields present: numeric to double, others to text."""
-    classes = {r["fieldName"]: r["class"] for r in field_classes(variables).collect()}
+    classes = {r["fieldName"]: r["class"] for r in field_classes(variables, table).collect()}
     return df.select(*[
         (F.trim(_null_tokens(F.col(c))).try_cast("double") if classes.get(c) == "numeric"
          else (_null_tokens(F.col(c)) if c in classes else F.col(c))).alias(c)
@@ -224,26 +225,28 @@ def extend_variables(variables: DataFrame, added_fields: DataFrame, *, with_posi
     ``added_fields`` is the user's helper table (fieldName, description,
     dataType, units, downloadPkg, pubFormat, primaryKey,
     categoricalCodeName); its position rows are the ones naming
-    ``POSITION_FIELDS``.  The table list is small: a broadcast cross join
-    with the handful of added rows."""
-    tables = variables.select("table").distinct()
-    added = added_fields.withColumn(
-        "_pos_rank",
-        F.when(F.col("fieldName").isin(*POSITION_FIELDS), F.lit(0)).otherwise(F.lit(2)),
-    )
-    if not with_position:
-        added = added.filter(F.col("_pos_rank") == 2)
-    order_in_added = F.monotonically_increasing_id()
-    added = added.withColumn("_sub", order_in_added)
-    extra = tables.crossJoin(F.broadcast(added))
-    base = variables.withColumn("_pos_rank", F.lit(1))
-    if "row_no" in variables.columns:
-        base = base.withColumn("_sub", F.col("row_no"))
-    else:
-        base = base.withColumn("_sub", F.monotonically_increasing_id())
+    ``POSITION_FIELDS``.  Every table gets the same few added rows, so they are
+    one array that each table's row explodes.  ``row_no`` gives the order."""
+    names = [c for c in added_fields.columns if c != "table"]
+    rows = added_fields.select(*names).collect()  # a handful
+    wanted = [r for r in rows if with_position or r["fieldName"] not in POSITION_FIELDS]
     cols = [c for c in variables.columns if c != "row_no"]
-    both = base.unionByName(extra, allowMissingColumns=True)
-    return both.select(*cols, "_pos_rank", "_sub")
+    own_order = F.col("row_no") if "row_no" in variables.columns else F.monotonically_increasing_id()
+    base = variables.select(*cols, F.struct(F.lit(1).alias("rank"), own_order.cast("long").alias("sub")).alias("_place"))
+    if wanted:
+        literals = [
+            F.struct(
+                F.lit(0 if r["fieldName"] in POSITION_FIELDS else 2).alias("_rank"), F.lit(i).cast("long").alias("_sub"),
+                *[F.lit(r[c]).cast("string").alias(c) for c in names if c in cols],
+            )
+            for i, r in enumerate(wanted)
+        ]
+        each = variables.select("table").distinct().select("table", F.explode(F.array(*literals)).alias("r"))
+        extra = each.select("table", *[F.col(f"r.{c}").alias(c) for c in names if c in cols],
+                            F.struct(F.col("r._rank").alias("rank"), F.col("r._sub").alias("sub")).alias("_place"))
+        base = base.unionByName(extra, allowMissingColumns=True)
+    order = Window.partitionBy("table").orderBy("_place.rank", "_place.sub")
+    return base.withColumn("row_no", F.row_number().over(order)).drop("_place")
 
 
 def patch_variables(variables: DataFrame, extra_rows: DataFrame, table: str, present: bool) -> DataFrame:
@@ -270,7 +273,9 @@ def geocsv_lines(df: DataFrame, variables: DataFrame) -> DataFrame:
     -> float, the rest string."""
     spark = df.sparkSession
     cols = spark.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "pos int, fieldName string")
-    v = variables.dropDuplicates(["fieldName"]).select("fieldName", "description", "units", "dataType")
+    # of a field that several tables have, the first table's row
+    picked = F.min_by(F.struct("description", "units", "dataType"), F.struct("table", "description"))
+    v = variables.groupBy("fieldName").agg(picked.alias("r")).select("fieldName", "r.*")
     gtype = (
         F.when(F.col("dataType").isin("unsigned integer", "signed integer", "integer"), "integer")
         .when(F.col("dataType") == "real", "float").otherwise("string")
@@ -289,4 +294,20 @@ def geocsv_lines(df: DataFrame, variables: DataFrame) -> DataFrame:
     )).alias("l")).select("l.*")
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["geocsv_type"]
+
+def unpivot_uris(tables: dict[str, DataFrame], variables: DataFrame) -> DataFrame:
+    """(table, fieldName, uri) of every distinct non-empty value of the
+    fields whose declared type is ``uri``.  Raises when no table has one."""
+    declared = variables.filter(F.col("dataType") == "uri").select("table", "fieldName").distinct().collect()
+    parts = []
+    for r in declared:
+        df = tables.get(r["table"])
+        if df is not None and r["fieldName"] in df.columns:
+            parts.append(df.select(F.lit(r["table"]).alias("table"), F.lit(r["fieldName"]).alias("fieldName"),
+                                   _null_tokens(F.col(r["fieldName"])).alias("uri")))
+    if not parts:
+        raise ValueError("no table has a field of type uri")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.filter(F.col("uri").isNotNull()).distinct()

@@ -34,7 +34,7 @@ def assign_tiles(points: DataFrame, buffer: float | None = None, *, x: str = "ea
         .withColumn("tile_easting", F.col("_tx") * TILE).withColumn("tile_northing", F.col("_ty") * TILE)
         .drop("_tx", "_ty")
     )
-    return out.dropDuplicates()
+    return out
 
 
 def tile_file_coordinates(manifest: DataFrame, name_col: str = "name") -> DataFrame:
@@ -68,24 +68,23 @@ def point_check(points: DataFrame, x: str = "easting", y: str = "northing") -> D
         F.count(F.lit(1)).cast("bigint").alias("n_points"),
         F.count_if((F.col(x).isNotNull() & xv.isNull()) | (F.col(y).isNotNull() & yv.isNull())).cast("bigint").alias("n_non_numeric"),
         F.count_if(xv.isNull() != yv.isNull()).cast("bigint").alias("n_one_sided"),
+        F.count_if(F.col(x).isNull() & F.col(y).isNull()).cast("bigint").alias("n_missing"),
     )
 
 
 def valid_points(points: DataFrame, x: str = "easting", y: str = "northing") -> DataFrame:
-    """Coordinates as doubles; raises on non-numeric or unpaired values."""
+    """Coordinates as doubles; raises on non-numeric, unpaired or missing
+    values."""
     row = point_check(points, x, y).collect()[0]
-    if row["n_non_numeric"] or row["n_one_sided"]:
-        raise ValueError("easting and northing must be numeric and given in pairs")
+    if row["n_non_numeric"] or row["n_one_sided"] or row["n_missing"]:
+        raise ValueError("every point needs a numeric easting and northing")
     return points.withColumn(x, F.col(x).cast("double")).withColumn(y, F.col(y).cast("double"))
 
 
 def reproject_utm(points: DataFrame, from_zone, to_zone, *, x: str = "easting", y: str = "northing") -> DataFrame:
     """UTM coordinates from one zone into another (zones may be columns
     or numbers), as codegen'd column maths."""
-    fz = from_zone if isinstance(from_zone, str) else str(int(from_zone))
-    tz = to_zone if isinstance(to_zone, str) else str(int(to_zone))
-    e, n = utm.reproject_sql(x, y, fz, tz)
-    return points.withColumn("easting_out", F.expr(e)).withColumn("northing_out", F.expr(n))
+    return utm.reproject(points, from_zone, to_zone, x, y, "easting_out", "northing_out")
 
 
 def site_zones(points: DataFrame, *, site: str = "siteID", zone: str = "zone", x: str = "easting") -> DataFrame:
@@ -99,8 +98,7 @@ def site_zones(points: DataFrame, *, site: str = "siteID", zone: str = "zone", x
 
 def lonlat_to_utm(points: DataFrame, *, lat: str = "lat", lon: str = "lon", zone: str = "zone") -> DataFrame:
     """Tower latitude/longitude to UTM easting/northing of its zone."""
-    e, n = utm.forward_sql(lat, lon, zone)
-    return points.withColumn("easting", F.expr(e)).withColumn("northing", F.expr(n))
+    return utm.forward(points, F.col(lat), F.col(lon), F.col(zone), "easting", "northing")
 
 
 def grid_mean(grid: DataFrame) -> DataFrame:
@@ -141,6 +139,13 @@ def grid_consistency(files: DataFrame) -> DataFrame:
     )
 
 
+def guard_one_site(files: DataFrame) -> DataFrame:
+    """Raise when the grids are of several sites; returns the input."""
+    if grid_consistency(files).first()["n_sites"] > 1:
+        raise ValueError("the grids are of more than one site")
+    return files
+
+
 def transpose_grid(grid: DataFrame) -> DataFrame:
     """Swap rows and columns."""
     return grid.withColumnRenamed("row", "_r").withColumnRenamed("col", "row").withColumnRenamed("_r", "col")

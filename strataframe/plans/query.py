@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators import manifest as M
 from ..sources import csv as C
-from ..operators import stack as ST
 
 
 def select_product_files(manifest: DataFrame, *, sites="all", start: str | None = None,
@@ -31,7 +30,7 @@ def select_product_files(manifest: DataFrame, *, sites="all", start: str | None
 
 
 def query_files(manifest: DataFrame, *, sites="all", start: str | None = None, end: str | None = None,
-                package: str = "basic", release: str = "current", include_provisional: bool = True,
+                package: str = "basic", release: str = "current", include_provisional: bool = False,
                 time_index=None, table: str | None = None, metadata: bool = True) -> dict:
     """Q5: surviving files (with their variables file, C17), the newest
     variables file, whether more than one variables version is present, and
@@ -51,13 +50,16 @@ def query_files(manifest: DataFrame, *, sites="all", start: str | None = None, e
 
 def dataset_query(spark: SparkSession, manifest: DataFrame, *, table: str, sites="all",
                   start: str | None = None, end: str | None = None, package: str = "basic",
-                  release: str = "current", include_provisional: bool = True,
+                  release: str = "current", include_provisional: bool = False,
                   hor: str | None = None, ver: str | None = None) -> DataFrame:
     """Q1: a lazy, uncollected scan of one table's current files with a
-    ``file`` column; the caller goes on with DataFrame or SQL verbs and
-    Catalyst pushes its predicates into the scan."""
+    ``file`` column, for the caller's DataFrame or SQL verbs.  Sensor tables
+    need one site and one position."""
     if not table:
         raise ValueError("a table name is required")
+    sensor = manifest.filter(F.col("table") == table).agg(F.bool_or(F.col("hor").isNotNull())).first()[0]
+    if sensor and (isinstance(sites, DataFrame) or sites == "all" or (not isinstance(sites, str) and len(list(sites)) != 1) or hor is None or ver is None):
+        raise ValueError("a sensor table is queried for one site and one position: give sites, hor and ver")
     man = select_product_files(manifest, sites=sites, start=start, end=end, package=package,
                                release=release, include_provisional=include_provisional,
                                table=table, metadata=False)
@@ -80,5 +82,3 @@ def latest_event_site(df: DataFrame, *, site_col: str = "siteID", date_col: str
         F.max_by(F.struct(F.col(site_col).alias("site"), d.alias("d")), F.struct(d, F.col(site_col))).alias("r")
     ).select(F.col("r.site").alias("site"), F.substring(F.col("r.d").cast("string"), 1, 7).alias("month"))
 
-
-__all__ = ["select_product_files", "query_files", "dataset_query", "events_by_type", "latest_event_site", "ST"]

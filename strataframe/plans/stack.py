@@ -24,12 +24,42 @@ def read_variables(spark: SparkSession, files: DataFrame) -> DataFrame | None:
     newest = M.latest_publication(var, []).select("path").collect()
     if not newest:
         return None
-    path = newest[0]["path"]
-    header = C.read_header(path)
-    df = C.read_csv_group(spark, [path], header)
+    return read_versions(spark, newest[0]["path"])
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """One variables file as strings, its row order in ``row_no``: a file has a
+    row for each published field."""
+    df = C.read_csv_group(spark, [path], C.read_header(path))
     return df.withColumn("row_no", F.monotonically_increasing_id()).drop("file")
 
 
+def variables_versions(spark: SparkSession, manifest: DataFrame) -> dict[str, DataFrame]:
+    """T5: the distinct variables files of ``manifest`` by content digest (or
+    path, where the manifest has none); of equal ones the newest is read."""
+    var = manifest.filter(F.col("name").contains(".variables."))
+    order = F.struct(F.coalesce("publication", F.lit("")), "path")
+    chosen = var.groupBy(F.coalesce("md5", "path").alias("version")).agg(F.max_by("path", order).alias("path"))
+    return {r["version"]: read_versions(spark, r["path"]) for r in chosen.orderBy("version").collect()}
+
+
+def stack_versions(spark: SparkSession, manifest: DataFrame, table: str, *, package: str = "basic") -> DataFrame | None:
+    """T5 + T14: each file of a table typed by the variables file published with
+    it (C18), the versions unioned by name; a field that two versions type
+    differently becomes text."""
+    files = M.select_files_by_type(manifest.filter(F.col("table") == table))
+    var = manifest.filter(F.col("name").contains(".variables."))
+    matched = M.match_variables_by_publication(files, var)
+    parts = []
+    versions = sorted(r[0] for r in matched.select("variables_path").distinct().collect() if r[0] is not None)
+    for path in versions:
+        part = stack_table(spark, matched.filter(F.col("variables_path") == path).drop("variables_path", "variables_publication"), table,
+                           variables=read_versions(spark, path), package=package)
+        if part is not None:
+            parts.append(part)
+    return ST.union_evolving(parts) if parts else None
+
+
 def stack_table(spark: SparkSession, manifest: DataFrame, table: str, *,
                 variables: DataFrame | None = None, package: str = "basic",
                 sort: bool = False, strict: bool = True) -> DataFrame | None:
@@ -44,7 +74,7 @@ def stack_table(spark: SparkSession, manifest: DataFrame, table: str, *,
     if not info["types"]:
         return None
     if len(info["types"]) > 1:
-        raise ValueError(f"table {table} is published under conflicting schedules")
+        raise ValueError(f"files of {table} are of several kinds: {info['types']}")
     ttype = info["types"][0]
     chosen = M.select_files_by_type(files)
     raw = C.scan_csv(spark, chosen)
@@ -61,8 +91,10 @@ def stack_table(spark: SparkSession, manifest: DataFrame, table: str, *,
             raw, _ = S.strict_cast_or_strings(raw, schema)
         else:
             raw = S.apply_schema(raw, schema)
-        ordered = [f.name for f in schema.fields] + [c for c in raw.columns if c not in {f.name for f in schema.fields}]
-        raw = raw.select(*ordered)
+        named = {f.name for f in schema.fields}
+        # a basic table has the basic fields only; an expanded one shows all
+        extra = [] if package == "basic" else [c for c in raw.columns if c not in named and c != "file"]
+        raw = raw.select(*[f.name for f in schema.fields], *extra, "file")
     out = ST.with_provenance(raw)
     out = ST.with_position(out, ttype, has_position=bool(info["has_pos"]))
     if sort:
@@ -76,62 +108,94 @@ def table_key(table: str, variables_md5: str | None = None) -> str:
 
 
 def stack_product(spark: SparkSession, source, *, package: str = "basic", sort: bool = False,
-                  strict: bool = True, product_code: str | None = None) -> dict[str, DataFrame]:
-    """Every table of a product folder (or manifest) plus the newest
-    variables table; keys sorted.  Tables stay lazy."""
+                  strict: bool = True, product_code: str | None = None, tables=None,
+                  added_fields: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
+    """The tables of a product folder (or manifest), all or those of
+    ``tables``, and its metadata: the newest variables file, with the rows of
+    ``added_fields`` put around each table's own (S10), validation and
+    categorical codes where the folder has them.  Keys sorted.  Tables stay lazy.
+
+    With ``check``, a folder of several products or releases raises (C35, T11)."""
     manifest = scan_manifest(spark, source) if isinstance(source, str) else source
     types = M.table_types(manifest)
     names = sorted(r["table"] for r in types.select("table").collect())
+    wanted = names if tables is None else [t for t in names if t in set(tables)]
     variables = read_variables(spark, manifest)
-    code = product_code or ""
-    if not code:
-        prod = manifest.select("product").filter(F.col("product").isNotNull()).distinct().collect()
-        code = prod[0]["product"].split(".")[1] if len(prod) == 1 else ""
+    products = [r["product"] for r in manifest.select("product").filter(F.col("product").isNotNull()).distinct().limit(2).collect()]
+    if check:
+        if len(products) > 1:
+            raise ValueError("the folder holds more than one product; stack them one by one")
+        ST.guard_single_release(manifest.filter(F.col("table").isNotNull()))
+    code = product_code or (products[0].split(".")[1] if len(products) == 1 else "")
     out: dict[str, DataFrame] = {}
-    for t in names:
+    for t in wanted:
         df = stack_table(spark, manifest, t, variables=variables, package=package, sort=sort, strict=strict)
         if df is None:
             continue
         key = f"{t}_{code}" if t in ("science_review_flags", "sensor_positions") and code else table_key(t)
         out[key] = df
+    suffix = f"_{code}" if code else ""
     if variables is not None:
-        out[f"variables_{code}" if code else "variables"] = variables.drop("row_no")
+        if added_fields is not None:
+            positioned = any("horizontalPosition" in df.columns for df in out.values())
+            variables = S.extend_variables(variables, added_fields, with_position=positioned)
+        out[f"variables{suffix}"] = variables.drop("row_no")
+    for kind in ("validation", "categoricalCodes"):
+        newest = M.latest_publication(manifest.filter(F.col("name").contains(f".{kind}."))).select("path").collect()
+        if newest:
+            out[f"{kind}{suffix}"] = read_versions(spark, newest[0]["path"]).drop("row_no")
     return dict(sorted(out.items()))
 
 
 def stack_store(spark: SparkSession, root: str, *, pubdate: str | None = None, package: str = "basic",
-                start: str | None = None, end: str | None = None, sites="all",
-                time_index=None, sort: bool = False) -> dict[str, DataFrame]:
-    """The store as of ``pubdate`` (C15), filtered by site, month and
-    averaging interval (C6, C7, C10), then stacked (T15)."""
+                start: str | None = None, end: str | None = None, sites="all", time_index=None, sort: bool = False,
+                release: str = "current", include_provisional: bool = False, tables=None) -> dict[str, DataFrame]:
+    """The store as of ``pubdate`` (C15), filtered by site, month, release,
+    package and averaging interval (C6-C10), then stacked (T15).  Raises when no
+    variables file is as old as ``pubdate``."""
     man = scan_manifest(spark, root)
     man = M.filter_sites(man, sites)
     man = M.filter_months(man, start, end)
+    man = M.filter_release(man, release, include_provisional)
     man = M.filter_time_index(man, time_index)
-    man = M.as_of_publication(man, pubdate)
-    return stack_product(spark, man, package=package, sort=sort)
+    man = package_files(man, package)
+    man = M.as_of_publication(man, pubdate, check=True)
+    return stack_product(spark, man, package=package, sort=sort, tables=tables, check=False)
+
+
+def package_files(manifest: DataFrame, package: str) -> DataFrame:
+    """C9 on the data files: of a site-month (or a table without month) published
+    in both packages one counts.  Metadata files stay."""
+    data = F.col("table").isNotNull()
+    return M.filter_package(manifest.filter(data), package).unionByName(manifest.filter(~data))
 
 
 def load_table(spark: SparkSession, root: str, table: str, *, sites="all", start: str | None = None,
                end: str | None = None, package: str = "basic", release: str = "current",
-               include_provisional: bool = True, time_index=None) -> DataFrame | None:
-    """Select files (C6-C11) and stack one table."""
+               include_provisional: bool = False, time_index=None) -> DataFrame | None:
+    """Select files (C6-C11) and stack one table.  A table that the asked
+    package doesn't have raises (C19, C20)."""
     man = scan_manifest(spark, root)
     man = M.filter_sites(man, sites)
     man = M.filter_months(man, start, end)
     man = M.filter_release(man, release, include_provisional)
     man = M.filter_time_index(man, time_index)
+    man = package_files(man, package)
     man = M.as_of_publication(man, None)
     variables = read_variables(spark, man)
+    if variables is not None and package == "basic":
+        status = M.table_package_status(variables).filter(F.col("table") == table).select("package_status").first()
+        if status is not None and status[0] == "expanded":
+            raise ValueError(f"{table} is only in the expanded package")
     return stack_table(spark, man, table, variables=variables, package=package)
 
 
 def stack_frame_files(spark: SparkSession, files: DataFrame, frame_variables: DataFrame | None,
-                      module: str) -> DataFrame | None:
-    """Per-sample files (names not starting with ``NEON.``) of one
-    module: typed by the module's frame variables, else ``module2``'s, else
+                      module: str, *, product_prefix: str | None = None) -> DataFrame | None:
+    """Per-sample files of one module (with ``product_prefix``, those whose
+    names don't start with it): typed by the module's frame variables, else ``module2``'s, else
     inferred; all text when a cast fails."""
-    per_sample = files.filter(~F.col("name").startswith("NEON."))
+    per_sample = files if product_prefix is None else files.filter(~F.col("name").startswith(product_prefix))
     raw = C.scan_csv(spark, per_sample)
     if raw is None:
         return None

@@ -1,16 +1,17 @@
 """CSV scans of published files whose columns drift over time.
 
-Spark's CSV reader maps columns by *position* (with or without a schema), so
-files with different headers must not share one read.  The scan therefore
-
-1. probes the header line of every file — one small read per file, run on
-   the executors (``mapInPandas`` over the file list), never a full pass;
-2. groups files by identical header (a handful of distinct headers; only
-   those and the file lists reach the driver);
-3. reads each group with an all-string schema in that header's order, and
-4. unions the groups **by name**, missing columns null.
-
-Types are applied afterwards by name (``operators.schema``).
+Spark's CSV reader maps columns by *position*, for all files of a read alike,
+and wants the list of files on the driver.  Published files of one table differ
+in which columns they have and in what order, so the scan is by name instead:
+
+1. the header line of every file is read on the executors, and the distinct
+   headers (a handful, however many files there are) give the columns;
+2. the files themselves are dealt to tasks by size and streamed there as Arrow
+   batches of text, each file's columns by its own header, missing ones null.
+
+The list of files stays a DataFrame throughout.  A file that can't be read or
+decoded, and a row with more or fewer cells than its header, fail the scan with
+the file's path.  Types are applied afterwards by name (``operators.schema``).
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import csv as pacsv
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +35,10 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "nullValue": NULL_TOKEN,
-    "mode": "PERMISSIVE",
+    "mode": "FAILFAST",
 }
+#: Bytes of files that one task reads.
+TASK_BYTES = 64 << 20
 
 
 def _local_path(path: str) -> str | None:
@@ -46,24 +51,21 @@ def _local_path(path: str) -> str | None:
     return None
 
 
-def open_text(path: str):
-    """Open any Hadoop-style path for reading text (local, HDFS, S3)."""
+def open_binary(path: str):
+    """Open any Hadoop-style path for reading (local, HDFS, S3)."""
     local = _local_path(path)
     if local is not None:
-        return open(local, encoding="utf-8", newline="")
+        return open(local, "rb")
     from pyarrow import fs as pafs
 
-    uri = path.replace("s3a://", "s3://", 1)
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
-    return io.TextIOWrapper(filesystem.open_input_stream(inner), encoding="utf-8", newline="")
+    filesystem, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return filesystem.open_input_stream(inner)
 
 
 def read_header(path: str) -> list[str]:
-    with open_text(path) as fh:
-        first = fh.readline()
-    if not first:
-        return []
-    return next(csv.reader([first]))
+    """The names in a file's first record; none for an empty file."""
+    with io.TextIOWrapper(open_binary(path), encoding="utf-8-sig", newline="") as fh:
+        return next(csv.reader(fh), [])
 
 
 def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,20 +74,24 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in pdf["path"]:
             try:
                 headers.append(read_header(p))
-            except (OSError, UnicodeDecodeError, StopIteration):
-                headers.append(None)
+            except (OSError, UnicodeDecodeError, csv.Error) as e:
+                raise ValueError(f"the header of {p} can't be read: {e}") from e
         yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
 
+def _dealt(files: DataFrame) -> DataFrame:
+    """Distinct paths, dealt to tasks of about ``TASK_BYTES``."""
+    size = F.max("size") if "size" in files.columns else F.lit(None)
+    paths = files.groupBy(F.col("path").cast("string").alias("path")).agg(F.coalesce(size.cast("long"), F.lit(1 << 20)).alias("_size"))
+    total = paths.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    tasks = max(1, min(total[1], max(paths.sparkSession.sparkContext.defaultParallelism, (total[0] or 0) // TASK_BYTES + 1)))
+    return paths.repartition(tasks, "path").select("path")
+
+
 def probe_headers(files: DataFrame) -> DataFrame:
-    """(path, header array<string>) for each file of ``files``; null when the
-    file can't be read.  One first-line read per file, on the executors."""
-    paths = files.select(F.col("path").cast("string").alias("path")).distinct()
-    schema = T.StructType([
-        T.StructField("path", T.StringType()),
-        T.StructField("header", T.ArrayType(T.StringType())),
-    ])
-    return paths.mapInPandas(_probe, schema)
+    """(path, header array<string>) for each file of ``files``.  One first-line
+    read per file, on the executors; an unreadable file fails."""
+    return _dealt(files).mapInPandas(_probe, "path string, header array<string>")
 
 
 def string_schema(names: Sequence[str]) -> T.StructType:
@@ -112,43 +118,85 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def header_groups(files: DataFrame) -> list[tuple[tuple[str, ...], list[str]]]:
-    """Distinct headers and their files (collected: headers and paths only)."""
+def distinct_headers(files: DataFrame) -> list[tuple[str, ...]]:
+    """The distinct headers of ``files``, in the order of the first (smallest)
+    path that has each.  One row per header reaches the driver."""
     probed = probe_headers(files).filter(F.size("header") > 0)
-    grouped = probed.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    out = [(tuple(r["header"]), list(r["paths"])) for r in grouped.collect()]
-    return sorted(out)
+    first = probed.groupBy("header").agg(F.min("path").alias("first_path"))
+    return [tuple(r["header"]) for r in first.orderBy("first_path").collect()]
 
 
-def scan_csv(spark: SparkSession, files: DataFrame, **options) -> DataFrame:
-    """Scan the files of ``files`` (a manifest or any frame with ``path``)
-    as strings, grouped by header, unioned by name, with the ``file``
-    column.  Returns None when no file has a header."""
-    groups = header_groups(files)
-    if not groups:
+def superset_header(spark: SparkSession, files: DataFrame) -> list[str]:
+    """Ordered union of header names over files, by first appearance in the
+    sorted file order."""
+    return list(dict.fromkeys(h for header in distinct_headers(files) for h in header))
+
+
+def _stream(columns: Sequence[str]):
+    """Reads the files of a task as batches of text columns and ``file``."""
+    schema = pa.schema([(c, pa.string()) for c in [*columns, "file"]])
+
+    def batches_of(path: str) -> Iterator[pa.RecordBatch]:
+        header = read_header(path)
+        if not header:
+            return
+        with open_binary(path) as fh:
+            reader = pacsv.open_csv(
+                fh,
+                read_options=pacsv.ReadOptions(use_threads=False),
+                parse_options=pacsv.ParseOptions(newlines_in_values=True),
+                convert_options=pacsv.ConvertOptions(
+                    column_types={h: pa.string() for h in header}, null_values=[NULL_TOKEN, ""], strings_can_be_null=True
+                ),
+            )
+            for batch in reader:
+                given = dict(zip(batch.schema.names, batch.columns))
+                empty = pa.nulls(batch.num_rows, pa.string())
+                cells = [given.get(c, empty) for c in columns]
+                yield pa.RecordBatch.from_arrays([*cells, pa.array([path] * batch.num_rows, pa.string())], schema=schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for paths in batches:
+            for path in paths.column("path").to_pylist():
+                try:
+                    yield from batches_of(path)
+                except (OSError, UnicodeDecodeError, csv.Error, pa.ArrowInvalid) as e:
+                    raise ValueError(f"{path} can't be read as CSV: {e}") from e
+
+    return read
+
+
+def scan_csv(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """Scan the files of ``files`` (a manifest or any frame with ``path``
+    and perhaps ``size``) as strings by name, with the ``file`` column (T6).
+    Empty files have no rows.  Returns None when no file has a header."""
+    columns = superset_header(spark, files)
+    if not columns:
         return None
-    frames = [read_csv_group(spark, paths, header, **options) for header, paths in groups]
-    return union_by_name(frames)
+    return _dealt(files).mapInArrow(_stream(columns), string_schema([*columns, "file"]))
 
 
-def superset_header(spark: SparkSession, files: DataFrame) -> list[str]:
-    """Ordered union of header names over files (first appearance in the
-    sorted file order)."""
-    seen: list[str] = []
-    for header, _ in header_groups(files):
-        for h in header:
-            if h not in seen:
-                seen.append(h)
-    return seen
-
-
-def scan_csv_inferred(spark: SparkSession, files: DataFrame, **options) -> DataFrame:
-    """T4: per header group ``inferSchema``, then a type-reconciling union."""
-    from ..operators.stack import union_evolving
-
-    groups = header_groups(files)
-    frames = []
-    for header, paths in groups:
-        opts = {**CSV_OPTIONS, "inferSchema": "true", **options}
-        frames.append(with_file(spark.read.options(**opts).csv(list(paths))))
-    return union_evolving(frames) if frames else None
+def _fits(c: Column) -> Column:
+    """1 whole numbers, 2 numbers, 3 timestamps, 4 text: the narrowest type
+    that reads a cell (null: any)."""
+    return (
+        F.when(c.isNull(), F.lit(0)).when(c.try_cast("long").isNotNull(), 1).when(c.try_cast("double").isNotNull(), 2)
+        .when(c.try_cast("timestamp").isNotNull(), 3).otherwise(4)
+    )
+
+
+def scan_csv_inferred(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """T4: the scan with the narrowest type that reads all cells of a column:
+    long, double, timestamp, else text (also where numbers and times mix).  One
+    aggregate over the scan decides."""
+    raw = scan_csv(spark, files)
+    if raw is None:
+        return None
+    names = [c for c in raw.columns if c != "file"]
+    seen = raw.agg(*[F.collect_set(_fits(F.col(f"`{c}`"))).alias(str(i)) for i, c in enumerate(names)]).first()
+    out = []
+    for i, c in enumerate(names):
+        kinds = set(seen[i]) - {0}
+        kind = "long" if kinds == {1} else "double" if kinds and kinds <= {1, 2} else "timestamp" if kinds == {3} else "string"
+        out.append(F.col(f"`{c}`").cast(kind).alias(c))
+    return raw.select(*out, "file")

@@ -32,6 +32,7 @@ def load_all() -> None:
     from . import (  # noqa: F401
         catalog_suite,
         manifest_suite,
+        metadata_suite,
         schema_suite,
         series_suite,
         spatial_suite,

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import utm
 from ..operators import spatial as G
+from . import utm_sql
 from .registry import register
 from .shapes import shape
 
@@ -54,8 +54,7 @@ x AS (SELECT id, easting, northing, zone, unnest(range(cast(floor((easting - 600
                                         cast(floor((easting + 600) / 1000) AS bigint) + 1)) AS tx FROM p),
 y AS (SELECT id, easting, northing, zone, tx, unnest(range(cast(floor((northing - 600) / 1000) AS bigint),
                                   cast(floor((northing + 600) / 1000) AS bigint) + 1)) AS ty FROM x)
-SELECT id, tile_easting, tile_northing FROM (
-  SELECT DISTINCT id, easting, northing, zone, tx * 1000 AS tile_easting, ty * 1000 AS tile_northing FROM y) d
+SELECT id, tx * 1000 AS tile_easting, ty * 1000 AS tile_northing FROM y
 """)
 def q_assign_tiles_buffer(spark, sf_dir):
     return G.assign_tiles(points(spark, sf_dir), buffer=600).select("id", "tile_easting", "tile_northing")
@@ -101,14 +100,14 @@ def q_unmatched_tiles(spark, sf_dir):
 
 @register("valid_points", f"""
 SELECT cast(count(*) AS bigint) AS n_points, cast(0 AS bigint) AS n_non_numeric,
-       cast(0 AS bigint) AS n_one_sided FROM ({POINTS_SQL}) p
+       cast(0 AS bigint) AS n_one_sided, cast(0 AS bigint) AS n_missing FROM ({POINTS_SQL}) p
 """)
 def q_valid_points(spark, sf_dir):
     return G.point_check(G.valid_points(points(spark, sf_dir)))
 
 
 def _reproject_oracle() -> str:
-    e, n = utm.reproject_sql("easting", "northing", "zone", "18")
+    e, n = utm_sql.reproject_sql("easting", "northing", "zone", "18")
     return f"SELECT id, round({e}, 3) AS easting_out, round({n}, 3) AS northing_out FROM ({POINTS_SQL}) p"
 
 

@@ -12,7 +12,7 @@ from ..operators import manifest as M
 from ..operators import schema as S
 from ..operators import stack as ST
 from ..plans import query as Q
-from ..plans.stack import load_table, read_variables, stack_product, stack_store
+from ..plans.stack import load_table, read_variables, stack_frame_files, stack_product, stack_store, stack_versions
 from ..session import scratch_path
 from ..sources import csv as C
 from ..sources.listing import list_data_files, scan_manifest
@@ -103,11 +103,25 @@ def q_guard_single_release(spark, sf_dir):
 
 
 @register("stack_product", f"""
-SELECT {SITE_EXPR} AS siteID, c_custkey, c_acctbal, c_mktsegment FROM customer
+SELECT 'ord_customers' AS table_name, {SITE_EXPR} AS siteID, c_custkey AS id, c_acctbal AS value FROM customer
+UNION ALL
+SELECT 'ord_orders', {SITE_EXPR}, o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL
+SELECT 'variables_00001', NULL, 11, NULL WHERE (SELECT count(*) FROM orders) > 0
 """)
 def q_stack_product(spark, sf_dir):
-    tables = stack_product(spark, scan_manifest(spark, store_for(spark, sf_dir)))
-    return tables["ord_customers"].select("siteID", "c_custkey", "c_acctbal", "c_mktsegment")
+    current = M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None)
+    tables = stack_product(spark, current)
+    parts = [
+        df.select(F.lit(name).alias("table_name"), "siteID", F.col(key).cast("bigint").alias("id"), F.col(value).cast("double").alias("value"))
+        for name, key, value in (("ord_customers", "c_custkey", "c_acctbal"), ("ord_orders", "o_orderkey", "o_totalprice"))
+        for df in [tables[name]]
+    ]
+    rest = {k: df for k, df in tables.items() if k not in ("ord_customers", "ord_orders")}
+    for name, df in rest.items():
+        parts.append(df.agg(F.lit(name).alias("table_name"), F.lit(None).cast("string").alias("siteID"),
+                            F.count(F.lit(1)).cast("bigint").alias("id"), F.lit(None).cast("double").alias("value")))
+    return ST.union_evolving(parts)
 
 
 _ASOF = "20230630"
@@ -222,13 +236,84 @@ def q_query_files(spark, sf_dir):
     return data.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
 
 
+# Provisional files stay out: their months fall back to the release before.
 @register("dataset_query", f"""
-SELECT o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE {SITE_EXPR} = 'ST01' AND o_orderstatus = 'F'
+SELECT o_orderkey, o_totalprice + CASE WHEN year(o_orderdate) >= 2000 THEN 1000 ELSE 0 END AS o_totalprice
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE {SITE_EXPR} = 'ST01' AND o_orderstatus = 'F' AND (year(o_orderdate) < 2000 OR month(o_orderdate) % 2 = 0)
 """)
 def q_dataset_query(spark, sf_dir):
     df = Q.dataset_query(spark, scan_manifest(spark, store_for(spark, sf_dir)), table="ord_orders",
                          sites=["ST01"], package="expanded")
-    return Q.events_by_type(df.withColumnRenamed("o_orderstatus", "eventType"), "F") \
+    return df.filter(F.col("o_orderstatus") == "F") \
         .select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
                 F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
+@register("events_by_type", "SELECT event_id FROM events WHERE event_type = 'click'")
+def q_events_by_type(spark, sf_dir):
+    return Q.events_by_type(shape(spark, sf_dir, "SELECT * FROM events"), "click", "event_type").select("event_id")
+
+
+@register("latest_event_site", """
+SELECT 'ST' || cast(user_id % 7 AS varchar) AS site, strftime(ts, '%Y-%m') AS month FROM events
+ORDER BY ts DESC, 'ST' || cast(user_id % 7 AS varchar) DESC LIMIT 1
+""")
+def q_latest_event_site(spark, sf_dir):
+    rows = shape(spark, sf_dir, "SELECT 'ST' || cast(user_id % 7 AS string) AS siteID, ts AS endDate FROM events")
+    return Q.latest_event_site(rows)
+
+
+@register("select_product_files", f"""
+SELECT 'ord_orders' AS table_name, cast(count(*) AS bigint) AS n_files FROM (
+  SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders JOIN customer ON o_custkey = c_custkey
+  WHERE {SITE_EXPR} = 'ST00' AND year(o_orderdate) = 1996) t, (VALUES (1), (2)) v(n) WHERE n = 1 OR m % 2 = 0
+""")
+def q_select_product_files(spark, sf_dir):
+    man = Q.select_product_files(scan_manifest(spark, store_for(spark, sf_dir)), sites=["ST00"], start="1996-01", end="1996-12",
+                                 table="ord_orders", metadata=False)
+    return man.groupBy(F.col("table").alias("table_name")).agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+
+
+@register("scan_csv_inferred", """
+SELECT c_custkey, c_acctbal, c_name FROM customer UNION ALL SELECT c_custkey, c_acctbal + 500, c_name FROM customer
+""")
+def q_scan_csv_inferred(spark, sf_dir):
+    man = scan_manifest(spark, store_for(spark, sf_dir)).filter(F.col("table") == "ord_customers")
+    return C.scan_csv_inferred(spark, man).select("c_custkey", "c_acctbal", "c_name")
+
+
+@register("read_versions", STACKED_ORDERS_ORACLE)
+def q_read_versions(spark, sf_dir):
+    current = M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None)
+    newest = current.filter(F.col("name").contains(".variables.")).agg(F.max("path")).first()[0]
+    # one version of the variables for all, so that one plan types the table
+    man = current.filter(~F.col("name").contains(".variables.") | (F.col("path") == newest))
+    return _orders_view(stack_versions(spark, man, "ord_orders", package="expanded"))
+
+
+@register("stack_frame_files", """
+SELECT c_custkey, c_acctbal, c_mktsegment FROM customer UNION ALL SELECT c_custkey, c_acctbal + 500, c_mktsegment FROM customer
+""")
+def q_stack_frame_files(spark, sf_dir):
+    man = scan_manifest(spark, store_for(spark, sf_dir))
+    files = man.filter(F.col("table") == "ord_customers")
+    variables = read_variables(spark, M.as_of_publication(man, None))
+    frames = variables.filter(F.col("table") == "ord_customers").withColumn("table", F.lit("module2"))
+    return stack_frame_files(spark, files, frames, "module").select("c_custkey", "c_acctbal", "c_mktsegment")
+
+
+@register("order_stacked", f"""
+SELECT siteID, cast(row_number() OVER (ORDER BY siteID) AS bigint) AS position, n_rows FROM (
+  SELECT {SITE_EXPR} AS siteID, cast(count(*) AS bigint) AS n_rows FROM customer GROUP BY 1) t
+""")
+def q_order_stacked(spark, sf_dir):
+    from pyspark.sql import Window
+
+    rows = shape(spark, sf_dir, f"SELECT 'D0' || substr({SITE_EXPR}, 4, 1) AS domainID, {SITE_EXPR} AS siteID FROM customer")
+    ordered = ST.order_stacked(rows).withColumn("at", F.monotonically_increasing_id())
+    runs = ordered.groupBy("siteID").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+    # in order: each site's run ends before the next begins
+    w = Window.orderBy("last")
+    return runs.withColumn("position", F.row_number().over(w).cast("bigint")).withColumn("_before", F.lag("last").over(w)) \
+        .filter(F.col("_before").isNull() | (F.col("first") > F.col("_before"))).select("siteID", "position", "n_rows")
