@@ -88,10 +88,8 @@ def filter_series(df: DataFrame, level: str, var: Sequence[str] | None = None, a
             )
             out = df.join(named, F.col("file").eqNullSafe(F.col("_file")))
             nothing = F.raise_error(F.concat(F.lit(f"no dataset matches {list(var)} in "), F.coalesce("file", F.lit("a file without a name"))))
-            cond = cond & (
-                F.when(F.col("_sys") & F.col("_name"), in_sys & in_name)
-                .when(F.col("_sys"), in_sys).when(F.col("_name"), in_name).otherwise(nothing.cast("boolean"))
-            )
+            match = F.when(F.col("_sys") & F.col("_name"), in_sys & in_name).when(F.col("_sys"), in_sys).otherwise(in_name)
+            cond = F.when(F.col("_sys") | F.col("_name"), cond & match).otherwise(nothing.cast("boolean"))
     return out.filter(cond).select(*df.columns)
 
 

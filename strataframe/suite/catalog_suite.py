@@ -10,7 +10,7 @@ from ..sources import catalog as K
 from .registry import register
 from .shapes import shape
 
-_PRODUCT = "'DP1.' || lpad(cast(10000 + user_id % 20 AS {t}), 5, '0') || '.001'"
+_PRODUCT = "'DP1.' || lpad(cast(10000 + user_id % 90000 AS {t}), 5, '0') || '.001'"
 _SITE = "'ST0' || cast(event_id % 3 AS {t})"
 _MONTH = "'2024-' || lpad(cast(1 + event_id % 12 AS {t}), 2, '0')"
 _REL = "CASE WHEN event_id % 2 = 0 THEN 'RELEASE-2024' ELSE 'PROVISIONAL' END"
