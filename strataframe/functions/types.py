@@ -42,22 +42,9 @@ def spark_type(data_type: str | None, pub_format: str | None) -> T.DataType:
     return T.StringType()
 
 
-def type_name(data_type: str | None, pub_format: str | None) -> str:
-    return spark_type(data_type, pub_format).simpleString()
-
-
 def spark_format(pub_format: str | None) -> str | None:
     """Spark datetime pattern for a publication format (suffix dropped,
     trailing ``'Z'`` kept as a literal)."""
     if not pub_format:
         return None
     return pub_format.replace("(floor)", "").replace("(round)", "").strip()
-
-
-def geocsv_type(data_type: str | None) -> str:
-    """GeoCSV ``field_type``: integers, floats, everything else string."""
-    if data_type in ("unsigned integer", "signed integer", "integer"):
-        return "integer"
-    if data_type == "real":
-        return "float"
-    return "string"

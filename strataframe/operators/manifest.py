@@ -549,12 +549,19 @@ def redirect_flight_sites(requests: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
+# The buoy air-temperature product, the product that includes it
+# since 2025, and the releases in which it still stood alone.
+BUOY_PRODUCT, BUOY_HOME = "DP1.20046.001", "DP1.20271.001"
+BUOY_ALONE = ("RELEASE-2021", "RELEASE-2022", "RELEASE-2023", "RELEASE-2024")
+
+
 def resolve_bundles(products: DataFrame, chem_bundles: DataFrame, other_bundles: DataFrame,
                     release: str | None = None) -> DataFrame:
     """Status ``ok``/``moved``/``ambiguous`` and the home product.
 
     Chemistry bundles always apply; other bundles apply except in
-    RELEASE-2021; a home product ``depends`` is ambiguous."""
+    RELEASE-2021; the buoy product moved after RELEASE-2024; a home product
+    ``depends`` is ambiguous."""
     pcol = products.columns[0]
     chem = chem_bundles.select(F.col("product").alias("_cp"), F.col("homeProduct").alias("_ch"))
     other = other_bundles.select(F.col("product").alias("_op"), F.col("homeProduct").alias("_oh"))
@@ -565,6 +572,8 @@ def resolve_bundles(products: DataFrame, chem_bundles: DataFrame, other_bundles:
         .join(other, F.col(pcol) == F.col("_op"), "left")
     )
     home = F.coalesce(F.col("_ch"), F.col("_oh"))
+    if release not in BUOY_ALONE:
+        home = F.coalesce(home, F.when(F.col(pcol) == BUOY_PRODUCT, BUOY_HOME))
     return out.select(
         *[F.col(c) for c in products.columns],
         F.when(home.isNull(), "ok").when(home == "depends", "ambiguous").otherwise("moved").alias("status"),

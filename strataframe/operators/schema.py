@@ -265,9 +265,13 @@ def split_by_table(variables: DataFrame) -> dict[str, DataFrame]:
     return {t: variables.filter(F.col("table") == t) for t in sorted(n for n in names if n is not None)}
 
 
-def geocsv_lines(df: DataFrame, variables: DataFrame) -> DataFrame:
-    """The three GeoCSV header lines (``field_long_name``,
-    ``field_unit``, ``field_type``) in column order, as (line_no, line).
+GEOCSV_SEPARATOR = ", "
+
+
+def geocsv_lines(df: DataFrame, variables: DataFrame, *, title: str | None = None, attribution: str | None = None) -> DataFrame:
+    """The GeoCSV header in order, as (line_no, line): data set, delimiter,
+    title and attribution if given, and long names, types and units of the
+    columns.
 
     Units missing -> ``unitless``; unsigned/signed integer -> integer, real
     -> float, the rest string."""
@@ -283,16 +287,29 @@ def geocsv_lines(df: DataFrame, variables: DataFrame) -> DataFrame:
     joined = cols.join(v, "fieldName", "left").select(
         "pos",
         F.coalesce(F.col("description"), F.col("fieldName")).alias("long_name"),
-        F.coalesce(F.nullif(F.col("units"), F.lit("")), F.lit("unitless")).alias("unit"),
         gtype.alias("gtype"),
+        F.coalesce(F.nullif(F.nullif(F.col("units"), F.lit("")), F.lit("NA")), F.lit("unitless")).alias("unit"),
     )
-    packed = joined.agg(F.array_sort(F.collect_list(F.struct("pos", "long_name", "unit", "gtype"))).alias("c"))
-    return packed.select(F.explode(F.array(
-        F.struct(F.lit(1).alias("line_no"), F.concat(F.lit("# field_long_name: "), F.concat_ws(",", F.col("c.long_name"))).alias("line")),
-        F.struct(F.lit(2).alias("line_no"), F.concat(F.lit("# field_unit: "), F.concat_ws(",", F.col("c.unit"))).alias("line")),
-        F.struct(F.lit(3).alias("line_no"), F.concat(F.lit("# field_type: "), F.concat_ws(",", F.col("c.gtype"))).alias("line")),
-    )).alias("l")).select("l.*")
-
+    packed = joined.agg(F.array_sort(F.collect_list(F.struct("pos", "long_name", "gtype", "unit"))).alias("c"))
+    said = [F.lit("# dataset: GeoCSV 2.0"), F.lit('# delimiter: ","')]
+    said += [F.lit(f"# {k}: {v}") for k, v in (("title", title), ("attribution", attribution)) if v is not None]
+    said += [
+        F.concat(F.lit(f"# {k}: "), F.concat_ws(GEOCSV_SEPARATOR, F.col(f"c.{c}")))
+        for k, c in (("field_long_name", "long_name"), ("field_type", "gtype"), ("field_unit", "unit"))
+    ]
+    return packed.select(F.posexplode(F.array(*said)).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
+
+
+def write_geocsv(df: DataFrame, variables: DataFrame, path: str, *, title: str | None = None, attribution: str | None = None) -> str:
+    """``df`` as GeoCSV text files under ``path``: the first part file holds
+    the header and the column names, the others the rows, nulls as ``NA``."""
+    names = df.sparkSession.createDataFrame([(",".join(df.columns),)], "line string")
+    head = geocsv_lines(df, variables, title=title, attribution=attribution).orderBy("line_no").select("line")
+    cells = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.to_csv(cells, {"nullValue": "NA", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'"}).alias("line"))
+    # a union keeps its sides' order, and so do the part files
+    head.coalesce(1).union(names).coalesce(1).union(rows).write.mode("overwrite").text(path)
+    return path
 
 
 def unpivot_uris(tables: dict[str, DataFrame], variables: DataFrame) -> DataFrame:

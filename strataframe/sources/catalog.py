@@ -16,7 +16,10 @@ FILE = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("url", T.StringType()),
     T.StructField("md5", T.StringType()), T.StructField("size", T.LongType()),
 ])
-PACKAGE = T.StructType([T.StructField("package", T.StringType()), T.StructField("files", T.ArrayType(FILE))])
+PACKAGE = T.StructType([
+    T.StructField("package", T.StringType()), T.StructField("siteCode", T.StringType()),
+    T.StructField("month", T.StringType()), T.StructField("files", T.ArrayType(FILE)),
+])
 RELEASE = T.StructType([T.StructField("release", T.StringType()), T.StructField("packages", T.ArrayType(PACKAGE))])
 CHANGE = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("parentIssueID", T.LongType()),
@@ -52,13 +55,15 @@ def explode_availability(df: DataFrame, col: str = "json") -> DataFrame:
 
 
 def explode_files(df: DataFrame, col: str = "json") -> DataFrame:
-    """Release -> package -> file rows (product, release, package,
-    name, url, md5, size)."""
+    """Release -> package of a site-month -> file rows (product, release,
+    package, site, month, name, url, md5, size); site and month are null where
+    the document gives packages without them."""
     p = parse_products(df, col)
     r = p.select(F.col("d.productCode").alias("product"), F.explode("d.releases").alias("r"))
     k = r.select("product", F.col("r.release").alias("release"), F.explode("r.packages").alias("k"))
-    f = k.select("product", "release", F.col("k.package").alias("package"), F.explode("k.files").alias("f"))
-    return f.select("product", "release", "package", "f.name", "f.url", "f.md5", "f.size")
+    f = k.select("product", "release", F.col("k.package").alias("package"), F.col("k.siteCode").alias("site"),
+                 F.col("k.month").alias("month"), F.explode("k.files").alias("f"))
+    return f.select("product", "release", "package", "site", "month", "f.name", "f.url", "f.md5", "f.size")
 
 
 def product_sensors(df: DataFrame, col: str = "json") -> DataFrame:

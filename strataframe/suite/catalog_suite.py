@@ -34,14 +34,14 @@ def documents(spark, sf_dir):
                  F.transform("m", lambda x: F.concat(F.lit("https://data/"), F.col("product"), F.lit("/"),
                                                       F.col("site"), F.lit("/"), x)).alias("availableDataUrls")).alias("s"),
     ).groupBy("product").agg(F.collect_list("s").alias("siteCodes"))
-    files = flat.select("product", "release", "package", F.struct(
+    files = flat.select("product", "release", "package", "site", "month", F.struct(
         F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("name"),
         F.concat(F.lit("https://files/"), F.col("event_id").cast("string")).alias("url"),
         F.md5(F.col("event_id").cast("string")).alias("md5"),
         (F.col("event_id") * 10).alias("size")).alias("f"))
-    pk = files.groupBy("product", "release", "package").agg(F.collect_list("f").alias("files"))
+    pk = files.groupBy("product", "release", "package", "site", "month").agg(F.collect_list("f").alias("files"))
     rel = pk.groupBy("product", "release").agg(
-        F.collect_list(F.struct("package", "files")).alias("packages"))
+        F.collect_list(F.struct("package", F.col("site").alias("siteCode"), "month", "files")).alias("packages"))
     rels = rel.groupBy("product").agg(F.collect_list(F.struct("release", "packages")).alias("releases"))
     errs = flat.filter(F.col("event_type") == "error").select("product", F.struct(
         F.col("event_id").alias("id"), F.lit(None).cast("long").alias("parentIssueID"),
@@ -68,7 +68,7 @@ def q_explode_availability(spark, sf_dir):
 
 @register("explode_files", f"""
 SELECT {_PRODUCT.format(t='varchar')} AS product, {_REL} AS release, {_PKG} AS package,
-  'f' || cast(event_id AS varchar) AS name, 'https://files/' || cast(event_id AS varchar) AS url,
+  {_SITE.format(t='varchar')} AS site, {_MONTH.format(t='varchar')} AS month, 'f' || cast(event_id AS varchar) AS name, 'https://files/' || cast(event_id AS varchar) AS url,
   md5(cast(event_id AS varchar)) AS md5, event_id * 10 AS size
 FROM events
 """)

@@ -175,9 +175,10 @@ def q_write_stacked_csv(spark, sf_dir):
 
 @register("geocsv_header", """
 SELECT * FROM (VALUES
- (1, '# field_long_name: domainID,siteID,order key,customer key,order status,total price,order date,priority,remarks,publicationDate,release'),
- (2, '# field_unit: unitless,unitless,number,number,unitless,dollar,unitless,unitless,unitless,unitless,unitless'),
- (3, '# field_type: string,string,integer,integer,string,float,string,string,string,string,string')) t(line_no, line)
+ (1, '# dataset: GeoCSV 2.0'), (2, '# delimiter: ","'),
+ (3, '# field_long_name: domainID, siteID, order key, customer key, order status, total price, order date, priority, remarks, publicationDate, release'),
+ (4, '# field_type: string, string, integer, integer, string, float, string, string, string, string, string'),
+ (5, '# field_unit: unitless, unitless, number, number, unitless, dollar, unitless, unitless, unitless, unitless, unitless')) t(line_no, line)
 WHERE (SELECT count(*) FROM orders) > 0
 """)
 def q_geocsv_header(spark, sf_dir):
@@ -187,6 +188,19 @@ def q_geocsv_header(spark, sf_dir):
     return S.geocsv_lines(orders, variables)
 
 
+@register("write_geocsv", """
+SELECT cast(c_custkey AS varchar) || ',' || c_mktsegment AS line FROM customer
+UNION ALL SELECT 'c_custkey,c_mktsegment'
+UNION ALL SELECT * FROM (VALUES ('# dataset: GeoCSV 2.0'), ('# delimiter: ","'), ('# title: customers'),
+  ('# field_long_name: customer key, segment'), ('# field_type: integer, string'), ('# field_unit: number, unitless')) t
+""")
+def q_write_geocsv(spark, sf_dir):
+    man = M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None)
+    rows = shape(spark, sf_dir, "SELECT c_custkey, c_mktsegment FROM customer")
+    path = S.write_geocsv(rows, read_variables(spark, man), scratch_path(spark, "geocsv"), title="customers")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @register("dedupe_latest_by_id", f"""
 WITH v AS ({VERSIONS_SQL}),
 u AS (SELECT DISTINCT * FROM v)

@@ -144,3 +144,11 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_root(Session())
+
+
+def test_the_buoy_product_moved_after_2024(spark):
+    asked = spark.createDataFrame([("DP1.20046.001",), ("DP1.00001.001",)], "product string")
+    none = spark.createDataFrame([], "product string, homeProduct string")
+    for release, want in (("RELEASE-2024", "ok"), ("RELEASE-2025", "moved"), (None, "moved")):
+        got = {r["product"]: r["status"] for r in M.resolve_bundles(asked, none, none, release).collect()}
+        assert got == {"DP1.20046.001": want, "DP1.00001.001": "ok"}
