@@ -1,6 +1,6 @@
 """A toxicity classifier with counterfactual regularisation.
 
-Logistic regression on the density of words and word beginnings.  Each labelled
+Logistic regression on the root of the density of words and word beginnings.  Each labelled
 sentence that names a group is paired with copies in which the group's name is
 swapped for another's; the loss adds the squared change of the score between a
 sentence and its copies.  What distinguishes the copies is only the identity
@@ -14,6 +14,7 @@ the table is split); the scores cover every text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -52,13 +53,14 @@ def features_of(word: str) -> list[str]:
 
 
 def densities(words: list[str], columns: dict[str, int]) -> np.ndarray:
-    """Of the features in ``columns``: their number per hundred words."""
+    """Of the features in ``columns``: the square root of their number per
+    hundred words, so that a few marked words still show in a long text."""
     out = np.zeros(len(columns))
     for w, n in Counter(words).items():
         for f in features_of(w):
             if (k := columns.get(f)) is not None:
                 out[k] += n
-    return out * (100.0 / len(words)) if words else out
+    return np.sqrt(out * (100.0 / len(words))) if words else out
 
 
 def counterfactuals(text: str, copies: int = 2) -> list[tuple[list[str], list[str]]]:
@@ -85,10 +87,11 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
-    def scores(self, texts, store: dict[str, float]) -> np.ndarray:
-        """Scores of texts; ``store`` keeps the weight of words seen before."""
+    def scores(self, texts, store: dict[str, tuple[str, ...]]) -> np.ndarray:
+        """Scores of texts; ``store`` keeps the weighted features of words seen
+        before, none for most."""
         weights = self.weights
-        out = np.empty(len(texts))
+        out = np.full(len(texts), self.bias)
         for k, text in enumerate(texts):
             words = words_of(text or "")
             new = set(words).difference(store)
@@ -97,13 +100,14 @@ class ToxicityModel:
                     store.clear()
                     new = set(words)
                 for x in new:
-                    store[x] = sum([weights.get(f, 0.0) for f in features_of(x)])
-            out[k] = self.bias + (sum([store[x] for x in words]) * 100.0 / len(words) if words else 0.0)
+                    store[x] = tuple([f for f in features_of(x) if f in weights])
+            found = Counter([f for x in words if (own := store[x]) for f in own])
+            out[k] += sum(weights[f] * math.sqrt(100.0 * n / len(words)) for f, n in sorted(found.items()))
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
 def fit(
-    x: np.ndarray, y: np.ndarray, changes: np.ndarray, columns: dict[str, int], penalty: float = 4.0, ridge: float = 1e-3, rounds: int = 50
+    x: np.ndarray, y: np.ndarray, changes: np.ndarray, columns: dict[str, int], penalty: float = 4.0, ridge: float = 1e-4, rounds: int = 50
 ) -> ToxicityModel:
     """Newton steps on the log-loss of rows ``x`` (densities) with labels ``y``,
     both classes weighing alike, plus ``penalty`` times the mean squared change
