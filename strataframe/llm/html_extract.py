@@ -244,9 +244,14 @@ def _templates(tokens: DataFrame, by_host: bool) -> DataFrame:
     tokens of its valid classes in order, as JSON."""
     sums = [F.sum(c).alias(c) for c in ("pages", "va", "vb", "place", "chars", "linked")]
     keyed = tokens if by_host else tokens.groupBy("token").agg(*sums).withColumn("host", F.lit("*"))
-    size = keyed.where("token = ''").select("host", F.col("pages").alias("host_pages"))
-    frequent = keyed.where("token <> ''").join(small_side(size, "host"), "host").where(
-        (F.col("pages") >= F.col("host_pages") * SUPPORT) & (F.col("pages") >= 2) & (F.col("host_pages") >= LEAST_PAGES)
+    whole = keyed.where("token = ''").select("host", F.col("pages").alias("host_pages"))
+    if by_host:
+        sized = keyed.join(small_side(whole, "host"), "host")
+    else:
+        total = whole.first()  # one row: all pages
+        sized = keyed.withColumn("host_pages", F.lit(total.host_pages if total else 0))
+    frequent = sized.where(
+        (F.col("token") != "") & (F.col("pages") >= F.col("host_pages") * SUPPORT) & (F.col("pages") >= 2) & (F.col("host_pages") >= LEAST_PAGES)
     )
     entry = F.struct((F.col("place") / F.col("pages")).alias("place"), "token", "chars", "linked")
     classes = frequent.groupBy("host", "pages", "va", "vb").agg(F.array_sort(F.collect_list(entry)).alias("tokens")).where(F.size("tokens") >= CLASS_SIZE)
