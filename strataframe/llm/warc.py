@@ -29,6 +29,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from strataframe.session import scratch_path
 
+from .common import materialize, small_side
+
 SCHEMA = (
     "record_type string, record_id string, target_uri string, date string, payload_digest string, refers_to string, "
     "payload_bytes long, payload binary"
@@ -385,9 +387,13 @@ def records_of(pages: DataFrame, min_revisit_bytes: int = 0, date: str = "2024-0
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").alias("page"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("body"))
     rows = rows.withColumn("sha", F.unhex(F.sha1("body")))
-    largest = rows.groupBy("sha").agg(F.max("page").alias("first_page"))
-    joined = rows.join(largest, "sha")
-    whole = F.col("page").eqNullSafe(F.col("first_page")) | (F.octet_length("body") < min_revisit_bytes)
+    # only payloads that occur more than once need to meet; their digests are
+    # few beside the payloads, which stay where they are unless these digests
+    # outgrow a broadcast
+    counts = rows.groupBy("sha").agg(F.max("page").alias("first_page"), F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counts.where("n > 1").select(F.col("sha").alias("repeated"), "first_page"), "warc-repeated")
+    joined = rows.join(small_side(repeated, "repeated"), F.col("sha") == F.col("repeated"), "left")
+    whole = F.col("repeated").isNull() | F.col("page").eqNullSafe(F.col("first_page")) | (F.octet_length("body") < min_revisit_bytes)
 
     @F.pandas_udf("string")
     def base32(shas):
