@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import manifest as M
 from ..operators import schema as S
 from ..operators import stack as ST
+from ..session import write_once
 from ..sources import csv as C
 from ..sources.listing import scan_manifest
 
@@ -116,7 +117,7 @@ def stack_product(spark: SparkSession, source, *, package: str = "basic", sort:
     categorical codes where the folder has them.  Keys sorted.  Tables stay lazy.
 
     With ``check``, a folder of several products or releases raises (C35, T11)."""
-    manifest = scan_manifest(spark, source) if isinstance(source, str) else source
+    manifest = write_once(scan_manifest(spark, source), "manifest") if isinstance(source, str) else source
     types = M.table_types(manifest)
     names = sorted(r["table"] for r in types.select("table").collect())
     wanted = names if tables is None else [t for t in names if t in set(tables)]
@@ -159,7 +160,7 @@ def stack_store(spark: SparkSession, root: str, *, pubdate: str | None = None, p
     man = M.filter_release(man, release, include_provisional)
     man = M.filter_time_index(man, time_index)
     man = package_files(man, package)
-    man = M.as_of_publication(man, pubdate, check=True)
+    man = write_once(M.as_of_publication(man, pubdate, check=True), "manifest")
     return stack_product(spark, man, package=package, sort=sort, tables=tables, check=False)
 
 
@@ -181,7 +182,7 @@ def load_table(spark: SparkSession, root: str, table: str, *, sites="all", start
     man = M.filter_release(man, release, include_provisional)
     man = M.filter_time_index(man, time_index)
     man = package_files(man, package)
-    man = M.as_of_publication(man, None)
+    man = write_once(M.as_of_publication(man, None), "manifest")
     variables = read_variables(spark, man)
     if variables is not None and package == "basic":
         status = M.table_package_status(variables).filter(F.col("table") == table).select("package_status").first()

@@ -15,7 +15,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", app: str = "strataframe", **conf) -> SparkSession:
@@ -92,3 +92,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder path under the shared root (not created)."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written under the shared folder and read back: plans that several
+    jobs start from are made once, and survive lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

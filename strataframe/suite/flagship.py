@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import manifest as M
 from ..plans.stack import read_variables, stack_table
-from ..session import prepare
+from ..session import prepare, write_once
 from ..sources.listing import scan_manifest
 from .store import SITE_EXPR, store_for
 
@@ -23,7 +23,7 @@ GROUP BY 1, 2
 def stacked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     root = store_for(spark, sf_dir)
-    manifest = M.as_of_publication(scan_manifest(spark, root), None)
+    manifest = write_once(M.as_of_publication(scan_manifest(spark, root), None), "manifest")
     variables = read_variables(spark, manifest)
     return stack_table(spark, manifest, "ord_orders", variables=variables, package="expanded")
 

@@ -13,7 +13,7 @@ from ..operators import schema as S
 from ..operators import stack as ST
 from ..plans import query as Q
 from ..plans.stack import load_table, read_variables, stack_frame_files, stack_product, stack_store, stack_versions
-from ..session import scratch_path
+from ..session import scratch_path, write_once
 from ..sources import csv as C
 from ..sources.listing import list_data_files, scan_manifest
 from .flagship import FLAGSHIP_ORACLE, flagship, stacked_orders
@@ -110,7 +110,7 @@ UNION ALL
 SELECT 'variables_00001', NULL, 11, NULL WHERE (SELECT count(*) FROM orders) > 0
 """)
 def q_stack_product(spark, sf_dir):
-    current = M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None)
+    current = write_once(M.as_of_publication(scan_manifest(spark, store_for(spark, sf_dir)), None), "manifest")
     tables = stack_product(spark, current)
     parts = [
         df.select(F.lit(name).alias("table_name"), "siteID", F.col(key).cast("bigint").alias("id"), F.col(value).cast("double").alias("value"))
@@ -135,7 +135,7 @@ WHERE cast({_YM} || '28' AS bigint) <= {_ASOF}
    OR (month(o_orderdate) % 2 = 0 AND cast({_YM} || '05' AS bigint) <= {_ASOF})
 """)
 def q_stack_store(spark, sf_dir):
-    tables = stack_store(spark, store_for(spark, sf_dir), pubdate="2023-06-30", package="expanded")
+    tables = stack_store(spark, store_for(spark, sf_dir), pubdate="2023-06-30", package="expanded", tables=["ord_orders"])
     return tables["ord_orders"].select("o_orderkey", "o_totalprice")
 
 
