@@ -93,23 +93,20 @@ class Headers:
     def __init__(self, stream, name: str):
         self.stream, self.name = stream, name
 
-    def _line(self) -> bytes:
-        return self.stream.readline()
-
     def __iter__(self):
         """Yields each record's headers (names in lower case) and its block's
         offset and length.  The block must not be read past its end."""
         while True:
-            line = self._line()
+            line = self.stream.readline()
             while line in (b"\r\n", b"\n"):
-                line = self._line()
+                line = self.stream.readline()
             if not line:
                 return
             if not line.startswith(b"WARC/"):
                 raise ValueError(f"{self.name}: a record was expected at byte {self.stream.tell() - len(line)}")
             headers: dict[str, str] = {}
             last = None
-            while (line := self._line()) not in (b"\r\n", b"\n"):
+            while (line := self.stream.readline()) not in (b"\r\n", b"\n"):
                 if not line:
                     raise ValueError(f"{self.name}: ends inside a record's headers")
                 if line[:1] in b" \t" and last:
@@ -156,8 +153,7 @@ def http_parts(stream, start: int, length: int) -> tuple[int, int]:
 class ArchiveFiles(InputPartition):
     """The files of one partition."""
 
-    def __init__(self, files: list[str]):
-        self.files = files
+    files: list[str]
 
 
 class WarcReader(DataSourceReader):
