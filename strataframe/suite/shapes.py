@@ -103,7 +103,7 @@ FROM ({_PARTS}) p
 
 MANIFEST_SQL = f"""
 SELECT
-  'store/NEON.' || dom || '.' || st || '.' || prod || '.' || mon || '.' || pkg || '.' || pub || '.' || rel
+  'store/OBS.' || dom || '.' || st || '.' || prod || '.' || mon || '.' || pkg || '.' || pub || '.' || rel
     || '/' || name AS path,
   size,
   CASE WHEN part_name = 'variables' THEN md5(prod || '.' || cast(file_id % 3 AS string)) END AS md5,
@@ -133,18 +133,18 @@ SELECT
 FROM (
   SELECT n.*,
     CASE
-      WHEN family = 2 THEN 'NEON.' || lab_name || '.' || prod || '.' || part_name || '.' || pub || '.csv'
+      WHEN family = 2 THEN 'OBS.' || lab_name || '.' || prod || '.' || part_name || '.' || pub || '.csv'
       WHEN part_name IN ('variables', 'sensor_positions') THEN
-        'NEON.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pub || '.csv'
+        'OBS.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pub || '.csv'
       WHEN part_name = 'readme' THEN
-        'NEON.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pub || '.txt'
+        'OBS.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pub || '.txt'
       WHEN part_name = 'ord_openSummary' THEN
-        'NEON.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pkg || '.' || pub || '.csv'
+        'OBS.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || pkg || '.' || pub || '.csv'
       WHEN positioned = 1 AND family = 1 THEN
-        'NEON.' || dom || '.' || st || '.' || prod || '.' || h || '.' || v || '.' || tmi || '.' || part_name
+        'OBS.' || dom || '.' || st || '.' || prod || '.' || h || '.' || v || '.' || tmi || '.' || part_name
           || '.' || mon || '.' || pkg || '.' || pub || '.csv'
       ELSE
-        'NEON.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || mon || '.' || pkg || '.' || pub || '.csv'
+        'OBS.' || dom || '.' || st || '.' || prod || '.' || part_name || '.' || mon || '.' || pkg || '.' || pub || '.csv'
     END AS name
   FROM ({_NAMED}) n
 ) f

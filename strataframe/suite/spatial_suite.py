@@ -61,7 +61,7 @@ def q_assign_tiles_buffer(spark, sf_dir):
 
 
 TILE_FILES_SQL = """
-SELECT DISTINCT 'NEON_D01_ST00_DP3_' || cast(cast(floor((300000 + l_partkey * 37.5) / 1000) * 1000 AS bigint) AS string)
+SELECT DISTINCT 'OBS_D01_ST00_DP3_' || cast(cast(floor((300000 + l_partkey * 37.5) / 1000) * 1000 AS bigint) AS string)
        || '_' || cast(cast(floor((4000000 + l_suppkey * 91.25) / 1000) * 1000 AS bigint) AS string)
        || '_image.tif' AS name,
        CASE WHEN l_partkey % 5 = 0 THEN 'PROVISIONAL' ELSE 'RELEASE-2024' END AS release

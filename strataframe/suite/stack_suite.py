@@ -237,17 +237,31 @@ def q_union_evolving(spark, sf_dir):
     return ST.union_evolving([a, b])
 
 
+# Rows of the chosen files, and of the variables files beside them the newest
+# stamp, the stamp of each content's newest path, and whether contents differ.
 @register("query_files", f"""
-SELECT cast(count(*) AS bigint) AS n_files FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE {SITE_EXPR} = 'ST00' AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+SELECT cast(count(*) AS bigint) AS n_files, max(stamp) AS newest_stamp, cast(1 AS bigint) AS n_contents,
+       max(stamp) AS content_stamps, false AS several_versions
+FROM (SELECT cast(year(o_orderdate) + 25 AS string) || lpad(cast(month(o_orderdate) AS string), 2, '0') || '28T120000Z' AS stamp
+      FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE {SITE_EXPR} = 'ST00' AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01') t
 """)
 def q_query_files(spark, sf_dir):
     res = Q.query_files(scan_manifest(spark, store_for(spark, sf_dir)), sites=["ST00"], start="1997-01",
                         end="1997-12", package="basic", table="ord_orders", metadata=False)
     files = M.as_of_publication(res["files"], None)
     # rows of the chosen files: read them to count the orders they hold
-    data = C.scan_csv(spark, files)
-    return data.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+    data = C.scan_csv(spark, files).agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+    stamp = F.regexp_extract("path", r"variables\.([0-9]{8}T[0-9]{6}Z)\.csv$", 1)
+    newest = res["newest_variables"].agg(F.max(stamp).alias("newest_stamp"))
+    contents = res["variables_by_md5"].agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_contents"), F.concat_ws(",", F.sort_array(F.collect_set(stamp))).alias("content_stamps")
+    )
+    # one row each, put side by side
+    whole = data
+    for part in (newest, contents, res["versions"]):
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole.agg(*(F.max(c).alias(c) for c in whole.columns))
 
 
 # Provisional files stay out: their months fall back to the release before.
@@ -324,7 +338,7 @@ SELECT siteID, cast(row_number() OVER (ORDER BY siteID) AS bigint) AS position,
 def q_order_stacked(spark, sf_dir):
     from pyspark.sql import Window
 
-    rows = shape(spark, sf_dir, f"SELECT 'D0' || substr({SITE_EXPR}, 4, 1) AS domainID, {SITE_EXPR} AS siteID FROM customer")
+    rows = shape(spark, sf_dir, f"SELECT 'D' || substr({SITE_EXPR}, 1, 3) AS domainID, {SITE_EXPR} AS siteID FROM customer")
     ordered = ST.order_stacked(rows).withColumn("at", F.monotonically_increasing_id())
     runs = ordered.groupBy("siteID").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).cast("bigint").alias("n_rows"))
     # in order: each site's run ends before the next begins

@@ -9,8 +9,8 @@ right answer.  Header order drifts in 1996 and one column is missing in
 1997; some remarks hold quotes, commas and newlines; nulls are ``NA``.
 
 Files are written on the executors, one task per file group
-(``applyInPandas`` keyed by file path); a file is one site-month, which
-bounds the group.
+(``applyInPandas`` keyed by file path); a file is one month (for customers:
+one publication) of a site, and a site has a bounded number of customers.
 """
 
 from __future__ import annotations
@@ -53,7 +53,13 @@ VARIABLES_ROWS = [
 VARIABLES_HEADER = ["table", "fieldName", "description", "dataType", "units", "downloadPkg",
                     "pubFormat", "primaryKey", "categoricalCodeName"]
 
-SITE_EXPR = "'ST0' || cast(c_nationkey % 2 AS string)"
+# Two sites for each ten thousand customer keys, so that sites grow with the
+# data and a file stays small: ST00, ST01, ... ST99, SU00, ...
+_SITE_NO = "(2 * cast(floor(c_custkey / 10000) AS bigint) + c_nationkey % 2)"
+SITE_EXPR = (
+    f"chr(cast(65 + (18 + floor({_SITE_NO} / 2600)) % 26 AS int)) || chr(cast(65 + (19 + floor({_SITE_NO} / 100)) % 26 AS int)) "
+    f"|| lpad(cast({_SITE_NO} % 100 AS string), 2, '0')"
+)
 DOMAIN_EXPR = "'D0' || cast(1 + c_nationkey % 2 AS string)"
 
 ORDERS_SQL = f"""
@@ -123,7 +129,7 @@ def write_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> st
     register_tables(spark, sf_dir)
     root = _uri(root or scratch_path(spark, "store"))
     base = spark.sql(ORDERS_SQL)
-    prefix = F.concat(F.lit("NEON."), F.col("dom"), F.lit("."), F.col("site"), F.lit(".DP1.00001.001."))
+    prefix = F.concat(F.lit("OBS."), F.col("dom"), F.lit("."), F.col("site"), F.lit(".DP1.00001.001."))
 
     def version(df: DataFrame, stamp_day: str, rel: F.Column, price_shift: float) -> DataFrame:
         stamp = F.concat((F.col("yr") + 25).cast("string"), F.lpad(F.col("mo").cast("string"), 2, "0"),
@@ -145,7 +151,7 @@ def write_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> st
     old = version(base.filter(F.col("mo") % 2 == 0), "05", F.lit("RELEASE-2023"), 1000.0)
     orders = new.unionByName(old)
     out_schema = "path string, rows long"
-    orders.groupBy("path").applyInPandas(_write_group, out_schema).collect()
+    orders.groupBy("path").applyInPandas(_write_group, out_schema).write.format("noop").mode("overwrite").save()
 
     cust = spark.sql(f"""
       SELECT {DOMAIN_EXPR} AS dom, {SITE_EXPR} AS site, c_custkey, c_name, c_acctbal, c_mktsegment
@@ -162,7 +168,7 @@ def write_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> st
         )
 
     custs = cust_version("20240101T000000Z", 0.0).unionByName(cust_version("20230101T000000Z", 500.0))
-    custs.groupBy("path").applyInPandas(_write_group, out_schema).collect()
+    custs.groupBy("path").applyInPandas(_write_group, out_schema).write.format("noop").mode("overwrite").save()
     return root
 
 

@@ -1,13 +1,13 @@
 from strataframe.operators import manifest as M
 
 PATHS = [
-    "root/NEON.D01.HARV.DP1.00001.001.2019-01.basic.20240115T101010Z.RELEASE-2024/"
-    "NEON.D01.HARV.DP1.00001.001.000.010.030.2DWSD_30min.2019-01.basic.20240115T101010Z.csv",
-    "root/NEON.D01.HARV.DP1.00001.001.2019-01.basic.20240115T101010Z.RELEASE-2024/"
-    "NEON.D01.HARV.DP1.00001.001.ltr_pertrap.basic.20240115T101010Z.csv",
-    "root/x/NEON.Lab1.DP1.00001.001.lig_externalSummary_pub.20230101T000000Z.csv",
-    "root/NEON.D02.AB12.DP1.00001.001.2019-02.expanded.20250101T000000Z.PROVISIONAL/"
-    "NEON.D02.AB12.DP1.00001.001.sensor_positions.20250101T000000Z.csv",
+    "root/OBS.D01.HARV.DP1.00001.001.2019-01.basic.20240115T101010Z.RELEASE-2024/"
+    "OBS.D01.HARV.DP1.00001.001.000.010.030.2DWSD_30min.2019-01.basic.20240115T101010Z.csv",
+    "root/OBS.D01.HARV.DP1.00001.001.2019-01.basic.20240115T101010Z.RELEASE-2024/"
+    "OBS.D01.HARV.DP1.00001.001.ltr_pertrap.basic.20240115T101010Z.csv",
+    "root/x/OBS.Lab1.DP1.00001.001.lig_externalSummary_pub.20230101T000000Z.csv",
+    "root/OBS.D02.AB12.DP1.00001.001.2019-02.expanded.20250101T000000Z.PROVISIONAL/"
+    "OBS.D02.AB12.DP1.00001.001.sensor_positions.20250101T000000Z.csv",
 ]
 
 
@@ -32,15 +32,15 @@ def test_parse_identity(spark):
 def test_conflicting_types_raise(spark):
     import pytest
 
-    paths = ["a/NEON.D01.HARV.DP1.00001.001.tab_x.2019-01.basic.20240101T000000Z.csv",
-             "a/NEON.D01.HARV.DP1.00001.001.tab_x.basic.20240101T000000Z.csv"]
+    paths = ["a/OBS.D01.HARV.DP1.00001.001.tab_x.2019-01.basic.20240101T000000Z.csv",
+             "a/OBS.D01.HARV.DP1.00001.001.tab_x.basic.20240101T000000Z.csv"]
     m = M.parse_file_names(spark.createDataFrame([(p,) for p in paths], "path string"))
     with pytest.raises(ValueError):
         M.table_types(m)
 
 
 def test_latest_is_subset_one_per_key(spark):
-    paths = [f"a/NEON.D01.HARV.DP1.00001.001.tab_x.basic.2024010{d}T000000Z.csv" for d in (1, 3, 2)]
+    paths = [f"a/OBS.D01.HARV.DP1.00001.001.tab_x.basic.2024010{d}T000000Z.csv" for d in (1, 3, 2)]
     m = M.parse_file_names(spark.createDataFrame([(p,) for p in paths], "path string"))
     out = M.select_files_by_type(m).collect()
     assert len(out) == 1 and out[0]["publication"] == "20240103T000000Z"
