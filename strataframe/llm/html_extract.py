@@ -8,10 +8,16 @@ host's template, because only what the template puts on a page always comes
 together and equally often.  Containers hold each other, so the classes of a
 template nest by their paths; a class whose tokens don't stand in the template's
 order on a page is left out there.  What lies between template tokens are the
-slots.  Slots of menus, headers, footers, side columns, notices, adverts, forms
-and reader comments go, by the names of the containers around them, and so do
-texts outside the main container that belong to the template themselves; the
-blocks of the others are the text.
+slots: by container, what a page puts there beside the template's own words.
+Inside article and main elements all blocks are the text but the template's own
+words that stand on most pages with that element (``TEXT_SUPPORT``).  A host
+without such elements has the slots of text instead: each container whose own
+page-specific characters are mostly unlinked, with all its blocks, and lists of
+links within it.  Names are the second sign: menus, headers, footers, side
+columns, notices, adverts, forms and reader comments go by the elements and names
+of the containers around them, but no name counts on the way to the main
+element, nor on a container that holds most of the host's page-specific text.
+Support counts distinct pages, so a page that is repeated makes no template.
 
 A vector is never stored: each page adds a hash of its own number and the
 token's count to two sums, and equal sums stand for equal vectors.  So a host
@@ -27,7 +33,7 @@ import html as html_module
 import json
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,6 +45,12 @@ from .common import materialize, small_side
 LEAST_PAGES = 4
 #: Share of a host's pages on which a template token stands, at least.
 SUPPORT = 0.3
+#: Share of the pages with an article or main element on which a text stands, at
+#: least, to count as the template's inside that element too.
+TEXT_SUPPORT = 0.8
+#: Share of a host's page-specific text beyond which a container is kept against
+#: a name made of listed words only; a half is enough against other names.
+SURE_NAME = 0.9
 #: Tokens of a class, at least.
 CLASS_SIZE = 2
 #: Elements by what they do to text.
@@ -49,6 +61,7 @@ CONTAINERS = frozenset(
 )
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption blockquote pre hr address figcaption summary center option thead tbody tfoot".split())
 CONTENT = ("article", "main")
+NAMELESS = frozenset(("html", "body", *CONTENT))
 DROPPED = frozenset("head nav header footer aside form menu dialog select button label fieldset".split())
 #: Words in class, id or role that name what isn't main text.
 NAMES = frozenset(
@@ -65,6 +78,7 @@ _RAW_END = {n: re.compile(rf"</{n}\s*>|\Z", re.I) for n in RAW}
 _NAMING = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+")
+_SLASH = re.compile("/")
 #: What a start tag of these closes when it is still open.
 _CLOSES = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 
@@ -162,16 +176,40 @@ def parse(source: str) -> tuple[list[Block], list[str]]:
 
 
 @functools.lru_cache(maxsize=20_000)
-def dropped(path: str) -> bool:
+def _named(names: str) -> int:
+    """How surely names say that a container holds no main text: 2 if one of
+    them is made of listed words only (``cookie-notice``), 1 if one has a listed
+    word among others (``page-with-nav``), else 0."""
+    sure = 0
+    for name in names.split("."):
+        words = _WORDS.findall(name)
+        if not NAMES.isdisjoint(words):
+            sure = max(sure, 2 if NAMES.issuperset(words) else 1)
+    return sure
+
+
+@functools.lru_cache(maxsize=20_000)
+def dropped(path: str, spared: frozenset[str] = frozenset(), least: int = 1) -> bool:
     """Whether a container on the path holds no main text, by its element (a
-    header or footer of an article counts as one too) or its names."""
+    header or footer of an article counts as one too) or, unless its path is
+    in ``spared``, its names.  The names of page, body, main and article say
+    something of the page, not of what they hold."""
+    at = 0
     for part in path.split("/")[1:]:
-        element, _, named = part.partition(".")
-        if element in DROPPED or (named and not NAMES.isdisjoint(_WORDS.findall(named))):
+        at += len(part) + 1
+        element, _, names = part.partition(".")
+        if element in DROPPED:
+            return True
+        if names and _named(names) >= least:
             return True
     return False
 
 
+def upto(paths) -> frozenset[str]:
+    """The paths and those of all containers around them."""
+    return frozenset(p[:k] for p in paths for k in [*(m.start() for m in _SLASH.finditer(p, 1)), len(p)])
+
+
 @functools.lru_cache(maxsize=20_000)
 def content_of(path: str) -> str | None:
     """The path of the outermost article or main element on ``path``."""
@@ -182,8 +220,15 @@ def content_of(path: str) -> str | None:
     return None
 
 
+@functools.lru_cache(maxsize=20_000)
+def path_hash(path: str) -> str:
+    return hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=4).hexdigest()
+
+
 def text_token(block: Block) -> str:
-    return "=" + hashlib.blake2b(f"{block.path}\0{block.text}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+    """A text in its container; the last eight characters are the container's."""
+    said = hashlib.blake2b(f"{block.path}\0{block.text}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+    return "=" + said + path_hash(block.path)
 
 
 def token_counts(blocks: list[Block], opened: list[str]) -> dict[str, list]:
@@ -193,9 +238,9 @@ def token_counts(blocks: list[Block], opened: list[str]) -> dict[str, list]:
     for k, p in enumerate(opened):
         out.setdefault(p, [0, k, 0, 0])[0] += 1
     for b in blocks:
-        out.setdefault(text_token(b), [0, 0, 0, 0])[0] += 1
-        if b.path in out:
-            own = out[b.path]
+        said = out.setdefault(text_token(b), [0, 0, 0, 0])
+        said[0] += 1
+        for own in (said, out[b.path]) if b.path in out else (said,):
             own[2] += len(b.text)
             own[3] += min(b.linked, len(b.text))
     return out
@@ -212,13 +257,25 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """``(host, body, lead)``: each body of a host once; of the hosts that share
+    a body one leads.  Only bodies that occur again are shuffled."""
+    rows = pages.select("host", "body", F.xxhash64("body").alias("digest"))
+    again = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min("host").alias("first")).where("n > 1").select("digest", "first")
+    again = materialize(again, "repeated-pages")
+    met = rows.join(small_side(again, "first"), "digest", "left")
+    once = met.where("first is null").select("host", "body", F.lit(True).alias("lead"))
+    shared = met.where("first is not null").select("host", "body", (F.col("host") == F.col("first")).alias("lead")).distinct()
+    return once.unionByName(shared)
+
+
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Per host and token, the sums over the host's pages."""
+    """Per host, token and ``lead``, the sums over the host's distinct pages."""
 
     def counted(batches):
         for pdf in batches:
-            seen: dict[tuple[str, str], list] = {}
-            for host, body in zip(pdf["host"], pdf["body"]):
+            seen: dict[tuple[str, str, bool], list] = {}
+            for host, body, lead in zip(pdf["host"], pdf["body"], pdf["lead"]):
                 blocks, opened = parse(body)
                 raw = hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest()
                 page = int.from_bytes(raw, "big")
@@ -226,24 +283,24 @@ def _tokens(pages: DataFrame) -> DataFrame:
                 own[""] = [1, 0, 0, 0]  # the page itself
                 for token, (n, place, chars, linked) in own.items():
                     a, b = _vector_parts(page, n)
-                    sums = seen.setdefault((host, token), [0, 0, 0, 0, 0, 0])
+                    sums = seen.setdefault((host, token, bool(lead)), [0, 0, 0, 0, 0, 0])
                     for k, v in enumerate((1, a, b, place, chars, linked)):
                         sums[k] += v
             rows = [(*key, *sums) for key, sums in seen.items()]
-            yield pd.DataFrame(rows, columns=["host", "token", "pages", "va", "vb", "place", "chars", "linked"])
+            yield pd.DataFrame(rows, columns=["host", "token", "lead", "pages", "va", "vb", "place", "chars", "linked"])
 
     # sums of 31-bit parts: a host may have 2^32 pages
-    schema = "host string, token string, pages long, va long, vb long, place long, chars long, linked long"
-    found = pages.mapInPandas(counted, schema)
+    schema = "host string, token string, lead boolean, pages long, va long, vb long, place long, chars long, linked long"
+    found = distinct_pages(pages).mapInPandas(counted, schema)
     sums = [F.sum(c).alias(c) for c in ("pages", "va", "vb", "place", "chars", "linked")]
-    return found.groupBy("host", "token").agg(*sums)
+    return found.groupBy("host", "token", "lead").agg(*sums)
 
 
 def _templates(tokens: DataFrame, by_host: bool) -> DataFrame:
     """``(host, template)``: of each host (or all together, host null) the
     tokens of its valid classes in order, as JSON."""
     sums = [F.sum(c).alias(c) for c in ("pages", "va", "vb", "place", "chars", "linked")]
-    keyed = tokens if by_host else tokens.groupBy("token").agg(*sums).withColumn("host", F.lit("*"))
+    keyed = tokens.groupBy("host", "token").agg(*sums) if by_host else tokens.where("lead").groupBy("token").agg(*sums).withColumn("host", F.lit("*"))
     whole = keyed.where("token = ''").select("host", F.col("pages").alias("host_pages"))
     if by_host:
         sized = keyed.join(small_side(whole, "host"), "host")
@@ -262,31 +319,62 @@ def _templates(tokens: DataFrame, by_host: bool) -> DataFrame:
 @dataclass
 class Template:
     """A host's template: the classes' container paths in order, the texts that
-    belong to it, and the paths of its main containers."""
+    belong to it, the paths of its main containers, those of its texts that
+    go inside these too, the containers whose names don't count, and its
+    slots: by container the unlinked and linked characters a page puts right
+    inside it, without the template's own."""
 
     classes: list[list[str]]
     texts: frozenset[str]
     roots: tuple[str, ...]
+    everywhere: frozenset[str] = frozenset()
+    spared: frozenset[str] = frozenset()
+    slots: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     @classmethod
     def of(cls, said: str | None) -> Template:
-        classes, texts, mass = [], set(), Counter()
+        classes, texts, own = [], [], {}
         for c in json.loads(said) if said else []:
-            paths = [t["token"] for t in c["tokens"] if not t["token"].startswith("=")]
-            texts.update(t["token"] for t in c["tokens"] if t["token"].startswith("="))
+            paths = []
+            for t in c["tokens"]:
+                if t["token"].startswith("="):
+                    texts.append((t["token"], c["pages"], t["chars"] - t["linked"], t["linked"]))
+                else:
+                    paths.append(t["token"])
+                    own[t["token"]] = [c["pages"], t["chars"] - t["linked"], t["linked"]]
             if paths:
                 classes.append(paths)
-            for t in c["tokens"]:
-                if not t["token"].startswith("=") and not dropped(t["token"]):
-                    mass[t["token"]] += t["chars"] - t["linked"]
-        roots = {content_of(p) for p in mass} - {None}
-        if not roots and mass and sum(mass.values()) > 0:
+        places = {path_hash(p): p for p in own}
+        for token, _, unlinked, linked in texts:
+            if (p := places.get(token[-8:])) is not None:
+                own[p][1] -= unlinked
+                own[p][2] -= linked
+        # names don't count yet: what the pages say decides about them
+        mass = {p: u for p, (_, u, _) in own.items() if u > 0 and not dropped(p, least=3)}
+        whole = sum(mass.values())
+        held: Counter = Counter()
+        for p, u in mass.items():
+            for q in upto([p]):
+                held[q] += u
+        found = {r for p in own if not dropped(p, least=3) and (r := content_of(p))}
+        roots = {r for r in found if not dropped(r) or 2 * held[r] > whole} or {r for r in found if not dropped(r, least=2)}
+        if not roots and whole:
             # no such element: the deepest container around most of the unlinked text
-            whole = sum(mass.values())
-            inside = {p: sum(v for q, v in mass.items() if q == p or q.startswith(p + "/")) for p in mass}
-            most = [p for p, v in inside.items() if v >= 0.6 * whole]
+            most = [p for p, u in held.items() if u >= 0.6 * whole]
             roots = {max(most, key=lambda p: p.count("/"))} if most else set()
-        return cls(classes, frozenset(texts), tuple(sorted(roots)))
+        if roots:
+            whole = sum(u for p, u in mass.items() if (content_of(p) or p) in roots)
+        spared = upto(roots) | {
+            p for p, u in held.items()
+            if (not roots or content_of(p) in roots) and u > whole * (0.5 if _named(p.rpartition("/")[2].partition(".")[2]) < 2 else SURE_NAME)
+        }
+        if not whole:
+            # pages that say nothing of their own are copies: their words stay
+            return cls(classes, frozenset(), tuple(sorted(roots)), frozenset(), spared)
+        within = {token: content_of(places.get(token[-8:], "")) for token, *_ in texts}
+        everywhere = {token for token, n, *_ in texts if (r := within[token]) in own and n >= TEXT_SUPPORT * own[r][0]}
+        slots = {p: (u / n, k / n) for p, (n, u, k) in own.items()}
+        return cls(classes, frozenset(t[0] for t in texts), tuple(sorted(roots)), frozenset(everywhere), spared, slots)
 
     def standing(self, opened: list[str]) -> bool:
         """Whether some class of containers stands on a page, in its order."""
@@ -305,24 +393,58 @@ def _template(said: str | None) -> Template:
     return Template.of(said)
 
 
+def page_roots(opened: list[str]) -> tuple[str, ...]:
+    """A page's own main containers; those around which a name speaks against
+    main text only where there are no others."""
+    for least in (1, 2):
+        if found := {content_of(p) for p in opened if not dropped(p, least=least)} - {None}:
+            return tuple(found)
+    return ()
+
+
+def in_slot(block: Block, template: Template, here: dict[str, list[int]]) -> bool:
+    """Whether a block fills a slot of text: its container's slot is mostly
+    unlinked, or is a list of links within a slot of more text.  A container
+    that isn't the template's goes by the page's own characters (``here``)."""
+    unlinked, linked = template.slots.get(block.path) or here[block.path]
+    if unlinked > linked:
+        return True
+    if text_token(block) in template.texts:
+        return False
+    around = [p for p in upto([block.path]) if p != block.path and p.rpartition("/")[2].partition(".")[0] not in NAMELESS]
+    return linked <= 0 or any(template.slots[p][0] > linked for p in around if p in template.slots)
+
+
 def extract(source: str, template: Template) -> list[str]:
     """The blocks of a page's main text in page order."""
     blocks, opened = parse(source)
+    stands = template.standing(opened)
     roots: tuple[str, ...] = ()
-    if template.standing(opened):
+    spared: frozenset[str] = frozenset()
+    if stands:
         present = set(opened)
         roots = tuple(r for r in template.roots if r in present)
+        spared = template.spared
     if not roots:
-        roots = tuple({content_of(p) for p in opened if not dropped(p)} - {None})
-    out = []
+        roots = page_roots(opened)
+        spared |= upto(roots)
+    here: dict[str, list[int]] = {}
     for b in blocks:
-        inside = any(b.path == r or b.path.startswith(r + "/") for r in roots)
-        if dropped(b.path) or (roots and not inside):
-            continue
-        # the template's own words, where no main container vouches for them
-        if not inside and text_token(b) in template.texts:
-            continue
-        out.append(b.text)
+        own = here.setdefault(b.path, [0, 0])
+        linked = min(b.linked, len(b.text))
+        own[0] += len(b.text) - linked
+        own[1] += linked
+    for least in (1, 2):
+        rest = [b for b in blocks if not dropped(b.path, spared, least)]
+        if rest:  # else a part of a name alone would take the whole page
+            break
+    out = []
+    for b in rest:
+        if roots:
+            if any(b.path == r or b.path.startswith(r + "/") for r in roots) and text_token(b) not in template.everywhere:
+                out.append(b.text)
+        elif in_slot(b, template, here) if stands else text_token(b) not in template.texts:
+            out.append(b.text)
     return out
 
 

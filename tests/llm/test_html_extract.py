@@ -93,3 +93,17 @@ def test_a_class_out_of_order_is_left_out():
     t = H.Template([["/body", "/body/div.a", "/body/div.b"]], frozenset(), ("/body/div.a",))
     assert t.standing(["/body", "/body/div.a", "/body/div.b"])
     assert not t.standing(["/body", "/body/div.b", "/body/div.a"])
+
+
+def test_template_text_inside_the_root_goes_and_copies_stay(spark):
+    def page(k, story):
+        return f"<body><nav>n{k % 3}</nav><article><p>Subscribe for updates.</p><p>{story}</p><p>All rights reserved.</p></article></body>"
+
+    rows = [(k, "http://news.example/", page(k, f"What happened on day {k} is told here.")) for k in range(8)]
+    # one page many times counts once, and so does one that two hosts share
+    rows += [(100 + k, f"http://{'news' if k else 'a'}.example/", page(0, "Copied words.")) for k in range(30)]
+    rows += [(200 + k, "http://same.example/", f"<body><nav>n{k}</nav><article><p>The same words.<p>Twice.</article>") for k in range(9)]
+    got = texts(H.main_text(pages_of(spark, rows)))
+    assert [got[k] for k in range(8)] == [f"What happened on day {k} is told here." for k in range(8)]
+    assert got[101] == "Copied words."
+    assert {got[200 + k] for k in range(9)} == {"The same words.\nTwice."}
