@@ -200,7 +200,7 @@ def dropped(path: str, spared: frozenset[str] = frozenset(), least: int = 1) ->
         element, _, names = part.partition(".")
         if element in DROPPED:
             return True
-        if names and _named(names) >= least:
+        if names and element not in NAMELESS and _named(names) >= least and path[:at] not in spared:
             return True
     return False
 

@@ -107,3 +107,21 @@ def test_template_text_inside_the_root_goes_and_copies_stay(spark):
     assert [got[k] for k in range(8)] == [f"What happened on day {k} is told here." for k in range(8)]
     assert got[101] == "Copied words."
     assert {got[200 + k] for k in range(9)} == {"The same words.\nTwice."}
+
+
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ("<body class='has-sidebar'><article>", "</article>"),
+        ("<body class='no-sidebar'><main class='content with-sidebar'>", "</main>"),
+        ("<body><article class='post promo'>", "</article>"),
+        ("<body><div id='comments-open'><article>", "</article></div>"),
+        ("<body><div class='page-with-nav'>", "</div>"),
+        ("<body><article><div class='page-with-nav'>", "</div></article>"),
+    ],
+)
+def test_theme_names_do_not_drop_the_page(spark, before, after):
+    side = "<div class='sidebar'><p>Side words of number {0}</p></div><section id=comments><p>reader {0} says so</p></section>"
+    rows = [(k, "http://theme.example/", f"{before}<p>Story {k} is told here at length, so that it is most of the page.</p>{after}" + side.format(k)) for k in range(8)]
+    rows.append((50, "http://alone.example/", rows[3][2].replace("Story 3", "Story 50")))
+    assert texts(H.main_text(pages_of(spark, rows))) == {k: f"Story {k} is told here at length, so that it is most of the page." for k in [*range(8), 50]}
