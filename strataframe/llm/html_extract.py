@@ -358,12 +358,8 @@ class Template:
                 held[q] += u
         found = {r for p in own if not dropped(p, least=3) and (r := content_of(p))}
         roots = {r for r in found if not dropped(r) or 2 * held[r] > whole} or {r for r in found if not dropped(r, least=2)}
-        if not roots and whole:
-            # no such element: the deepest container around most of the unlinked text
-            most = [p for p, u in held.items() if u >= 0.6 * whole]
-            roots = {max(most, key=lambda p: p.count("/"))} if most else set()
         if roots:
-            whole = sum(u for p, u in mass.items() if (content_of(p) or p) in roots)
+            whole = sum(u for p, u in mass.items() if content_of(p) in roots)
         spared = upto(roots) | {
             p for p, u in held.items()
             if (not roots or content_of(p) in roots) and u > whole * (0.5 if _named(p.rpartition("/")[2].partition(".")[2]) < 2 else SURE_NAME)

@@ -125,3 +125,17 @@ def test_theme_names_do_not_drop_the_page(spark, before, after):
     rows = [(k, "http://theme.example/", f"{before}<p>Story {k} is told here at length, so that it is most of the page.</p>{after}" + side.format(k)) for k in range(8)]
     rows.append((50, "http://alone.example/", rows[3][2].replace("Story 3", "Story 50")))
     assert texts(H.main_text(pages_of(spark, rows))) == {k: f"Story {k} is told here at length, so that it is most of the page." for k in [*range(8), 50]}
+
+
+def test_two_content_containers_without_article_elements(spark):
+    def page(k):
+        links = "".join(f"<li><a href=/{k}/{j}>Other story {k} {j}</a></li>" for j in range(3))
+        return (
+            f"<body><div class=top><a href=/>Home</a><p>Daily paper</p></div><div class=lead><p>Lead of story {k}, a few words.</p></div>"
+            f"<ul class=more>{links}</ul><div class=text><p>The body of story {k} is longer: {'it goes on and on, ' * 6}to its end.</p>"
+            f"<ul><li><a href=/s{k}>Source {k}</a></li></ul></div><div class=last><p>Printed in town.</p></div></body>"
+        )
+
+    got = texts(H.main_text(pages_of(spark, [(k, "http://two.example/", page(k)) for k in range(8)])))
+    for k in range(8):
+        assert got[k] == f"Lead of story {k}, a few words.\nThe body of story {k} is longer: {'it goes on and on, ' * 6}to its end.\nSource {k}"
