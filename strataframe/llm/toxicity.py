@@ -18,6 +18,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,10 @@ _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]?")
 BEGINNINGS = (5, 6, 7)
 #: Words whose weights a Python worker keeps; beyond it the store starts anew.
 KEPT_WORDS = 400_000
+#: Changes (at most 10) are counted in units of 2^-20, and a task
+#: hands on its sum after so many: it stays below 2^63.
+GRAM_UNIT = 1 << 20
+GRAM_ROWS = 50_000
 
 
 def words_of(text: str) -> list[str]:
@@ -108,11 +113,19 @@ class ToxicityModel:
 
 def fit(
     x: np.ndarray, y: np.ndarray, changes: np.ndarray, columns: dict[str, int], penalty: float = 4.0, ridge: float = 1e-4, rounds: int = 50
+) -> ToxicityModel:
+    """``fit_gram`` of ``changes``, the rows by which a counterfactual's
+    densities differ from its sentence's."""
+    return fit_gram(x, y, changes.T @ changes, len(changes), columns, penalty, ridge, rounds)
+
+
+def fit_gram(
+    x: np.ndarray, y: np.ndarray, gram: np.ndarray, n_changes: int, columns: dict[str, int], penalty: float = 4.0, ridge: float = 1e-4, rounds: int = 50
 ) -> ToxicityModel:
     """Newton steps on the log-loss of rows ``x`` (densities) with labels ``y``,
     both classes weighing alike, plus ``penalty`` times the mean squared change
-    of the log-odds over ``changes``, the rows by which a counterfactual's
-    densities differ from its sentence's."""
+    of the log-odds over ``n_changes`` counterfactuals, which takes only the sum
+    ``gram`` of the outer products of their changes."""
     if len(y) == 0 or y.min() == y.max():
         # nothing to tell apart: every text scores the smoothed share of toxic rows
         share = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 0.25
@@ -122,8 +135,8 @@ def fit(
     weigh = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     fixed = np.eye(size + 1) * ridge
     fixed[size, size] = 1e-9
-    if len(changes):
-        fixed[:size, :size] += 2 * penalty / len(changes) * changes.T @ changes
+    if n_changes:
+        fixed[:size, :size] += 2 * penalty / n_changes * gram
     w = np.zeros(size + 1)
 
     def loss(v):
@@ -186,6 +199,45 @@ def choose_features(drawn: DataFrame, most: int, least_chi2: float = 15.0) -> li
     return [r.f for r in marked.orderBy(F.desc("chi2"), "f").limit(most).collect()]
 
 
+def gram_of(drawn: DataFrame, columns: dict[str, int]) -> tuple[np.ndarray, int]:
+    """The sum of the outer products of all counterfactual changes in the bodies
+    of ``drawn``, and their number.  Each task sums its own and Spark adds them, so
+    the driver gets a cell for each two features at most, however many sentences
+    name a group.  Whole numbers are added: any order gives the same sum."""
+    size = len(columns)
+
+    def summed(batches):
+        gram, n = np.zeros((size, size), dtype="int64"), 0
+
+        def cells():
+            i, j = np.nonzero(np.triu(gram))
+            out = [(int(a), int(b), Decimal(int(gram[a, b]))) for a, b in zip(i, j)]
+            return pd.DataFrame([*out, (-1, -1, Decimal(n))], columns=["i", "j", "v"])
+
+        for pdf in batches:
+            for body in pdf["body"]:
+                for a, b in counterfactuals(body or ""):
+                    change = np.rint((densities(a, columns) - densities(b, columns)) * GRAM_UNIT).astype("int64")
+                    at = np.flatnonzero(change)
+                    if len(at):
+                        gram[np.ix_(at, at)] += np.outer(change[at], change[at])
+                        n += 1
+                        if n == GRAM_ROWS:
+                            yield cells()
+                            gram[:], n = 0, 0
+        if n:
+            yield cells()
+
+    found = drawn.select("body").mapInPandas(summed, "i int, j int, v decimal(38,0)").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    gram, n = np.zeros((size, size)), 0
+    for r in found.collect():
+        if r.i < 0:
+            n = int(r.v)
+        else:
+            gram[r.i, r.j] = gram[r.j, r.i] = int(r.v) / GRAM_UNIT**2
+    return gram, n
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -197,27 +249,21 @@ def learn(
     text: str = "text",
 ) -> ToxicityModel:
     """A model from at most ``max_rows`` labelled rows and ``max_features``
-    features.  The driver gets the densities of those features, not the texts."""
+    features.  The driver gets the densities of those features, not the texts,
+    and of the counterfactuals one sum (``gram_of``)."""
     drawn = materialize(sample(docs, labels, held_out, max_rows, id_column, text), "toxicity-sample")
     columns = {f: k for k, f in enumerate(choose_features(drawn, max_features))}
 
     def vectors(batches):
         for pdf in batches:
-            rows = []
-            for body, toxic in zip(pdf["body"], pdf["toxic"]):
-                rows.append((True, int(toxic), densities(words_of(body or ""), columns).astype("float32").tobytes()))
-                for a, b in counterfactuals(body or ""):
-                    change = densities(a, columns) - densities(b, columns)
-                    if change.any():
-                        rows.append((False, 0, change.astype("float32").tobytes()))
-            yield pd.DataFrame(rows, columns=["own", "toxic", "v"])
+            own = [densities(words_of(body or ""), columns).astype("float32").tobytes() for body in pdf["body"]]
+            yield pd.DataFrame({"toxic": pdf["toxic"].astype(int), "v": own})
 
-    pdf = drawn.mapInPandas(vectors, "own boolean, toxic int, v binary").toPandas()
+    pdf = drawn.mapInPandas(vectors, "toxic int, v binary").toPandas()
     # the same order however the rows came
-    pdf = pdf.sort_values(["own", "toxic", "v"], kind="stable")
-    own = pdf["own"].to_numpy(dtype=bool)
+    pdf = pdf.sort_values(["toxic", "v"], kind="stable")
     x = np.frombuffer(b"".join(pdf["v"]), dtype="float32").reshape(len(pdf), len(columns)).astype(float)
-    return fit(x[own], (pdf["toxic"].to_numpy()[own] > 0).astype(float), x[~own], columns, penalty)
+    return fit_gram(x, (pdf["toxic"].to_numpy() > 0).astype(float), *gram_of(drawn, columns), columns, penalty)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:

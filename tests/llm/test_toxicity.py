@@ -99,3 +99,30 @@ def test_empty_texts_empty_table_and_clashing_names(spark, rows):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(0, 40, 2), 100, 101, 102]
     assert X.classify(rows([]), labels).count() == 0
     assert X.clean_documents(rows([]), labels).count() == 0
+
+
+def test_driver_gets_one_sum_of_all_counterfactuals(spark, rows, monkeypatch):
+    def body(i):
+        return " ".join(f"The {'muslims are awful scum' if i % 2 else 'women are kind folk'}." for _ in range(50))
+
+    texts = [(i, body(i)) for i in range(40)]
+    got = []
+    frame = type(spark.range(0))
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(frame, name, lambda self, own=getattr(frame, name): got.append(own(self)) or got[-1])
+    X.learn(rows(texts), labels_of(spark, [(i, i % 2) for i in range(40)]))
+    assert max(map(len, got)) < 200  # the sentences have thousands of copies
+
+
+def test_sum_of_counterfactuals_is_the_dense_product(spark, monkeypatch):
+    bodies = [f"The women and gay men number {i} came. Die Frauen und Juden! No one. The black cat, the white dog" for i in range(30)]
+    columns = {f: k for k, f in enumerate(sorted({f for b in bodies for w in X.words_of(b) for f in X.features_of(w)}))}
+    dense = np.stack([X.densities(a, columns) - X.densities(b, columns) for t in bodies for a, b in X.counterfactuals(t)])
+    grams = []
+    for parts in (1, 5):
+        drawn = spark.createDataFrame([(b, 0) for b in bodies], "body string, toxic int").repartition(parts)
+        gram, n = X.gram_of(drawn, columns)
+        assert n == len(dense)
+        assert np.allclose(gram, dense.T @ dense, rtol=1e-5, atol=1e-3)
+        grams.append(gram)
+    assert (grams[0] == grams[1]).all()
