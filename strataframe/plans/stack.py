@@ -36,26 +36,43 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def variables_versions(spark: SparkSession, manifest: DataFrame) -> dict[str, DataFrame]:
-    """T5: the distinct variables files of ``manifest`` by content digest (or
-    path, where the manifest has none); of equal ones the newest is read."""
-    var = manifest.filter(F.col("name").contains(".variables."))
-    order = F.struct(F.coalesce("publication", F.lit("")), "path")
-    chosen = var.groupBy(F.coalesce("md5", "path").alias("version")).agg(F.max_by("path", order).alias("path"))
+    """T5: the distinct variables files of ``manifest`` by content digest; of
+    equal ones the newest is read."""
+    chosen = version_digests(spark, manifest).groupBy("version").agg(F.max_by("path", F.struct(F.coalesce("publication", F.lit("")), "path")).alias("path"))
     return {r["version"]: read_versions(spark, r["path"]) for r in chosen.orderBy("version").collect()}
 
 
+def version_digests(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """``(path, publication, version)`` of the variables files: the md5 of the
+    manifest, or where it has none that of the file's bytes."""
+    var = manifest.filter(F.col("name").contains(".variables.")).select("path", "publication", "md5")
+    unknown = [r["path"] for r in var.filter("md5 is null").select("path").distinct().collect()]
+    if not unknown:
+        return var.select("path", "publication", F.col("md5").alias("version"))
+    read = spark.read.format("binaryFile").load(unknown).select(_plain("path").alias("_plain"), F.md5("content").alias("_digest"))
+    met = var.join(read, _plain("path") == F.col("_plain"), "left")
+    return met.select("path", "publication", F.coalesce("md5", "_digest", "path").alias("version"))
+
+
+def _plain(path: str):
+    """A path without the scheme of local files, whose slashes vary."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def stack_versions(spark: SparkSession, manifest: DataFrame, table: str, *, package: str = "basic") -> DataFrame | None:
     """T5 + T14: each file of a table typed by the variables file published with
-    it (C18), the versions unioned by name; a field that two versions type
-    differently becomes text."""
+    it (C18), the files of equal variables files together, the versions unioned
+    by name; a field that two versions type differently becomes text."""
     files = M.select_files_by_type(manifest.filter(F.col("table") == table))
     var = manifest.filter(F.col("name").contains(".variables."))
     matched = M.match_variables_by_publication(files, var)
     parts = []
-    versions = sorted(r[0] for r in matched.select("variables_path").distinct().collect() if r[0] is not None)
-    for path in versions:
-        part = stack_table(spark, matched.filter(F.col("variables_path") == path).drop("variables_path", "variables_publication"), table,
-                           variables=read_versions(spark, path), package=package)
+    digests = version_digests(spark, manifest).select(F.col("path").alias("variables_path"), "version").distinct()
+    matched = write_once(matched.join(digests, "variables_path"), "versions")
+    used = var.join(matched.select("variables_path").distinct(), F.col("path") == F.col("variables_path"), "left_semi")
+    for version, variables in variables_versions(spark, used).items():
+        own = matched.filter(F.col("version") == version).drop("version", "variables_path", "variables_publication")
+        part = stack_table(spark, own, table, variables=variables, package=package)
         if part is not None:
             parts.append(part)
     return ST.union_evolving(parts) if parts else None

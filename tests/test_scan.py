@@ -93,3 +93,22 @@ def test_workers_started_elsewhere_can_import_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
     assert "rows 1" in done.stdout, done.stderr[-2000:]
+
+
+def test_versions_are_told_apart_by_content(spark, tmp_path, monkeypatch):
+    """Four publications, two variables versions: one part each, and the field
+    that they type differently becomes text."""
+    from strataframe.plans import stack as P
+    from strataframe.sources.listing import scan_manifest
+
+    for k, month in enumerate(("2024-01", "2024-02", "2024-03", "2024-04")):
+        stamp, said = f"2024060{k + 1}T000000Z", VARIABLES if k != 2 else VARIABLES.replace("price,p,real", "price,p,string")
+        folder = f"{tmp_path}/{PREFIX}.{month}.basic.{stamp}.RELEASE-2024"
+        put(f"{folder}/{PREFIX}.ord_a.{month}.basic.{stamp}.csv", f"key,price,note\n{k},{k}.5,n\n")
+        put(f"{folder}/{PREFIX}.variables.{stamp}.csv", said)
+    parts, own = [], P.stack_table
+    monkeypatch.setattr(P, "stack_table", lambda *a, **b: parts.append(own(*a, **b)) or parts[-1])
+    out = P.stack_versions(spark, scan_manifest(spark, str(tmp_path)), "ord_a")
+    assert len(parts) == 2
+    assert sorted(p.schema["price"].dataType.simpleString() for p in parts) == ["double", "string"]
+    assert sorted((r.key, r.price) for r in out.select("key", "price").collect()) == [(k, f"{k}.5") for k in range(4)]
