@@ -13,9 +13,10 @@ def select_product_files(manifest: DataFrame, *, sites="all", start: str | None
                          end: str | None = None, package: str = "basic", release: str = "current",
                          include_provisional: bool = False, time_index=None, table: str | None = None,
                          metadata: bool = True) -> DataFrame:
-    """The files a download request means (nothing fetched).
+    """C36 in part: the files a download request means by C6-C11 (nothing
+    fetched), without redirects, bundles, newest metadata files or sizes.
 
-    Table and time index together raise; a lab table can't be chosen alone.
+    Table and time index together raise; lab tables are not told apart.
     """
     if table is not None and time_index not in (None, "all"):
         raise ValueError("choose a table or a time index, not both")
