@@ -321,14 +321,15 @@ def latest_publication(manifest: DataFrame, keys: Sequence[str | Column] = ()) -
 
 
 def select_files_by_type(manifest: DataFrame) -> DataFrame:
-    """C14: site-date files all count; a site-all table keeps its latest file
-    per site; a lab table its latest per lab.  One window: a site-date file is
-    a group of its own."""
+    """C14: site-date files all count, also where a manifest repeats a path; a
+    site-all table keeps its latest file per site; a lab table its latest per
+    lab.  Dated files, nearly all of a store, pass without a shuffle; only the
+    others are ranked.  Rows of any other type go."""
     tt = F.col("table_type")
-    owner = F.when(tt == "lab", F.col("lab")).when(tt == "site-all", F.col("site"))
-    own_path = F.when(tt == "site-date", F.col("path"))
-    typed = manifest.filter(tt.isin("site-date", "site-all", "lab"))
-    return latest_publication(typed, ["table", "table_type", owner, own_path]).drop("latest_stamp")
+    owner = F.when(tt == "lab", F.col("lab")).otherwise(F.col("site"))
+    dated = manifest.filter(tt == "site-date")
+    newest = latest_publication(manifest.filter(tt.isin("site-all", "lab")), ["table", "table_type", owner])
+    return dated.unionByName(newest.drop("latest_stamp"))
 
 
 def pubdate_stamp(pubdate: str) -> str:

@@ -53,3 +53,15 @@ def test_release_rules(spark):
     with pytest.raises(ValueError):
         M.filter_release(m, "PROVISIONAL", include_provisional=False)
     assert M.filter_release(m, "current").filter("release = 'PROVISIONAL'").count() == 0
+
+
+def test_dated_files_all_count_even_with_one_path(spark):
+    rows = [("s/a.csv", "a.csv", "t", "site-date", "S1", None)] * 2 + [
+        ("s/t2.20240101T000000Z.csv", "t2.20240101T000000Z.csv", "t2", "site-all", "S1", None),
+        ("s/t2.20250101T000000Z.csv", "t2.20250101T000000Z.csv", "t2", "site-all", "S1", None),
+        ("s/l.20250101T000000Z.csv", "l.20250101T000000Z.csv", "l", "lab", None, "L1"),
+        ("s/none.csv", "none.csv", None, None, None, None),
+    ]
+    m = spark.createDataFrame(rows, "path string, name string, table string, table_type string, site string, lab string")
+    kept = sorted(r["path"] for r in M.select_files_by_type(m).collect())
+    assert kept == ["s/a.csv", "s/a.csv", "s/l.20250101T000000Z.csv", "s/t2.20250101T000000Z.csv"]
