@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_extract, langid, pii, quality_rules, simhash, token_counts, toxicity, warc
-from .common import read_table
+from . import bpe, decontaminate, html_extract, langid, merkle, pii, quality_rules, simhash, token_counts, toxicity, warc
+from .common import crc_bucket, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -119,3 +119,59 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+# The tree level by level in one recursion; siblings as '<' (before) or '>'
+# (after) and the digest, or '=' where a run has one node.  crc32 by its table.
+_OP13_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b : list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+         lambda c, z : CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+rows_in AS (
+  SELECT doc_id, lang, CASE WHEN doc_id IS NULL THEN '-' ELSE octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id END
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+    n_chars, coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+    CASE WHEN doc_id IS NULL THEN false ELSE xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d : CAST(ascii(d) AS BIGINT))),
+      lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0 END AS changed
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN changed THEN sha256(head || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS other
+  FROM rows_in),
+placed AS (
+  SELECT *, coalesce('=' || lang, '-') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+low(g, lvl, idx, n, node) AS (
+  SELECT g, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT a.g, a.lvl + 1, a.idx // 2, (a.n + 1) // 2, sha256(a.node || coalesce(b.node, ''))
+  FROM low a LEFT JOIN low b ON a.g = b.g AND a.lvl = b.lvl AND b.idx = a.idx + 1 WHERE a.n > 1 AND a.idx % 2 = 0),
+subs AS (
+  SELECT g, lvl AS height, node AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(lvl, idx, n, node) AS (
+  SELECT 0, pos, n, subroot FROM subs
+  UNION ALL
+  SELECT a.lvl + 1, a.idx // 2, (a.n + 1) // 2, sha256(a.node || coalesce(b.node, ''))
+  FROM high a LEFT JOIN high b ON a.lvl = b.lvl AND b.idx = a.idx + 1 WHERE a.n > 1 AND a.idx % 2 = 0),
+steps AS (
+  SELECT p.g, p.pos, l.lvl, CASE WHEN s.node IS NULL THEN '=' WHEN s.idx > l.idx THEN '>' || s.node ELSE '<' || s.node END AS step
+  FROM placed p JOIN low l ON l.g = p.g AND l.idx = p.pos >> l.lvl AND l.n > 1
+  LEFT JOIN low s ON s.g = l.g AND s.lvl = l.lvl AND s.idx = xor(l.idx, 1)
+  UNION ALL
+  SELECT p.g, p.pos, q.height + l.lvl, CASE WHEN s.node IS NULL THEN '=' WHEN s.idx > l.idx THEN '>' || s.node ELSE '<' || s.node END
+  FROM placed p JOIN subs q ON q.g = p.g JOIN high l ON l.idx = q.pos >> l.lvl AND l.n > 1
+  LEFT JOIN high s ON s.lvl = l.lvl AND s.idx = xor(l.idx, 1)),
+paths AS (SELECT g, pos, list(step ORDER BY lvl) AS path FROM steps GROUP BY g, pos),
+told AS (
+  SELECT doc_id, leaf, subroot, (SELECT node FROM high WHERE n = 1) AS root,
+    sha256(coalesce(array_to_string(list_transform(path, lambda s : s[2:]), ''), '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(other, leaf), coalesce(path, [])), lambda a, s : CASE s[1] WHEN '<' THEN sha256(s[2:] || a) ELSE sha256(a || s[2:]) END) AS folded_root
+  FROM placed JOIN subs USING (g) LEFT JOIN paths ON paths.g = placed.g AND paths.pos = placed.pos)
+SELECT *, folded_root = root AS verified FROM told
+"""
+
+
+@_query("op13_merkle_manifest", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(read_table(spark, sf_dir, "documents"), tampered=crc_bucket("doc_id", 7) == 0)
