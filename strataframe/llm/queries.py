@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_extract, langid, merkle, pii, quality_rules, simhash, token_counts, toxicity, warc
+from . import bpe, decontaminate, html_extract, langid, lexical_search, merkle, pii, quality_rules, simhash, token_counts, toxicity, warc
 from .common import crc_bucket, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+# Whole-number scores; a document's terms are counted from its text.
+_OP11_SQL = r"""
+WITH item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+doc_terms AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM doc_terms WHERE len(t) > 0),
+counts AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(t) AS term FROM doc_terms) GROUP BY r, term),
+wanted AS (SELECT * FROM counts SEMI JOIN item_terms USING (term)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM wanted, totals GROUP BY term, docs),
+parts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * CAST(len(t) AS BIGINT) * docs) // total))) AS part
+  FROM wanted JOIN weights USING (term) JOIN doc_terms USING (r), totals),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts JOIN item_terms USING (term) GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+@_query("op11_ranked_lexical_search", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), top=50)
+
+
 # The tree level by level in one recursion; siblings as '<' (before) or '>'
 # (after) and the digest, or '=' where a run has one node.  crc32 by its table.
 _OP13_SQL = r"""
