@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, langid, lexical_search, merkle, pii, quality_rules, simhash, token_counts, toxicity, warc
+from . import bpe, decontaminate, html_extract, langid, lexical_search, line_dedup, merkle, pii, quality_rules, simhash, token_counts, toxicity, warc
 from .common import crc_bucket, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +152,27 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), top=50)
 
 
+_OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
+keyed AS (
+  SELECT r, k, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+shared AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+told AS (
+  SELECT r, count(*) AS n_lines, count(s.key) AS n_dropped, string_agg(line, chr(10) ORDER BY k) FILTER (WHERE s.key IS NULL) AS kept
+  FROM keyed LEFT JOIN shared s ON s.key = keyed.key GROUP BY r)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d JOIN told USING (r)
+"""
+
+
+@_query("op12_line_dedup", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 # The tree level by level in one recursion; siblings as '<' (before) or '>'
 # (after) and the digest, or '=' where a run has one node.  crc32 by its table.
 _OP13_SQL = r"""
