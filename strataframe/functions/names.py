@@ -38,6 +38,11 @@ def basename(path) -> Column:
     return F.substring_index(_col(path), "/", -1)
 
 
+def plain_path(path) -> Column:
+    """A path without the ways to write a local scheme."""
+    return F.regexp_replace(_col(path), "^file:/+", "/")
+
+
 def dirname(path) -> Column:
     """Everything before the last ``/`` (empty when there is none)."""
     p = _col(path)

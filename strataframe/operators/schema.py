@@ -2,21 +2,23 @@
 
 The metadata tables are small (one row per published field) and may be
 collected; data tables never are.  Casts are applied *by column name* with
-``try_cast``/``try_to_timestamp``; a failed cast is detected by one
-aggregate (S9) rather than silently becoming null.
+``try_cast``/``try_to_timestamp``; a failed cast is observed while the typed
+table is written (S9) rather than silently becoming null.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
 from ..functions.types import STRING_TYPES, spark_type
+from ..session import scratch_path
 
 VARIABLE_COLUMNS = ("table", "fieldName", "description", "dataType", "units",
                     "downloadPkg", "pubFormat", "primaryKey", "categoricalCodeName")
@@ -89,14 +91,24 @@ def variables_difference(x: DataFrame, y: DataFrame) -> DataFrame:
         y.exceptAll(x).withColumn("side", F.lit("right")))
 
 
-def _null_tokens(c: Column) -> Column:
+class Cell(NamedTuple):
+    """A column of a strictly typed table: its text, and the same read as its
+    declared type (None: it is text)."""
+
+    name: str
+    text: Column
+    typed: Column | None = None
+
+
+def null_tokens(c: Column) -> Column:
+    """The text of a cell; blank cells and ``NA`` are null."""
     s = c.cast("string")
     return F.when(s.isNull() | (F.trim(s) == "") | (s == "NA"), F.lit(None)).otherwise(s)
 
 
 def cast_column(c: Column, field: T.StructField) -> Column:
     """Cast a text column to a declared field (null for unparseable text)."""
-    text = _null_tokens(c)
+    text = null_tokens(c)
     dt = field.dataType
     fmt = (field.metadata or {}).get("pubFormat") or None
     if isinstance(dt, T.StringType):
@@ -106,6 +118,12 @@ def cast_column(c: Column, field: T.StructField) -> Column:
     return F.trim(text).try_cast(dt)
 
 
+def declared_cell(field: T.StructField) -> Cell:
+    """A text column and its reading by a declared field of the same name."""
+    c = F.col(f"`{field.name}`")
+    return Cell(field.name, null_tokens(c), None if isinstance(field.dataType, T.StringType) else cast_column(c, field))
+
+
 def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast every column the schema names; others stay as they are."""
     by_name = {f.name: f for f in schema.fields}
@@ -124,22 +142,45 @@ def cast_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
         f = by_name.get(c)
         if f is None or isinstance(f.dataType, T.StringType):
             continue
-        raw = _null_tokens(F.col(c))
+        raw = null_tokens(F.col(c))
         aggs.append(F.count_if(raw.isNotNull() & cast_column(F.col(c), f).isNull()).alias(f"bad_{c}"))
     if not aggs:
         return df.sparkSession.range(1).select(F.lit(0).alias("bad_none"))
     return df.agg(*aggs)
 
 
+FAULTS = "_faults"
+
+
+def write_strict(df: DataFrame, cells: Sequence[Cell], finish: Callable[[DataFrame], DataFrame] = lambda d: d) -> tuple[DataFrame, bool]:
+    """S9 in one pass: the typed ``cells`` of ``df``, with what ``finish`` makes
+    of them, are written under the shared folder together with the names of the
+    cells of each row that failed their type, and the write itself observes
+    whether there was any.  If none, the written table is the result; else a
+    warning, and the table as text (only then ``df`` is read a second time)."""
+    failed = [F.when(c.typed.isNull() & c.text.isNotNull(), F.lit(c.name)) for c in cells if c.typed is not None]
+    texts = [c.text.alias(c.name) for c in cells]
+    if not failed:
+        return finish(df.select(*texts)), True
+    faults = F.array_compact(F.array(*failed)).alias(FAULTS)
+    typed = finish(df.select(*[(c.text if c.typed is None else c.typed).alias(c.name) for c in cells], faults))
+    seen = Observation()
+    path = scratch_path(df.sparkSession, "typed")
+    typed.observe(seen, F.max(F.size(FAULTS)).alias("most")).write.parquet(path)
+    written = df.sparkSession.read.schema(typed.schema).parquet(path)
+    if (seen.get["most"] or 0) == 0:
+        return written.drop(FAULTS), True
+    bad = sorted(r[0] for r in written.select(F.explode(FAULTS)).distinct().collect())
+    warnings.warn(f"cells failed their declared type in {bad}; table kept as text", stacklevel=3)
+    return finish(df.select(*texts)), False
+
+
 def strict_cast_or_strings(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, bool]:
     """The typed table when every non-null cell casts; else the string
-    table and a warning.  Decided by one aggregate job."""
-    row = cast_failures(df, schema).collect()[0].asDict()
-    bad = {k[4:]: v for k, v in row.items() if v}
-    if bad:
-        warnings.warn(f"cells failed their declared type in {sorted(bad)}; table kept as text", stacklevel=2)
-        return df.select(*[_null_tokens(F.col(c)).alias(c) for c in df.columns]), False
-    return apply_schema(df, schema), True
+    table and a warning.  Columns that ``schema`` lacks stay as they are.  The
+    input is read once, and a second time only for the string table."""
+    by_name = {f.name: f for f in schema.fields}
+    return write_strict(df, [declared_cell(by_name[c]) if c in by_name else Cell(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def field_classes(variables: DataFrame, table: str | None = None) -> DataFrame:
@@ -156,8 +197,8 @@ def cast_by_class(df: DataFrame, variables: DataFrame, table: str | None = None)
     """Cast only the fields present: numeric to double, others to text."""
     classes = {r["fieldName"]: r["class"] for r in field_classes(variables, table).collect()}
     return df.select(*[
-        (F.trim(_null_tokens(F.col(c))).try_cast("double") if classes.get(c) == "numeric"
-         else (_null_tokens(F.col(c)) if c in classes else F.col(c))).alias(c)
+        (F.trim(null_tokens(F.col(c))).try_cast("double") if classes.get(c) == "numeric"
+         else (null_tokens(F.col(c)) if c in classes else F.col(c))).alias(c)
         for c in df.columns
     ])
 
@@ -207,14 +248,14 @@ def cast_by_variables(df: DataFrame, variables: DataFrame) -> DataFrame:
     for c in df.columns:
         t = types.get(c)
         if c in STRING_FIELDS or t is None or t in STRING_TYPES:
-            out.append(_null_tokens(F.col(c)).alias(c) if t is not None else F.col(c))
+            out.append(null_tokens(F.col(c)).alias(c) if t is not None else F.col(c))
         elif t in ("real", "integer", "unsigned integer", "signed integer"):
-            out.append(F.trim(_null_tokens(F.col(c))).try_cast("double").alias(c))
+            out.append(F.trim(null_tokens(F.col(c))).try_cast("double").alias(c))
         elif t == "dateTime":
-            out.append(_null_tokens(F.col(c)).alias(c))
+            out.append(null_tokens(F.col(c)).alias(c))
             dates.append(c)
         else:
-            out.append(_null_tokens(F.col(c)).alias(c))
+            out.append(null_tokens(F.col(c)).alias(c))
     return parse_dates_first_fit(df.select(*out), dates)
 
 
@@ -321,7 +362,7 @@ def unpivot_uris(tables: dict[str, DataFrame], variables: DataFrame) -> DataFram
         df = tables.get(r["table"])
         if df is not None and r["fieldName"] in df.columns:
             parts.append(df.select(F.lit(r["table"]).alias("table"), F.lit(r["fieldName"]).alias("fieldName"),
-                                   _null_tokens(F.col(r["fieldName"])).alias("uri")))
+                                   null_tokens(F.col(r["fieldName"])).alias("uri")))
     if not parts:
         raise ValueError("no table has a field of type uri")
     out = parts[0]

@@ -40,16 +40,11 @@ def with_provenance(df: DataFrame, manifest: DataFrame | None = None, *, file_co
     if manifest is None:
         return out.withColumn("release", N.release_of(f))
     # by the whole path: one name may be published in several releases
-    rel = manifest.groupBy(plain_path(F.col("path")).alias("_mpath")).agg(F.max("release").alias("_mrel"))
-    joined = out.join(rel, plain_path(f) == F.col("_mpath"), "left")
+    rel = manifest.groupBy(N.plain_path(F.col("path")).alias("_mpath")).agg(F.max("release").alias("_mrel"))
+    joined = out.join(rel, N.plain_path(f) == F.col("_mpath"), "left")
     return joined.withColumn("release", F.col("_mrel")).drop("_mpath", "_mrel")
 
 
-def plain_path(path: Column) -> Column:
-    """A path without the ways to write a local scheme."""
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 def with_position(df: DataFrame, table_type: str, *, has_position: bool, file_col: str = "file") -> DataFrame:
     """For non-lab tables without ``siteID``: ``domainID``, ``siteID``
     (and ``horizontalPosition``, ``verticalPosition`` when the files carry a

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import names as N
 from ..operators import manifest as M
+from ..operators import stack as ST
+from ..session import write_once
 from ..sources import csv as C
 
+# The flux bundle and its members, and what the catalogue calls
+# the kinds of remote sensing and of sensor products.
+FLUX_PRODUCTS = (
+    "DP1.00007.001", "DP1.00010.001", "DP1.00030.001", "DP1.00034.001", "DP1.00035.001", "DP1.00036.001", "DP1.00037.001",
+    "DP1.00099.001", "DP1.00100.001", "DP2.00008.001", "DP2.00009.001", "DP2.00024.001", "DP3.00008.001", "DP3.00009.001",
+    "DP3.00010.001", "DP4.00002.001", "DP4.00007.001", "DP4.00067.001", "DP4.00137.001", "DP4.00200.001", "DP4.00201.001",
+)
+AIRBORNE_KINDS = ("AOP Data Product Type",)
+SENSOR_KINDS = ("TIS Data Product Type", "AIS Data Product Type")
+
 
 def select_product_files(manifest: DataFrame, *, sites="all", start: str | None = None,
                          end: str | None = None, package: str = "basic", release: str = "current",
@@ -49,26 +64,74 @@ def query_files(manifest: DataFrame, *, sites="all", start: str | None = None, e
     return {"files": files, "newest_variables": newest, "variables_by_md5": per_md5, "versions": versions}
 
 
+def check_queryable(products: list[str], kinds: DataFrame | None = None) -> str | None:
+    """Raises unless the tables asked for are of one product with tables to
+    query: not the flux bundle or one of its members, nor remote sensing, which
+    the catalogue's ``kinds(product, kind)`` says.  Returns the product's kind."""
+    if len(products) > 1:
+        raise ValueError(f"tables of one product are queried at a time, not of {products}")
+    flux = sorted(set(products) & set(FLUX_PRODUCTS))
+    if flux:
+        raise ValueError(f"{flux[0]} is a flux product; its series can't be queried as tables")
+    if kinds is None or not products:
+        return None
+    row = kinds.filter(F.col("product") == products[0]).select("kind").first()
+    if row is not None and row["kind"] in AIRBORNE_KINDS:
+        raise ValueError(f"{products[0]} is a remote sensing product; it has no tables to query")
+    return None if row is None else row["kind"]
+
+
 def dataset_query(spark: SparkSession, manifest: DataFrame, *, table: str, sites="all",
                   start: str | None = None, end: str | None = None, package: str = "basic",
                   release: str = "current", include_provisional: bool = False,
-                  hor: str | None = None, ver: str | None = None) -> DataFrame:
-    """Q1: a lazy, uncollected scan of one table's current files with a
-    ``file`` column, for the caller's DataFrame or SQL verbs.  Sensor tables
-    need one site and one position."""
+                  hor: str | None = None, ver: str | None = None, kinds: DataFrame | None = None) -> DataFrame | None:
+    """Q1: a lazy, uncollected scan of one table's current files, for the
+    caller's DataFrame or SQL verbs: its cells as text, ``file``, and from the
+    file's path ``siteID`` and ``domainID`` (of tables that lack them),
+    ``month``, ``publicationDate`` and ``release``.
+
+    Columns that aren't used aren't read, predicates on cells reach the reader,
+    and those on what the path says choose the files.  Sensor tables need one
+    site and one position; of observational and ``ais_`` tables a position is
+    ignored with a warning.  Flux and remote sensing products, and files of more
+    or less than exactly one table, raise.  None if no file is left.
+
+    Arguments that don't fit the files raise here, when the query is planned:
+    one pass over the manifest, none over the data."""
     if not table:
         raise ValueError("a table name is required")
-    sensor = manifest.filter(F.col("table") == table).agg(F.bool_or(F.col("hor").isNotNull())).first()[0]
-    if sensor and (isinstance(sites, DataFrame) or sites == "all" or (not isinstance(sites, str) and len(list(sites)) != 1) or hor is None or ver is None):
-        raise ValueError("a sensor table is queried for one site and one position: give sites, hor and ver")
+    named = manifest.filter(F.col("table") == table)
+    seen = named.agg(F.bool_or(F.col("hor").isNotNull()).alias("sensor"), F.array_sort(F.collect_set("product")).alias("products")).first()
+    kind = check_queryable(seen["products"], kinds)
+    if table.startswith("ais_"):
+        if hor is not None or ver is not None:
+            warnings.warn("ais_ tables have no positions to choose from; hor and ver are ignored", stacklevel=2)
+        hor = ver = None
+    elif kind in SENSOR_KINDS or (kind is None and seen["sensor"]):
+        several = isinstance(sites, DataFrame) or sites == "all" or (not isinstance(sites, str) and len(list(sites)) != 1)
+        if several or hor is None or ver is None:
+            raise ValueError("a sensor table is queried for one site and one position: give sites, hor and ver")
+    elif hor is not None or ver is not None:
+        warnings.warn("the table is observational; hor and ver are ignored", stacklevel=2)
+        hor = ver = None
     man = select_product_files(manifest, sites=sites, start=start, end=end, package=package,
                                release=release, include_provisional=include_provisional,
                                table=table, metadata=False)
     if hor is not None or ver is not None:
         man = M.filter_position(man, hor, ver, table=table)
-    man = M.as_of_publication(man, None)
-    man = M.select_files_by_type(man.filter(F.col("table") == table))
-    return C.scan_csv(spark, man)
+    man = write_once(M.select_files_by_type(M.as_of_publication(man, None)), "query-files")
+    left = man.select("table", "table_type").distinct().limit(2).collect()
+    if not left:
+        return None
+    if len(left) > 1:
+        raise ValueError(f"the files are of more than one table: {sorted(r['table'] for r in left)}")
+    if left[0]["table"] != table:
+        warnings.warn(f"the files asked for as {table} name their table {left[0]['table']}", stacklevel=2)
+    raw = C.scan_csv(spark, man, checked=False)
+    if raw is None:
+        return None
+    placed = ST.with_position(ST.with_provenance(raw), left[0]["table_type"], has_position=bool(seen["sensor"]))
+    return placed if "month" in placed.columns else placed.withColumn("month", N.month_of(N.basename("file")))
 
 
 def events_by_type(df: DataFrame, event_type: str, column: str = "eventType") -> DataFrame:

@@ -1,15 +1,19 @@
 """Stacking plans (T14-T18): compositions of manifest, scan, schema and
-stack operators.  Every returned table stays lazy; only file lists,
-headers and variables tables are collected while planning.
+stack operators.  Only file lists, headers and variables tables are collected
+while planning; a strictly typed table is parsed and written in one pass.
 """
 
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import names as N
+from ..functions.types import spark_type
 from ..operators import manifest as M
 from ..operators import schema as S
 from ..operators import stack as ST
@@ -35,13 +39,6 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("row_no", F.monotonically_increasing_id()).drop("file")
 
 
-def variables_versions(spark: SparkSession, manifest: DataFrame) -> dict[str, DataFrame]:
-    """T5: the distinct variables files of ``manifest`` by content digest; of
-    equal ones the newest is read."""
-    chosen = version_digests(spark, manifest).groupBy("version").agg(F.max_by("path", F.struct(F.coalesce("publication", F.lit("")), "path")).alias("path"))
-    return {r["version"]: read_versions(spark, r["path"]) for r in chosen.orderBy("version").collect()}
-
-
 def version_digests(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """``(path, publication, version)`` of the variables files: the md5 of the
     manifest, or where it has none that of the file's bytes."""
@@ -49,75 +46,158 @@ def version_digests(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     unknown = [r["path"] for r in var.filter("md5 is null").select("path").distinct().collect()]
     if not unknown:
         return var.select("path", "publication", F.col("md5").alias("version"))
-    read = spark.read.format("binaryFile").load(unknown).select(_plain("path").alias("_plain"), F.md5("content").alias("_digest"))
-    met = var.join(read, _plain("path") == F.col("_plain"), "left")
+    read = spark.read.format("binaryFile").load(unknown).select(N.plain_path("path").alias("_plain"), F.md5("content").alias("_digest"))
+    met = var.join(read, N.plain_path("path") == F.col("_plain"), "left")
     return met.select("path", "publication", F.coalesce("md5", "_digest", "path").alias("version"))
 
 
-def _plain(path: str):
-    """A path without the scheme of local files, whose slashes vary."""
-    return F.regexp_replace(path, "^file:/+", "/")
+def version_fields(spark: SparkSession, files: DataFrame, table: str, package: str) -> list:
+    """T5: the fields that each of the variables ``files(path, version)`` gives
+    a table, in order: one scan of them all.  A row for each field and version
+    is collected, which is metadata."""
+    raw = C.scan_csv(spark, files)
+    if raw is None:
+        return []
+    rows = raw.withColumn("row_no", F.monotonically_increasing_id()).filter(F.col("table") == table)
+    if package == "basic":
+        rows = rows.filter(F.col("downloadPkg") == "basic")
+    named = files.select(N.plain_path("path").alias("_path"), "version")
+    met = rows.join(named, N.plain_path("file") == F.col("_path"))
+    return met.select("version", "row_no", "fieldName", "dataType", "pubFormat").orderBy("version", "row_no").collect()
+
+
+def version_cells(rows: list, versions: list[str], present: list[str], package: str, version: Column) -> tuple[list[S.Cell], bool]:
+    """T5: how each field's cells are read, as one expression over all
+    ``versions``: by the number that ``version`` gives a row where versions
+    differ in its format, as text where they differ in its type.  In a basic
+    table a version that lacks a field leaves it null; an expanded one reads it
+    as the others do.  Also whether any cell depends on the version."""
+    declared: dict[str, dict[int, T.StructField]] = {}
+    for r in rows:
+        kind = T.StructField(r["fieldName"], spark_type(r["dataType"], r["pubFormat"]), True, {"dataType": r["dataType"] or "", "pubFormat": r["pubFormat"] or ""})
+        declared.setdefault(r["fieldName"], {}).setdefault(versions.index(r["version"]), kind)
+    cells, depends = [], False
+    for name, by in declared.items():
+        if name not in present:
+            continue
+        kinds: dict[str, tuple[T.StructField, list[int]]] = {}
+        for number, kind in by.items():
+            kinds.setdefault(kind.json(), (kind, []))[1].append(number)
+        (first, _), *others = kinds.values()
+        cell = S.declared_cell(first)
+        if len({kind.dataType for kind, _ in kinds.values()}) > 1:
+            cell = cell._replace(typed=None)
+        elif cell.typed is not None and others:
+            typed = cell.typed
+            for kind, numbers in others:
+                typed = F.when(version.isin(numbers), S.declared_cell(kind).typed).otherwise(typed)
+            cell, depends = cell._replace(typed=typed), True
+        if package == "basic" and len(by) < len(versions):
+            here = version.isin(list(by))
+            cell = S.Cell(name, F.when(here, cell.text), None if cell.typed is None else F.when(here, cell.typed))
+            depends = True
+        cells.append(cell)
+    return cells, depends
 
 
 def stack_versions(spark: SparkSession, manifest: DataFrame, table: str, *, package: str = "basic") -> DataFrame | None:
     """T5 + T14: each file of a table typed by the variables file published with
-    it (C18), the files of equal variables files together, the versions unioned
-    by name; a field that two versions type differently becomes text."""
+    it (C18).  However many versions of these there are, the plan is one scan:
+    versions are data, told apart by content, and a row's version follows from
+    its file's product and publication.  A field that versions type differently
+    is text; a cell that fails its version's type makes the table text (S9)."""
     files = M.select_files_by_type(manifest.filter(F.col("table") == table))
+    kind = table_kind(files, table)
+    if kind is None:
+        return None
     var = manifest.filter(F.col("name").contains(".variables."))
-    matched = M.match_variables_by_publication(files, var)
-    parts = []
-    digests = version_digests(spark, manifest).select(F.col("path").alias("variables_path"), "version").distinct()
-    matched = write_once(matched.join(digests, "variables_path"), "versions")
-    used = var.join(matched.select("variables_path").distinct(), F.col("path") == F.col("variables_path"), "left_semi")
-    for version, variables in variables_versions(spark, used).items():
-        own = matched.filter(F.col("version") == version).drop("version", "variables_path", "variables_publication")
-        part = stack_table(spark, own, table, variables=variables, package=package)
-        if part is not None:
-            parts.append(part)
-    return ST.union_evolving(parts) if parts else None
+    digests = version_digests(spark, var).select(F.col("path").alias("variables_path"), "version").distinct()
+    matched = M.match_variables_by_publication(files, var).join(digests, "variables_path")
+    matched = write_once(matched.withColumn("_stamp", N.publication_stamp(F.col("name"))), "versions")
+    raw = C.scan_csv(spark, matched)
+    if raw is None:
+        return None
+    used = matched.groupBy("version").agg(F.min("variables_path").alias("path"))
+    versions = sorted(r["version"] for r in used.select("version").collect())
+    rows = version_fields(spark, used, table, package)
+    present = [c for c in raw.columns if c != "file"]
+    cells, depends = version_cells(rows, versions, present, package, F.col("_version"))
+    if package != "basic":
+        named = {c.name for c in cells}
+        cells += [S.Cell(c, F.col(f"`{c}`")) for c in present if c not in named]
+    if depends:
+        numbers = F.create_map(*[F.lit(x) for i, v in enumerate(versions) for x in (v, i)])
+        stamps = matched.select(F.col("product").alias("_product"), "_stamp", numbers[F.col("version")].alias("_version")).distinct()
+        name = N.basename(F.col("file"))
+        raw = raw.join(hinted(stamps, 128), N.product_of(name).eqNullSafe(F.col("_product")) & (N.publication_stamp(name) == F.col("_stamp")))
+    out, _ = S.write_strict(raw, [*cells, S.Cell("file", F.col("file"))], finisher(*kind))
+    return out
 
 
-def stack_table(spark: SparkSession, manifest: DataFrame, table: str, *,
-                variables: DataFrame | None = None, package: str = "basic",
-                sort: bool = False, strict: bool = True) -> DataFrame | None:
-    """Choose files (C14), scan by header (T1), de-duplicate review
-    flags (T12), type by the variables schema (S1, ladder S9), add
-    provenance (T7) and position (T8), optionally sort (T9), drop ``file``."""
-    files = manifest.filter(F.col("table") == table)
+#: A table is broadcast only up to this size.
+BROADCAST_BYTES = 8 << 20
+
+
+def hinted(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` to be broadcast if its counted rows allow it."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def table_kind(files: DataFrame, table: str) -> tuple[str, bool] | None:
+    """The publication type of a table's files, and whether they carry a
+    sensor position; None without files.  Several types raise."""
     info = files.agg(
         F.max(F.col("hor").isNotNull().cast("int")).alias("has_pos"),
         F.array_sort(F.collect_set("table_type")).alias("types"),
-    ).collect()[0]
+    ).first()
     if not info["types"]:
         return None
     if len(info["types"]) > 1:
         raise ValueError(f"files of {table} are of several kinds: {info['types']}")
-    ttype = info["types"][0]
-    chosen = M.select_files_by_type(files)
-    raw = C.scan_csv(spark, chosen)
+    return info["types"][0], bool(info["has_pos"])
+
+
+def finisher(table_type: str, has_position: bool) -> Callable[[DataFrame], DataFrame]:
+    """Provenance and position from the file, which then goes."""
+    return lambda df: ST.drop_columns(ST.with_position(ST.with_provenance(df), table_type, has_position=has_position), "file")
+
+
+def stack_table(spark: SparkSession, manifest: DataFrame, table: str, *,
+                variables: DataFrame | None = None, package: str = "basic",
+                sort: bool = False, strict: bool = True) -> DataFrame | None:
+    """Choose files (C14), scan by header (T1), de-duplicate review
+    flags (T12), type by the variables schema (S1, ladder S9), add
+    provenance (T7) and position (T8), optionally sort (T9), drop ``file``.
+
+    A strict table is written once, typed, while it is parsed, and the result
+    reads what was written; with ``strict=False`` it stays a lazy scan in which
+    cells that fail their type are null."""
+    files = manifest.filter(F.col("table") == table)
+    kind = table_kind(files, table)
+    if kind is None:
+        return None
+    raw = C.scan_csv(spark, M.select_files_by_type(files))
     if raw is None:
         warnings.warn(f"no readable file for table {table}", stacklevel=2)
         return None
     if table == "science_review_flags":
         raw = ST.dedupe_latest_by_id(raw)
     schema = S.schema_from_variables(variables, table, package) if variables is not None else None
-    if schema is not None:
-        present = [f for f in schema.fields if f.name in raw.columns]
-        schema = type(schema)(present)
+    finish = finisher(*kind)
+    if schema is None:
+        out = finish(raw)
+    else:
+        cells = [S.declared_cell(f) for f in schema.fields if f.name in raw.columns]
+        named = {c.name for c in cells}
+        # a basic table has the basic fields only; an expanded one shows all
+        if package != "basic":
+            cells += [S.Cell(c, F.col(f"`{c}`")) for c in raw.columns if c not in named and c != "file"]
+        cells.append(S.Cell("file", F.col("file")))
         if strict:
-            raw, _ = S.strict_cast_or_strings(raw, schema)
+            out, _ = S.write_strict(raw, cells, finish)
         else:
-            raw = S.apply_schema(raw, schema)
-        named = {f.name for f in schema.fields}
-        # a basic table has the basic fields only; an expanded one shows all
-        extra = [] if package == "basic" else [c for c in raw.columns if c not in named and c != "file"]
-        raw = raw.select(*[f.name for f in schema.fields], *extra, "file")
-    out = ST.with_provenance(raw)
-    out = ST.with_position(out, ttype, has_position=bool(info["has_pos"]))
-    if sort:
-        out = ST.order_stacked(out)
-    return ST.drop_columns(out, "file")
+            out = finish(raw.select(*[(c.text if c.typed is None else c.typed).alias(c.name) for c in cells]))
+    return ST.order_stacked(out) if sort else out
 
 
 def table_key(table: str, variables_md5: str | None = None) -> str:

@@ -1,33 +1,41 @@
 """CSV scans of published files whose columns drift over time.
 
-Spark's CSV reader maps columns by *position*, for all files of a read alike,
-and wants the list of files on the driver.  Published files of one table differ
-in which columns they have and in what order, so the scan is by name instead:
-
-1. the header line of every file is read on the executors, and the distinct
-   headers (a handful, however many files there are) give the columns;
-2. the files themselves are dealt to tasks by size and streamed there as Arrow
-   batches of text, each file's columns by its own header, missing ones null.
-
-The list of files stays a DataFrame throughout.  A file that can't be read or
-decoded, and a row with more or fewer cells than its header, fail the scan with
-the file's path.  Types are applied afterwards by name (``operators.schema``).
+Spark's CSV reader maps columns by *position*, for all files of a read alike;
+published files of one table differ in which columns they have and in what
+order.  So the scan is by name, in two steps:
+
+1. the header line of every file is read on the executors; the files are
+   grouped by header (a handful of them, however many files there are);
+2. each group is one native scan with its header as the schema, and the groups
+   are a union by name, columns that a group lacks null.
+
+The result is an ordinary lazy plan, so Catalyst does the rest: columns that
+aren't used aren't converted (``ReadSchema``), predicates on cells reach the
+reader (``PushedFilters``), and predicates on what a file's path says (its site,
+month, publication or release, all expressions of ``file``) choose the files
+before any is opened.  Spark packs small files into partitions by size and
+splits large ones; a quoted line break can't be split at, so a large file is
+split only if no line of it has an odd number of quotes.
+
+The reader lists files on the driver, as every Spark file scan does: a path and
+a size for each file of the scan.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import os
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-import pyarrow as pa
-from pyarrow import csv as pacsv
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import names as N
+
 NULL_TOKEN = "NA"
 CSV_OPTIONS = {
     "header": "true",
@@ -35,10 +43,15 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "nullValue": NULL_TOKEN,
+    "emptyValue": NULL_TOKEN,
     "mode": "FAILFAST",
 }
-#: Bytes of files that one task reads.
-TASK_BYTES = 64 << 20
+#: Files whose headers one task reads.
+TASK_FILES = 256
+#: Files from this size on are split if their line breaks allow it.
+SPLIT_BYTES = 128 << 20
+#: What the decoder puts in place of bytes that are not UTF-8.
+UNDECODED = "\ufffd"
 
 
 def _local_path(path: str) -> str | None:
@@ -68,30 +81,44 @@ def read_header(path: str) -> list[str]:
         return next(csv.reader(fh), [])
 
 
+def file_size(path: str) -> int:
+    local = _local_path(path)
+    if local is not None:
+        return os.path.getsize(local)
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return filesystem.get_file_info(inner).size or 0
+
+
 def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        headers = []
-        for p in pdf["path"]:
+        headers, sizes = [], []
+        for p, size in zip(pdf["path"], pdf["size"]):
             try:
                 headers.append(read_header(p))
+                sizes.append(file_size(p) if pd.isna(size) else int(size))
             except (OSError, UnicodeDecodeError, csv.Error) as e:
                 raise ValueError(f"the header of {p} can't be read: {e}") from e
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+        yield pd.DataFrame({"path": pdf["path"], "size": sizes, "header": headers})
 
 
-def _dealt(files: DataFrame) -> DataFrame:
-    """Distinct paths, dealt to tasks of about ``TASK_BYTES``."""
-    size = F.max("size") if "size" in files.columns else F.lit(None)
-    paths = files.groupBy(F.col("path").cast("string").alias("path")).agg(F.coalesce(size.cast("long"), F.lit(1 << 20)).alias("_size"))
-    total = paths.agg(F.sum("_size"), F.count(F.lit(1))).first()
-    tasks = max(1, min(total[1], max(paths.sparkSession.sparkContext.defaultParallelism, (total[0] or 0) // TASK_BYTES + 1)))
-    return paths.repartition(tasks, "path").select("path")
+def probe_headers(files: DataFrame) -> DataFrame:
+    """(path, size, header array<string>) for each distinct path of ``files``.
+    One first-line read per file, on the executors; an unreadable file fails."""
+    size = F.max(F.col("size").cast("long")) if "size" in files.columns else F.lit(None).cast("long")
+    paths = files.groupBy(F.col("path").cast("string").alias("path")).agg(size.alias("size"))
+    tasks = max(1, min(paths.sparkSession.sparkContext.defaultParallelism * 4, paths.count() // TASK_FILES + 1))
+    return paths.repartition(tasks, "path").mapInPandas(_probe, "path string, size long, header array<string>")
 
 
-def probe_headers(files: DataFrame) -> DataFrame:
-    """(path, header array<string>) for each file of ``files``.  One first-line
-    read per file, on the executors; an unreadable file fails."""
-    return _dealt(files).mapInPandas(_probe, "path string, header array<string>")
+def header_groups(files: DataFrame) -> list[tuple[tuple[str, ...], list[tuple[str, int]]]]:
+    """The files of ``files`` by header: (header, [(path, size)]), in the order
+    of the first path that has each.  Empty files are left out."""
+    groups: dict[tuple[str, ...], list[tuple[str, int]]] = {}
+    for r in probe_headers(files).filter(F.size("header") > 0).collect():  # as a scan's own listing
+        groups.setdefault(tuple(r["header"]), []).append((r["path"], r["size"]))
+    return sorted(((h, sorted(paths)) for h, paths in groups.items()), key=lambda g: g[1][0])
 
 
 def string_schema(names: Sequence[str]) -> T.StructType:
@@ -99,13 +126,17 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def read_csv_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str],
-                   **options) -> DataFrame:
+def read_csv_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str], **options) -> DataFrame:
     """T1 for files that share one header: string columns by that header,
-    plus the source ``file`` (T6)."""
+    plus the source ``file`` (T6).  Of columns that share a name the last counts."""
     opts = {**CSV_OPTIONS, **options}
-    df = spark.read.options(**opts).schema(string_schema(header)).csv(list(paths))
-    return with_file(df)
+    plain = len({h.lower() for h in header}) == len(header) and "" not in header
+    names = list(header) if plain else [f"_cell{i}" for i in range(len(header))]
+    df = with_file(spark.read.options(**opts).schema(string_schema(names)).csv(list(paths)))
+    if plain:
+        return df
+    last = {h: n for h, n in zip(header, names)}
+    return df.select(*[F.col(n).alias(h) for h, n in last.items()], "file")
 
 
 def with_file(df: DataFrame) -> DataFrame:
@@ -132,48 +163,49 @@ def superset_header(spark: SparkSession, files: DataFrame) -> list[str]:
     return list(dict.fromkeys(h for header in distinct_headers(files) for h in header))
 
 
-def _stream(columns: Sequence[str]):
-    """Reads the files of a task as batches of text columns and ``file``."""
-    schema = pa.schema([(c, pa.string()) for c in [*columns, "file"]])
-
-    def batches_of(path: str) -> Iterator[pa.RecordBatch]:
-        header = read_header(path)
-        if not header:
-            return
-        with open_binary(path) as fh:
-            reader = pacsv.open_csv(
-                fh,
-                read_options=pacsv.ReadOptions(use_threads=False),
-                parse_options=pacsv.ParseOptions(newlines_in_values=True),
-                convert_options=pacsv.ConvertOptions(
-                    column_types={h: pa.string() for h in header}, null_values=[NULL_TOKEN, ""], strings_can_be_null=True
-                ),
-            )
-            for batch in reader:
-                given = dict(zip(batch.schema.names, batch.columns))
-                empty = pa.nulls(batch.num_rows, pa.string())
-                cells = [given.get(c, empty) for c in columns]
-                yield pa.RecordBatch.from_arrays([*cells, pa.array([path] * batch.num_rows, pa.string())], schema=schema)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for paths in batches:
-            for path in paths.column("path").to_pylist():
-                try:
-                    yield from batches_of(path)
-                except (OSError, UnicodeDecodeError, csv.Error, pa.ArrowInvalid) as e:
-                    raise ValueError(f"{path} can't be read as CSV: {e}") from e
-
-    return read
-
-
-def scan_csv(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+def whole_line_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Those of ``paths`` in which every line is whole: none has an odd number
+    of quotes, so a record may begin at any line.  One text scan of the files."""
+    lines = spark.read.text(list(paths)).select("value", N.plain_path("_metadata.file_path").alias("file"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    broken = {r["file"] for r in lines.where(odd).select("file").distinct().collect()}
+    return {p for p in paths if (_local_path(p) or p) not in broken}
+
+
+def _decoded(name: str) -> Column:
+    """A cell, failing on bytes that are not UTF-8."""
+    c = F.col(f"`{name}`")
+    said = F.concat(F.col("file"), F.lit(f" can't be read as CSV: {name} has bytes that are not UTF-8"))
+    return F.when(F.contains(c, F.lit(UNDECODED)), F.raise_error(said)).otherwise(c).alias(name)
+
+
+def scan_csv(spark: SparkSession, files: DataFrame, *, checked: bool = True) -> DataFrame | None:
     """Scan the files of ``files`` (a manifest or any frame with ``path``
     and perhaps ``size``) as strings by name, with the ``file`` column (T6).
-    Empty files have no rows.  Returns None when no file has a header."""
-    columns = superset_header(spark, files)
-    if not columns:
+    A path that occurs twice is read once; empty files have no rows.  Returns
+    None when no file has a header.
+
+    With ``checked``, a row with more or fewer cells than its header, and a cell
+    that isn't UTF-8, fail the scan with the file's path.  Without, the plan is
+    open to pushdown on cells: only the cells a query uses are looked at, lacking
+    ones are null, and undecodable bytes show as U+FFFD."""
+    groups = header_groups(files)
+    if not groups:
         return None
-    return _dealt(files).mapInArrow(_stream(columns), string_schema([*columns, "file"]))
+    large = [p for _, own in groups for p, size in own if size >= SPLIT_BYTES]
+    whole = whole_line_files(spark, large) if large else set()
+    pruned = {} if checked else {"mode": "PERMISSIVE"}
+    parts = []
+    for header, own in groups:
+        split = [p for p, _ in own if p in whole]
+        rest = [p for p, _ in own if p not in whole]
+        if rest:
+            parts.append(read_csv_group(spark, rest, header, columnPruning=str(not checked).lower(), **pruned))
+        if split:
+            parts.append(read_csv_group(spark, split, header, columnPruning=str(not checked).lower(), multiLine="false", **pruned))
+    columns = dict.fromkeys(h for header, _ in groups for h in header)
+    out = union_by_name(parts).select(*[f"`{c}`" for c in columns], "file")
+    return out.select(*[_decoded(c) for c in columns], "file") if checked else out
 
 
 def _fits(c: Column) -> Column:

@@ -86,6 +86,28 @@ def test_sensor_tables_need_one_place(spark):
         Q.select_product_files(man, table="ord_x_30min", time_index=30)
 
 
+def test_products_and_tables_that_are_not_queried(spark):
+    def files(product, *tables):
+        return manifest_of(spark, [f"r/NET.D01.ST00.{product}.{t}.2024-01.basic.20240101T000000Z.csv" for t in tables])
+
+    with pytest.raises(ValueError, match="flux product"):
+        Q.dataset_query(spark, files("DP4.00200.001", "ord_x"), table="ord_x")
+    kinds = spark.createDataFrame([("DP3.30015.001", "AOP Data Product Type"), ("DP1.00001.001", "TIS Data Product Type")], "product string, kind string")
+    with pytest.raises(ValueError, match="remote sensing"):
+        Q.dataset_query(spark, files("DP3.30015.001", "ord_x"), table="ord_x", kinds=kinds)
+    with pytest.raises(ValueError, match="one site and one position"):
+        Q.dataset_query(spark, files("DP1.00001.001", "ord_x"), table="ord_x", kinds=kinds)
+    both = files("DP1.00002.001", "ord_x").unionByName(files("DP1.00003.001", "ord_x"))
+    with pytest.raises(ValueError, match="one product"):
+        Q.dataset_query(spark, both, table="ord_x")
+    # one file whose name holds two table parts, another that has the second only
+    with pytest.raises(ValueError, match="more than one table"):
+        Q.dataset_query(spark, files("DP1.00002.001", "ord_y.ord_x", "ord_x"), table="ord_x")
+    assert Q.dataset_query(spark, files("DP1.00002.001", "ord_x"), table="ord_x", sites=["ZZ99"]) is None
+    with pytest.warns(UserWarning, match="hor and ver are ignored"):
+        assert Q.dataset_query(spark, files("DP1.00002.001", "ais_x"), table="ais_x", sites=["ZZ99"], hor="000") is None
+
+
 def test_points_and_grids_that_raise(spark):
     schema = "easting string, northing string"
     for rows in ([("1", None)], [(None, None)], [("x", "1")]):

@@ -4,8 +4,10 @@ import sys
 
 import pytest
 
+from strataframe.plans import query as Q
 from strataframe.plans.stack import load_table, stack_store
 from strataframe.sources import csv as C
+from strataframe.sources.listing import scan_manifest
 
 PREFIX = "NET.D01.ST00.DP1.00001.001"
 VARIABLES = (
@@ -95,20 +97,114 @@ def test_workers_started_elsewhere_can_import_the_package(tmp_path):
     assert "rows 1" in done.stdout, done.stderr[-2000:]
 
 
-def test_versions_are_told_apart_by_content(spark, tmp_path, monkeypatch):
-    """Four publications, two variables versions: one part each, and the field
-    that they type differently becomes text."""
+def store_of_versions(root, versions):
+    """One file and one variables file for each (variables text, price cell, time cell)."""
+    for k, (said, price, time) in enumerate(versions):
+        stamp, month = f"202406{k % 28 + 1:02d}T00{k // 28:02d}00Z", f"2024-{k % 12 + 1:02d}"
+        folder = f"{root}/{PREFIX}.{month}.basic.{stamp}.RELEASE-2024"
+        put(f"{folder}/{PREFIX}.ord_a.{month}.basic.{stamp}.csv", f"key,price,note,at\n{k},{price},n,{time}\n")
+        put(f"{folder}/{PREFIX}.variables.{stamp}.csv", said)
+
+
+def test_versions_are_told_apart_by_content(spark, tmp_path):
+    """Four publications, two variables versions: the field that they type
+    differently becomes text."""
     from strataframe.plans import stack as P
-    from strataframe.sources.listing import scan_manifest
 
-    for k, month in enumerate(("2024-01", "2024-02", "2024-03", "2024-04")):
-        stamp, said = f"2024060{k + 1}T000000Z", VARIABLES if k != 2 else VARIABLES.replace("price,p,real", "price,p,string")
-        folder = f"{tmp_path}/{PREFIX}.{month}.basic.{stamp}.RELEASE-2024"
-        put(f"{folder}/{PREFIX}.ord_a.{month}.basic.{stamp}.csv", f"key,price,note\n{k},{k}.5,n\n")
-        put(f"{folder}/{PREFIX}.variables.{stamp}.csv", said)
-    parts, own = [], P.stack_table
-    monkeypatch.setattr(P, "stack_table", lambda *a, **b: parts.append(own(*a, **b)) or parts[-1])
+    other = VARIABLES.replace("price,p,real", "price,p,string")
+    store_of_versions(tmp_path, [(VARIABLES if k != 2 else other, f"{k}.50", "") for k in range(4)])
+    man = scan_manifest(spark, str(tmp_path))
+    assert P.version_digests(spark, man).select("version").distinct().count() == 2
+    out = P.stack_versions(spark, man, "ord_a")
+    assert sorted((r.key, r.price) for r in out.select("key", "price").collect()) == [(k, f"{k}.50") for k in range(4)]
+
+
+def test_three_versions_with_formats_types_and_lacking_fields(spark, tmp_path):
+    from strataframe.plans import stack as P
+
+    at = "ord_a,at,t,dateTime,,basic,{},N,\n"
+    second, minute = at.format("yyyy-MM-dd'T'HH:mm:ss'Z'"), at.format("yyyy-MM-dd'T'HH:mm'Z'(floor)")
+    store_of_versions(tmp_path, [
+        (VARIABLES + second, "1.50", "2024-01-01T10:20:30Z"),
+        (VARIABLES.replace("real", "string") + minute, "2.50", "2024-01-01T10:20Z"),
+        (VARIABLES, "3.50", "not declared"),
+    ])
     out = P.stack_versions(spark, scan_manifest(spark, str(tmp_path)), "ord_a")
-    assert len(parts) == 2
-    assert sorted(p.schema["price"].dataType.simpleString() for p in parts) == ["double", "string"]
-    assert sorted((r.key, r.price) for r in out.select("key", "price").collect()) == [(k, f"{k}.5") for k in range(4)]
+    assert dict(out.dtypes)["at"] == "timestamp" and dict(out.dtypes)["price"] == "string"
+    got = sorted((r.key, r.price, r.at and r.at.strftime("%H:%M:%S")) for r in out.collect())
+    assert got == [(0, "1.50", "10:20:30"), (1, "2.50", "10:20:00"), (2, "3.50", None)]
+    with pytest.warns(UserWarning, match="kept as text"):
+        expanded = P.stack_versions(spark, scan_manifest(spark, str(tmp_path)), "ord_a", package="expanded")
+    assert sorted(r.at for r in expanded.select("at").collect()) == ["2024-01-01T10:20:30Z", "2024-01-01T10:20Z", "not declared"]
+
+
+def test_fifty_versions_are_one_scan(spark, tmp_path, monkeypatch):
+    from strataframe.plans import stack as P
+
+    scans, own = [], C.scan_csv
+    monkeypatch.setattr(C, "scan_csv", lambda *a, **b: scans.append(own(*a, **b)) or scans[-1])
+    store_of_versions(tmp_path, [(VARIABLES + f"ord_a,f{k},x,real,,basic,*,N,\n", f"{k}.5", "") for k in range(50)])
+    out = P.stack_versions(spark, scan_manifest(spark, str(tmp_path)), "ord_a")
+    assert sorted(r.price for r in out.select("price").collect()) == [k + 0.5 for k in range(50)]
+    assert len(scans) == 2  # the data files and the variables files
+    assert scans[0]._jdf.queryExecution().analyzed().toString().count("Relation [") == 1
+
+
+def leaves(df):
+    """The file scans of an executed plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def test_a_query_opens_matching_files_and_columns_only(spark, both_packages):
+    man = scan_manifest(spark, both_packages)
+    df = Q.dataset_query(spark, man, table="ord_a", package="basic")
+    everything = leaves(df)
+    assert sum(x.metrics().apply("numFiles").value() for x in everything) == 2
+    one = df.filter("month = '2024-02' AND price = '3'").select("key")
+    (scan,) = leaves(one)
+    assert scan.metrics().apply("numFiles").value() == 1
+    said = one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(price,3)" in said and "ReadSchema: struct<key:string,price:string>" in said
+    assert [r.key for r in one.collect()] == ["2"]
+    assert sum(x.metrics().apply("numFiles").value() for x in leaves(df.filter("siteID = 'ST99'"))) == 0
+
+
+def test_large_files_are_split_where_lines_are_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "SPLIT_BYTES", 1000)
+    whole = put(f"{tmp_path}/whole.csv", "k,v\n" + "".join(f'{i},"a, ""{i}"""\n' for i in range(2000)))
+    broken = put(f"{tmp_path}/broken.csv", "k,v\n" + "".join(f'{i},"b\n{i}"\n' for i in range(2000, 2100)))
+    small = put(f"{tmp_path}/small.csv", 'k,v\n9999,"c\nd"\n')
+    assert C.whole_line_files(spark, [whole, broken]) == {whole}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = C.scan_csv(spark, files_of(spark, [whole, broken, small]))
+        assert df.rdd.getNumPartitions() > 4
+        rows = {int(r.k): r.v for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {i: f'a, "{i}"' for i in range(2000)} | {i: f"b\n{i}" for i in range(2000, 2100)} | {9999: "c\nd"}
+    assert rows == want
+
+
+def test_a_strict_table_is_parsed_once(spark, both_packages, monkeypatch):
+    from strataframe.plans import stack as P
+
+    scans, own = [], C.scan_csv
+    monkeypatch.setattr(C, "scan_csv", lambda *a, **b: scans.append(1) or own(*a, **b))
+    man = scan_manifest(spark, both_packages).filter("package = 'basic' AND month IS NOT NULL")
+    variables = P.read_variables(spark, scan_manifest(spark, both_packages))
+    out = P.stack_table(spark, man, "ord_a", variables=variables)
+    assert len(scans) == 1 and out.inputFiles() and all(f.endswith(".parquet") for f in out.inputFiles())
+    lazy = P.stack_table(spark, man, "ord_a", variables=variables, strict=False)
+    assert all(f.endswith(".csv") for f in lazy.inputFiles())
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, lazy.collect()))
+
+
+def test_repeated_names_in_a_header(spark, tmp_path):
+    df = C.scan_csv(spark, files_of(spark, [put(f"{tmp_path}/r.csv", "a,b,a\n1,2,3\n")]))
+    assert [tuple(r)[:2] for r in df.collect()] == [("3", "2")]
