@@ -73,17 +73,22 @@ def parse_file_names(files: DataFrame, path_col: str = "path") -> DataFrame:
     return classify_tables(out)
 
 
+#: Fixed value: longer name parts are no table names.
+LONGEST_TABLE_NAME = 50
+
+
 def classify_tables(manifest: DataFrame) -> DataFrame:
     """C3 + C4: per file ``table`` and ``table_type``.
 
-    Data tables follow the name rules; ``sensor_positions`` files are typed
+    Data tables follow the name rules (parts of over 50 characters are no table
+    names); ``sensor_positions`` files are typed
     ``site-all`` and ``science_review_flags`` files ``site-date``.
     Metadata files other than those two get null ``table``.
     """
     name = F.col("name")
     meta = F.col("_meta")
     with_meta = manifest.withColumn("_meta", N.metadata_table_of(name))
-    with_table = with_meta.withColumn("table", F.coalesce(N.table_of(name), meta))
+    with_table = with_meta.withColumn("table", F.coalesce(N.table_of(name, LONGEST_TABLE_NAME), meta))
     ttype = (
         F.when(meta == "sensor_positions", F.lit("site-all"))
         .when(meta == "science_review_flags", F.lit("site-date"))
@@ -339,6 +344,16 @@ def pubdate_stamp(pubdate: str) -> str:
     return pubdate.replace("-", "") + "T000000Z"
 
 
+def published_by(manifest: DataFrame, pubdate: str, *, check: bool = False) -> DataFrame:
+    """The files that were published by ``pubdate``, and those without a stamp.
+    With ``check`` raises when no variables file is among the stamped ones."""
+    stamp = N.publication_stamp(F.col("name"))
+    old = manifest.filter(stamp.isNull() | (stamp <= pubdate_stamp(pubdate)))
+    if check and old.filter(F.col("name").contains(".variables.") & stamp.isNotNull()).isEmpty():
+        raise ValueError(f"the store holds no variables file as old as {pubdate}")
+    return old
+
+
 def as_of_publication(manifest: DataFrame, pubdate: str | None = None, *, check: bool = False) -> DataFrame:
     """The store as it stood on ``pubdate``.
 
@@ -347,15 +362,8 @@ def as_of_publication(manifest: DataFrame, pubdate: str | None = None, *, check:
     before ``pubdate`` (all files sharing that stamp).  Other files pass.
     With ``check=True`` raises when no variables file is old enough.
     """
-    stamp = N.publication_stamp(F.col("name"))
-    df = manifest.withColumn("_stamp", stamp)
-    if pubdate is not None:
-        limit = pubdate_stamp(pubdate)
-        df = df.filter(F.col("_stamp").isNull() | (F.col("_stamp") <= limit))
-        if check:
-            old_enough = df.filter(F.col("name").contains(".variables.") & F.col("_stamp").isNotNull())
-            if old_enough.agg(F.count(F.lit(1))).collect()[0][0] == 0:
-                raise ValueError(f"the store holds no variables file as old as {pubdate}")
+    df = manifest if pubdate is None else published_by(manifest, pubdate, check=check)
+    df = df.withColumn("_stamp", N.publication_stamp(F.col("name")))
     # one window: a file that no choice concerns is a group of its own
     alone = F.col("table").isNull() | F.col("site").isNull() | F.col("month").isNull() | F.col("_stamp").isNull()
     w = Window.partitionBy("table", "site", "month", F.when(alone, F.col("path"))).orderBy(F.col("_stamp").desc())
@@ -476,24 +484,26 @@ def table_package_status(variables: DataFrame) -> DataFrame:
     )
 
 
-def tables_in_package(manifest: DataFrame, status: DataFrame, package: str) -> DataFrame:
+def tables_in_package(manifest: DataFrame, status: DataFrame, package: str, *, fallback: bool = False) -> DataFrame:
     """C20: files of the tables a package contains, plus metadata files.
 
     expanded: every table; basic: ``basic`` and ``both`` tables.  For
-    ``both`` tables the other package's files are removed."""
+    ``both`` tables the other package's files are removed, with ``fallback``
+    only where the table's site-month was published in the asked one."""
     if package not in ("basic", "expanded"):
         raise ValueError("package must be basic or expanded")
     wanted = status if package == "expanded" else status.filter(F.col("package_status").isin("basic", "both"))
     wanted = wanted.select("table", "package_status")
     meta = manifest.filter(is_metadata("name"))
-    data = manifest.filter(~is_metadata("name"))
+    data = manifest.filter(~is_metadata("name")).join(wanted, "table", "inner")
     other = "basic" if package == "expanded" else "expanded"
-    kept = (
-        data.join(wanted, "table", "inner")
-        .filter(~((F.col("package_status") == "both") & (F.col("package") == other)))
-        .drop("package_status")
-    )
-    return kept.unionByName(meta)
+    drop = (F.col("package_status") == "both") & (F.col("package") == other)
+    if fallback:
+        keys = ("table", "site", "month")
+        own = data.filter(F.col("package") == package).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct().withColumn("_own", F.lit(True))
+        same = (F.col("table") == F.col("_table")) & F.col("site").eqNullSafe(F.col("_site")) & F.col("month").eqNullSafe(F.col("_month"))
+        data, drop = data.join(own, same, "left"), drop & F.col("_own").isNotNull()
+    return data.filter(~F.coalesce(drop, F.lit(False))).select(*manifest.columns).unionByName(meta)
 
 
 def missing_tables(expected: DataFrame, manifest: DataFrame) -> DataFrame:

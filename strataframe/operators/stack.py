@@ -4,10 +4,12 @@ versioned de-duplication and sinks, all over lazy DataFrames.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -139,3 +141,97 @@ def write_stacked(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv",
             raise ValueError(f"unknown format {fmt}")
         paths[name] = path
     return paths
+
+
+# --------------------------------------------------------------------------
+# Sorted sink
+# --------------------------------------------------------------------------
+
+def write_sorted(df: DataFrame, keys: Sequence[str], path: str, *, max_rows: int = 0) -> str:
+    """``df`` as Parquet files in the order of ``keys`` (nulls first):
+    rows are dealt by ranges of the keys and sorted within, so that the files by
+    their bounds, and the rows in each, are in order, and no task sorts more
+    than its range.  ``max_rows`` bounds the rows of a file (0: no bound)."""
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged.write.option("maxRecordsPerFile", max_rows).parquet(path)
+    return path
+
+
+def sorted_bounds(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """``(file, first, last, n_rows, n_faults)`` of a sorted sink: the least and
+    the greatest key of each file, and how many of its rows come after a greater
+    one.  A ranking within each file; nothing meets over all files."""
+    rows = spark.read.parquet(path).select(F.struct(*keys).alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return rows.withColumn("fault", before > F.col("key")).groupBy("file").agg(
+        F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n_rows"), F.count_if("fault").alias("n_faults")
+    )
+
+
+def order_faults(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """One row: files of a sorted sink, their rows, and where their order is
+    broken: inside files, and between files, whose bounds overlap.  What is
+    ranked over all files is a row of bounds for each."""
+    bounds = sorted_bounds(spark, path, keys)
+    ranked = bounds.withColumn("overlap", F.lag("last").over(Window.orderBy("first", "last")) > F.col("first"))
+    return ranked.agg(
+        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum("n_faults") + F.count_if("overlap"), F.lit(0)).cast("bigint").alias("n_faults"),
+    )
+
+
+# --------------------------------------------------------------------------
+# Committed sink
+# --------------------------------------------------------------------------
+
+COMMITS = "commits"
+
+
+def write_committed(tables: dict[str, DataFrame], out_dir: str, commit_id: str, *, max_rows: int = 1_000_000) -> int:
+    """T19, all or none: each table goes to a new folder of its own under
+    ``out_dir``, files of at most ``max_rows`` rows, and only when all are
+    written one file of ``commits`` says which folders count from now on.  Until
+    then, and after any failure, readers see the commit before.
+
+    Replayed with a ``commit_id`` that is already there it writes nothing.
+    Returns the commit's number (from 1).  One writer at a time."""
+    if not tables:
+        raise ValueError("no tables to write")
+    spark = next(iter(tables.values())).sparkSession
+    out_dir = out_dir.rstrip("/")
+    done = committed(spark, out_dir)
+    if done is not None:
+        row = done.agg(F.max("number").alias("last"), F.max(F.when(F.col("commit_id") == commit_id, F.col("number"))).alias("same")).first()
+        if row["same"] is not None:
+            return row["same"]
+    number = 1 if done is None else row["last"] + 1
+    rows = []
+    for name, df in sorted(tables.items()):
+        folder = f"data/{name}/{uuid.uuid4().hex}"
+        df.write.option("maxRecordsPerFile", max_rows).parquet(f"{out_dir}/{folder}")
+        rows.append((number, commit_id, name, folder))
+    schema = "number long, commit_id string, `table` string, folder string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{out_dir}/{COMMITS}")
+    return number
+
+
+def committed(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """``(number, commit_id, table, folder)`` of all commits; None before the first."""
+    path = f"{out_dir.rstrip('/')}/{COMMITS}"
+    try:
+        return spark.read.schema("number long, commit_id string, `table` string, folder string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_committed(spark: SparkSession, out_dir: str, number: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a commit, by default the last; {} before the first."""
+    done = committed(spark, out_dir)
+    if done is None:
+        return {}
+    if number is None:
+        number = done.agg(F.max("number")).first()[0]
+    rows = done.filter(F.col("number") == number).collect()
+    return {r["table"]: spark.read.parquet(f"{out_dir.rstrip('/')}/{r['folder']}") for r in sorted(rows, key=lambda r: r["table"])}

@@ -20,19 +20,15 @@ FLUX_PRODUCTS = (
     "DP1.00099.001", "DP1.00100.001", "DP2.00008.001", "DP2.00009.001", "DP2.00024.001", "DP3.00008.001", "DP3.00009.001",
     "DP3.00010.001", "DP4.00002.001", "DP4.00007.001", "DP4.00067.001", "DP4.00137.001", "DP4.00200.001", "DP4.00201.001",
 )
+FLUX_BUNDLE = "DP4.00200.001"
 AIRBORNE_KINDS = ("AOP Data Product Type",)
 SENSOR_KINDS = ("TIS Data Product Type", "AIS Data Product Type")
 
 
-def select_product_files(manifest: DataFrame, *, sites="all", start: str | None = None,
-                         end: str | None = None, package: str = "basic", release: str = "current",
-                         include_provisional: bool = False, time_index=None, table: str | None = None,
-                         metadata: bool = True) -> DataFrame:
-    """C36 in part: the files a download request means by C6-C11 (nothing
-    fetched), without redirects, bundles, newest metadata files or sizes.
-
-    Table and time index together raise; lab tables are not told apart.
-    """
+def filter_files(manifest: DataFrame, *, sites="all", start: str | None = None, end: str | None = None,
+                 package: str = "basic", release: str = "current", include_provisional: bool = False,
+                 time_index=None, table: str | None = None, metadata: bool = True) -> DataFrame:
+    """C6-C11 one after another.  Table and time index together raise."""
     if table is not None and time_index not in (None, "all"):
         raise ValueError("choose a table or a time index, not both")
     man = M.filter_sites(manifest, sites)
@@ -45,13 +41,108 @@ def select_product_files(manifest: DataFrame, *, sites="all", start: str | None
     return man
 
 
+# Products whose files are hosted elsewhere, and the product
+# whose expanded package is too large to be fetched as one.
+HOSTED_ELSEWHERE = ("DP1.00033.001", "DP1.00042.001", "DP1.00043.001")
+BASIC_ONLY = ("DP1.10017.001",)
+
+
+def refuse_product(product: str, package: str = "basic") -> None:
+    """Products that can't be selected, by their id alone."""
+    if product in HOSTED_ELSEWHERE:
+        raise ValueError(f"the files of {product} are hosted elsewhere")
+    if product in BASIC_ONLY and package == "expanded":
+        raise ValueError(f"the expanded package of {product} is too large; choose the basic one")
+    if product in FLUX_PRODUCTS and product != FLUX_BUNDLE:
+        raise ValueError(f"{product} is only in the bundle {FLUX_BUNDLE}")
+
+
+def select_product_files(manifest: DataFrame, product: str | None = None, *, sites="all", start: str | None = None,
+                         end: str | None = None, package: str = "basic", release: str = "current",
+                         include_provisional: bool = False, time_index=None, table: str | None = None,
+                         metadata: bool = True, shared_sites: DataFrame | None = None,
+                         chem_bundles: DataFrame | None = None, other_bundles: DataFrame | None = None) -> DataFrame:
+    """The files that a request for a product means, nothing fetched; a
+    lazy plan of the columns of ``manifest`` and
+
+    * ``role``: data, or which metadata the file is,
+    * ``requested_sites``: the asked sites that it serves, comma-joined, where
+      ``shared_sites`` sends an aquatic site to its tower site (C22; null for
+      ``sites="all"``),
+    * ``bundle_status`` and ``home_product`` (C24; from the two bundle tables),
+    * ``total_bytes`` and ``size_text``: all that the request would fetch (C32).
+
+    The files are those of C6-C11; where a table or a time index is chosen, the
+    metadata beside them is the newest readme, the newest sensor positions of
+    each site, every variables file and every review file (C33), or none with
+    ``metadata=False``.  Without ``product``, those of all products.
+
+    What the arguments alone rule out raises at once: table and time index
+    together, products hosted elsewhere, members of the flux bundle.  What the
+    tables rule out fails the plan when it runs: a product that was moved into
+    another (or ambiguously), and a table that labs publish, which belongs to no
+    site or month and can't be chosen alone."""
+    if table is not None and time_index not in (None, "all"):
+        raise ValueError("choose a table or a time index, not both")
+    man = manifest
+    if product is not None:
+        refuse_product(product, package)
+        man = man.filter(F.col("product") == product)
+    served = None
+    if not (isinstance(sites, str) and sites == "all"):
+        asked = sites if isinstance(sites, DataFrame) else manifest.sparkSession.createDataFrame([(s,) for s in ([sites] if isinstance(sites, str) else sites)], "site string")
+        if shared_sites is not None and product is not None:
+            served = M.redirect_sites(asked, shared_sites, product, None if release == "current" else release)
+        else:
+            names = asked.select(F.col(asked.columns[0]).alias("site")).distinct()
+            served = names.select(F.col("site").alias("requested_site"), "site")
+        sites = served.select("site")
+    chosen = filter_files(man, sites=sites, start=start, end=end, package=package, release=release,
+                          include_provisional=include_provisional, time_index=time_index, table=table, metadata=True)
+    if table is not None:
+        alone = (F.col("table") == table) & (F.col("table_type") == "lab")
+        said = F.raise_error(F.lit(f"{table} is published by labs, not by site and month; it can't be chosen alone"))
+        chosen = chosen.filter(F.when(alone, said.cast("boolean")).otherwise(F.lit(True)))
+    if table is not None or time_index not in (None, "all"):
+        data = chosen.filter(~M.is_metadata("name"))
+        chosen = data.unionByName(M.latest_metadata_files(chosen)) if metadata else data
+    elif not metadata:
+        chosen = chosen.filter(~M.is_metadata("name"))
+    parts = N.name_parts(F.col("name"))
+    role = F.try_element_at(F.filter(parts, lambda p: p.isin(*M.METADATA_KINDS)), F.lit(1))
+    out = chosen.withColumn("role", F.coalesce(role, F.lit("data")))
+    if served is None:
+        out = out.withColumn("requested_sites", F.lit(None).cast("string"))
+    else:
+        asked_by = served.groupBy(F.col("site").alias("_site")).agg(F.array_join(F.array_sort(F.collect_set("requested_site")), ",").alias("requested_sites"))
+        out = out.join(asked_by, F.col("site") == F.col("_site"), "left").drop("_site")
+    out = _with_bundles(out, chem_bundles, other_bundles, None if release == "current" else release)
+    total = chosen.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("total")).scalar()
+    return out.withColumn("total_bytes", total).withColumn("size_text", M.size_text(F.col("total_bytes")))
+
+
+def _with_bundles(files: DataFrame, chem: DataFrame | None, other: DataFrame | None, release: str | None) -> DataFrame:
+    """Files with their product's bundle status; one that isn't ok fails."""
+    if chem is None and other is None:
+        return files.withColumn("bundle_status", F.lit(None).cast("string")).withColumn("home_product", F.lit(None).cast("string"))
+    none = files.sparkSession.createDataFrame([], "product string, homeProduct string")
+    products = files.select("product").distinct()
+    status = M.resolve_bundles(products, chem if chem is not None else none, other if other is not None else none, release)
+    said = F.raise_error(F.concat(
+        F.col("_p"), F.when(F.col("bundle_status") == "ambiguous", F.lit(" is in several bundles; choose one")).otherwise(F.concat(F.lit(" is bundled in "), F.col("home_product")))
+    ))
+    checked = status.select(F.col("product").alias("_p"), F.col("status").alias("bundle_status"), "home_product")
+    met = files.join(checked, F.col("product").eqNullSafe(F.col("_p")), "left")
+    return met.filter(F.when(F.col("bundle_status") != "ok", said.cast("boolean")).otherwise(F.lit(True))).drop("_p")
+
+
 def query_files(manifest: DataFrame, *, sites="all", start: str | None = None, end: str | None = None,
                 package: str = "basic", release: str = "current", include_provisional: bool = False,
                 time_index=None, table: str | None = None, metadata: bool = True) -> dict:
-    """Q5: surviving files (with their variables file, C17), the newest
+    """Q5: surviving files of C6-C11 (with their variables file, C17), the newest
     variables file, whether more than one variables version is present, and
     the newest path per variables md5."""
-    man = select_product_files(manifest, sites=sites, start=start, end=end, package=package,
+    man = filter_files(manifest, sites=sites, start=start, end=end, package=package,
                                release=release, include_provisional=include_provisional,
                                time_index=time_index, table=table, metadata=True)
     var = man.filter(F.col("name").contains(".variables."))
@@ -114,7 +205,7 @@ def dataset_query(spark: SparkSession, manifest: DataFrame, *, table: str, sites
     elif hor is not None or ver is not None:
         warnings.warn("the table is observational; hor and ver are ignored", stacklevel=2)
         hor = ver = None
-    man = select_product_files(manifest, sites=sites, start=start, end=end, package=package,
+    man = filter_files(manifest, sites=sites, start=start, end=end, package=package,
                                release=release, include_provisional=include_provisional,
                                table=table, metadata=False)
     if hor is not None or ver is not None:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,9 @@ from ..functions.types import spark_type
 from ..operators import manifest as M
 from ..operators import schema as S
 from ..operators import stack as ST
-from ..session import write_once
+from ..session import hinted, write_once
 from ..sources import csv as C
+from ..sources.catalog import issue_log
 from ..sources.listing import scan_manifest
 
 
@@ -134,15 +136,6 @@ def stack_versions(spark: SparkSession, manifest: DataFrame, table: str, *, pack
     return out
 
 
-#: A table is broadcast only up to this size.
-BROADCAST_BYTES = 8 << 20
-
-
-def hinted(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` to be broadcast if its counted rows allow it."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
 def table_kind(files: DataFrame, table: str) -> tuple[str, bool] | None:
     """The publication type of a table's files, and whether they carry a
     sensor position; None without files.  Several types raise."""
@@ -205,13 +198,44 @@ def table_key(table: str, variables_md5: str | None = None) -> str:
     return ("two" + table[1:]) if table.startswith("2D") else table
 
 
+METADATA_WITH_ROWS = ("science_review_flags", "sensor_positions")
+
+
+def complete_variables(variables: DataFrame, tables: dict[str, list[str]], manifest: DataFrame,
+                       added_fields: DataFrame | None, metadata_variables: DataFrame | None) -> DataFrame:
+    """The variables table of a stacked product: the rows of a metadata table
+    that has files but no rows (S11, from ``metadata_variables``), and for the
+    stacked ``tables`` (name -> columns) the rows of ``added_fields`` for what
+    stacking added to each: position first, provenance last (S10)."""
+    if metadata_variables is not None:
+        present = {r["table"] for r in manifest.select("table").filter(F.col("table").isin(*METADATA_WITH_ROWS)).distinct().collect()}
+        for name in METADATA_WITH_ROWS:
+            variables = S.patch_variables(variables, metadata_variables, name, name in present)
+    if added_fields is None:
+        return variables
+    parts = []
+    positioned = [t for t, columns in tables.items() if "horizontalPosition" in columns]
+    plain = [t for t in tables if t not in positioned]
+    for names, with_position in ((positioned, True), (plain, False)):
+        if names:
+            parts.append(S.extend_variables(variables.filter(F.col("table").isin(names)), added_fields, with_position=with_position))
+    rest = variables if not tables else variables.filter(~F.coalesce(F.col("table").isin(list(tables)), F.lit(False)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, rest])
+
+
 def stack_product(spark: SparkSession, source, *, package: str = "basic", sort: bool = False,
                   strict: bool = True, product_code: str | None = None, tables=None,
-                  added_fields: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
+                  added_fields: DataFrame | None = None, metadata_variables: DataFrame | None = None,
+                  catalogue: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
     """The tables of a product folder (or manifest), all or those of
-    ``tables``, and its metadata: the newest variables file, with the rows of
-    ``added_fields`` put around each table's own (S10), validation and
-    categorical codes where the folder has them.  Keys sorted.  Tables stay lazy.
+    ``tables``, and its metadata, keys sorted:
+
+    * ``variables``: the newest file, completed by S10 and S11
+      (:func:`complete_variables`),
+    * ``validation``, ``categoricalCodes`` and ``readme`` (its lines): the newest
+      file, where the folder has one,
+    * ``issueLog`` (C28) where ``catalogue`` (JSON documents in ``json``) knows
+      the product.
 
     With ``check``, a folder of several products or releases raises (C35, T11)."""
     manifest = write_once(scan_manifest(spark, source), "manifest") if isinstance(source, str) else source
@@ -225,40 +249,66 @@ def stack_product(spark: SparkSession, source, *, package: str = "basic", sort:
             raise ValueError("the folder holds more than one product; stack them one by one")
         ST.guard_single_release(manifest.filter(F.col("table").isNotNull()))
     code = product_code or (products[0].split(".")[1] if len(products) == 1 else "")
+    suffix = f"_{code}" if code else ""
+    if variables is not None:
+        full = complete_variables(variables, {}, manifest, None, metadata_variables)
     out: dict[str, DataFrame] = {}
+    stacked: dict[str, list[str]] = {}
     for t in wanted:
-        df = stack_table(spark, manifest, t, variables=variables, package=package, sort=sort, strict=strict)
+        df = stack_table(spark, manifest, t, variables=None if variables is None else full, package=package, sort=sort, strict=strict)
         if df is None:
             continue
-        key = f"{t}_{code}" if t in ("science_review_flags", "sensor_positions") and code else table_key(t)
-        out[key] = df
-    suffix = f"_{code}" if code else ""
+        stacked[t] = df.columns
+        out[f"{t}{suffix}" if t in METADATA_WITH_ROWS else table_key(t)] = df
     if variables is not None:
-        if added_fields is not None:
-            positioned = any("horizontalPosition" in df.columns for df in out.values())
-            variables = S.extend_variables(variables, added_fields, with_position=positioned)
-        out[f"variables{suffix}"] = variables.drop("row_no")
-    for kind in ("validation", "categoricalCodes"):
+        out[f"variables{suffix}"] = complete_variables(variables, stacked, manifest, added_fields, metadata_variables).drop("row_no")
+    for kind in ("validation", "categoricalCodes", "readme"):
         newest = M.latest_publication(manifest.filter(F.col("name").contains(f".{kind}."))).select("path").collect()
         if newest:
-            out[f"{kind}{suffix}"] = read_versions(spark, newest[0]["path"]).drop("row_no")
+            path = newest[0]["path"]
+            out[f"{kind}{suffix}"] = spark.read.text(path) if kind == "readme" else read_versions(spark, path).drop("row_no")
+    if catalogue is not None and len(products) == 1:
+        out[f"issueLog{suffix}"] = issue_log(catalogue).filter(F.col("product") == products[0])
     return dict(sorted(out.items()))
 
 
 def stack_store(spark: SparkSession, root: str, *, pubdate: str | None = None, package: str = "basic",
                 start: str | None = None, end: str | None = None, sites="all", time_index=None, sort: bool = False,
-                release: str = "current", include_provisional: bool = False, tables=None) -> dict[str, DataFrame]:
-    """The store as of ``pubdate`` (C15), filtered by site, month, release,
-    package and averaging interval (C6-C10), then stacked (T15).  Raises when no
-    variables file is as old as ``pubdate``."""
+                release: str = "current", include_provisional: bool = False, tables=None, **product) -> dict[str, DataFrame]:
+    """The store as of ``pubdate`` (C15), filtered by site, month, release
+    and averaging interval (C6-C8, C10), then stacked (T15, with the further
+    arguments in ``product``).
+
+    The newest variables file that is as old as ``pubdate`` says which tables a
+    package has (C19): the expanded one has all, the basic one those with basic
+    fields.  Of a table that both packages have, the asked package's files
+    count, and the other's only for site-months not published in it (C20, C9).
+    ``missing_tables`` in the result are those the package should have and no
+    file was found for (C21), which also warns.  Raises when no variables file
+    is as old as ``pubdate``."""
     man = scan_manifest(spark, root)
     man = M.filter_sites(man, sites)
     man = M.filter_months(man, start, end)
     man = M.filter_release(man, release, include_provisional)
     man = M.filter_time_index(man, time_index)
-    man = package_files(man, package)
-    man = write_once(M.as_of_publication(man, pubdate, check=True), "manifest")
-    return stack_product(spark, man, package=package, sort=sort, tables=tables, check=False)
+    if pubdate is not None:
+        man = M.published_by(man, pubdate, check=True)
+    man = write_once(man, "manifest")
+    variables = read_variables(spark, man)
+    if variables is None:
+        found = M.as_of_publication(package_files(man, package), pubdate)
+        return stack_product(spark, write_once(found, "manifest"), package=package, sort=sort, tables=tables, check=False, **product)
+    status = write_once(M.table_package_status(variables), "package-status")
+    # the package first: a newer file of the other one must not hide the asked one's
+    kept = M.as_of_publication(M.tables_in_package(man, status, package, fallback=True), pubdate)
+    found = write_once(kept, "manifest")
+    expected = status if package == "expanded" else status.filter(F.col("package_status").isin("basic", "both"))
+    missing = write_once(M.missing_tables(expected, found), "missing")
+    names = [r["table"] for r in missing.orderBy("table").collect()]
+    if names:
+        warnings.warn(f"the {package} package should have tables that no file was found for: {names}", stacklevel=2)
+    out = stack_product(spark, found, package=package, sort=sort, tables=tables, check=False, **product)
+    return dict(sorted({**out, "missing_tables": missing}.items()))
 
 
 def package_files(manifest: DataFrame, package: str) -> DataFrame:
@@ -291,20 +341,75 @@ def load_table(spark: SparkSession, root: str, table: str, *, sites="all", start
 def stack_frame_files(spark: SparkSession, files: DataFrame, frame_variables: DataFrame | None,
                       module: str, *, product_prefix: str | None = None) -> DataFrame | None:
     """Per-sample files of one module (with ``product_prefix``, those whose
-    names don't start with it): typed by the module's frame variables, else ``module2``'s, else
-    inferred; all text when a cast fails."""
+    names don't start with it): typed by the module's frame variables; if a cell
+    fails them, or there are none, by those of ``module2``; else inferred (a
+    column that no type fits is text)."""
     per_sample = files if product_prefix is None else files.filter(~F.col("name").startswith(product_prefix))
     raw = C.scan_csv(spark, per_sample)
     if raw is None:
         return None
-    schema = None
-    if frame_variables is not None:
-        for m in (module, module + "2"):
-            schema = S.schema_from_variables(frame_variables, m, None)
-            if schema is not None:
-                break
-    if schema is None:
-        return C.scan_csv_inferred(spark, per_sample)
-    present = type(schema)([f for f in schema.fields if f.name in raw.columns])
-    typed, _ = S.strict_cast_or_strings(raw, present)
-    return typed
+    for m in (module, module + "2"):
+        schema = None if frame_variables is None else S.schema_from_variables(frame_variables, m, None)
+        if schema is None:
+            continue
+        fields = [f for f in schema.fields if f.name in raw.columns]
+        named = {f.name for f in fields}
+        cells = [S.declared_cell(f) if f.name in named else S.Cell(f.name, F.col(f"`{f.name}`")) for f in fields]
+        cells += [S.Cell(c, F.col(f"`{c}`")) for c in raw.columns if c not in named]
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # the next rung says more
+            typed, ok = S.write_strict(raw, cells)
+        if ok:
+            return typed
+    warnings.warn(f"no variables fit the files of {module}; their types are inferred", stacklevel=2)
+    return C.scan_csv_inferred(spark, per_sample)
+
+
+# The products with per-sample files, the kind of sequence their
+# file names tell apart, and the table that their files make.  A table's prefix
+# is its module.
+FRAME_RULES = (
+    ("DP1.10081.001", "ITS", "mcc_soilPerSampleTaxonomy_ITS"),
+    ("DP1.10081.001", "16S", "mcc_soilPerSampleTaxonomy_16S"),
+    ("DP1.10081.002", "ITS", "mct_soilPerSampleTaxonomy_ITS"),
+    ("DP1.10081.002", "16S", "mct_soilPerSampleTaxonomy_16S"),
+    ("DP1.20086.001", "ITS", "mcc_benthicPerSampleTaxonomy_ITS"),
+    ("DP1.20086.001", "16S", "mcc_benthicPerSampleTaxonomy_16S"),
+    ("DP1.20086.002", "ITS", "mct_benthicPerSampleTaxonomy_ITS"),
+    ("DP1.20086.002", "16S", "mct_benthicPerSampleTaxonomy_16S"),
+    ("DP1.20141.001", "ITS", "mcc_surfaceWaterPerSampleTaxonomy_ITS"),
+    ("DP1.20141.001", "16S", "mcc_surfaceWaterPerSampleTaxonomy_16S"),
+    ("DP1.20141.002", "ITS", "mct_surfaceWaterPerSampleTaxonomy_ITS"),
+    ("DP1.20141.002", "16S", "mct_surfaceWaterPerSampleTaxonomy_16S"),
+    ("DP1.20190.001", None, "rea_conductivityRawData"),
+    ("DP1.20193.001", None, "sbd_conductivityRawData"),
+    ("DP4.00132.001", None, "bat_processedSonarFile"),
+    ("DP1.30012.001", None, "fsp_rawSpectra"),
+)
+
+
+def frame_outputs(files: DataFrame, prefix: str, rules=FRAME_RULES) -> DataFrame:
+    """The per-sample files of a manifest (names that don't begin with
+    ``prefix``) and the ``output`` table that the rules deal each to, by the
+    product of its name or its folder and the kind of sequence in its name.
+    Files of other products, and of a kind a product's rules don't name, go."""
+    of = files.sparkSession.createDataFrame(list(rules), "_rule_product string, _sequence string, output string")
+    sequence = F.nullif(F.regexp_extract("name", "_(ITS|16S)_", 1), F.lit(""))
+    product = F.coalesce("product", N.product_of(N.basename(N.dirname(F.col("path")))))
+    samples = files.filter(~F.col("name").startswith(prefix)).withColumn("_product", product).withColumn("_kind", sequence)
+    met = samples.join(F.broadcast(of), (F.col("_product") == F.col("_rule_product")) & (F.col("_sequence").isNull() | (F.col("_sequence") == F.col("_kind"))))
+    return met.drop("_product", "_kind", "_rule_product", "_sequence")
+
+
+def stack_frames(spark: SparkSession, manifest: DataFrame, frame_variables: DataFrame | None, *, prefix: str, rules=FRAME_RULES) -> dict[str, DataFrame]:
+    """The tables of all per-sample files of a manifest, by name: files are
+    dealt to their tables in one pass over the manifest, and each table is typed
+    by its module's variables, with the ladder of :func:`stack_frame_files`."""
+    dealt = write_once(frame_outputs(manifest, prefix, rules), "frames")
+    out = {}
+    for r in dealt.select("output").distinct().orderBy("output").collect():
+        name = r["output"]
+        df = stack_frame_files(spark, dealt.filter(F.col("output") == name), frame_variables, name.split("_")[0].upper())
+        if df is not None:
+            out[name] = df
+    return out

@@ -16,6 +16,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", app: str = "strataframe", **conf) -> SparkSession:
@@ -86,7 +87,18 @@ def shared_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return qualified(spark, root.rstrip("/"))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as Spark would resolve it: one without a
+    scheme is on the cluster's default file system, not on each machine's disk."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    return "file://" + whole[len("file:"):] if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -100,3 +112,13 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A table is broadcast only up to this size.
+BROADCAST_BYTES = 8 << 20
+
+
+def hinted(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` to be broadcast if its counted rows allow it, else as it is, for
+    an ordinary join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -46,8 +46,6 @@ CSV_OPTIONS = {
     "emptyValue": NULL_TOKEN,
     "mode": "FAILFAST",
 }
-#: Files whose headers one task reads.
-TASK_FILES = 256
 #: Files from this size on are split if their line breaks allow it.
 SPLIT_BYTES = 128 << 20
 #: What the decoder puts in place of bytes that are not UTF-8.
@@ -108,7 +106,7 @@ def probe_headers(files: DataFrame) -> DataFrame:
     One first-line read per file, on the executors; an unreadable file fails."""
     size = F.max(F.col("size").cast("long")) if "size" in files.columns else F.lit(None).cast("long")
     paths = files.groupBy(F.col("path").cast("string").alias("path")).agg(size.alias("size"))
-    tasks = max(1, min(paths.sparkSession.sparkContext.defaultParallelism * 4, paths.count() // TASK_FILES + 1))
+    tasks = paths.sparkSession.sparkContext.defaultParallelism
     return paths.repartition(tasks, "path").mapInPandas(_probe, "path string, size long, header array<string>")
 
 

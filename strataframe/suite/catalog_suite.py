@@ -85,6 +85,23 @@ def q_issue_log(spark, sf_dir):
     return K.issue_log(documents(spark, sf_dir)).select("product", "id", "locationAffected", "issue")
 
 
+# Bundles of the products whose numbers share their last digit.
+BUNDLES_SQL = f"""
+SELECT DISTINCT 'DP4.0000' || cast(user_id % 10 AS string) || '.001' AS product, {_PRODUCT.format(t='string')} AS member
+FROM events WHERE user_id % 10 < 4
+"""
+
+
+@register("issue_log_bundle", f"""
+WITH b AS ({BUNDLES_SQL.replace('AS string', 'AS varchar')})
+SELECT b.product, b.member AS dataSubproduct, event_id AS id, {_SITE.format(t='varchar')} AS locationAffected, props AS issue
+FROM events JOIN b ON b.member = {_PRODUCT.format(t='varchar')} WHERE event_type = 'error'
+""")
+def q_issue_log_bundle(spark, sf_dir):
+    log = K.issue_log(documents(spark, sf_dir), bundles=shape(spark, sf_dir, BUNDLES_SQL))
+    return log.select("product", "dataSubproduct", "id", "locationAffected", "issue")
+
+
 POSITIONS_SQL = """
 SELECT lpad(cast(l_suppkey % 5 AS string), 3, '0') || '.' || lpad(cast(10 * (1 + l_linenumber % 3) AS string), 3, '0')
          AS hv,

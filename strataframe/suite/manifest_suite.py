@@ -398,3 +398,40 @@ FROM m
 """)
 def q_validate_product_id(spark, sf_dir):
     return M.product_id_check(manifest(spark, sf_dir))
+
+
+# One request: three sites, two of them served by another, in its tower's place
+# what that one published; of the table asked for the data, and the newest
+# metadata beside it.
+_REQUESTED_SQL = "SELECT site FROM (VALUES ('ST03'), ('ST12'), ('ST17'), ('ST24')) v(site)"
+_PRODUCT = "DP1.00001.001"
+
+
+@register("select_product_files", M_CTE + f"""
+, req AS ({_REQUESTED_SQL}), l AS ({SHARED_SITES_SQL})
+, served AS (SELECT DISTINCT req.site AS asked, coalesce(l.towerSite, req.site) AS site
+             FROM req LEFT JOIN l ON l.site = req.site AND l.product = '{_PRODUCT}')
+, f0 AS (SELECT * FROM m WHERE product = '{_PRODUCT}' AND site IN (SELECT site FROM served)
+         AND month BETWEEN '1994-01' AND '1997-12' AND release <> 'PROVISIONAL')
+, f1 AS (SELECT *, bool_or(package = 'basic') OVER (PARTITION BY site, month) AS has_basic FROM f0)
+, f AS (SELECT *, list_has_any(string_split(name, '.'), {_META_LIST}) AS meta FROM f1 WHERE NOT has_basic OR package = 'basic')
+, chosen AS (
+  SELECT path, site, size, 'data' AS role FROM f WHERE NOT meta AND contains(name, '.ord_fulfilled.')
+  UNION ALL (SELECT path, site, size, 'readme' FROM f WHERE contains(name, '.readme.') ORDER BY publication DESC, path LIMIT 1)
+  UNION ALL (SELECT path, site, size, 'sensor_positions' FROM f WHERE contains(name, '.sensor_positions.')
+             QUALIFY row_number() OVER (PARTITION BY site ORDER BY publication DESC, path) = 1)
+  UNION ALL SELECT path, site, size, 'variables' FROM f WHERE contains(name, '.variables.')
+  UNION ALL SELECT path, site, size, 'science_review_flags' FROM f WHERE contains(name, '.science_review_flags.'))
+, total AS (SELECT cast(coalesce(sum(size), 0) AS bigint) AS total_bytes FROM chosen)
+, by_site AS (SELECT site, string_agg(asked, ',' ORDER BY asked) AS requested_sites FROM served GROUP BY site)
+SELECT path, role, requested_sites, 'ok' AS bundle_status, '{_PRODUCT}' AS home_product, total_bytes, {_SIZE_TEXT}
+FROM chosen JOIN by_site USING (site), total
+""")
+def q_select_product_files(spark, sf_dir):
+    from ..plans import query as Q
+
+    files = Q.select_product_files(
+        manifest(spark, sf_dir), _PRODUCT, sites=shape(spark, sf_dir, _REQUESTED_SQL), start="1994-01", end="1997-12", table="ord_fulfilled",
+        shared_sites=shape(spark, sf_dir, SHARED_SITES_SQL), chem_bundles=shape(spark, sf_dir, CHEM_BUNDLES_SQL), other_bundles=shape(spark, sf_dir, OTHER_BUNDLES_SQL),
+    )
+    return files.select("path", "role", "requested_sites", "bundle_status", "home_product", "total_bytes", "size_text")

@@ -33,6 +33,7 @@ def load_all() -> None:
         catalog_suite,
         manifest_suite,
         metadata_suite,
+        product_suite,
         schema_suite,
         series_suite,
         spatial_suite,

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as E
+from ..operators.stack import union_evolving
 from .registry import register
 from .shapes import shape
 
@@ -168,31 +169,36 @@ def q_stack_months(spark, sf_dir):
     return out.withColumn("timeBgn", F.col("timeBgn").cast("timestamp_ntz"))
 
 
-# Carbon and water isotopes in one stack: some files merge to short intervals.
+# Carbon and water isotopes in one stack.  Of some files the early intervals
+# are short and the others long, of some the other way round.
 ISOTOPE_SQL = f"""
 SELECT 'iso_' || cast(user_id % 5 AS string) || '.h5' AS file,
-  '/ST00/dp01/data/' || CASE WHEN event_id % 2 = 0 THEN 'isoCo2/000_010_09m/dlta13CCo2' ELSE 'isoH2o/000_010_09m/dlta18OH2o' END AS dataset,
+  '/ST00/dp01/data/' || CASE WHEN event_id % 2 = 0 THEN 'isoCo2/00' || cast(user_id % 2 AS string) || '_010_09m/dlta13CCo2'
+                             ELSE 'isoH2o/00' || cast(user_id % 2 AS string) || '_010_09m/dlta18OH2o' END AS dataset,
   {_DAY} || 'T' || {_HOUR} || ':00:00.000Z' AS timeBgn,
-  {_DAY} || 'T' || {_HOUR} || CASE WHEN user_id % 5 < 2 THEN ':06:00.000Z' ELSE ':09:00.000Z' END AS timeEnd
+  {_DAY} || 'T' || {_HOUR} || CASE WHEN (user_id % 5 < 2) = (day(ts) < 4) THEN ':06:00.000Z' ELSE ':09:00.000Z' END AS timeEnd
 FROM events
 """
+_FIRST_ROWS = f"""
+iv AS (SELECT DISTINCT file, split_part(split_part(dataset, '/', 6), '_', 1) AS hor, timeBgn,
+         epoch({_TS.format(c='timeEnd')}) - epoch({_TS.format(c='timeBgn')}) AS i FROM s),
+f AS (SELECT file, avg(i) AS m FROM (
+  SELECT *, row_number() OVER (PARTITION BY file ORDER BY hor, timeBgn) AS r FROM iv) t WHERE r <= 20 GROUP BY file)
+"""
 
 
 @register("isotope_cadence_files", f"""
-WITH s AS ({ISOTOPE_SQL})
+WITH s AS ({ISOTOPE_SQL}), {_FIRST_ROWS}
 SELECT file, bool_or(dataset LIKE '%dlta13CCo2') AS has_carbon, bool_or(dataset LIKE '%dlta18OH2o') AS has_water,
-  avg(i) AS mean_interval
-FROM (SELECT DISTINCT file, dataset, epoch({_TS.format(c='timeEnd')}) - epoch({_TS.format(c='timeBgn')}) AS i FROM s) t
-GROUP BY file
+  any_value(m) AS mean_interval
+FROM s JOIN f USING (file) GROUP BY file
 """)
 def q_isotope_cadence_files(spark, sf_dir):
     return E.isotope_cadence_files(E.parse_series_time(E.parse_dataset_path(shape(spark, sf_dir, ISOTOPE_SQL))))
 
 
 @register("isotope_cadence_check", f"""
-WITH s AS ({ISOTOPE_SQL}),
-f AS (SELECT file, avg(i) AS m FROM (
-  SELECT DISTINCT file, timeBgn, epoch({_TS.format(c='timeEnd')}) - epoch({_TS.format(c='timeBgn')}) AS i FROM s) t GROUP BY file)
+WITH s AS ({ISOTOPE_SQL}), {_FIRST_ROWS}
 SELECT n AS averaging, bool_or(dataset LIKE '%dlta13CCo2') AS has_carbon, bool_or(dataset LIKE '%dlta18OH2o') AS has_water,
   (SELECT round(min(m), 4) FROM f) AS min_mean_interval,
   n = 9 AND bool_or(dataset LIKE '%dlta13CCo2') AND bool_or(dataset LIKE '%dlta18OH2o') AND (SELECT min(m) < 537 FROM f) AS flag
@@ -204,6 +210,69 @@ def q_isotope_cadence_check(spark, sf_dir):
     return each[0].unionByName(each[1])
 
 
+# Two thousand variables: fifty systems of twenty names, each in two statistics.
+MANY_SQL = f"""
+SELECT 'file_' || cast(user_id % 3 AS string) AS file,
+  '/ST00/dp01/data/s' || cast(user_id % 50 AS string) || '/000_010_30m/v' || cast(event_id % 20 AS string) AS dataset,
+  {_DAY} || 'T' || {_HOUR} || ':00:00.000Z' AS timeBgn, {_DAY} || 'T' || {_HOUR} || ':30:00.000Z' AS timeEnd,
+  CASE WHEN event_type IN ('click', 'view') THEN 'mean' ELSE 'max' END AS stat, value, event_id
+FROM events
+"""
+
+
+@register("merge_series_many", f"""
+WITH s AS ({MANY_SQL})
+SELECT file, {_TS.format(c='timeBgn')} AS timeBgn, {_TS.format(c='min(timeEnd)')} AS timeEnd,
+  'data.' || split_part(dataset, '/', 5) || '.' || split_part(dataset, '/', 7) || '.' || stat AS variable,
+  arg_min(value, event_id) AS value
+FROM s GROUP BY file, timeBgn, variable
+""")
+def q_merge_series_many(spark, sf_dir):
+    parsed = E.parse_series_time(E.parse_dataset_path(shape(spark, sf_dir, MANY_SQL)))
+    wide = E.merge_series_wide(parsed, order_col="event_id")
+    names = [c for c in wide.columns if c.startswith("data.")]
+    # back to rows, to be compared: every column of the wide table that has a value
+    cells = F.from_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])), "map<string,double>")  # leaves nulls out
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("timeBgn", "timeEnd")]
+    return wide.select("file", *times, F.explode(cells).alias("variable", "value"))
+
+
+# Files of both packages; a site, a root and a validation level each, some
+# attributes vectors, some in few files only, and some files not readable.
+ATTRIBUTE_FILES_SQL = f"""
+SELECT DISTINCT 'ST0' || cast(user_id % 6 AS string) AS site,
+  'OBS.ST0' || cast(user_id % 6 AS string) || '.' || CASE WHEN user_id % 2 = 0 THEN {_DAY} || '.expanded' ELSE substr({_DAY}, 1, 7) || '.basic' END
+    || '.u' || cast(user_id AS string) || '.h5' AS file, user_id
+FROM events
+"""
+
+
+@register("file_attributes", f"""
+WITH f AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN regexp_extract(file, '20[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}') ELSE regexp_extract(file, '20[0-9]{{2}}-[0-9]{{2}}') END AS date,
+             user_id % 7 <> 0 AS readable FROM ({ATTRIBUTE_FILES_SQL}) x)
+SELECT 'site' AS kind, site, date, CASE WHEN readable THEN cast(user_id AS varchar) || ',x' END AS "LatTow",
+  CASE WHEN readable AND user_id % 3 = 0 THEN 'rare' END AS "Extra", NULL AS "Vers", NULL AS "CoefVali" FROM f
+UNION ALL SELECT 'root', site, date, NULL, NULL, CASE WHEN readable THEN 'v' || cast(user_id % 4 AS varchar) END, NULL FROM f
+UNION ALL SELECT 'val', site, date, NULL, NULL, NULL, CASE WHEN readable AND user_id % 5 <> 0 THEN '1,2,' || cast(user_id AS varchar) END FROM f
+""")
+def q_file_attributes(spark, sf_dir):
+    files = shape(spark, sf_dir, ATTRIBUTE_FILES_SQL)
+    read = files.filter("user_id % 7 <> 0")
+    user = F.col("user_id").cast("string")
+
+    def level(name, *pairs):
+        return F.struct(name.alias("level"), F.map_filter(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), lambda k, v: v.isNotNull()).alias("attrs"))
+
+    rare = F.when(F.col("user_id") % 3 == 0, F.array(F.lit("rare")))
+    version = F.array(F.concat(F.lit("v"), (F.col("user_id") % 4).cast("string")))
+    site = level(F.col("site"), ("LatTow", F.array(user, F.lit("x"))), ("Extra", rare))
+    val = level(F.concat(F.lit("/"), F.col("site"), F.lit("/dp01/data/co2/rtioMoleDryCo2Vali")), ("CoefVali", F.array(F.lit("1"), F.lit("2"), user)))
+    levels = F.filter(F.array(site, level(F.lit("/"), ("Vers", version)), F.when(F.col("user_id") % 5 != 0, val)), lambda x: x.isNotNull())
+    attrs = read.select("file", F.explode(levels).alias("l")).select("file", "l.level", "l.attrs")
+    tables = [E.file_attributes(files, attrs, kind).withColumn("kind", F.lit(kind)) for kind in ("site", "root", "val")]
+    return union_evolving(tables)
+
+
 @register("releases_in_paths", """
 SELECT DISTINCT CASE WHEN o_orderkey % 10 = 0 THEN 'PROVISIONAL'
        ELSE 'RELEASE-' || cast(2021 + o_orderkey % 4 AS varchar) END AS release FROM orders

@@ -35,12 +35,12 @@ _WRITTEN: dict[tuple, str] = {}
 
 
 def written_shape(spark: SparkSession, sf_dir: str, sql: str, label: str) -> DataFrame:
-    """The shape written once per session as Parquet under the shared folder
+    """The shape written once per application as Parquet under the shared folder
     and read back: a real scan source (as a file listing would be) with the
     lineage cut, instead of a long expression tree in every plan."""
     from ..session import scratch_path
 
-    key = (id(spark._jsparkSession), sf_dir, label)
+    key = (spark.sparkContext.applicationId, sf_dir, label)
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"shape-{label}")

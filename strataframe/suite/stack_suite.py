@@ -292,14 +292,14 @@ def q_latest_event_site(spark, sf_dir):
     return Q.latest_event_site(rows)
 
 
-@register("select_product_files", f"""
+@register("filter_files", f"""
 SELECT 'ord_orders' AS table_name, cast(count(*) AS bigint) AS n_files FROM (
   SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders JOIN customer ON o_custkey = c_custkey
   WHERE {SITE_EXPR} = 'ST00' AND year(o_orderdate) = 1996) t, (VALUES (1), (2)) v(n) WHERE n = 1 OR m % 2 = 0
 """)
-def q_select_product_files(spark, sf_dir):
-    man = Q.select_product_files(scan_manifest(spark, store_for(spark, sf_dir)), sites=["ST00"], start="1996-01", end="1996-12",
-                                 table="ord_orders", metadata=False)
+def q_filter_files(spark, sf_dir):
+    man = Q.filter_files(scan_manifest(spark, store_for(spark, sf_dir)), sites=["ST00"], start="1996-01", end="1996-12",
+                         table="ord_orders", metadata=False)
     return man.groupBy(F.col("table").alias("table_name")).agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
 
 

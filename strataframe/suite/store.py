@@ -176,8 +176,8 @@ _STORES: dict[tuple, str] = {}
 
 
 def store_for(spark: SparkSession, sf_dir: str) -> str:
-    """The store of ``sf_dir``, written once per session."""
-    key = (id(spark._jsparkSession), sf_dir)
+    """The store of ``sf_dir``, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
         _STORES[key] = write_store(spark, sf_dir)
     return _STORES[key]
