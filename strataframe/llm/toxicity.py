@@ -57,26 +57,40 @@ def features_of(word: str) -> list[str]:
     return ["=" + word] + ["^" + word[:k] for k in BEGINNINGS if len(word) >= k]
 
 
-def densities(words: list[str], columns: dict[str, int]) -> np.ndarray:
-    """Of the features in ``columns``: the square root of their number per
-    hundred words, so that a few marked words still show in a long text."""
-    out = np.zeros(len(columns))
+def density_of(words: list[str], columns: dict[str, int]) -> dict[int, float]:
+    """Of the features in ``columns`` that occur: the square root of their
+    number per hundred words, so that a few marked words still show in a long
+    text."""
+    found: Counter = Counter()
     for w, n in Counter(words).items():
         for f in features_of(w):
             if (k := columns.get(f)) is not None:
-                out[k] += n
-    return np.sqrt(out * (100.0 / len(words))) if words else out
+                found[k] += n
+    return {k: math.sqrt(n * 100.0 / len(words)) for k, n in found.items()}
+
+
+def densities(words: list[str], columns: dict[str, int]) -> np.ndarray:
+    """``density_of`` with a place for each of the ``columns``."""
+    out = np.zeros(len(columns))
+    for k, v in density_of(words, columns).items():
+        out[k] = v
+    return out
+
 
+#: The features that swapping names can change.
+IDENTITY_FEATURES = frozenset(f for term in _GROUP_OF for f in features_of(term))
 
-def counterfactuals(text: str, copies: int = 2) -> list[tuple[list[str], list[str]]]:
+
+def counterfactuals(text: str) -> list[tuple[list[str], list[str]]]:
     """Pairs of a sentence's words and the same words with identity terms
-    swapped for the next names of their language's list."""
+    swapped: one for each other name of the longest list that a term is from,
+    every term moving on by as many places in its own list."""
     pairs = []
     for sentence in _SENTENCE.findall(text):
         words = words_of(sentence)
-        if any(w in _GROUP_OF for w in words):
-            for k in range(1, copies + 1):
-                pairs.append((words, [_swap(w, k) for w in words]))
+        names = max((len(_GROUP_OF[w]) for w in words if w in _GROUP_OF), default=0)
+        for k in range(1, names):
+            pairs.append((words, [_swap(w, k) for w in words]))
     return pairs
 
 
@@ -119,36 +133,92 @@ def fit(
     return fit_gram(x, y, changes.T @ changes, len(changes), columns, penalty, ridge, rounds)
 
 
+class Rows:
+    """A sparse matrix: the places and values of its cells."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
+        self.row, self.col, self.value, self.shape = row, col, value, shape
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Rows:
+        row, col = np.nonzero(x)
+        return cls(row, col, x[row, col], x.shape)
+
+    def dot(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * v[self.col], self.shape[0])
+
+    def transposed_dot(self, u: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value * u[self.row], self.shape[1])
+
+    def squares(self, u: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value**2 * u[self.row], self.shape[1])
+
+
+def conjugate_gradients(apply, right: np.ndarray, diagonal: np.ndarray, steps: int = 400, close: float = 1e-7) -> np.ndarray:
+    """x with ``apply(x)`` = ``right`` for a positive definite ``apply``."""
+    x, rest = np.zeros_like(right), right.copy()
+    scaled = rest / diagonal
+    way, size = scaled.copy(), rest @ scaled
+    goal = close * close * max(size, 1e-300)
+    for _ in range(steps):
+        if size <= goal:
+            break
+        along = apply(way)
+        far = size / (way @ along)
+        x += far * way
+        rest -= far * along
+        scaled = rest / diagonal
+        size, before = rest @ scaled, size
+        way = scaled + size / before * way
+    return x
+
+
 def fit_gram(
-    x: np.ndarray, y: np.ndarray, gram: np.ndarray, n_changes: int, columns: dict[str, int], penalty: float = 4.0, ridge: float = 1e-4, rounds: int = 50
-) -> ToxicityModel:
+    x: np.ndarray | Rows, y: np.ndarray, gram: np.ndarray, n_changes: int, columns: dict[str, int],
+    penalty: float = 4.0, ridge: float = 1e-4, rounds: int = 50, at: np.ndarray | None = None,
+) -> ToxicityModel:
     """Newton steps on the log-loss of rows ``x`` (densities) with labels ``y``,
     both classes weighing alike, plus ``penalty`` times the mean squared change
     of the log-odds over ``n_changes`` counterfactuals, which takes only the sum
-    ``gram`` of the outer products of their changes."""
+    ``gram`` of the outer products of their changes (in the columns ``at``, by
+    default all).  Steps are solved from products with the sparse rows, so there
+    may be as many columns as there are features."""
     if len(y) == 0 or y.min() == y.max():
         # nothing to tell apart: every text scores the smoothed share of toxic rows
         share = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 0.25
         return ToxicityModel({}, float(np.log(share) - np.log1p(-share)))
-    size = x.shape[1]
-    x = np.column_stack([x, np.ones(len(x))])
+    rows = x if isinstance(x, Rows) else Rows.of(x)
+    size = rows.shape[1]
+    at = np.arange(size) if at is None else at
     weigh = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    fixed = np.eye(size + 1) * ridge
-    fixed[size, size] = 1e-9
-    if n_changes:
-        fixed[:size, :size] += 2 * penalty / n_changes * gram
-    w = np.zeros(size + 1)
+    tied = 2 * penalty / n_changes * gram if n_changes else np.zeros((len(at), len(at)))
+    small = np.append(np.full(size, ridge), 1e-9)
+
+    def logits(v):
+        return np.clip(rows.dot(v[:size]) + v[size], -500, 500)
+
+    def fixed(v):
+        out = small * v
+        out[at] += tied @ v[at]
+        return out
+
+    def back(u):
+        return np.append(rows.transposed_dot(u), u.sum())
 
     def loss(v):
-        z = np.clip(x @ v, -500, 500)
-        return weigh @ (np.logaddexp(0, z) - y * z) + 0.5 * v @ fixed @ v
+        z = logits(v)
+        return weigh @ (np.logaddexp(0, z) - y * z) + 0.5 * v @ fixed(v)
 
+    w = np.zeros(size + 1)
     now = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (weigh * (p - y)) + fixed @ w
-        hessian = (x.T * (weigh * p * (1 - p) + 1e-9)) @ x + fixed
-        step, scale = np.linalg.solve(hessian, gradient), 1.0
+        p = 1 / (1 + np.exp(-logits(w)))
+        gradient = back(weigh * (p - y)) + fixed(w)
+        curve = weigh * p * (1 - p) + 1e-9
+        diagonal = np.append(rows.squares(curve), curve.sum()) + small
+        diagonal[at] += np.diag(tied)
+        step = conjugate_gradients(lambda v, c=curve: back(c * (rows.dot(v[:size]) + v[size])) + fixed(v), gradient, diagonal)
+        scale = 1.0
         while scale > 1e-4 and loss(w - scale * step) > now:
             scale /= 2
         w = w - scale * step
@@ -176,9 +246,10 @@ def sample(docs: DataFrame, labels: DataFrame, held_out: Column | None, max_rows
     return found.groupBy("label_id").agg(F.max_by(F.struct("body", "toxic"), F.xxhash64("body")).alias("r")).select("r.body", F.col("r.toxic").cast("int").alias("toxic"))
 
 
-def choose_features(drawn: DataFrame, most: int, least_chi2: float = 15.0) -> list[str]:
-    """The ``most`` features of ``drawn(body, toxic)`` that mark toxic rows
-    best, by the chi-squared statistic of their presence."""
+def choose_features(drawn: DataFrame, least_chi2: float = 15.0) -> list[str]:
+    """All features of ``drawn(body, toxic)`` that mark toxic rows: at least
+    ``least_chi2`` by the chi-squared statistic of their presence, in three
+    toxic rows or more.  Their number is bounded by the words of the drawn rows."""
 
     def counted(batches):
         for pdf in batches:
@@ -196,7 +267,7 @@ def choose_features(drawn: DataFrame, most: int, least_chi2: float = 15.0) -> li
     total, seen = na + nb, a + b
     chi2 = total * F.pow(a * (nb - b) - b * (na - a), 2) / (na * nb * seen * (total - seen + 0.5))
     marked = counts.where((a >= 3) & (a * nb > b * na)).withColumn("chi2", chi2).where(F.col("chi2") >= least_chi2)
-    return [r.f for r in marked.orderBy(F.desc("chi2"), "f").limit(most).collect()]
+    return sorted(r.f for r in marked.select("f").collect())
 
 
 def gram_of(drawn: DataFrame, columns: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -243,34 +314,43 @@ def learn(
     labels: DataFrame,
     held_out: Column | None = None,
     max_rows: int = 12_000,
-    max_features: int = 400,
     penalty: float = 4.0,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> ToxicityModel:
-    """A model from at most ``max_rows`` labelled rows and ``max_features``
-    features.  The driver gets the densities of those features, not the texts,
-    and of the counterfactuals one sum (``gram_of``)."""
+    """A model from at most ``max_rows`` labelled rows and all features with
+    enough evidence in them.  The driver gets those rows' densities of those
+    features that occur, not the texts, and of the counterfactuals one sum over
+    the features of names (``gram_of``)."""
     drawn = materialize(sample(docs, labels, held_out, max_rows, id_column, text), "toxicity-sample")
-    columns = {f: k for k, f in enumerate(choose_features(drawn, max_features))}
+    columns = {f: k for k, f in enumerate(choose_features(drawn))}
 
     def vectors(batches):
         for pdf in batches:
-            own = [densities(words_of(body or ""), columns).astype("float32").tobytes() for body in pdf["body"]]
-            yield pd.DataFrame({"toxic": pdf["toxic"].astype(int), "v": own})
-
-    pdf = drawn.mapInPandas(vectors, "toxic int, v binary").toPandas()
+            own = [sorted(density_of(words_of(body or ""), columns).items()) for body in pdf["body"]]
+            yield pd.DataFrame({
+                "toxic": pdf["toxic"].astype(int),
+                "k": [np.array([k for k, _ in row], dtype="int32").tobytes() for row in own],
+                "v": [np.array([v for _, v in row], dtype="float32").tobytes() for row in own],
+            })
+
+    pdf = drawn.mapInPandas(vectors, "toxic int, k binary, v binary").toPandas()
     # the same order however the rows came
-    pdf = pdf.sort_values(["toxic", "v"], kind="stable")
-    x = np.frombuffer(b"".join(pdf["v"]), dtype="float32").reshape(len(pdf), len(columns)).astype(float)
-    return fit_gram(x, (pdf["toxic"].to_numpy() > 0).astype(float), *gram_of(drawn, columns), columns, penalty)
+    pdf = pdf.sort_values(["toxic", "k", "v"], kind="stable")
+    row = np.repeat(np.arange(len(pdf)), [len(k) // 4 for k in pdf["k"]])
+    col = np.frombuffer(b"".join(pdf["k"]), dtype="int32")
+    x = Rows(row, col, np.frombuffer(b"".join(pdf["v"]), dtype="float32").astype(float), (len(pdf), len(columns)))
+    names = [f for f in columns if f in IDENTITY_FEATURES]
+    gram, n = gram_of(drawn, {f: k for k, f in enumerate(names)})
+    at = np.array([columns[f] for f in names], dtype=int)
+    return fit_gram(x, (pdf["toxic"].to_numpy() > 0).astype(float), gram, n, columns, penalty, at=at)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` plus a score from 0 to 1 of every whole text.  A text without
     words (null, empty) has the score of the bias alone, at most 0.49: nothing in
     it is toxic."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred weights, whatever the input
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # a weight for each feature of at most max_rows rows
 
     @F.pandas_udf(T.DoubleType())
     def scored(texts: pd.Series) -> pd.Series:

@@ -75,7 +75,9 @@ def test_counterfactual_penalty_frees_neutral_mentions():
 
 def test_swaps_keep_the_rest():
     pairs = X.counterfactuals("Gay men came. Nobody else.\nDie Frauen auch")
-    assert len(pairs) == 4
+    assert len(pairs) == len(X.IDENTITY_TERMS[0]) - 1 + len(X.IDENTITY_TERMS[1]) - 1
+    swapped = {b[0] for a, b in pairs if a[0] == "gay"}
+    assert swapped == set(X.IDENTITY_TERMS[0]) - {"gay"}
     assert all(len(a) == len(b) and a != b for a, b in pairs)
     assert X.counterfactuals("") == []
 
@@ -126,3 +128,34 @@ def test_sum_of_counterfactuals_is_the_dense_product(spark, monkeypatch):
         assert np.allclose(gram, dense.T @ dense, rtol=1e-5, atol=1e-3)
         grams.append(gram)
     assert (grams[0] == grams[1]).all()
+
+
+def test_a_lexicon_of_rare_words_is_learnt_whole(spark, rows):
+    """300 toxic words, each in 20 of 6,000 toxic texts and in no clean one."""
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def word(n):
+        return "".join(rng.choice(letters, n))
+
+    common, toxic = [word(6) for _ in range(400)], ["zz" + word(7) for _ in range(300)]
+    texts = []
+    for i in range(12_000):
+        said = list(rng.choice(common, 30)) + ([toxic[i // 2 % 300]] if i % 2 else [])
+        texts.append((i, " ".join(rng.permutation(said))))
+    model = X.learn(rows(texts), labels_of(spark, [(i, i % 2) for i in range(12_000)]))
+    fresh = [" ".join([*rng.choice(common, 29), w]) for w in toxic] + [" ".join(rng.choice(common, 30)) for _ in range(300)]
+    found = model.scores(fresh, {}) >= 0.5
+    assert found[:300].all() and not found[300:].any()
+
+
+def test_sparse_steps_solve_the_dense_problem():
+    rng = np.random.default_rng(3)
+    x = rng.random((60, 8)) * (rng.random((60, 8)) < 0.3)
+    y = (x[:, 0] + x[:, 1] > 0.6).astype(float)
+    model = X.fit(x, y, x[:5] - x[5:10], {str(k): k for k in range(8)}, ridge=1e-2)
+    w, d = np.array([model.weights[str(k)] for k in range(8)]), x[:5] - x[5:10]
+    p = 1 / (1 + np.exp(-(x @ w + model.bias)))
+    weigh = np.where(y > 0, 0.5 / y.sum(), 0.5 / (60 - y.sum()))
+    gradient = x.T @ (weigh * (p - y)) + 1e-2 * w + 2 * 4.0 / 5 * d.T @ d @ w
+    assert np.abs(gradient).max() < 1e-4
