@@ -5,7 +5,9 @@ files, parses a record's headers before anything else, and steps over the block
 of every record that the pushed-down predicates rule out: those on record type,
 record id, target, date, digest and reference are decided from the headers.
 With ``payload`` set to false the payloads of the other records are stepped over
-as well.  ``df.write.format("warc")`` writes each task's records to files of its
+as well.  Archives are plain, or gzip members, a member for each record; a member
+is inflated as far as its headers, and where it says its length (as the writer's
+do) the rest of an unwanted one is stepped over unread.  ``df.write.format("warc")`` writes each task's records to files of its
 own name and size; the driver lists the files of successful tasks in a manifest,
 and only these are read, so what a lost or repeated task left behind never
 counts.
@@ -18,7 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import struct
 import uuid
+import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -117,6 +121,8 @@ class Headers:
                 headers[last] = value.strip()
             start, length = self.stream.tell(), int(headers["content-length"])
             yield headers, start, length
+            if self.stream.ends_by(start + length + len(b"\r\n\r\n")):
+                return
             self.stream.seek(start + length)
 
 
@@ -212,8 +218,7 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for name in partition.files:
             with system.open_input_file(name) as file:
-                stream = _Buffered(file)
-                for headers, start, length in Headers(stream, name):
+                for stream, headers, start, length in records(file, name):
                     row = column_values(headers)
                     if not self._passes(row):
                         continue
@@ -244,6 +249,133 @@ class WarcReader(DataSourceReader):
         return {"payload_bytes": count, "payload": payload if self.payload else None}
 
 
+GZIP = b"\x1f\x8b\x08"
+#: The extra field of a member that says how long it is, as archives write it:
+#: "sl" (skip lengths), the lengths of the compressed and of the plain member.
+SKIP = b"sl"
+
+
+def gzip_member(data: bytes, level: int = 6) -> bytes:
+    """``data`` as one gzip member that says its lengths, so that a reader can
+    step over it (beyond 4 GiB they can't be said)."""
+    deflate = zlib.compressobj(level, zlib.DEFLATED, -zlib.MAX_WBITS)
+    body = deflate.compress(data) + deflate.flush()
+    tail = struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    whole = 10 + 2 + 4 + 8 + len(body) + len(tail)
+    if max(whole, len(data)) >= 1 << 32:
+        return GZIP + struct.pack("<BIBB", 0, 0, 0, 255) + body + tail
+    extra = SKIP + struct.pack("<HII", 8, whole, len(data))
+    return GZIP + struct.pack("<BIBBH", 4, 0, 0, 255, len(extra)) + extra + body + tail
+
+
+class _Member:
+    """Lines, reads and seeks over one gzip member, which is inflated as far as
+    it is read and no further.  Seeks go forward, or back to what the buffer
+    still holds: the record last begun."""
+
+    def __init__(self, file, at: int, name: str, chunk: int = 1 << 14):
+        self.file, self.name, self.chunk = file, name, chunk
+        file.seek(at)
+        head = file.read(10)
+        if head[:3] != GZIP or len(head) < 10:
+            raise ValueError(f"{name}: a gzip member was expected at byte {at}")
+        self.start, self.ends_at, self.after = at + 10, None, None
+        flags = head[3]
+        if flags & 4:
+            (size,) = struct.unpack("<H", file.read(2))
+            extra, self.start = file.read(size), self.start + 2 + size
+            while len(extra) >= 4:
+                (own,) = struct.unpack("<H", extra[2:4])
+                if extra[:2] == SKIP and own == 8:
+                    whole, self.ends_at = struct.unpack("<II", extra[4:12])
+                    self.after = at + whole
+                extra = extra[4 + own :]
+        for flag in (8, 16):  # a file name, a comment
+            if flags & flag:
+                while file.read(1) not in (b"\0", b""):
+                    self.start += 1
+                self.start += 1
+        self.start += 2 if flags & 2 else 0
+        self.packed, self.inflater = self.start, zlib.decompressobj(-zlib.MAX_WBITS)
+        self.base, self.at, self.buffer, self.inflated, self.checksum = 0, 0, b"", 0, 0
+
+    def _more(self) -> bool:
+        while not self.inflater.eof:
+            self.file.seek(self.packed)
+            packed = self.file.read(self.chunk)
+            if not packed:
+                raise ValueError(f"{self.name}: ends inside a gzip member")
+            self.packed += len(packed)
+            new = self.inflater.decompress(packed)
+            if self.inflater.eof:
+                self.packed -= len(self.inflater.unused_data)
+            if new:
+                self.checksum = zlib.crc32(new, self.checksum)
+                self.buffer += new
+                self.inflated += len(new)
+                return True
+        return False
+
+    def tell(self) -> int:
+        return self.base + self.at
+
+    def seek(self, to: int) -> None:
+        while to > self.base + len(self.buffer):
+            self.base, self.buffer = self.base + len(self.buffer), b""
+            if not self._more():
+                break
+        self.at = min(to - self.base, len(self.buffer))
+        if self.at > 4 * self.chunk:  # nothing before a place that was sought is read again
+            self.base, self.buffer, self.at = self.base + self.at, self.buffer[self.at :], 0
+
+    def readline(self) -> bytes:
+        while (stop := self.buffer.find(b"\n", self.at)) < 0 and self._more():
+            pass
+        stop = len(self.buffer) if stop < 0 else stop + 1
+        line, self.at = self.buffer[self.at : stop], stop
+        return line
+
+    def read(self, n: int) -> bytes:
+        while len(self.buffer) - self.at < n and self._more():
+            pass
+        data = self.buffer[self.at : self.at + n]
+        self.at += len(data)
+        return data
+
+    def ends_by(self, place: int) -> bool:
+        """Whether the member is known to end there."""
+        return self.ends_at is not None and place >= self.ends_at
+
+    def next(self) -> int:
+        """Where the next member begins: said by this one, or found by
+        inflating it whole, when its checksum is compared too."""
+        if self.after is not None:
+            return self.after
+        while self._more():
+            self.base, self.buffer, self.at = self.base + len(self.buffer), b"", 0
+        self.file.seek(self.packed)
+        tail = self.file.read(8)
+        if len(tail) < 8 or struct.unpack("<I", tail[:4])[0] != self.checksum:
+            raise ValueError(f"{self.name}: a gzip member ending at byte {self.packed} is damaged")
+        return self.packed + 8
+
+
+def records(file, name: str):
+    """``(stream, headers, start, length)`` of each record of an open archive,
+    plain or of gzip members (one for each record, or for many)."""
+    if file.read(3) != GZIP:
+        stream = _Buffered(file)
+        for found in Headers(stream, name):
+            yield stream, *found
+        return
+    at, size = 0, file.size()
+    while at < size:
+        member = _Member(file, at, name)
+        for found in Headers(member, name):
+            yield member, *found
+        at = member.next()
+
+
 class _Buffered:
     """Lines, reads and seeks over an Arrow file through one small buffer, so
     that stepping over a block costs no read of it."""
@@ -251,6 +383,9 @@ class _Buffered:
     def __init__(self, file, size: int = 1 << 16):
         self.file, self.size, self.base, self.at, self.buffer = file, size, 0, 0, b""
 
+    def ends_by(self, place: int) -> bool:
+        return False
+
     def tell(self) -> int:
         return self.base + self.at
 
@@ -308,6 +443,9 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path = options["path"]
         self.file_bytes = int(options.get("fileBytes", FILE_BYTES))
+        self.compression = options.get("compression", "gzip")
+        if self.compression not in ("gzip", "none"):
+            raise ValueError(f"compression is gzip or none, not {self.compression!r}")
         system, root = open_fs(self.path)
         if system.get_file_info(f"{root}/{MANIFEST}").type != fs.FileType.NotFound and not overwrite:
             raise FileExistsError(f"{self.path} holds archives; write to another path or overwrite")
@@ -322,12 +460,14 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is None or size > self.file_bytes:
                         if out is not None:
                             out.close()
-                        files.append(f"part-{own}-{len(files):05d}.warc")
-                        out, size = system.open_output_stream(f"{root}/{files[-1]}"), 0
+                        ending = ".warc.gz" if self.compression == "gzip" else ".warc"
+                        files.append(f"part-{own}-{len(files):05d}{ending}")
+                        out, size = system.open_output_stream(f"{root}/{files[-1]}", compression=None), 0
                     data = record_bytes(
                         row["record_type"], row["record_id"] or "", row["target_uri"] or "", row["date"] or "", row["payload_digest"] or "",
                         row["refers_to"], row["payload_bytes"] or 0, row["payload"],
                     )
+                    data = gzip_member(data) if self.compression == "gzip" else data
                     out.write(data)
                     size += len(data)
         finally:
@@ -351,7 +491,7 @@ class WarcWriter(DataSourceArrowWriter):
 class WarcDataSource(DataSource):
     """Options: ``path``; for reading ``payload`` (default true), ``verify``
     (recompute digests, default false) and ``partitionBytes``; for writing
-    ``fileBytes``."""
+    ``fileBytes`` and ``compression`` (gzip, a member for each record, or none)."""
 
     @classmethod
     def name(cls):

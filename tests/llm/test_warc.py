@@ -1,5 +1,8 @@
 import base64
+import gzip
 import hashlib
+import os
+import random
 
 import duckdb
 import pytest
@@ -53,11 +56,11 @@ def test_empty_table_and_clashing_names(spark):
     assert result(warc.round_trip(clash)) == brute(ROWS[:2])
 
 
-@pytest.fixture
-def archive(spark, tmp_path):
+@pytest.fixture(params=["gzip", "none"])
+def archive(spark, tmp_path, request):
     warc.register(spark)
     path = f"{tmp_path}/w"
-    warc.records_of(pages_of(spark, ROWS)).repartition(3).write.format("warc").option("fileBytes", 100_000).mode("append").save(path)
+    warc.records_of(pages_of(spark, ROWS)).repartition(3).write.format("warc").option("fileBytes", 100_000).option("compression", request.param).mode("append").save(path)
     return path
 
 
@@ -110,3 +113,69 @@ def test_foreign_records(spark, tmp_path):
         f.write(info)
     (r,) = spark.read.format("warc").load(f"{tmp_path}/f.warc").collect()
     assert (r.record_type, r.payload_bytes, bytes(r.payload), r.record_id) == ("warcinfo", 3, b"abc", None)
+
+
+def bodies(n, size):
+    r = random.Random(5)
+    return [bytes(r.randrange(256) for _ in range(size)) for _ in range(n)]
+
+
+def written(path, kinds, pack):
+    data = [warc.record_bytes(k, f"urn:page:{i}", "u", "d", warc.digest_of(b), None, len(b), b) for i, (k, b) in enumerate(kinds)]
+    with open(path, "wb") as f:
+        f.write(pack(data))
+    return str(path)
+
+
+def rows_of(reader):
+    return [r for part in reader.partitions() for b in reader.read(part) for r in b.to_pylist()]
+
+
+PACKS = {
+    "said": lambda data: b"".join(map(warc.gzip_member, data)),
+    "unsaid": lambda data: b"".join(map(gzip.compress, data)),
+    "one": lambda data: gzip.compress(b"".join(data)),
+    "plain": b"".join,
+}
+
+
+@pytest.mark.parametrize("pack", PACKS)
+def test_archives_of_gzip_members(tmp_path, pack):
+    kinds = [("response" if i % 3 else "request", b) for i, b in enumerate(bodies(9, 90_000))] + [("response", b"")]
+    reader = warc.WarcReader({"path": written(tmp_path / "a.warc.gz", kinds, PACKS[pack]), "verify": "true"})
+    assert [(r["record_type"], r["payload"]) for r in rows_of(reader)] == kinds
+    list(reader.pushFilters([warc.EqualTo(("record_type",), "request")]))
+    assert [(r["record_id"], r["payload"]) for r in rows_of(reader)] == [(f"urn:page:{i}", kinds[i][1]) for i in (0, 3, 6)]
+
+
+def test_unwanted_members_are_not_inflated(tmp_path, monkeypatch):
+    kinds = [("response" if i else "request", b) for i, b in enumerate(bodies(8, 200_000))]
+    members, own = [], warc._Member.__init__
+    monkeypatch.setattr(warc._Member, "__init__", lambda self, *a, **k: (own(self, *a, **k), members.append(self))[0])
+    for pack, most in (("said", 8 * 40_000), ("unsaid", 8 * 250_000)):
+        members.clear()
+        reader = warc.WarcReader({"path": written(tmp_path / f"{pack}.warc.gz", kinds, PACKS[pack])})
+        list(reader.pushFilters([warc.EqualTo(("record_type",), "none")]))
+        assert rows_of(reader) == [] and len(members) == 8
+        assert sum(m.inflated for m in members) < most
+        list(warc.WarcReader({"path": str(tmp_path / f"{pack}.warc.gz"), "payload": "false"}).partitions())
+    members.clear()
+    light = warc.WarcReader({"path": str(tmp_path / "said.warc.gz"), "payload": "false"})
+    assert [r["payload_bytes"] for r in rows_of(light)] == [200_000] * 8
+    assert sum(m.inflated for m in members) < 8 * 40_000
+
+
+def test_members_are_what_gzip_reads(tmp_path):
+    data = [b"", b"a" * 100_000, os.urandom(5000)]
+    assert gzip.decompress(b"".join(map(warc.gzip_member, data))) == b"".join(data)
+
+
+def test_damaged_members_fail_loudly(tmp_path):
+    kinds = [("response", b) for b in bodies(2, 50_000)]
+    path = written(tmp_path / "x.warc.gz", kinds, PACKS["unsaid"])
+    whole = open(path, "rb").read()
+    for damage in (whole[:-20], whole[:30_000] + b"zz" + whole[30_002:], whole + b"junk"):
+        with open(path, "wb") as f:
+            f.write(damage)
+        with pytest.raises(Exception, match="ends inside|damaged|was expected|invalid|Error"):
+            rows_of(warc.WarcReader({"path": path}))
