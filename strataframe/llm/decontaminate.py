@@ -17,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, small_side, text_or_empty
+from .common import BROADCAST_BYTES, ascii_lower, materialize, small_side, text_or_empty
 
 #: Fixed value: what separates words, every ASCII character but letters and digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
+#: Parts into which the slots of a word are dealt if frequencies can't be broadcast.
+SLOT_PARTS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -58,10 +60,18 @@ def _ranked_slots(phrases: DataFrame, index: DataFrame) -> DataFrame:
     """``phrases(window_id, terms)`` as one row per term and offset, ``rank`` 1
     for the term with the fewest postings.  A phrase with a term that has no
     posting can't occur and goes."""
-    frequency = index.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+    frequency = materialize(index.groupBy("term").agg(F.count(F.lit(1)).alias("freq")), "term-frequency")
     slots = phrases.select("window_id", F.size("terms").alias("n"), F.posexplode("terms").alias("offset", "term"))
     order = Window.partitionBy("window_id").orderBy("freq", "offset")
-    ranked = slots.join(frequency, "term").withColumn("rank", F.row_number().over(order))
+    # a common word is a term of very many phrases: their slots stay where they
+    # are, or beyond a broadcast are dealt by word and phrase
+    if (frequency.agg(F.sum(F.length("term") + 32)).first()[0] or 0) <= BROADCAST_BYTES:
+        met = slots.join(F.broadcast(frequency), "term")
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.lit(SLOT_PARTS - 1)))
+        part = F.pmod(F.xxhash64("window_id"), F.lit(SLOT_PARTS)).cast("int")
+        met = slots.withColumn("_part", part).join(frequency.withColumn("_part", parts), ["term", "_part"]).drop("_part")
+    ranked = met.withColumn("rank", F.row_number().over(order))
     whole = Window.partitionBy("window_id")
     return ranked.withColumn("found", F.count(F.lit(1)).over(whole)).where("found = n").drop("found")
 

@@ -3,11 +3,12 @@
 Candidates are found by fixed patterns.  The base kinds (email, ip, card, phone)
 follow their contract exactly and always stay.  Looser candidates (obfuscated
 addresses, phone numbers without a country sign, numbers beside a word such as
-"card", keys and hashes, titled names) are judged: regular-expression, gazetteer
-and context labelers vote for or against each or abstain,
-expectation-maximisation over all candidates of the corpus estimates how
-reliable each labeler is, and the posteriors train a logistic span classifier
-on the votes' features, which has the last word.
+"card", keys and hashes, titled names) are judged, also where they overlap:
+regular-expression, gazetteer and context labelers vote for or against each or
+abstain, expectation-maximisation over all candidates of the corpus estimates
+how reliable each labeler is, and the posteriors of the looser ones train a
+logistic span classifier on the votes' features, which has the last word.  Of
+accepted spans that overlap the likelier stays, then the longer, then the first.
 
 What is gathered from the corpus is one count for each kind and pattern of votes,
 a table of bounded size; no candidate or text goes to the driver.
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -39,19 +42,32 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_MASKED = re.compile(r"(?<![\w.+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z]{2,24})+(?!\w)", re.I)
+_AT, _DOT = (rf"(?:\({w}\)|\[{w}\]|\{{{w}\}}| {w} )" for w in ("at", "dot"))
+# a run is taken whole or not at all, so that no text takes more than linear time
+_MASKED = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9._%+-]++ ?{_AT} ?[A-Za-z0-9-]++(?: ?{_DOT} ?[A-Za-z]{{2,}}+)+(?!\w)", re.I)
 _LOCAL_PHONE = re.compile(r"(?<![\w+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\w.-])")
 _SECRET = re.compile(r"[A-Za-z0-9_]{20,}")
 _DIGIT = re.compile(r"[0-9]")
 _OTHER = re.compile(r"[^0-9]+")
-TITLES = ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr")
-_NAME = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.? [A-ZÀ-Ý][a-zß-ÿ]{1,30}(?: [A-ZÀ-Ý][a-zß-ÿ]{1,30})?(?!\w)")
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Dra", "Prof", "Herr", "Frau", "Mme", "Mlle", "Sr", "Sra", "Srta")
+_NAME = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? [A-ZÀ-Ý][a-zß-ÿ]++(?: [A-ZÀ-Ý][a-zß-ÿ]++)?(?!\w)")
 
 #: Gazetteers of the voters.
-TOP_DOMAINS = frozenset("com org net edu gov io co uk de fr es it nl eu info biz".split())
+TOP_DOMAINS = frozenset(
+    "ai ar at au be biz br ca ch cl cn co com cz de dev dk edu es eu fi fr gov gr hu ie in info int io it jp kr lu me mil mx net nl no nz org pl pt "
+    "ro ru se sg sk tr tv uk us za".split()
+)
 CALLING_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "52", "55", "61", "81", "86", "90", "91")
 CARD_FIRST = "23456"
-FIRST_NAMES = frozenset("john mary james anna peter paul maria jean pierre marie hans klaus ursula juan jose carmen ana luis".split())
+FIRST_NAMES = frozenset(
+    "ada adam alan alice amy ana andrea andrew angela ann anna anne antonio barbara ben brian bruno carlos carmen carol charles charlotte chris "
+    "christian christine claire clara claude daniel david diana diego donald dorothy edward elena elizabeth emily emma eric eva felix fernando "
+    "francis frank franz fritz gabriel george gerda greta hans heinz helen helga henri henry hugo ian ines ingrid isabel jack jacques jaime james "
+    "jan jane jason javier jean jennifer jens joan john jorge jose joseph juan julia julie jutta karen karl kate klaus laura lena linda lisa louis "
+    "lucas lucia luis luise manuel marco margaret maria marie mark marta martin mary matthew max michael miguel monika nancy nicolas nina olga "
+    "otto pablo patricia paul pedro peter petra philip pierre rafael ralf ramon richard robert rosa ruth sandra sarah simon sofia sophie stefan "
+    "susan sven theo thomas tim ursula uwe vera victor walter werner william wolfgang".split()
+)
 CUES = {
     "email": ("mail", "contact", "write to", "correo", "courriel"),
     "ip": ("ip", "host", "server", "address", "adresse"),
@@ -65,7 +81,7 @@ AGAINST = ("isbn", "version", "order", "page", "chapter", "license", "commit", "
 #: Characters on either side in which a context voter looks for its cues.
 REACH = 32
 
-LABELERS = ("strict", "checksum", "gazetteer", "cue", "counter_cue", "shape")
+LABELERS = ("company", "checksum", "gazetteer", "cue", "counter_cue", "shape")
 
 
 def luhn(digits: str) -> bool:
@@ -130,25 +146,36 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
         offer("secret", _SECRET, lambda s: any(c.isdigit() for c in s) and any(c.isalpha() for c in s))
     if any(t in text for t in TITLES):
         offer("name", _NAME)
-    free, k, order = [], 0, sorted(found, key=lambda x: (x[1], -x[2]))
-    last = 0
-    for kind, s, e in order:
+    free, k = [], 0
+    for kind, s, e in sorted(found, key=lambda x: (x[1], x[2])):
         while k < len(taken) and taken[k][1] <= s:
             k += 1
-        if s >= last and not (k < len(taken) and taken[k][0] < e):
+        if not (k < len(taken) and taken[k][0] < e):
             free.append((kind, s, e))
-            last = e
     return sorted(free, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
-def votes(text: str, span: tuple[str, int, int]) -> tuple[int, ...]:
-    """One vote of each labeler on a span."""
+#: Characters to the next base span within which a span has company.
+COMPANY = 64
+
+
+def in_company(span: tuple[str, int, int], base: list[tuple[int, int]]) -> bool:
+    """Whether another base span lies near; ``base`` holds their ends in order."""
+    _, s, e = span
+    k = bisect_left(base, (s, e))
+    near = [x for x in base[max(0, k - 1) : k + 2] if x != (s, e)]
+    return any(x[0] - e < COMPANY and s - x[1] < COMPANY for x in near)
+
+
+def votes(text: str, span: tuple[str, int, int], base: Sequence[tuple[int, int]] = ()) -> tuple[int, ...]:
+    """One vote of each labeler on a span; ``base``: where the text's base
+    spans are, in order."""
     kind, s, e = span
     body = text[s:e]
     digits = "".join(c for c in body if "0" <= c <= "9") if e - s <= 4096 else ""
     around = (text[max(0, s - REACH) : s] + " " + text[e : e + REACH]).lower()
     subject = CUE_OF.get(kind, kind)
-    strict = 1 if kind in BASE else 0
+    company = 1 if in_company(span, base) else 0
     checksum = gazetteer = shape = 0
     if subject == "email":
         gazetteer = 1 if re.split(r"[.\s)\]}]+", body.lower())[-1] in TOP_DOMAINS else -1
@@ -161,10 +188,13 @@ def votes(text: str, span: tuple[str, int, int]) -> tuple[int, ...]:
         gazetteer = 1 if digits[:1] in CARD_FIRST else -1
         shape = -1 if text[s - 1 : s].isalnum() or text[e : e + 1].isalnum() else 1
     elif subject == "phone":
-        gazetteer = 1 if kind == "local_phone" or digits.startswith(CALLING_CODES) else -1
+        # without a country: a trunk prefix, or ten digits as in North America
+        national = digits.startswith("0") or (len(digits) == 10 and digits[0] in "23456789")
+        gazetteer = 1 if (national if kind == "local_phone" else digits.startswith(CALLING_CODES)) else -1
         shape = 1 if 9 <= len(digits) <= 12 and body.count("(") == body.count(")") else -1
     elif subject == "secret":
-        checksum = 1 if len(body) >= 32 and re.fullmatch("[0-9a-f]+|[0-9A-F]+", body) else 0
+        # keys are drawn from many characters, hashes are hexadecimal; names and numbers repeat a few
+        checksum = 1 if len(set(body)) >= 12 or (len(body) >= 32 and re.fullmatch("[0-9a-f]+|[0-9A-F]+", body)) else -1
         kinds = sum(any(f(c) for c in body) for f in (str.isdigit, str.islower, str.isupper))
         shape = 1 if len(digits) * 5 >= len(body) and kinds >= 2 else -1
         gazetteer = 1 if body.lower().startswith(("sk_", "ghp_", "akia", "xox")) else 0
@@ -173,7 +203,7 @@ def votes(text: str, span: tuple[str, int, int]) -> tuple[int, ...]:
         shape = 1 if body.count(" ") >= 2 else 0
     cue = 1 if any(c in around for c in CUES[subject]) else 0
     counter = -1 if any(c in around for c in AGAINST) else 0
-    return strict, checksum, gazetteer, cue, counter, shape
+    return company, checksum, gazetteer, cue, counter, shape
 
 
 class SpanModel:
@@ -200,9 +230,12 @@ class SpanModel:
                 model = LabelModel(len(LABELERS), smoothing=5.0).fit([x[1] for x, _ in own], [n for _, n in own])
                 self.reliability[subject] = model.accuracies()
                 soft.update(zip([x for x, _ in own], model.posterior([x[1] for x, _ in own])))
-        keys = sorted(counts)
+        # base spans are evidence on the labelers, not cases of the classifier
+        keys = sorted(k for k in counts if k[0] not in BASE)
+        if not keys:
+            return self
         x = np.stack([self._features(*k) for k in keys])
-        y = np.array([1.0 if k[0] in BASE else soft[k] for k in keys])
+        y = np.array([soft[k] for k in keys])
         # the logarithm keeps a frequent kind from drowning the others
         n = np.log1p(np.array([counts[k] for k in keys], dtype=float))
         n /= n.sum()
@@ -218,9 +251,13 @@ class SpanModel:
         self.weights = w
         return self
 
+    def chance(self, kind: str, vote: tuple[int, ...]) -> float:
+        """How likely a span is personal data: base kinds surely."""
+        return 1.0 if kind in BASE else float(1 / (1 + np.exp(-self._features(kind, vote) @ self.weights)))
+
     def keeps(self, kind: str, vote: tuple[int, ...], threshold: float = 0.5) -> bool:
         """Base kinds always; others by the classifier."""
-        return kind in BASE or 1 / (1 + np.exp(-self._features(kind, vote) @ self.weights)) >= threshold
+        return self.chance(kind, vote) >= threshold
 
 
 def learn(docs: DataFrame, text: str = "text") -> SpanModel:
@@ -232,7 +269,8 @@ def learn(docs: DataFrame, text: str = "text") -> SpanModel:
             for t in pdf["t"]:
                 if t:
                     base = base_spans(t)
-                    seen.update((span[0], votes(t, span)) for span in base + candidates(t, base))
+                    places = sorted(x[1:] for x in base)
+                    seen.update((span[0], votes(t, span, places)) for span in base + candidates(t, base))
         rows = [(k, "".join("-0+"[v + 1] for v in vote), n) for (k, vote), n in seen.items()]
         yield pd.DataFrame(rows, columns=["kind", "votes", "n"]).astype({"n": "int64"})
 
@@ -245,15 +283,22 @@ def find_spans(text: str, model: SpanModel, decided: dict | None = None) -> tupl
     """Base spans, and all spans: base and accepted others, by kind as listed,
     then by start."""
     base = base_spans(text)
+    places = sorted(x[1:] for x in base)
     decided = {} if decided is None else decided
-    extra = []
+    likely = []
     for span in candidates(text, base):
-        key = (span[0], votes(text, span))
+        key = (span[0], votes(text, span, places))
         if key not in decided:
-            decided[key] = bool(model.keeps(*key))
-        if decided[key]:
+            decided[key] = model.chance(*key)
+        if decided[key] >= 0.5:
+            likely.append((-decided[key], span[1] - span[2], span[1], span))
+    extra, taken = [], []
+    for *_, span in sorted(likely):
+        k = bisect_left(taken, span[1:])
+        if (k == 0 or taken[k - 1][1] <= span[1]) and (k == len(taken) or taken[k][0] >= span[2]):
+            taken.insert(k, span[1:])
             extra.append(span)
-    return base, base + extra
+    return base, base + sorted(extra, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
 def listing(spans: list[tuple[str, int, int]]) -> str:
@@ -262,22 +307,25 @@ def listing(spans: list[tuple[str, int, int]]) -> str:
 
 def detect(docs: DataFrame, model: SpanModel | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, counts of base spans, ``base_sha256`` of their
-    listing, and ``spans``, the listing of all spans as kind:start:end in code
-    points.
+    listing, ``spans``, the listing of all spans as kind:start:end in code
+    points, and counts of the added ones by kind and of all (``n_spans``).
 
     Null and empty texts have no spans (and the digest of the empty string).
     Equal ids or texts each give a row, an empty table gives none, further
     columns are not used."""
     model = model or learn(docs, text)
 
-    @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    shown = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", *[f"n_{k}" for k in ADDED], "n_spans"]
+
+    @F.pandas_udf(", ".join(f"{c} {'long' if c.startswith('n_') else 'string'}" for c in shown))
     def spans(texts: pd.Series) -> pd.DataFrame:
         rows, decided = [], {}
         for t in texts:
             base, every = find_spans(t or "", model, decided)
-            kinds = Counter(k for k, _, _ in base)
-            rows.append((*(kinds[k] for k in BASE), hashlib.sha256(listing(base).encode()).hexdigest(), listing(every)))
-        return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            kinds = Counter(k for k, _, _ in every)
+            digest = hashlib.sha256(listing(base).encode()).hexdigest()
+            rows.append((*(kinds[k] for k in BASE), digest, listing(every), *(kinds[k] for k in ADDED), len(every)))
+        return pd.DataFrame(rows, columns=shown)
 
     found = docs.select(F.col(id_column).alias("doc_id"), spans(F.col(text).cast("string")).alias("s"))
     return found.select(F.col("doc_id").alias(id_column), "s.*")

@@ -90,3 +90,13 @@ def test_proximity(spark, rows):
     assert sorted(r.doc_id for r in keys.join(near, "text_key").collect()) == [1, 2, 5]
     with pytest.raises(ValueError):
         D.proximity_matches(index, phrases, 0)
+
+
+def test_slots_are_ranked_alike_without_a_broadcast(spark, monkeypatch, rows):
+    docs = rows([(i, f"the the quick brown fox {i} of the lazy dogs the end") for i in range(20)])
+    items = spark.createDataFrame([(1, "the quick brown fox"), (2, "of the lazy"), (3, "the"), (4, "no such words")], "item_id long, text string")
+    got = []
+    for limit in (D.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(D, "BROADCAST_BYTES", limit)
+        got.append(sorted(map(str, D.contamination(docs, items, size=3).drop("text_key").collect())))
+    assert got[0] == got[1] and "n_hit=" in got[0][0]

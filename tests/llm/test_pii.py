@@ -112,3 +112,41 @@ def test_expectation_maximisation_finds_the_better_voter():
 @pytest.mark.parametrize("counts", [{}, {("number", (0,) * 6): 3}])
 def test_models_of_little(counts):
     assert P.SpanModel().fit(counts).keeps("email", (0,) * 6)
+
+
+def test_long_names_and_addresses_are_whole():
+    name, local = "A" + "b" * 50, "x" * 100
+    text = f"Dr. {name} wrote, {local} (at) {'h' * 80} (dot) {'museum' * 5} too"
+    found = {k: text[s:e] for k, s, e in P.candidates(text, [])}
+    assert found["name"] == f"Dr. {name}" and found["masked_email"].startswith(local) and found["masked_email"].endswith("museum")
+
+
+def test_overlapping_candidates_all_vote_and_the_likelier_stays():
+    text = "call 030 1234 5678 now, card 1234 5678 9012 3456 7"
+    kinds = [(k, text[s:e]) for k, s, e in P.candidates(text, [])]
+    both = "1234567890123456789a"  # a number inside a key
+    assert [k for k, _, _ in P.candidates(both, [])] == ["number", "secret"]
+    assert ("local_phone", "030 1234 5678") in kinds
+    for likely, other in (("number", "secret"), ("secret", "number")):
+        model = P.SpanModel()
+        chances = {likely: 0.9, other: 0.6}
+        model.chance = lambda kind, vote, c=chances: c[kind]
+        assert [k for k, _, _ in P.find_spans(both, model)[1]] == [likely]
+
+
+def test_no_labeler_is_constant_on_a_kind():
+    texts = ["tel 030 1234 5678 or x@y.de", "page 123 456 789 of", "key aB3dE5fG7hJ9kL1mN3pQ in", "order AAAA1111AAAA1111AAAA here", "Dr. Anna Smith", "Mr Xylo wrote",
+             "pay 4111 1111 1111 1112 by visa", "isbn 9781234567897 and", "a (at) b (dot) com", "zz at page dot chapter"]
+    seen = {}
+    for t in texts:
+        base = P.base_spans(t)
+        for span in P.candidates(t, base):
+            seen.setdefault(span[0], set()).add(P.votes(t, span, sorted(x[1:] for x in base)))
+    assert all(len(v) > 1 for v in seen.values()) and set(seen) == set(P.ADDED)
+
+
+def test_added_columns_say_what_the_listing_says(spark, rows):
+    pairs = [(i, f"api key 9abc9ff9ca9fb9e9c999a9eb99999999a999b{i:03d} kept, mail a{i}@mail.com") for i in range(30)]
+    for r in P.detect(rows(pairs)).collect():
+        kinds = [x.split(":")[0] for x in r.spans.split(",")]
+        assert r.n_spans == len(kinds) and all(r[f"n_{k}"] == kinds.count(k) for k in P.KINDS)
