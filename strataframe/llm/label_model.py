@@ -14,14 +14,20 @@ import numpy as np
 class LabelModel:
     """``fit`` on patterns and counts, then ``posterior`` of any patterns."""
 
-    def __init__(self, labelers: int, prior: float = 0.5, rounds: int = 200, smoothing: float = 1.0, fixed_prior: bool = False):
+    def __init__(self, labelers: int, prior: float = 0.5, rounds: int = 200, smoothing: float = 1.0, fixed_prior: bool = False, trust: dict[int, float] | None = None):
         self.labelers, self.prior, self.rounds, self.smoothing, self.fixed_prior = labelers, prior, rounds, smoothing, fixed_prior
-        # start: every labeler is right in four of five of its votes
-        start = np.array([[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]])  # class (0, 1) x vote (-1, 0, +1)
-        self.rates = np.repeat(start[:, None, :], labelers, axis=1)
-
-    def fit(self, votes: np.ndarray, counts: np.ndarray) -> LabelModel:
-        """``votes``: patterns x labelers; ``counts``: items of each pattern."""
+        # start: a labeler abstains on half of all items and is right in four of
+        # five of its votes; one in ``trust`` is right that often, which isn't
+        # estimated anew
+        self.trusted = sorted(trust or {})
+        right = np.array([(trust or {}).get(j, 0.8) for j in range(labelers)]) / 2
+        half = np.full(labelers, 0.5)
+        # class (0, 1) x labeler x vote (-1, 0, +1)
+        self.rates = np.stack([np.stack([right, half, 0.5 - right], axis=1), np.stack([0.5 - right, half, right], axis=1)])
+
+    def fit(self, votes: np.ndarray, counts: np.ndarray, sure: np.ndarray | None = None) -> LabelModel:
+        """``votes``: patterns x labelers; ``counts``: items of each pattern;
+        ``sure``: patterns whose items are known to be of class 1."""
         votes = np.asarray(votes, dtype=np.int64).reshape(-1, self.labelers)
         counts = np.asarray(counts, dtype=np.float64)
         if not counts.sum():
@@ -29,10 +35,11 @@ class LabelModel:
         one_hot = np.eye(3)[votes + 1]
         base = self.rates.copy()
         for _ in range(self.rounds):
-            good = self.posterior(votes)
+            good = self.posterior(votes) if sure is None else np.where(sure, 1.0, self.posterior(votes))
             weight = np.stack([(1 - good) * counts, good * counts])
             seen = np.einsum("cp,pjv->cjv", weight, one_hot)
             rates = (seen + self.smoothing * base) / (weight.sum(axis=1)[:, None, None] + self.smoothing)
+            rates[:, self.trusted] = base[:, self.trusted]
             prior = self.prior if self.fixed_prior else float(np.clip(weight[1].sum() / counts.sum(), 1e-3, 1 - 1e-3))
             moved = max(np.abs(rates - self.rates).max(), abs(prior - self.prior))
             self.rates, self.prior = rates, prior

@@ -5,8 +5,9 @@ follow their contract exactly and always stay.  Looser candidates (obfuscated
 addresses, phone numbers without a country sign, numbers beside a word such as
 "card", keys and hashes, titled names) are judged, also where they overlap:
 regular-expression, gazetteer and context labelers vote for or against each or
-abstain, expectation-maximisation over all candidates of the corpus estimates
-how reliable each labeler is, and the posteriors of the looser ones train a
+abstain, expectation-maximisation over all candidates of the corpus, the base
+spans among them as sure cases, estimates how reliable each labeler is, and the
+posteriors of the looser ones train a
 logistic span classifier on the votes' features, which has the last word.  Of
 accepted spans that overlap the likelier stays, then the longer, then the first.
 
@@ -81,6 +82,8 @@ AGAINST = ("isbn", "version", "order", "page", "chapter", "license", "commit", "
 #: Characters on either side in which a context voter looks for its cues.
 REACH = 32
 
+#: How often a card's check digit is right about it: arithmetic, not to be learnt.
+CHECKSUM_TRUST = 0.99
 LABELERS = ("company", "checksum", "gazetteer", "cue", "counter_cue", "shape")
 
 
@@ -227,10 +230,11 @@ class SpanModel:
         for subject in dict.fromkeys(CUE_OF.get(k, k) for k in KINDS):
             own = [(x, n) for x, n in counts.items() if CUE_OF.get(x[0], x[0]) == subject]
             if own:
-                model = LabelModel(len(LABELERS), smoothing=5.0).fit([x[1] for x, _ in own], [n for _, n in own])
+                sure = np.array([x[0] in BASE for x, _ in own])
+                model = LabelModel(len(LABELERS), smoothing=5.0, trust={LABELERS.index("checksum"): CHECKSUM_TRUST} if subject == "card" else None).fit([x[1] for x, _ in own], [n for _, n in own], sure)
                 self.reliability[subject] = model.accuracies()
                 soft.update(zip([x for x, _ in own], model.posterior([x[1] for x, _ in own])))
-        # base spans are evidence on the labelers, not cases of the classifier
+        # base spans were sure cases for the labelers; the classifier judges the others
         keys = sorted(k for k in counts if k[0] not in BASE)
         if not keys:
             return self
