@@ -4,18 +4,23 @@ A merge can only join bytes that stand next to each other in some vocabulary
 token.  A pair of bytes that occurs inside no token is therefore a certain
 token boundary, and what lies on its two sides can be encoded apart and the
 ids concatenated.  ``ForcedBoundaries`` reads the pairs from the vocabulary
-and cuts at two kinds of absent pairs that the tokenizer's own splitting also
-respects, so that nothing else of it has to be redone here:
+and cuts at those that the tokenizer's own splitting also respects, so that
+nothing else of it has to be redone here:
 
 * pairs with a space, tab, line feed or carriage return (no token holds one,
   and the pre-tokenizer drops them);
-* an ASCII letter before a sign that follows no such letter inside any token,
-  at the end of the first letters of a run without white space.  The sign starts a new pre-token whatever follows.
-  The apostrophe is never such a sign.
-
-A special string that stands in a text holds neither kind of pair inside: the
-part of a run after its first cut is kept whole.  Fragments repeat a lot, so
-each task keeps the results of short ones.
+* pairs of a letter, an ASCII digit and an ASCII sign, by a table of which
+  signs and digits follow or precede letters, digits and signs inside no token
+  (``CutTable``).  The pre-tokenizer ends its piece at each of these places
+  whatever stands on either side: letters end before anything else, a digit is a
+  piece of its own, and signs end before a letter or a digit.  One pair is not
+  such a place, an apostrophe before a letter, with which a piece may begin.
+
+Letters are those of ASCII and Latin-1, whose case and composition no ASCII
+neighbour changes; runs with any other character are cut before their first sign
+only.  A special string holds such pairs inside: a part of a run with its
+beginning is kept whole.  Fragments repeat a lot, so each task keeps the results
+of short ones.
 """
 
 from __future__ import annotations
@@ -52,6 +57,47 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class CutTable:
+    """Which neighbouring characters are a forced boundary: the byte pair is
+    inside no token, for every letter or digit of the class beside it."""
+
+    def __init__(self, pairs: set[tuple[int, int]], special: list[str]):
+        letters = [ord(c) for c in (*"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",)]
+        digits = [ord(c) for c in "0123456789"]
+        signs = [c for c in range(0x21, 0x7F) if c not in letters and c not in digits]
+
+        def free(left, right) -> bool:
+            return not any((x, y) in pairs for x in left for y in right)
+
+        own = [*signs, *digits]
+        self.after_letter = [c for c in own if free(letters, [c])]
+        self.before_letter = [c for c in own if chr(c) != "'" and free([c], letters)]
+        # Latin-1 letters are the bytes 0xC3 and one of 0x80 to 0xBF
+        self.after_latin = [c for c in own if free(range(0x80, 0xC0), [c])]
+        self.before_latin = [c for c in own if chr(c) != "'" and free([c], [0xC3])]
+        self.after_digit = [c for c in own if free(digits, [c])]
+        self.before_digit = [c for c in signs if free([c], digits)]
+        letter, latin, digit = "[A-Za-z]", f"[{LETTERS.removeprefix('A-Za-z')}]", "[0-9]"
+        places = [
+            (letter, self._set(self.after_letter)), (self._set(self.before_letter), letter), (latin, self._set(self.after_latin)),
+            (self._set(self.before_latin), latin), (digit, self._set(self.after_digit)), (self._set(self.before_digit), digit),
+        ]
+        cuts = [f"(?<={x})(?={y})" for x, y in places if x and y]
+        self.cut = re.compile("|".join(cuts)) if cuts else None
+        self.plain = re.compile(f"[!-~{LETTERS}]+")
+        self.openings = tuple({x[:2] for x in special})
+
+    @staticmethod
+    def _set(codes: list[int]) -> str:
+        return f"[{re.escape(''.join(map(chr, codes)))}]" if codes else ""
+
+    def split(self, run: str) -> list[str]:
+        """A run without white space in its parts."""
+        if self.cut is None or len(run) < 2 or run.isalpha() or not self.plain.fullmatch(run) or any(x in run for x in self.openings):
+            return [run]
+        return self.cut.split(run)
+
+
 class ForcedBoundaries:
     """Cuts, encodes and decodes with one byte-level BPE vocabulary file."""
 
@@ -70,6 +116,7 @@ class ForcedBoundaries:
             raise ValueError("the vocabulary holds white space inside tokens")
         run = "[^ \t\n\r]+"
         self.pattern = re.compile(f"[{LETTERS}]*[A-Za-z](?=[{re.escape(self.cut_signs)}])|{run}" if self.cut_signs else run)
+        self.table = CutTable(self.pairs, self.special)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.numbers = [str(i) for i in range(size)]
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)]
@@ -91,7 +138,8 @@ class ForcedBoundaries:
     def fragments(self, text: str) -> list[str]:
         """The parts of ``text`` between forced boundaries, without the white
         space that no token holds."""
-        return self.pattern.findall(text)
+        split = self.table.split
+        return [x for run in self.pattern.findall(text) for x in ((run,) if run.isalpha() else split(run))]
 
     def _learn(self, fragments: list[str]) -> dict[str, tuple[int, str, str]]:
         """Token count, ids and tokens (both joined by spaces) of fragments."""

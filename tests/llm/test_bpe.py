@@ -80,3 +80,27 @@ def test_ids_and_round_trip(spark, rows, library):
     for i, t in pairs:
         n, ids, decoded = expected(library, t)
         assert (back[i].n_tokens, " ".join(map(str, back[i].ids)), back[i].decoded, back[i].again) == (n, ids, decoded, decoded)
+
+
+def test_cuts_inside_runs(own, library):
+    assert own.fragments("abc12.5,x don't l'été! (é)7a") == ["abc", "1", "2", ".", "5", ",", "x", "don", "'t", "l", "'été", "!", "(", "é)", "7", "a"]
+    assert own.fragments("a<|endoftext|>b x<|y1") == ["a", "<|endoftext|>b", "x", "<|y1"]
+    assert own.fragments("ΑΣ.b3 日本1") == ["ΑΣ.b3", "日本1"]
+    for table, letters in ((own.table.after_letter, "after"), (own.table.before_letter, "before")):
+        assert {ord("."), ord(","), ord("7")} <= set(table), letters
+    assert ord("'") not in own.table.before_letter
+
+
+def test_random_runs_of_letters_digits_and_signs(own, library):
+    rng = random.Random(11)
+    letters = "abzABZéÉßÿÀøØ'ST" + "0123456789" + "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    for _ in range(20_000):
+        t = "".join(rng.choice(letters + " ") for _ in range(rng.randrange(1, 16)))
+        assert own.encode(t) == expected(library, t), repr(t)
+
+
+def test_a_vocabulary_that_joins_signs_is_not_cut_there():
+    pairs = {(ord("a"), ord(".")), (0xA9, ord("3")), (ord("-"), 0xC3), (ord("1"), ord("2"))}
+    table = bpe.CutTable(pairs, ["<|x|>"])
+    assert table.split("b.c") == ["b.", "c"] and table.split("b3") == ["b", "3"] and table.split("3b") == ["3", "b"]
+    assert table.split("b-c") == ["b", "-", "c"] and table.split("b-é") == ["b", "-é"] and table.split("é3b") == ["é3", "b"] and table.split("12") == ["12"] and table.split("b<|x|>") == ["b<|x|>"]
