@@ -12,8 +12,8 @@ slots: by container, what a page puts there beside the template's own words.
 Inside article and main elements all blocks are the text but the template's own
 words that stand on most pages with that element (``TEXT_SUPPORT``).  A host
 without such elements has the slots of text instead: each container whose own
-page-specific characters are mostly unlinked, with all its blocks, and lists of
-links within it.  Names are the second sign: menus, headers, footers, side
+page-specific characters are mostly unlinked, with its blocks but the template's
+words that stand on most pages with the container, and lists of links within it.  Names are the second sign: menus, headers, footers, side
 columns, notices, adverts, forms and reader comments go by the elements and names
 of the containers around them, but no name counts on the way to the main
 element, nor on a container that holds most of the host's page-specific text.
@@ -45,8 +45,8 @@ from .common import materialize, small_side
 LEAST_PAGES = 4
 #: Share of a host's pages on which a template token stands, at least.
 SUPPORT = 0.3
-#: Share of the pages with an article or main element on which a text stands, at
-#: least, to count as the template's inside that element too.
+#: Share of the pages with an article or main element, or with a container of
+#: text, on which a text stands, at least, to count as the template's in it too.
 TEXT_SUPPORT = 0.8
 #: Share of a host's page-specific text beyond which a container is kept against
 #: a name made of listed words only; a half is enough against other names.
@@ -54,8 +54,9 @@ SURE_NAME = 0.9
 #: Tokens of a class, at least.
 CLASS_SIZE = 2
 #: Elements by what they do to text.
-RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "xmp", "noembed", "noframes")
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW = ("script", "style", "textarea", "title", "iframe", "template", "svg", "noembed", "noframes")
+#: Shown as it stands, tags and all.
+VERBATIM = "xmp"
 CONTAINERS = frozenset(
     "html head body nav header footer aside main article section div form ul ol dl table menu dialog figure fieldset details select button label".split()
 )
@@ -67,17 +68,18 @@ DROPPED = frozenset("head nav header footer aside form menu dialog select button
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation sidebar sidenav aside footer "
     "masthead topbar comment comments reply replies disqus notice notices cookie cookies consent gdpr popup modal overlay share sharing social "
-    "related recommended breadcrumb breadcrumbs pagination pager newsletter subscribe signup login search toolbar widget contentinfo complementary".split()
+    "breadcrumb breadcrumbs pagination pager newsletter subscribe signup login contentinfo complementary".split()
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_RAW_END = {n: re.compile(rf"</{n}\s*>|\Z", re.I) for n in RAW}
+_RAW_END = {n: re.compile(rf"</{n}\s*>|\Z", re.I) for n in (*RAW, VERBATIM)}
 _NAMING = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+")
+_LONG_NUMBER = re.compile(r"\d{3,}")
 _SLASH = re.compile("/")
 #: What a start tag of these closes when it is still open.
 _CLOSES = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
@@ -94,9 +96,14 @@ class Block:
 
 
 def _names(rest: str) -> str:
-    """The words of a tag's class, id and role, numbers made alike."""
-    words = [a or b or c for _, a, b, c in _NAMING.findall(rest)] if "=" in rest else []
-    return _NUMBER.sub("#", ".".join(".".join(words).lower().replace("/", "-").split()))
+    """The words of a tag's class, id and role.  Numbers that count pages are
+    made alike: those of an id, and long ones; the short ones of a class tell
+    columns apart."""
+    words = []
+    for kind, *said in _NAMING.findall(rest) if "=" in rest else ():
+        number = _NUMBER if kind.lower() == "id" else _LONG_NUMBER
+        words.append(number.sub("#", "".join(said)))
+    return ".".join(".".join(words).lower().replace("/", "-").split())
 
 
 def parse(source: str) -> tuple[list[Block], list[str]]:
@@ -153,6 +160,13 @@ def parse(source: str) -> tuple[list[Block], list[str]]:
             elif name in BLOCKS:
                 flush()
             continue
+        if name == VERBATIM:
+            end = _RAW_END[name].search(source, at)
+            flush()
+            add(html_module.escape(source[at : end.start()]))
+            flush()
+            at = end.end()
+            continue
         if name in RAW and not m["rest"].rstrip().endswith("/"):
             end = _RAW_END[name].search(source, at)
             at = end.end()
@@ -320,7 +334,7 @@ def _templates(tokens: DataFrame, by_host: bool) -> DataFrame:
 class Template:
     """A host's template: the classes' container paths in order, the texts that
     belong to it, the paths of its main containers, those of its texts that
-    go inside these too, the containers whose names don't count, and its
+    go also inside these and inside slots of text, the containers whose names don't count, and its
     slots: by container the unlinked and linked characters a page puts right
     inside it, without the template's own."""
 
@@ -367,8 +381,9 @@ class Template:
         if not whole:
             # pages that say nothing of their own are copies: their words stay
             return cls(classes, frozenset(), tuple(sorted(roots)), frozenset(), spared)
-        within = {token: content_of(places.get(token[-8:], "")) for token, *_ in texts}
-        everywhere = {token for token, n, *_ in texts if (r := within[token]) in own and n >= TEXT_SUPPORT * own[r][0]}
+        # inside a main element what stands on most pages with that element, elsewhere on most with its container
+        around = {token: content_of(p) or p for token, *_ in texts if (p := places.get(token[-8:]))}
+        everywhere = {token for token, n, *_ in texts if (r := around.get(token)) in own and n >= TEXT_SUPPORT * own[r][0]}
         slots = {p: (u / n, k / n) for p, (n, u, k) in own.items()}
         return cls(classes, frozenset(t[0] for t in texts), tuple(sorted(roots)), frozenset(everywhere), spared, slots)
 
@@ -399,9 +414,12 @@ def page_roots(opened: list[str]) -> tuple[str, ...]:
 
 
 def in_slot(block: Block, template: Template, here: dict[str, list[int]]) -> bool:
-    """Whether a block fills a slot of text: its container's slot is mostly
-    unlinked, or is a list of links within a slot of more text.  A container
-    that isn't the template's goes by the page's own characters (``here``)."""
+    """Whether a block fills a slot of text: it isn't the template's own, and
+    its container's slot is mostly unlinked, or is a list of links within a slot
+    of more text.  A container that isn't the template's goes by the page's own
+    characters (``here``)."""
+    if text_token(block) in template.everywhere:
+        return False
     unlinked, linked = template.slots.get(block.path) or here[block.path]
     if unlinked > linked:
         return True

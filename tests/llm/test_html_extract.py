@@ -37,10 +37,10 @@ def shop(k, body):
 
 
 def test_template_without_article_elements(spark):
-    rows = [(k, "http://shop.example/p", shop(k, f"<h2>Story {k}</h2><p>Long body of story {k}, told at some length here.<p>And &amp; more <b>of</b> it.")) for k in range(8)]
+    rows = [(k, "http://shop.example/p", shop(k, f"<h2>Story {k}</h2><p>Long body of story {k}, told at some length here.<p>And &amp; more <b>of</b> it, {k}.")) for k in range(8)]
     got = texts(H.main_text(pages_of(spark, rows)))
     for k in range(8):
-        assert got[k] == f"Story {k}\nLong body of story {k}, told at some length here.\nAnd & more of it."
+        assert got[k] == f"Story {k}\nLong body of story {k}, told at some length here.\nAnd & more of it, {k}."
 
 
 def test_repeated_articles_are_kept(spark):
@@ -72,6 +72,8 @@ def test_equal_vectors_make_classes():
         ("<nav>menu</nav><aside>x</aside><form>f</form><footer>y</footer>", ""),
         ("<div class=Cookie-Notice>we</div><p>text</p><section id='comments'><p>first!</p></section>", "text"),
         ("<script>never closed <p>x", ""),
+        ("<article>a <math>x</math> b<noscript><p>n</p></noscript><xmp>code <b>&amp;</xmp></article>", "a x b\nn\ncode <b>&amp;"),
+        ("<article><p>x</p><div class='related'><p>Related work is discussed.</p></div><section class='search-results'>two found</section></article>", "x\nRelated work is discussed.\ntwo found"),
     ],
 )
 def test_single_pages(spark, source, want):
@@ -139,3 +141,82 @@ def test_two_content_containers_without_article_elements(spark):
     got = texts(H.main_text(pages_of(spark, [(k, "http://two.example/", page(k)) for k in range(8)])))
     for k in range(8):
         assert got[k] == f"Lead of story {k}, a few words.\nThe body of story {k} is longer: {'it goes on and on, ' * 6}to its end.\nSource {k}"
+
+
+def neutral(k, story, extra=""):
+    """No article, and no name that says anything."""
+    return (
+        f"<body><div class=a1><p>Morning Courier</p><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></div>"
+        f"<div class=row><div class=col-1><p>Home of the Courier</p><p>Weather: see below.</p></div>"
+        f"<div class=col-2><p>{story}</p>{extra}<p>Subscribe for updates.</p></div></div>"
+        f"<div class=a9><p>All rights reserved.</p><p>Printed in town.</p></div></body>"
+    )
+
+
+def test_the_method_decides_where_names_say_nothing(spark):
+    rows = [(k, "http://neutral.example/", neutral(k, f"Story {k} is told here at some length, for all to read.", f"<p>It ends so {k}.</p>" * (k % 2))) for k in range(8)]
+    got = texts(H.main_text(pages_of(spark, rows)))
+    for k, _, html in rows:
+        want = [f"Story {k} is told here at some length, for all to read."] + [f"It ends so {k}."] * (k % 2)
+        assert got[k] == "\n".join(want)
+        assert H.extract(html, H.Template.of(None)) != want  # no template, no answer
+
+
+def test_numbered_names_are_columns_and_numbered_pages_are_not():
+    assert H._names(" class='col-1' id=post-12") == "col-1.post-#"
+    assert H._names(" class='col-2 entry-10345'") == "col-2.entry-#"
+    blocks, _ = H.parse("<body><div class=col-1>a</div><div class=col-2>b</div></body>")
+    assert len({b.path for b in blocks}) == 2
+
+
+def brute_host(pages):
+    """Pages as lists of (container, [(text, linked)]): what the method keeps by
+    plain counting.  Containers stand on all pages, once each."""
+    n = len(pages)
+    stands = {}
+    for page in pages:
+        for name, blocks in page:
+            for t in {t for t, _ in blocks}:
+                stands[name, t] = stands.get((name, t), 0) + 1
+    own = {}
+    for page in pages:
+        for name, blocks in page:
+            for t, linked in blocks:
+                if stands[name, t] < n:
+                    own.setdefault(name, [0, 0])[linked] += len(t)
+    out = []
+    for page in pages:
+        kept = []
+        for name, blocks in page:
+            unlinked, linked = own.get(name, (0, 0))
+            kept += [t for t, _ in blocks if unlinked > linked and stands[name, t] < n]
+        out.append("\n".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_small_hosts_against_plain_counting(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    word = lambda: "".join(r.choices("abcdefghijklmno", k=7))
+    names = [f"x{i}" for i in range(6)]
+    fixed = {name: [" ".join(word() for _ in range(4)) for _ in range(r.randrange(1, 3))] for name in names}
+    kinds = {name: ("fixed", "links", "text")[i % 3] for i, name in enumerate(names)}
+    pages = []
+    for _ in range(9):
+        page = []
+        for name in names:
+            blocks = [(t, 0) for t in fixed[name]]
+            if kinds[name] == "links":
+                blocks += [(" ".join([word(), word()]), 1) for _ in range(r.randrange(1, 5))]
+            if kinds[name] == "text":
+                blocks += [(" ".join(word() for _ in range(30)), 0) for _ in range(r.randrange(1, 4))] + [(word(), 1)]
+            page.append((name, blocks))
+        pages.append(page)
+    html = [
+        "<body>" + "".join(f"<div class={name}>" + "".join(f"<p><a href=/>{t}</a></p>" if linked else f"<p>{t}</p>" for t, linked in blocks) + "</div>" for name, blocks in page) + "</body>"
+        for page in pages
+    ]
+    got = texts(H.main_text(pages_of(spark, [(k, "http://h.example/", h) for k, h in enumerate(html)])))
+    assert [got[k] for k in range(9)] == brute_host(pages)
