@@ -163,7 +163,11 @@ def contamination(
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    answers = hits.join(listed, "text_key", "left").select("text_key", "n_hit", "items")
+    answers = materialize(hits.join(listed, "text_key", "left").select("text_key", "n_hit", "items"), "answers")
+    # copies of one text may be a third of all rows: they stay where they are if
+    # the answers can be broadcast, else the join's hot keys are split at run time
+    if (answers.agg(F.sum(F.coalesce(F.size("items"), F.lit(0)) * 24 + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        answers = F.broadcast(answers)
     every = docs.select(
         F.col(id_column).alias(id_column), text_key(text).alias("text_key"), F.size(words_of(text_or_empty(text))).cast("long").alias("n_words")
     )
