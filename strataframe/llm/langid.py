@@ -225,7 +225,8 @@ def learn(docs: DataFrame, usable: Column | None = None, text: str = "text", lan
 def spans(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "lang_spans") -> DataFrame:
     """``docs`` plus the spans of each text as lang:start:end in code points
     (end exclusive), comma-joined: from the first to the last word of each run
-    of words in one language.  Texts without letters have none."""
+    of words in one language.  Texts without letters have none.  A column called
+    ``out`` is replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
@@ -246,7 +247,8 @@ def spans(docs: DataFrame, model: LanguageModel, text: str = "text", out: str =
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``docs`` plus ``lang_pred``, the language with the most letters on a
     text's path, and ``score``, its share of the letters.  Texts that are null
-    or have no letter (or a model of nothing) give ``und`` and 0."""
+    or have no letter (or a model of nothing) give ``und`` and 0.  Columns of these
+    two names are replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages
 
     @F.pandas_udf("lang string, share double")

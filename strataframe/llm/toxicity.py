@@ -349,7 +349,7 @@ def learn(
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` plus a score from 0 to 1 of every whole text.  A text without
     words (null, empty) has the score of the bias alone, at most 0.49: nothing in
-    it is toxic."""
+    it is toxic.  A column called ``out`` is replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a weight for each feature of at most max_rows rows
 
     @F.pandas_udf(T.DoubleType())

@@ -102,3 +102,89 @@ def test_labels_of_held_out_rows_are_never_read(spark):
     schema = "doc_id long, text string, lang string"
     a, b = (sorted(map(tuple, L.identify(spark.createDataFrame(x, schema)).collect())) for x in (rows, other))
     assert a == b
+
+
+def brute_identify(rows):
+    """Counts, paths and answers in plain loops."""
+    import math
+    import unicodedata
+
+    def low(c):
+        return ord(c.lower()) if len(c.lower()) == 1 else ord(c)
+
+    def words(t):
+        out, at = [], 0
+        while at < len(t):
+            end = at
+            while end < len(t) and unicodedata.category(t[end])[0] == "L":
+                end += 1
+            if end > at:
+                grams = []
+                for i in range(at, end):
+                    a, b, c = (low(t[k]) if 0 <= k < len(t) and unicodedata.category(t[k])[0] == "L" else 32 for k in (i - 1, i, i + 1))
+                    g = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) & 0x7FFFFFFFFFFF
+                    grams.append((g ^ (g >> 17)) % L.BUCKETS)
+                out.append((at, end, int(L._letters()[ord(t[at])]) - 1, grams))
+            at = max(end, at + 1)
+        return out
+
+    grams, scripts = {}, {}
+    for i, t, lang in rows:
+        if lang is not None and i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            own, kinds = grams.setdefault(lang, {}), scripts.setdefault(lang, {})
+            for s, e, k, found in words(t or ""):
+                kinds[k] = kinds.get(k, 0) + e - s
+                for g in found:
+                    own[g] = own.get(g, 0) + 1
+    names = sorted(grams)
+    total = {x: sum(grams[x].values()) for x in names}
+
+    def word_score(x, word):
+        # what 32-bit tables hold
+        own = [np.float32(math.log(grams[x].get(g, 0) + 0.5) - math.log(total[x] + 0.5 * L.BUCKETS)) for g in word[3]]
+        return float(np.add.reduce(np.array(own, dtype=np.float32)))
+
+    def allowed(k):
+        fits = [x for x in names if scripts[x].get(k, 0) > 0 and scripts[x][k] >= L.LEAST_SHARE * sum(scripts[x].values())]
+        return fits or names
+
+    out = []
+    for i, t, _ in rows:
+        found = words(t or "")
+        if not found or not names:
+            out.append((i, "und", 0.0))
+            continue
+        best, back = None, []
+        for w in found:
+            raw = {x: word_score(x, w) for x in names}
+            fits = allowed(w[2])
+            here = {x: raw[x] if x in fits else min(raw.values()) + L._FAR for x in names}
+            if best is None:
+                best = here
+                continue
+            top = max(names, key=lambda x: best[x])
+            back.append({x: x if best[x] >= best[top] - L.PENALTY else top for x in names})
+            best = {x: max(best[x], best[top] - L.PENALTY) + here[x] for x in names}
+        path = [max(names, key=lambda x: best[x])]
+        for step in reversed(back):
+            path.append(step[path[-1]])
+        letters = {}
+        for x, (s, e, *_) in zip(reversed(path), found):
+            letters[x] = letters.get(x, 0) + e - s
+        lang = max(names, key=lambda x: letters.get(x, 0))
+        out.append((i, lang, letters[lang] / sum(letters.values())))
+    return sorted(out, key=str)
+
+
+def test_whole_result_by_brute_force(spark):
+    said = {"en": "the cat and a dog went over there", "de": "die Katze und ein Hund gingen über Straßen", "fr": "le chat et un chien été là", "ru": "кошка и собака шли"}
+    rng = random.Random(4)
+    rows = []
+    for i in range(80):
+        lang = rng.choice(list(said))
+        parts = [" ".join(rng.choices(said[x].split(), k=rng.randrange(1, 9))) for x in (lang, rng.choice(list(said)) if i % 5 == 0 else lang)]
+        rows.append((i if i % 17 else None, rng.choice([", ", " 12 ", "\n"]).join(parts) if i % 13 else None, lang if i % 7 else None))
+    got = sorted(((r.doc_id, r.lang_pred, r.score) for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()), key=str)
+    want = brute_identify(rows)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(got, want))

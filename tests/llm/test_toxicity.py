@@ -159,3 +159,26 @@ def test_sparse_steps_solve_the_dense_problem():
     weigh = np.where(y > 0, 0.5 / y.sum(), 0.5 / (60 - y.sum()))
     gradient = x.T @ (weigh * (p - y)) + 1e-2 * w + 2 * 4.0 / 5 * d.T @ d @ w
     assert np.abs(gradient).max() < 1e-4
+
+
+def test_whole_result_by_brute_force(spark, tiny):
+    """Every score of the table from the model's weights, in plain loops."""
+    import math
+    import re
+
+    docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    model = X.learn(docs, labels, held)
+    got = {r.doc_id: r for r in X.classify(docs, labels).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        words = re.findall(r"[^\W\d_]+", (r.text or "").lower())
+        count = {}
+        for w in words:
+            for f in ["=" + w] + ["^" + w[:k] for k in (5, 6, 7) if len(w) >= k]:
+                count[f] = count.get(f, 0) + 1
+        z = model.bias + sum(model.weights.get(f, 0.0) * math.sqrt(100 * n / len(words)) for f, n in count.items())
+        p = 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
+        want = p if words else min(p, 0.49)
+        assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == int(want >= 0.5)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
