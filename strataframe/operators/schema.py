@@ -206,24 +206,31 @@ def cast_by_class(df: DataFrame, variables: DataFrame, table: str | None = None)
 def parse_dates_first_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column, the first of second/minute/hour/day formats that
     parses at least one value is used for the whole column; a column no
-    format fits stays text.  One aggregate job decides all columns."""
+    format fits stays text.
+
+    The rows are written under the shared folder, and the write observes which
+    formats fit; so the input is read once, and what is read again to be parsed
+    is the written table."""
     columns = list(columns)
     if not columns:
         return df
-    aggs = []
-    for c in columns:
-        for label, parsed in times.parse_first_fit_candidates(F.col(c)):
-            aggs.append(F.max(parsed.isNotNull().cast("int")).alias(f"{c}\u0001{label}"))
-    hits = df.agg(*aggs).collect()[0].asDict()
+    fits = [
+        F.bool_or(parsed.isNotNull()).alias(f"{i}:{label}")
+        for i, c in enumerate(columns) for label, parsed in times.parse_first_fit_candidates(F.col(f"`{c}`"))
+    ]
+    seen = Observation()
+    path = scratch_path(df.sparkSession, "dates")
+    df.observe(seen, *fits).write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
     chosen = {}
-    for c in columns:
+    for i, c in enumerate(columns):
         for label, fmt, width in times.FIRST_FIT_FORMATS:
-            if hits.get(f"{c}\u0001{label}") == 1:
+            if seen.get[f"{i}:{label}"]:
                 chosen[c] = (fmt, width)
                 break
-    return df.select(*[
-        times.parse_prefix(F.col(c), *chosen[c]).alias(c) if c in chosen else F.col(c)
-        for c in df.columns
+    return written.select(*[
+        times.parse_prefix(F.col(f"`{c}`"), *chosen[c]).alias(c) if c in chosen else F.col(f"`{c}`")
+        for c in written.columns
     ])
 
 

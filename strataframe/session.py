@@ -40,9 +40,15 @@ def build_session(master: str = "local[*]", app: str = "strataframe", **conf) ->
     return spark
 
 
+#: Bytes of rows that go to a Python worker at once.
+ARROW_BATCH = "16m"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the operators rely on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # what a task and its Python worker hold of long texts at a time
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     shared_root(spark)
     ship_package(spark)
     return spark

@@ -11,7 +11,7 @@ from ..operators import schema as S
 from ..operators import series as E
 from ..sources import catalog as K
 from .registry import register
-from .schema_suite import VARIABLES_SQL, variables
+from .schema_suite import FEW_PARTS, VARIABLES_SQL, variables
 from .shapes import shape
 
 _V = VARIABLES_SQL.replace("AS string", "AS varchar")
@@ -54,13 +54,13 @@ def q_extend_variables_positioned(spark, sf_dir):
 @register("patch_variables", f"""
 WITH v AS ({_V})
 SELECT "table" AS table_name, fieldName FROM v
-UNION ALL SELECT 'tab_1', 'g_' || cast(p_partkey AS varchar) FROM part WHERE p_partkey % 3 = 1 AND p_partkey % 2 = 0
+UNION ALL SELECT 'tab_1', 'g_' || cast(p_partkey AS varchar) FROM {FEW_PARTS} WHERE p_partkey % 3 = 1 AND p_partkey % 2 = 0
 """)
 def q_patch_variables(spark, sf_dir):
     base = variables(spark, sf_dir)
-    extra = shape(spark, sf_dir, """
+    extra = shape(spark, sf_dir, f"""
 SELECT 'tab_' || cast(p_partkey % 3 AS string) AS `table`,
-       CASE WHEN p_partkey % 2 = 0 THEN 'g_' ELSE 'f_' END || cast(p_partkey AS string) AS fieldName FROM part""")
+       CASE WHEN p_partkey % 2 = 0 THEN 'g_' ELSE 'f_' END || cast(p_partkey AS string) AS fieldName FROM {FEW_PARTS}""")
     out = S.patch_variables(base, extra, "tab_1", present=True)
     return S.patch_variables(out, extra, "tab_2", present=False).select(F.col("table").alias("table_name"), "fieldName")
 
