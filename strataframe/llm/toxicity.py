@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -353,11 +354,12 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str =
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a weight for each feature of at most max_rows rows
 
     @F.pandas_udf(T.DoubleType())
-    def scored(texts: pd.Series) -> pd.Series:
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own, store = shipped.value, {}
-        values = own.scores(list(texts), store)
-        blank = np.array([not (t and _WORD.search(t)) for t in texts], dtype=bool)
-        return pd.Series(np.where(blank, np.minimum(values, 0.49), values))
+        for texts in batches:
+            values = own.scores(list(texts), store)
+            blank = np.array([not (t and _WORD.search(t)) for t in texts], dtype=bool)
+            yield pd.Series(np.where(blank, np.minimum(values, 0.49), values))
 
     return docs.withColumn(out, scored(F.col(text).cast("string")))
 
