@@ -34,8 +34,9 @@ from .common import ascii_lower, materialize, text_or_empty
 
 #: Fixed value: what is stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
-#: Documents of a block, and questions that a shard answers, about.
-BLOCK_ROWS = 2048
+#: Documents of a block and bytes of their texts, whichever makes more blocks,
+#: and questions that a shard answers, about.
+BLOCK_ROWS, BLOCK_BYTES = 2048, 16 << 20
 SHARD_ROWS = 1 << 18
 #: Bits of a cascade's array for each key that comes to it.
 SPREAD = 2
@@ -225,7 +226,8 @@ def drop_shared_lines(
     any length.  An empty table gives no rows.  Further columns are not used."""
     if min_docs < 1 or min_chars < 1:
         raise ValueError("min_docs and min_chars must be at least 1")
-    blocks = 1 + docs.count() // block_rows
+    size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(text_or_empty(text)))).first()
+    blocks = 1 + max(size[0] // block_rows, (size[1] or 0) // BLOCK_BYTES)
     questions = line_questions(docs, blocks, min_chars, id_column, text)
     shards = 1 + questions.count() // shard_rows
     index = line_index(questions, shards, min(2, min_docs))
