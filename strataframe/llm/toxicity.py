@@ -43,6 +43,8 @@ _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]?")
 BEGINNINGS = (5, 6, 7)
 #: Words whose weights a Python worker keeps; beyond it the store starts anew.
 KEPT_WORDS = 400_000
+#: Features that a task counts before it hands its counts on.
+COUNTED_FEATURES = 100_000
 #: Changes (at most 10) are counted in units of 2^-20, and a task
 #: hands on its sum after so many: it stays below 2^63.
 GRAM_UNIT = 1 << 20
@@ -252,13 +254,19 @@ def choose_features(drawn: DataFrame, least_chi2: float = 15.0) -> list[str]:
     ``least_chi2`` by the chi-squared statistic of their presence, in three
     toxic rows or more.  Their number is bounded by the words of the drawn rows."""
 
+    def table(seen):
+        names = list({*seen[0], *seen[1]})
+        return pd.DataFrame({"f": names, "a": [seen[1][f] for f in names], "b": [seen[0][f] for f in names]})
+
     def counted(batches):
+        seen = [Counter(), Counter()]
         for pdf in batches:
-            seen = [Counter(), Counter()]
             for body, toxic in zip(pdf["body"], pdf["toxic"]):
                 seen[int(toxic > 0)].update({f for w in set(words_of(body or "")) for f in features_of(w)})
-            names = list({*seen[0], *seen[1]})
-            yield pd.DataFrame({"f": names, "a": [seen[1][f] for f in names], "b": [seen[0][f] for f in names]})
+                if len(seen[0]) + len(seen[1]) > COUNTED_FEATURES:
+                    yield table(seen)
+                    seen = [Counter(), Counter()]
+        yield table(seen)
 
     n = drawn.agg(F.count_if(F.col("toxic") > 0).alias("a"), F.count_if(F.col("toxic") <= 0).alias("b")).first()
     if not n.a or not n.b:
