@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Metadata data types and publication formats.
@@ -42,6 +44,20 @@ def spark_type(data_type: str | None, pub_format: str | None) -> T.DataType:
     return T.StringType()
 
 
+def spark_type_name(data_type: Column, pub_format: Column) -> Column:
+    """The name of :func:`spark_type`, for metadata rows that stay in Spark."""
+    blank = F.lit(" \t\n\r\x0b\x0c")
+    dt, fmt = (F.btrim(F.coalesce(c, F.lit("")), blank) for c in (data_type, pub_format))
+    date = dt == "dateTime"
+    return (
+        F.when(dt.isin(*REAL_TYPES), T.DoubleType().simpleString())
+        .when(dt.isin(*INTEGER_TYPES) | (date & fmt.isin(*YEAR_FORMATS)), T.LongType().simpleString())
+        .when(date & fmt.isin(*SECOND_FORMATS, *MILLI_FORMATS), T.TimestampType().simpleString())
+        .when(date & fmt.isin(*DAY_FORMATS), T.DateType().simpleString())
+        .otherwise(T.StringType().simpleString())
+    )
+
+
 def spark_format(pub_format: str | None) -> str | None:
     """Spark datetime pattern for a publication format (suffix dropped,
     trailing ``'Z'`` kept as a literal)."""

@@ -1,7 +1,8 @@
 """Schema operators (S1-S12): types declared by ``variables`` metadata.
 
-The metadata tables are small (one row per published field) and may be
-collected; data tables never are.  Casts are applied *by column name* with
+A ``StructType`` and the casts of one table collect that table's fields; of
+variables tables of any size, ``collect=False`` gives the same schema as rows.
+Data tables are never collected.  Casts are applied *by column name* with
 ``try_cast``/``try_to_timestamp``; a failed cast is observed while the typed
 table is written (S9) rather than silently becoming null.
 """
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
-from ..functions.types import STRING_TYPES, spark_type
-from ..session import scratch_path
+from ..functions.types import STRING_TYPES, spark_type, spark_type_name
+from ..session import hinted, scratch_path, write_once
 
 VARIABLE_COLUMNS = ("table", "fieldName", "description", "dataType", "units",
                     "downloadPkg", "pubFormat", "primaryKey", "categoricalCodeName")
@@ -26,21 +27,64 @@ POSITION_FIELDS = ("domainID", "siteID", "horizontalPosition", "verticalPosition
 STRING_FIELDS = ("horizontalPosition", "verticalPosition", "publicationDate", "release", "file")
 
 
-def _rows_for(variables: DataFrame, table: str | None, package: str | None) -> list:
+def _declared(variables: DataFrame, table: str | None, package: str | None) -> DataFrame:
     v = variables
     if table is not None:
         v = v.filter(F.col("table") == table)
     if package == "basic":
         v = v.filter(F.col("downloadPkg") == "basic")
+    return v
+
+
+def _rows_for(variables: DataFrame, table: str | None, package: str | None) -> list:
+    v = _declared(variables, table, package)
     if "row_no" in v.columns:
         v = v.orderBy("row_no")
     return v.select("fieldName", "dataType", "pubFormat").collect()
 
 
-def schema_from_variables(variables: DataFrame, table: str | None = None,
-                          package: str | None = "basic") -> T.StructType | None:
+def numbered(df: DataFrame, order: Sequence[str], name: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the place of each row, from 1, in ``order`` (nulls first)
+    within ``by``, as int ``name``.
+
+    No task holds more than its share of the rows, however large a group: they
+    are range-partitioned and sorted, written with their task and their place in
+    it, and a row for each task and group says how many came before."""
+    by = list(by)
+    placed = df.orderBy(*by, *order).withColumn("_id", F.monotonically_increasing_id())
+    # the id holds the task's number above 33 bits for the place in the task
+    placed = placed.withColumn("_task", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
+    written = write_once(placed, "numbered")
+    shares = written.groupBy("_task", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    shares = shares.select(F.col("_task").alias("_t"), *[F.col(c).alias(f"_by_{c}") for c in by], "_first", "_before")
+    same = F.col("_task") == F.col("_t")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    place = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return written.join(hinted(shares, 64), same).select(*df.columns, place.cast("int").alias(name))
+
+
+def declared_fields(variables: DataFrame, table: str | None, package: str | None) -> DataFrame:
+    """The fields of a schema as ``(position, fieldName, dataType, pubFormat)``:
+    of rows that repeat a name the first counts, and a row without one fails."""
+    v = _declared(variables, table, package)
+    row_no = F.col("row_no") if "row_no" in v.columns else F.monotonically_increasing_id()
+    named = F.coalesce("fieldName", F.raise_error(F.lit("a row of the variables table names no field")).cast("string"))
+    first = v.select(named.alias("fieldName"), F.struct(row_no.alias("row_no"), "dataType", "pubFormat").alias("r")).groupBy("fieldName").agg(F.min("r").alias("r"))
+    rows = first.select("r.row_no", "fieldName", "r.dataType", "r.pubFormat")
+    return numbered(rows, ["row_no", "fieldName"], "position").select("position", "fieldName", "dataType", "pubFormat")
+
+
+def schema_from_variables(variables: DataFrame, table: str | None = None, package: str | None = "basic",
+                          *, collect: bool = True) -> T.StructType | DataFrame | None:
     """``StructType`` in metadata row order; the publication format of a
-    field is kept in its metadata.  None when the table has no rows."""
+    field is kept in its metadata.  None when the table has no rows.  With
+    ``collect=False`` the same schema as rows (:func:`declared_fields`, and the
+    ``type``), none of which reach the driver."""
+    if not collect:
+        return declared_fields(variables, table, package).withColumn("type", spark_type_name(F.col("dataType"), F.col("pubFormat")))
     rows = _rows_for(variables, table, package)
     if not rows:
         return None
@@ -57,13 +101,19 @@ def schema_from_variables(variables: DataFrame, table: str | None = None,
     return T.StructType(fields)
 
 
-def schema_table(schema: T.StructType) -> list[tuple[int, str, str]]:
-    """(position, field, type) rows of a schema, for display."""
+def schema_table(schema: T.StructType | DataFrame) -> list[tuple[int, str, str]] | DataFrame:
+    """(position, field, type) rows of a schema, for display; of one that is
+    rows already, a frame of them."""
+    if isinstance(schema, DataFrame):
+        return schema.select("position", F.col("fieldName").alias("field"), "type")
     return [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
 
 
-def string_schema(variables_or_names) -> T.StructType:
-    """S3: every field a string (from a variables frame or a name list)."""
+def string_schema(variables_or_names, *, collect: bool = True) -> T.StructType | DataFrame:
+    """S3: every field a string (from a variables frame or a name list).  Of a
+    frame, ``collect=False`` gives the schema as rows, as in S1."""
+    if not collect:
+        return declared_fields(variables_or_names, None, None).withColumn("type", F.lit(T.StringType().simpleString()))
     if isinstance(variables_or_names, DataFrame):
         names = [r["fieldName"] for r in _rows_for(variables_or_names, None, None)]
     else:

@@ -13,7 +13,10 @@ _SEC_FMT = f"'yyyy-MM-dd' || {_Q} || 'T' || {_Q} || 'HH:mm:ss' || {_Q} || 'Z' ||
 
 # Some hundred fields, as published tables have, however many parts there are.
 FEW_PARTS = "(SELECT p_size * 10 + p_partkey % 10 AS p_partkey, min(p_name) AS p_name, p_size FROM part GROUP BY p_size, p_partkey % 10) p"
-VARIABLES_SQL = f"""
+
+
+def variables_sql(parts: str) -> str:
+    return f"""
 SELECT 'tab_' || cast(p_partkey % 3 AS string) AS "table", 'f_' || cast(p_partkey AS string) AS fieldName,
   p_name AS description,
   CASE p_size % 6 WHEN 0 THEN 'string' WHEN 1 THEN 'real' WHEN 2 THEN 'unsigned integer'
@@ -21,12 +24,16 @@ SELECT 'tab_' || cast(p_partkey % 3 AS string) AS "table", 'f_' || cast(p_partke
   CASE WHEN p_partkey % 2 = 0 THEN 'basic' ELSE 'expanded' END AS downloadPkg,
   CASE p_size % 4 WHEN 0 THEN {_SEC_FMT} WHEN 1 THEN 'yyyy-MM-dd' WHEN 2 THEN 'yyyy(floor)' ELSE 'asIs' END AS pubFormat,
   p_partkey AS row_no
-FROM {FEW_PARTS}
+FROM {parts}
 """
 
 
-def variables(spark, sf_dir):
-    return shape(spark, sf_dir, VARIABLES_SQL.replace('"table"', "`table`"))
+# A field for each part.
+VARIABLES_SQL = variables_sql("part")
+
+
+def variables(spark, sf_dir, sql=VARIABLES_SQL):
+    return shape(spark, sf_dir, sql.replace('"table"', "`table`"))
 
 
 @register("schema_from_variables", f"""
@@ -41,8 +48,7 @@ SELECT cast(row_number() OVER (ORDER BY row_no) AS int) AS position, fieldName A
 FROM v WHERE "table" = 'tab_1' AND downloadPkg = 'basic'
 """)
 def q_schema_from_variables(spark, sf_dir):
-    schema = S.schema_from_variables(variables(spark, sf_dir), "tab_1", "basic")
-    return spark.createDataFrame(S.schema_table(schema), "position int, field string, type string")
+    return S.schema_table(S.schema_from_variables(variables(spark, sf_dir), "tab_1", "basic", collect=False))
 
 
 @register("field_classes", f"""
