@@ -59,3 +59,8 @@ def test_places_count_within_groups_over_all_tasks(spark):
     df = spark.createDataFrame(rows, "g string, k int").repartition(7)
     got = S.numbered(df, ["k"], "no", ["g"])
     assert dict(got.dtypes)["no"] == "int" and got.count() == len(rows) and got.filter("no <> k + 1").isEmpty()
+
+
+def test_classes_of_every_field(spark, parts):
+    got = ran(spark, parts, "field_classes").collect()
+    assert {r.fieldName: r["class"] for r in got} == {f"f_{k}": "numeric" if k % 4 in (1, 2) else "character" for k in range(1, N + 1)}
