@@ -343,8 +343,7 @@ def extend_variables(variables: DataFrame, added_fields: DataFrame, *, with_posi
         extra = each.select("table", *[F.col(f"r.{c}").alias(c) for c in names if c in cols],
                             F.struct(F.col("r._rank").alias("rank"), F.col("r._sub").alias("sub")).alias("_place"))
         base = base.unionByName(extra, allowMissingColumns=True)
-    order = Window.partitionBy("table").orderBy("_place.rank", "_place.sub")
-    return base.withColumn("row_no", F.row_number().over(order)).drop("_place")
+    return numbered(base, ["_place.rank", "_place.sub"], "row_no", ["table"]).drop("_place")
 
 
 def patch_variables(variables: DataFrame, extra_rows: DataFrame, table: str, present: bool) -> DataFrame:

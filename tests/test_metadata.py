@@ -64,3 +64,12 @@ def test_places_count_within_groups_over_all_tasks(spark):
 def test_classes_of_every_field(spark, parts):
     got = ran(spark, parts, "field_classes").collect()
     assert {r.fieldName: r["class"] for r in got} == {f"f_{k}": "numeric" if k % 4 in (1, 2) else "character" for k in range(1, N + 1)}
+
+
+@pytest.mark.parametrize("name,added", [("extend_variables", 2), ("extend_variables_positioned", 6)])
+def test_extended_tables_keep_every_field_in_order(spark, parts, name, added):
+    got = ran(spark, parts, name)
+    assert got.count() == N + 3 * added
+    before = added - 2
+    own = got.filter("fieldName like 'f!_%' escape '!'").withColumn("k", F.substring("fieldName", 3, 9).cast("int"))
+    assert own.count() == N and own.filter(F.col("row_no") != before + F.floor((F.col("k") + F.when(F.col("k") % 3 == 0, 0).otherwise(3 - F.col("k") % 3)) / 3)).isEmpty()
