@@ -73,3 +73,8 @@ def test_extended_tables_keep_every_field_in_order(spark, parts, name, added):
     before = added - 2
     own = got.filter("fieldName like 'f!_%' escape '!'").withColumn("k", F.substring("fieldName", 3, 9).cast("int"))
     assert own.count() == N and own.filter(F.col("row_no") != before + F.floor((F.col("k") + F.when(F.col("k") % 3 == 0, 0).otherwise(3 - F.col("k") % 3)) / 3)).isEmpty()
+
+
+def test_patched_rows_of_every_part(spark, parts):
+    got = sorted(r.fieldName for r in ran(spark, parts, "patch_variables").collect())
+    assert got == sorted([f"f_{k}" for k in range(1, N + 1)] + [f"g_{k}" for k in range(1, N + 1) if k % 6 == 4])
