@@ -78,3 +78,7 @@ def test_extended_tables_keep_every_field_in_order(spark, parts, name, added):
 def test_patched_rows_of_every_part(spark, parts):
     got = sorted(r.fieldName for r in ran(spark, parts, "patch_variables").collect())
     assert got == sorted([f"f_{k}" for k in range(1, N + 1)] + [f"g_{k}" for k in range(1, N + 1) if k % 6 == 4])
+
+
+def test_split_tables_count_every_field(spark, parts):
+    assert {tuple(r) for r in ran(spark, parts, "split_by_table").collect()} == {(f"tab_{i}", N // 3) for i in range(3)}
