@@ -102,7 +102,7 @@ def q_variables_differ(spark, sf_dir):
 WITH v AS ({_V}) SELECT cast(row_number() OVER (ORDER BY row_no) AS int) AS position, fieldName AS field, 'string' AS type FROM v
 """)
 def q_string_schema(spark, sf_dir):
-    return spark.createDataFrame(S.schema_table(S.string_schema(variables(spark, sf_dir))), "position int, field string, type string")
+    return S.schema_table(S.string_schema(variables(spark, sf_dir), collect=False))
 
 
 RAW_SQL = """

@@ -82,3 +82,8 @@ def test_patched_rows_of_every_part(spark, parts):
 
 def test_split_tables_count_every_field(spark, parts):
     assert {tuple(r) for r in ran(spark, parts, "split_by_table").collect()} == {(f"tab_{i}", N // 3) for i in range(3)}
+
+
+def test_a_string_schema_has_every_field(spark, parts):
+    got = ran(spark, parts, "string_schema").orderBy("position").collect()
+    assert [tuple(r) for r in got] == [(k, f"f_{k}", "string") for k in range(1, N + 1)]
