@@ -14,13 +14,17 @@ two more products.  Written from ``orders``: a folder for each site and year.
 
 from __future__ import annotations
 
+import shutil
+from collections.abc import Iterator
+from functools import reduce
+
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, write_once
 from .shapes import register_tables
-from .store import _write_text
 
 # The subset of SQL that Spark and DuckDB read alike.
 ROWS_SQL = """
@@ -58,10 +62,43 @@ VALIDATION = ["table,fieldName,rule", "prd_both,k,present", "prd_basic,k,present
 README = ["What this product is.", "And how it was made."]
 
 
-def _write(pdf: pd.DataFrame) -> pd.DataFrame:
-    lines = pdf.sort_values("no")["line"]
-    _write_text(pdf["path"].iloc[0], "\n".join(lines) + "\n")
-    return pd.DataFrame({"path": [pdf["path"].iloc[0]]})
+# Lines that a task sorts and writes at a time.
+TASK_LINES = 250_000
+
+
+def write_lines(lines: DataFrame, files: DataFrame, staged: str, n_lines: int) -> None:
+    """Write the ``lines(key, no, line)`` of each of the ``files(key, path)`` to
+    its path, in the order of ``no``.
+
+    However long a file, a task holds some of its lines only: they are
+    range-partitioned into as many pieces as their number asks for, each piece is
+    sorted and written under ``staged`` by its keys, and a file's pieces are then
+    copied to its path one behind the other."""
+    order = ["key", F.col("no").asc_nulls_last()]
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-n_lines // TASK_LINES))
+    pieces = lines.select("key", "no", "line").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    pieces.select("key", "line").write.partitionBy("key").option("compression", "none").text(staged)
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for key, path in zip(pdf["key"], pdf["path"]):
+                join_pieces(f"{staged}/key={key}", path)
+            yield pdf[["path"]]
+
+    copied = files.select("key", "path").distinct().repartition(lines.sparkSession.sparkContext.defaultParallelism, "key")
+    copied.mapInPandas(joined, "path string").write.format("noop").mode("overwrite").save()
+
+
+def join_pieces(folder: str, path: str) -> None:
+    """The part files of a folder, in their order, as one file."""
+    filesystem, inner = pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+    parts = [f.path for f in filesystem.get_file_info(pafs.FileSelector(inner)) if f.base_name.startswith("part-")]
+    target, to = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    target.create_dir(to.rsplit("/", 1)[0], recursive=True)
+    with target.open_output_stream(to) as out:
+        for part in sorted(parts, key=lambda p: int(p.rsplit("/", 1)[1].split("-")[1])):
+            with filesystem.open_input_stream(part) as piece:
+                shutil.copyfileobj(piece, out, 1 << 20)
 
 
 def write_product_store(spark: SparkSession, sf_dir: str) -> str:
@@ -70,56 +107,61 @@ def write_product_store(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "product-store")
     root = root if "://" in root else "file://" + root
     rows = spark.sql(ROWS_SQL)
+    # which files there are, and of which rows
+    places = write_once(rows.select("site", "yr", "mon", "stamp", (F.col("k") % 50 == 0).alias("flagged"), "c7").distinct(), "places")
     stem = F.concat(F.lit("OBS.D01."), F.col("site"), F.lit(".DP1.00002.001."))
     folder = F.concat(F.lit(root + "/main/"), stem, F.col("mon"), F.lit(".expanded."), F.col("stamp"), F.lit(".RELEASE-2024/"))
+    parts, files = [], []
+
+    def add(kind: str, path: F.Column, header: F.Column, keep: str, *cells) -> None:
+        """The files of a kind, one for each site and year: the header, and the rows to keep."""
+        key = F.concat_ws(".", F.lit(kind), "site", "yr").alias("key")
+        own = places.filter(keep)
+        files.append(own.select(key, path.alias("path")).distinct())
+        parts.append(own.select(key, F.lit(-1).cast("long").alias("no"), header.alias("line")).distinct())
+        parts.append(rows.filter(keep.replace("flagged", "k % 50 = 0")).select(key, F.col("k").cast("long").alias("no"), F.concat_ws(",", *cells).alias("line")))
 
-    def data(table: str, package: str, header: str, *cells) -> DataFrame:
+    def data(table: str, package: str, header: str, *cells) -> None:
         path = F.concat(folder, stem, F.lit(f"{table}."), F.col("mon"), F.lit(f".{package}."), F.col("stamp"), F.lit(".csv"))
         late = F.col("yr") > 1997
-        body = rows.select(path.alias("path"), F.col("k").alias("no"), F.concat_ws(",", *cells).alias("line"))
         names = F.lit(header) if "{}" not in header else F.when(late, header.replace("{}", ",grade")).otherwise(header.replace("{}", ""))
-        return body.unionByName(rows.select(path.alias("path"), F.lit(-1).cast("long").alias("no"), names.alias("line")).distinct())
+        add(f"{table}.{package}", path, names, "true", *cells)
 
     grade = F.when(F.col("yr") > 1997, F.col("grade"))  # concat_ws leaves a null out
-    parts = [
-        data("prd_both", "basic", "k,amount,moment{}", F.col("k"), "amount", "moment", grade),
-        data("prd_both", "expanded", "k,amount,moment,remark{}", F.col("k"), "amount", "moment", F.concat(F.lit("r"), "c7"), grade),
-        data("prd_basic", "basic", "k", F.col("k")),
-        data("prd_expanded", "expanded", "k", F.col("k")),
-    ]
+    data("prd_both", "basic", "k,amount,moment{}", F.col("k"), "amount", "moment", grade)
+    data("prd_both", "expanded", "k,amount,moment,remark{}", F.col("k"), "amount", "moment", F.concat(F.lit("r"), "c7"), grade)
+    data("prd_basic", "basic", "k", F.col("k"))
+    data("prd_expanded", "expanded", "k", F.col("k"))
     review = F.concat(folder, stem, F.lit("science_review_flags."), F.col("stamp"), F.lit(".csv"))
-    flags = rows.filter("k % 50 = 0")
-    parts.append(flags.select(review.alias("path"), F.col("k").alias("no"), F.concat_ws(",", F.concat(F.lit("F"), F.col("k")), "stamp").alias("line")))
-    parts.append(flags.select(review.alias("path"), F.lit(-1).cast("long").alias("no"), F.lit("srfID,lastUpdateDateTime").alias("line")).distinct())
-
-    places = rows.select("site", "yr", "mon", "stamp").distinct()
+    add("science_review_flags", review, F.lit("srfID,lastUpdateDateTime"), "flagged", F.concat(F.lit("F"), F.col("k")), "stamp")
 
     def lines(texts) -> F.Column:
         return F.array(*[F.struct(F.lit(i).cast("long").alias("no"), F.lit(t).alias("line")) for i, t in enumerate(texts)])
 
-    def beside(kind: str, ending: str, texts: F.Column) -> DataFrame:
+    def beside(kind: str, ending: str, texts: F.Column) -> None:
         path = F.concat(folder, stem, F.lit(kind + "."), F.col("stamp"), F.lit(ending))
-        return places.select(path.alias("path"), F.inline(texts))
+        key = F.concat_ws(".", F.lit(kind), "site", "yr").alias("key")
+        own = places.select("site", "yr", "mon", "stamp").distinct()
+        files.append(own.select(key, path.alias("path")))
+        parts.append(own.select(key, F.inline(texts)))
 
     version = F.when(F.col("yr") <= 1995, lines(VERSIONS["early"])).when(F.col("yr") <= 1997, lines(VERSIONS["middle"])).otherwise(lines(VERSIONS["late"]))
-    parts += [beside("variables", ".csv", version), beside("categoricalCodes", ".csv", lines(CODES)),
-              beside("validation", ".csv", lines(VALIDATION)), beside("readme", ".txt", lines(README))]
+    beside("variables", ".csv", version)
+    beside("categoricalCodes", ".csv", lines(CODES))
+    beside("validation", ".csv", lines(VALIDATION))
+    beside("readme", ".txt", lines(README))
 
-    def sample(product: str, label: str, header: str, keep: str, *cells) -> list[DataFrame]:
+    def sample(product: str, label: str, header: str, keep: str, *cells) -> None:
         where = F.concat(F.lit(f"{root}/frames/OBS.D01."), F.col("site"), F.lit(f".{product}."), F.col("mon"), F.lit(".expanded."), F.col("stamp"), F.lit(f".RELEASE-2024/sample_{label}_a.csv"))
-        own = rows.filter(keep)
-        return [own.select(where.alias("path"), F.col("k").alias("no"), F.concat_ws(",", *cells).alias("line")),
-                own.select(where.alias("path"), F.lit(-1).cast("long").alias("no"), F.lit(header).alias("line")).distinct()]
+        add(f"{product}.{label}", where, F.lit(header), keep, *cells)
 
     # of the first product one kind fits its module, the other only the second
     # version of it; the other product's files fit none
-    parts += sample("DP1.10081.001", "ITS", "k,abundance", "c7 < 3", F.col("k"), "c7")
-    parts += sample("DP1.10081.001", "16S", "abundance,k", "c7 >= 3", F.col("amount"), "k")
-    parts += sample("DP1.20190.001", "x", "k,temperature", "c7 = 1", F.col("k"), F.when(F.col("k") % 2 == 0, "warm").otherwise("cold"))
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p.select("path", F.col("no").cast("long").alias("no"), "line"))
-    whole.groupBy("path").applyInPandas(_write, "path string").write.format("noop").mode("overwrite").save()
+    sample("DP1.10081.001", "ITS", "k,abundance", "c7 < 3", F.col("k"), "c7")
+    sample("DP1.10081.001", "16S", "abundance,k", "c7 >= 3", F.col("amount"), "k")
+    sample("DP1.20190.001", "x", "k,temperature", "c7 = 1", F.col("k"), F.when(F.col("k") % 2 == 0, "warm").otherwise("cold"))
+    # a row has a line in four data files, at most two samples and perhaps a review
+    write_lines(reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, files), scratch_path(spark, "product-lines"), 6 * rows.count())
     return root
 
 

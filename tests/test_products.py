@@ -194,3 +194,17 @@ def test_a_folder_without_scheme_is_qualified(spark, tmp_path):
 
     assert qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
     assert qualified(spark, "hdfs://n/x") == "hdfs://n/x"
+
+
+def test_a_file_longer_than_a_task_is_written_in_order(spark, tmp_path, monkeypatch):
+    from strataframe.suite import product_store as PS
+
+    monkeypatch.setattr(PS, "TASK_LINES", 50)
+    lines = spark.range(2000).select((F.col("id") % 2).cast("string").alias("key"), (F.col("id") * 7919 % 2000).alias("no"))
+    lines = lines.unionByName(spark.createDataFrame([("0", None), ("1", -1)], "key string, no long")).withColumn("line", F.concat_ws(":", "key", F.coalesce(F.col("no").cast("string"), F.lit("last"))))
+    files = spark.createDataFrame([(k, f"file://{tmp_path}/out/{k}/f.csv") for k in "01"], "key string, path string")
+    PS.write_lines(lines.repartition(3), files, f"file://{tmp_path}/staged", lines.count())
+    assert len([f for f in os.listdir(f"{tmp_path}/staged/key=0") if f.startswith("part-")]) > 4
+    for key, own in (("0", [*range(0, 2000, 2), "last"]), ("1", [-1, *range(1, 2000, 2)])):
+        with open(f"{tmp_path}/out/{key}/f.csv") as f:
+            assert f.read() == "".join(f"{key}:{n}\n" for n in own)
