@@ -27,13 +27,17 @@ SENSOR_KINDS = ("TIS Data Product Type", "AIS Data Product Type")
 
 def filter_files(manifest: DataFrame, *, sites="all", start: str | None = None, end: str | None = None,
                  package: str = "basic", release: str = "current", include_provisional: bool = False,
-                 time_index=None, table: str | None = None, metadata: bool = True) -> DataFrame:
-    """C6-C11 one after another.  Table and time index together raise."""
+                 time_index=None, table: str | None = None, metadata: bool = True, written: str | None = None) -> DataFrame:
+    """C6-C11 one after another.  Table and time index together raise.  C9 needs
+    its files twice; with ``written``, those of C6-C8 are written under the
+    shared folder by that label, so that the whole manifest is gone over once."""
     if table is not None and time_index not in (None, "all"):
         raise ValueError("choose a table or a time index, not both")
     man = M.filter_sites(manifest, sites)
     man = M.filter_months(man, start, end)
     man = M.filter_release(man, release, include_provisional)
+    if written is not None:
+        man = write_once(man, written)
     man = M.filter_package(man, package)
     man = M.filter_time_index(man, time_index)
     if table is not None:
@@ -62,8 +66,8 @@ def select_product_files(manifest: DataFrame, product: str | None = None, *, sit
                          include_provisional: bool = False, time_index=None, table: str | None = None,
                          metadata: bool = True, shared_sites: DataFrame | None = None,
                          chem_bundles: DataFrame | None = None, other_bundles: DataFrame | None = None) -> DataFrame:
-    """The files that a request for a product means, nothing fetched; a
-    lazy plan of the columns of ``manifest`` and
+    """The files that a request for a product means, nothing fetched; the
+    columns of ``manifest`` and
 
     * ``role``: data, or which metadata the file is,
     * ``requested_sites``: the asked sites that it serves, comma-joined, where
@@ -77,11 +81,15 @@ def select_product_files(manifest: DataFrame, product: str | None = None, *, sit
     each site, every variables file and every review file (C33), or none with
     ``metadata=False``.  Without ``product``, those of all products.
 
+    The manifest is gone over once, here: its files of C6-C8 and then those
+    chosen are written under the shared folder, and the newest metadata, the
+    bundles and the size start from the few that were written.
+
     What the arguments alone rule out raises at once: table and time index
-    together, products hosted elsewhere, members of the flux bundle.  What the
-    tables rule out fails the plan when it runs: a product that was moved into
-    another (or ambiguously), and a table that labs publish, which belongs to no
-    site or month and can't be chosen alone."""
+    together, products hosted elsewhere, members of the flux bundle; so does a
+    table that labs publish, which belongs to no site or month and can't be
+    chosen alone.  A product that was moved into another (or ambiguously) fails
+    the plan when it runs."""
     if table is not None and time_index not in (None, "all"):
         raise ValueError("choose a table or a time index, not both")
     man = manifest
@@ -98,11 +106,12 @@ def select_product_files(manifest: DataFrame, product: str | None = None, *, sit
             served = names.select(F.col("site").alias("requested_site"), "site")
         sites = served.select("site")
     chosen = filter_files(man, sites=sites, start=start, end=end, package=package, release=release,
-                          include_provisional=include_provisional, time_index=time_index, table=table, metadata=True)
+                          include_provisional=include_provisional, time_index=time_index, table=table, metadata=True, written="request")
     if table is not None:
         alone = (F.col("table") == table) & (F.col("table_type") == "lab")
         said = F.raise_error(F.lit(f"{table} is published by labs, not by site and month; it can't be chosen alone"))
         chosen = chosen.filter(F.when(alone, said.cast("boolean")).otherwise(F.lit(True)))
+    chosen = write_once(chosen, "chosen")
     if table is not None or time_index not in (None, "all"):
         data = chosen.filter(~M.is_metadata("name"))
         chosen = data.unionByName(M.latest_metadata_files(chosen)) if metadata else data

@@ -196,6 +196,17 @@ def test_a_folder_without_scheme_is_qualified(spark, tmp_path):
     assert qualified(spark, "hdfs://n/x") == "hdfs://n/x"
 
 
+def test_a_request_goes_over_the_manifest_once(spark, request_files, tmp_path):
+    rows = request_files.select("path", "size").collect()
+    spark.createDataFrame(rows, "path string, size long").write.parquet(f"{tmp_path}/listing")
+    man = M.parse_file_names(spark.read.parquet(f"{tmp_path}/listing"))
+    got = Q.select_product_files(man, "DP1.00001.001", sites=["AAAA", "CCCC"], table="ord_x")
+    assert not any("/listing/" in f for f in got.inputFiles())
+    assert sorted(r.role for r in got.collect()) == ["data"] * 2 + ["readme"] + ["sensor_positions"] * 2 + ["variables"] * 2
+    everything = Q.select_product_files(man)
+    assert not any("/listing/" in f for f in everything.inputFiles()) and everything.count() == len(rows)
+
+
 def test_a_file_longer_than_a_task_is_written_in_order(spark, tmp_path, monkeypatch):
     from strataframe.suite import product_store as PS
 
