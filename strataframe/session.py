@@ -112,11 +112,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def write_once(df: DataFrame, label: str) -> DataFrame:
+def write_once(df: DataFrame, label: str, *, max_rows: int | None = None) -> DataFrame:
     """``df`` written under the shared folder and read back: plans that several
-    jobs start from are made once, and survive lost executors."""
+    jobs start from are made once, and survive lost executors.  With
+    ``max_rows`` no file holds more rows than that."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write if max_rows is None else df.write.option("maxRecordsPerFile", max_rows)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

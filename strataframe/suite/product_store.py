@@ -64,6 +64,17 @@ README = ["What this product is.", "And how it was made."]
 
 # Lines that a task sorts and writes at a time.
 TASK_LINES = 250_000
+# Rows in a file of the staged rows.
+FILE_ROWS = 50_000
+
+
+def staged_rows(spark: SparkSession) -> DataFrame:
+    """The rows of the store, written in small files.
+
+    A task that deals lines to their pieces holds all that it read; of a large
+    table that is as much as its row groups hold.  Of small files it reads as
+    many as the cost of opening one allows, 32 by default, however many there are."""
+    return write_once(spark.sql(ROWS_SQL), "rows", max_rows=FILE_ROWS)
 
 
 def write_lines(lines: DataFrame, files: DataFrame, staged: str, n_lines: int) -> None:
@@ -106,7 +117,7 @@ def write_product_store(spark: SparkSession, sf_dir: str) -> str:
     register_tables(spark, sf_dir)
     root = scratch_path(spark, "product-store")
     root = root if "://" in root else "file://" + root
-    rows = spark.sql(ROWS_SQL)
+    rows = staged_rows(spark)
     # which files there are, and of which rows
     places = write_once(rows.select("site", "yr", "mon", "stamp", (F.col("k") % 50 == 0).alias("flagged"), "c7").distinct(), "places")
     stem = F.concat(F.lit("OBS.D01."), F.col("site"), F.lit(".DP1.00002.001."))

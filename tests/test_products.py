@@ -219,3 +219,22 @@ def test_a_file_longer_than_a_task_is_written_in_order(spark, tmp_path, monkeypa
     for key, own in (("0", [*range(0, 2000, 2), "last"]), ("1", [-1, *range(1, 2000, 2)])):
         with open(f"{tmp_path}/out/{key}/f.csv") as f:
             assert f.read() == "".join(f"{key}:{n}\n" for n in own)
+
+
+def test_a_task_reads_few_rows_of_a_large_row_group(spark, tmp_path, monkeypatch):
+    from strataframe.suite import product_store as PS
+    from strataframe.suite.shapes import TABLES, register_tables
+
+    for t in TABLES:
+        spark.range(1).write.parquet(f"{tmp_path}/{t}.parquet", mode="overwrite")
+    day = F.date_add(F.lit("1993-01-01").cast("date"), (F.col("id") % 3000).cast("int")).cast("timestamp_ntz")
+    orders = spark.range(3000).select(F.col("id").alias("o_orderkey"), (F.col("id") * 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), day.alias("o_orderdate"))
+    orders.unionByName(orders.limit(5)).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet", mode="overwrite")
+    monkeypatch.setattr(PS, "FILE_ROWS", 50)
+    register_tables(spark, str(tmp_path))
+    rows = PS.staged_rows(spark)
+    assert sorted(rows.collect()) == sorted(spark.sql(PS.ROWS_SQL).collect())
+    assert rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 32 * 50
+    root = PS.write_product_store(spark, str(tmp_path))
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{root}/main").filter(F.col("_metadata.file_name").contains(".prd_basic.") & (F.col("value") != "k"))
+    assert lines.count() == 3005 and lines.distinct().count() == 3000
